@@ -22,7 +22,10 @@ def with_ctes(needs: str, select: str) -> str:
     for name in needs.split():
         visit(name)
     head = ",\n".join(f"{n} AS ({CTE[n][1]})" for n in done)
-    return f"WITH {head}\n{select}" if done else select
+    if not done:
+        return select
+    # A statement may go on with CTEs of its own: ", name AS (...) SELECT ...".
+    return f"WITH {head}{select}" if select.startswith(",") else f"WITH {head}\n{select}"
 
 
 _TACTIC = """CASE WHEN l_discount < 0.005 THEN NULL
@@ -147,8 +150,7 @@ cte(
     "",
     """SELECT edge_idx, y, logit, 1 / (1 + exp(-logit)) AS score FROM (
   SELECT event_id AS edge_idx, CAST(event_type = 'error' AS INTEGER) AS y,
-    CAST(CASE WHEN event_type = 'error' THEN 1.0 ELSE -0.5 END AS DOUBLE)
-      + ((event_id * 7919) % 1000) / CAST(250.0 AS DOUBLE) - CAST(2.0 AS DOUBLE) AS logit
+    (CASE WHEN event_type = 'error' THEN 250 ELSE -125 END + (event_id * 7919) % 1000 - 500) / 250e0 AS logit
   FROM events)""",
 )
 

@@ -83,7 +83,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn(
             "logit",
-            F.expr("CASE WHEN y = 1 THEN 1.0D ELSE -0.5D END + ((edge_idx * 7919) % 1000) / 250.0D - 2.0D"),
+            # whole numbers until the last step, so that equal logits are equal to the last bit
+            F.expr("(CASE WHEN y = 1 THEN 250 ELSE -125 END + (edge_idx * 7919) % 1000 - 500) / 250.0D"),
         )
     )
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from flowgraph.operators.numbering import running_sums
 from flowgraph.schemas import DECISION_THRESHOLD, SWEEP_THRESHOLDS
 
-_POSITIVE = F.col("y") == 1
+
+def _positive() -> Column:
+    return F.col("y") == 1
 
 
 def _count(condition: Column) -> Column:
@@ -26,7 +28,7 @@ def _f1(tp: Column, fp: Column, fn: Column) -> Column:
 
 def class_distribution(edges: DataFrame) -> DataFrame:
     """Count and percentage of both labels."""
-    totals = edges.agg(_count(F.col("y") == 0).alias("n0"), _count(_POSITIVE).alias("n1"), F.count("y").alias("n"))
+    totals = edges.agg(_count(F.col("y") == 0).alias("n0"), _count(_positive()).alias("n1"), F.count("y").alias("n"))
     return totals.select(
         F.inline(
             F.array(
@@ -48,7 +50,7 @@ def positive_weight(edges: DataFrame, mask: str = "train") -> DataFrame:
     inside = F.col("mask") == mask
     return edges.agg(
         F.try_divide(
-            _count(inside & (F.col("y") == 0)).cast("double"), _count(inside & _POSITIVE).cast("double")
+            _count(inside & (F.col("y") == 0)).cast("double"), _count(inside & _positive()).cast("double")
         ).alias("pos_weight")
     )
 
@@ -56,10 +58,10 @@ def positive_weight(edges: DataFrame, mask: str = "train") -> DataFrame:
 def confusion(scored: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:
     hit = F.col("score") >= threshold
     return scored.agg(
-        _count(~_POSITIVE & ~hit).alias("tn"),
-        _count(~_POSITIVE & hit).alias("fp"),
-        _count(_POSITIVE & ~hit).alias("fn"),
-        _count(_POSITIVE & hit).alias("tp"),
+        _count(~_positive() & ~hit).alias("tn"),
+        _count(~_positive() & hit).alias("fp"),
+        _count(_positive() & ~hit).alias("fn"),
+        _count(_positive() & hit).alias("tp"),
     )
 
 
@@ -72,10 +74,10 @@ def precision_recall_f1(scored: DataFrame, threshold: float = DECISION_THRESHOLD
 
 def threshold_sweep(scored: DataFrame, thresholds=SWEEP_THRESHOLDS) -> DataFrame:
     """Recall, precision, F1 and false-positive rate at every threshold, from one pass."""
-    counts = [F.count_if(_POSITIVE).alias("p"), F.count_if(~_POSITIVE).alias("n")]
+    counts = [F.count_if(_positive()).alias("p"), F.count_if(~_positive()).alias("n")]
     for i, t in enumerate(thresholds):
         hit = F.col("score") >= t
-        counts += [F.count_if(_POSITIVE & hit).alias(f"tp{i}"), F.count_if(~_POSITIVE & hit).alias(f"fp{i}")]
+        counts += [F.count_if(_positive() & hit).alias(f"tp{i}"), F.count_if(~_positive() & hit).alias(f"fp{i}")]
     lines = [
         F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"), "p", "n")
         for i, t in enumerate(thresholds)
@@ -133,7 +135,7 @@ def classification_report(scored: DataFrame, threshold: float = DECISION_THRESHO
 
 def score_ladder(scored: DataFrame) -> DataFrame:
     """One row per distinct score, descending, with inclusive running counts of both classes."""
-    steps = scored.groupBy("score").agg(F.count_if(_POSITIVE).alias("p"), F.count_if(~_POSITIVE).alias("n"))
+    steps = scored.groupBy("score").agg(F.count_if(_positive()).alias("p"), F.count_if(~_positive()).alias("n"))
     return running_sums(steps, [F.desc("score")], {"tp": "p", "fp": "n"})
 
 
