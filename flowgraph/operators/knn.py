@@ -2,9 +2,9 @@
 
 Three ways, chosen by measured size, all with the same result:
 
-* few vectors in the corpus: it is broadcast, every query is answered inside its task;
-* few queries: they are broadcast, every task keeps its k best per query, a window merges them;
-* both large: vectors are grouped around pivots, and a query block meets only the corpus
+* the corpus fits ``BROADCAST_BYTES``: it is broadcast, every query is answered inside its task;
+* the queries fit: they are broadcast, every task keeps its k best per query, a window merges them;
+* neither fits: vectors are grouped around pivots, and a query block meets only the corpus
   blocks that the triangle inequality cannot rule out.
 
 Spark moves the rows; inside a task the comparison is one matrix product per Arrow batch.
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from flowgraph.operators.joins import top_k_per_group
 from flowgraph.session import checkpoint
 
-BROADCAST_ROWS = 8192
+BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 8192
 PIVOTS = 256
 
@@ -75,10 +75,17 @@ def _tools(k: int, floor: float | None):
     return matrix, ids, first_k, best
 
 
-def _probe(df: DataFrame, limit_rows: int):
-    """The table as a list of rows if it has at most ``limit_rows`` of them, else None."""
-    rows = df.limit(limit_rows + 1).toArrow()
-    return None if rows.num_rows > limit_rows else rows
+def _if_small(df: DataFrame, vector: str, limit_rows: int | None):
+    """The whole table as Arrow when its vectors fit the broadcast limit, else None.
+
+    The check itself looks at no more than limit + 1 rows and fetches no vectors.
+    """
+    if limit_rows is None:
+        first = df.select(F.size(vector).alias("n")).first()
+        limit_rows = BROADCAST_BYTES // (8 * max(1, first["n"])) if first else 0
+    if len(df.select(F.lit(1)).take(limit_rows + 1)) > limit_rows:
+        return None
+    return df.toArrow()
 
 
 def knn(
@@ -86,11 +93,14 @@ def knn(
     corpus: DataFrame,
     k: int,
     min_similarity: float | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
     pivots: int = PIVOTS,
 ) -> DataFrame:
-    """``queries(query_id, query_vec)`` × ``corpus(id, values)`` → (query_id, id, similarity, rank)."""
+    """``queries(query_id, query_vec)`` × ``corpus(id, values)`` → (query_id, id, similarity, rank).
+
+    ``broadcast_rows`` replaces the byte limit of the two broadcast ways.
+    """
     queries = queries.select("query_id", "query_vec").filter(F.col("query_vec").isNotNull())
     corpus = corpus.select("id", "values").filter(F.col("values").isNotNull())
     schema = T.StructType(
@@ -100,11 +110,11 @@ def knn(
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    small = _probe(corpus, broadcast_rows)
+    small = _if_small(corpus, "values", broadcast_rows)
     if small is not None:
         hits = _stream_queries(queries, small, k, min_similarity, schema)
     else:
-        small = _probe(queries, broadcast_rows)
+        small = _if_small(queries, "query_vec", broadcast_rows)
         if small is not None:
             hits = _stream_corpus(small, corpus, k, min_similarity, schema)
         else:
@@ -117,6 +127,7 @@ def _stream_queries(queries, corpus_rows, k, floor, schema):
     held = queries.sparkSession.sparkContext.broadcast(
         (ids(corpus_rows["id"]), matrix(corpus_rows["values"])) if corpus_rows.num_rows else None
     )
+    id_type = corpus_rows["id"].type
 
     def answer(batches):
         import pyarrow as pa
@@ -127,7 +138,7 @@ def _stream_queries(queries, corpus_rows, k, floor, schema):
             names, vectors = held.value
             q, name, sims = best(matrix(batch.column(1)), vectors, names)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(q)), pa.array(name, from_pandas=True), pa.array(sims)],
+                [batch.column(0).take(pa.array(q)), pa.array(name, id_type), pa.array(sims)],
                 names=["query_id", "id", "similarity"],
             )
 
@@ -139,6 +150,7 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
     held = corpus.sparkSession.sparkContext.broadcast(
         (ids(query_rows["query_id"]), matrix(query_rows["query_vec"])) if query_rows.num_rows else None
     )
+    query_type = query_rows["query_id"].type
 
     def scan(batches):
         import numpy as np
@@ -147,11 +159,12 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
         if held.value is None:
             return
         query_ids, vectors = held.value
-        state = None
+        state, id_type = None, None
         least = np.full(len(vectors), -np.inf)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            id_type = batch.column(0).type
             new = best(vectors, matrix(batch.column(1)), ids(batch.column(0)), least)
             if state is not None:
                 new = tuple(np.concatenate(pair) for pair in zip(state, new))
@@ -163,11 +176,7 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
             least = np.where(full, lowest, -np.inf)
         if state is not None:
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(query_ids[state[0]], from_pandas=True),
-                    pa.array(state[1], from_pandas=True),
-                    pa.array(state[2]),
-                ],
+                [pa.array(query_ids[state[0]], query_type), pa.array(state[1], id_type), pa.array(state[2])],
                 names=["query_id", "id", "similarity"],
             )
 
@@ -196,8 +205,13 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
 
         queries, corpus = queries.filter(nonzero("query_vec")), corpus.filter(nonzero("values"))
 
-    chosen = corpus.orderBy(F.xxhash64("id"), "id").limit(n_pivots).toArrow()
-    points = matrix(chosen["values"])
+    # Any vectors do as pivots; a hash keeps about four times as many candidates as needed, so
+    # that only those are sorted.  A vector that is not a pivot is still compared in full.
+    share = max(1, corpus.count() // (4 * n_pivots))
+    drawn = corpus.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
+    points = matrix(drawn.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(n_pivots).toArrow()["values"])
+    if len(points) == 0:
+        points = matrix(corpus.limit(1).toArrow()["values"])
     held = sc.broadcast(points)
 
     def near(batches):
@@ -295,7 +309,7 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
         return pa.table(
             {
                 "query_id": query_block["query_id"].combine_chunks().take(pa.array(q)),
-                "id": pa.array(name, from_pandas=True),
+                "id": pa.array(name, corpus_block["id"].type),
                 "similarity": pa.array(sims),
             }
         )

@@ -70,7 +70,7 @@ def clean_features(staged: DataFrame) -> DataFrame:
     return staged.select(
         "src_ip_zeek",
         "dest_ip_zeek",
-        *[F.log1p(F.col(m)).alias(f"log_{m}") for m in measures],
+        *[F.ln(F.lit(1) + F.col(m)).alias(f"log_{m}") for m in measures],
         *one_hot(F.col("proto"), PROTOCOLS, "proto_"),
         *one_hot(F.col("service"), SERVICES, "srv_"),
         F.when(F.col("final_target") == "Attack", 1).otherwise(0).alias("label"),

@@ -28,6 +28,20 @@ def build_session(app: str = "flowgraph", master: str | None = None, conf: dict
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a job that shuffles about ``input_bytes``.
+
+    Enough shuffle partitions that one fits an executor's memory; adaptive execution merges
+    those that turn out small.  100 TB give 400,000 partitions of 256 MB to start from.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
