@@ -12,7 +12,7 @@ from flowgraph.functions import normalize as nz
 from flowgraph.operators import graph, joins, numbering, quality, staging
 from flowgraph.plans.batch import graph_tables
 from flowgraph.schemas import CANONICAL, COUNTER_COLUMNS, LATE_COLUMNS, NETWORK_LOG_COLUMNS, PORT_COLUMNS, SORT_KEYS
-from flowgraph.session import checkpoint, new_path
+from flowgraph.session import materialize, new_path
 from flowgraph.sources import files, pages, sinks
 from flowgraph.streaming.frontier import ingest_new_files
 
@@ -38,7 +38,7 @@ def clean(spark, sf):
 
 
 def pairs(spark, sf):
-    return checkpoint(graph.pair_stats(clean(spark, sf)))
+    return materialize(graph.pair_stats(clean(spark, sf)))
 
 
 # --- raw period files -------------------------------------------------------------------------
@@ -234,7 +234,7 @@ def _(spark, sf):
   WHERE full_url NOT IN (SELECT full_url FROM frontier WHERE kind = 'other')""",
 )
 def _(spark, sf):
-    frontier = checkpoint(pages.crawl_frontier(inputs.frontier_pages(spark, sf)))
+    frontier = materialize(pages.crawl_frontier(inputs.frontier_pages(spark, sf)))
     return pages.new_only(frontier, frontier.filter(F.col("kind") == "other"))
 
 

@@ -12,7 +12,7 @@ from flowgraph.functions.normalize import clean_cves, metadata_text
 from flowgraph.operators import report, retrieval
 from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
 from flowgraph.operators.knn import knn
-from flowgraph.session import checkpoint, new_path
+from flowgraph.session import materialize, new_path
 from flowgraph.sources import knowledge, sinks, vector_store
 
 LOW = 0.3  # the given vectors are far apart; the library's defaults would find almost nothing
@@ -273,7 +273,7 @@ def retrieved(spark, sf):
         F.col("severity_score").alias("severity"),
         "year",
     )
-    return checkpoint(
+    return materialize(
         hits.join(meta, "id").join(scored(spark, sf).select(F.col("edge_idx").alias("query_id"), "score"), "query_id")
     )
 
@@ -372,21 +372,21 @@ def _(spark, sf):
 @query("m7_embed_texts")
 def _(spark, sf):
     docs = inputs.table(spark, sf, "documents").select("doc_id", "text")
-    return HashedTextEncoder().fit(docs)(docs).select("doc_id", F.size("values").alias("dimension"))
+    return HashedTextEncoder().fit_encode(docs).select("doc_id", F.size("values").alias("dimension"))
 
 
 @query(
     "m7_embed_plugged",
     "",
-    """SELECT doc_id, round(a / sqrt(a * a + b * b + 1), 4) AS v0, round(b / sqrt(a * a + b * b + 1), 4) AS v1
-FROM (SELECT doc_id, CAST(length(text) AS DOUBLE) AS a, CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS b FROM documents)""",
+    """SELECT doc_id, CASE WHEN (length(text) - length(replace(text, 'e', ''))) % 2 = 0 THEN 0.6e0 ELSE 0.8e0 END AS v0,
+  CASE WHEN (length(text) - length(replace(text, 'e', ''))) % 2 = 0 THEN 0.8e0 ELSE 0.6e0 END AS v1 FROM documents""",
 )
 def _(spark, sf):
-    """A plugged-in model: length, number of e, constant."""
+    """A plugged-in model that looks at the whole text; its vectors come back with unit length."""
 
     def model():
-        return lambda texts: [[len(t), t.count("e"), 1] for t in texts]
+        return lambda texts: [[3, 4] if t.count("e") % 2 == 0 else [4, 3] for t in texts]
 
-    out = embed(inputs.table(spark, sf, "documents").select("doc_id", "text"), "text", model, dim=3)
+    out = embed(inputs.table(spark, sf, "documents").select("doc_id", "text"), "text", model, dim=2)
     v = F.col("values").cast("array<double>")
     return rounded(out.select("doc_id", v[0].alias("v0"), v[1].alias("v1")), ["v0", "v1"], 4)

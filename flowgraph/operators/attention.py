@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowgraph.functions.vector import batch_norm, elu, relu
 from flowgraph.operators.graph import edge_inputs
 from flowgraph.operators.joins import HOT_ROWS, salted_join
-from flowgraph.session import checkpoint
+from flowgraph.session import materialize
 
 SLOPE = 0.2
 
@@ -80,7 +80,7 @@ def times(vector: Column, weights: np.ndarray, spark) -> Column:
 def edge_softmax(edges: DataFrame, logit: str = "logit", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Attention weight of every edge: softmax of ``logit`` over the edges with the same ``dst``."""
     peak = edges.groupBy("dst").agg(F.max(logit).alias("__peak"))
-    weighted = checkpoint(
+    weighted = materialize(
         salted_join(edges, peak, "dst", "edge_idx", hot_rows).withColumn("__w", F.exp(F.col(logit) - F.col("__peak")))
     )
     total = weighted.groupBy("dst").agg(F.sum("__w").alias("__total"))
@@ -135,7 +135,7 @@ def attention_layer(
         ],
         axis=1,
     )
-    projected = checkpoint(nodes.select("node_id", times(F.col("x"), stacked, spark).alias("__p")))
+    projected = materialize(nodes.select("node_id", times(F.col("x"), stacked, spark).alias("__p")))
     source = projected.select(
         F.col("node_id").alias("src"),
         F.slice("__p", 1, h * c).alias("z"),
@@ -156,7 +156,7 @@ def attention_layer(
 
     # The part of the logit known at the source; LeakyReLU is monotone, so its largest value
     # per destination gives the largest logit there once the destination's part is added.
-    sent = checkpoint(
+    sent = materialize(
         lines.join(source, "src").select(
             "edge_idx", "dst", "z", F.zip_with("s", "e", lambda a, b: a + b).alias("u")
         )
@@ -212,7 +212,7 @@ def edge_scores(edges: DataFrame, nodes: DataFrame, w1, b1, w2, b2) -> DataFrame
 def score_graph(edges: DataFrame, nodes: DataFrame, layers: list[dict], classifier: dict, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The whole network: attention, batch norm and ELU per layer, then the edge scorer.
 
-    Each layer's node table is checkpointed, so the plan does not grow with depth.
+    Each layer's node table is written out, so the plan does not grow with depth.
     """
     def constant(values):
         return F.array(*[F.lit(float(v)) for v in values])
@@ -223,5 +223,5 @@ def score_graph(edges: DataFrame, nodes: DataFrame, layers: list[dict], classifi
         normed = batch_norm(
             F.col("x"), constant(norm["mean"]), constant(norm["var"]), constant(norm["weight"]), constant(norm["bias"])
         )
-        nodes = checkpoint(x.select("node_id", elu(normed).alias("x")))
+        nodes = materialize(x.select("node_id", elu(normed).alias("x")))
     return edge_scores(edges, nodes, classifier["w1"], classifier["b1"], classifier["w2"], classifier["b2"])

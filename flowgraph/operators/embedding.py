@@ -2,48 +2,86 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgraph.operators.joins import missing_from
+from flowgraph.session import materialize
 
 DIMENSION = 384
 
 
+# Everything that is neither letter nor digit separates words.
+WORD_GAP = r"[^\p{L}\p{N}]+"
+
+
 class HashedTextEncoder:
     """Default encoder: hashed word counts weighted by inverse document frequency, unit length.
 
-    Runs entirely in the JVM over whole texts.  Fit it on the corpus once and use the same
-    encoder for queries.
+    Words are split and hashed by built-in functions over the whole text; the document
+    frequencies are one aggregation with at most ``dim`` result rows; counting into dense rows
+    is one numpy call per Arrow batch.  Fit it on the corpus once and use the same encoder for
+    queries.
     """
 
     def __init__(self, dim: int = DIMENSION):
         self.dim = dim
-        self._words = RegexTokenizer(inputCol="__text", outputCol="__words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True)
-        self._counts = HashingTF(inputCol="__words", outputCol="__counts", numFeatures=dim)
-        self._unit = Normalizer(inputCol="__weighted", outputCol="__unit", p=2.0)
         self._idf = None
 
-    def _counted(self, df: DataFrame, text: str) -> DataFrame:
-        df = df.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-        return self._counts.transform(self._words.transform(df))
+    def _hashed(self, df: DataFrame, text: str) -> DataFrame:
+        words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), lambda w: w != "")
+        return df.withColumn("__slots", F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(self.dim))))
+
+    def _fit(self, hashed: DataFrame) -> None:
+        n = hashed.count()
+        seen = hashed.select(F.explode(F.array_distinct("__slots")).alias("slot")).groupBy("slot").count().collect()
+        found = dict.fromkeys(range(self.dim), 0) | {r["slot"]: r["count"] for r in seen}
+        self._idf = [math.log((n + 1) / (found[i] + 1)) for i in range(self.dim)]
 
     def fit(self, df: DataFrame, text: str = "text") -> "HashedTextEncoder":
-        self._idf = IDF(inputCol="__counts", outputCol="__weighted").fit(self._counted(df.select(text), text))
+        self._fit(self._hashed(df.select(text), text))
         return self
 
+    def fit_encode(self, df: DataFrame, text: str = "text", name: str = "values") -> DataFrame:
+        """Fit on ``df`` and encode it, splitting every text once."""
+        hashed = materialize(self._hashed(df, text), "words")
+        self._fit(hashed)
+        return self._dense(hashed, name)
+
     def __call__(self, df: DataFrame, text: str = "text", name: str = "values") -> DataFrame:
         if self._idf is None:
             raise ValueError("fit the encoder first")
-        out = self._unit.transform(self._idf.transform(self._counted(df, text)))
-        return out.withColumn(name, vector_to_array("__unit", "float32")).drop(
-            "__text", "__words", "__counts", "__weighted", "__unit"
-        )
+        return self._dense(self._hashed(df, text), name)
+
+    def _dense(self, hashed: DataFrame, name: str) -> DataFrame:
+        dim, idf = self.dim, self._idf
+        kept = [f for f in hashed.schema.fields if f.name not in ("__slots", name)]
+        schema = T.StructType([*kept, T.StructField(name, T.ArrayType(T.FloatType()))])
+        columns = [f.name for f in kept]
+
+        def count(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            weight = np.array(idf)
+            for batch in batches:
+                n = batch.num_rows
+                slots = batch.column("__slots")
+                row = np.repeat(np.arange(n), slots.value_lengths().to_numpy(zero_copy_only=False))
+                counts = np.bincount(row * dim + slots.flatten().to_numpy(), minlength=n * dim)
+                vectors = counts.reshape(n, dim) * weight
+                length = np.linalg.norm(vectors, axis=1, keepdims=True)
+                vectors = (vectors / np.where(length == 0, 1, length)).astype("float32")
+                rows = pa.ListArray.from_arrays(
+                    pa.array(range(0, n * dim + 1, dim), pa.int32()), pa.array(vectors.ravel(), pa.float32())
+                )
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], rows], names=[*columns, name])
+
+        return hashed.mapInArrow(count, schema)
 
 
 def embed(

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgraph.operators.joins import top_k_per_group
-from flowgraph.session import checkpoint
+from flowgraph.session import materialize
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 8192
@@ -231,7 +231,7 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
     cells_schema = T.StructType(
         [corpus.schema["id"], corpus.schema["values"], T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())]
     )
-    placed = checkpoint(corpus.mapInArrow(near, cells_schema))
+    placed = materialize(corpus.mapInArrow(near, cells_schema))
     # One row per pivot.
     stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()}
     radius = np.full(len(points), -np.inf)
@@ -266,7 +266,7 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
             T.StructField("cells", T.ArrayType(T.IntegerType())),
         ]
     )
-    routed = checkpoint(queries.mapInArrow(route, route_schema))
+    routed = materialize(queries.mapInArrow(route, route_schema))
     # At most pivots x pivots rows: which homes send queries to which cell, and in how many pieces.
     homes = {r["home"]: r["n"] for r in routed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
     met = (

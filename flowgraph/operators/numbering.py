@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowgraph.session import checkpoint
+from flowgraph.session import materialize
 
 _MID, _PID = "__mid", "__pid"
 
@@ -18,10 +18,10 @@ def _sorted_once(df: DataFrame, order_cols) -> DataFrame:
     """Range-sort ``df`` and pin the result.
 
     Range bounds come from a sample, so a second evaluation could cut the table elsewhere; the
-    checkpoint makes both later passes see the same partitions.  The row's partition and its
+    written copy makes both later passes see the same partitions.  The row's partition and its
     position inside it are both held by ``monotonically_increasing_id``.
     """
-    return checkpoint(df.orderBy(*_order(order_cols)).withColumn(_MID, F.monotonically_increasing_id())).withColumn(
+    return materialize(df.orderBy(*_order(order_cols)).withColumn(_MID, F.monotonically_increasing_id())).withColumn(
         _PID, F.shiftright(_MID, 33)
     )
 

@@ -12,7 +12,7 @@ from flowgraph.functions.rules import query_text_2, sigmoid
 from flowgraph.operators import graph, quality, report, staging
 from flowgraph.operators.embedding import embed_missing
 from flowgraph.schemas import FILE_CAP, SHARDS, SORT_KEYS
-from flowgraph.session import checkpoint, new_path
+from flowgraph.session import materialize, new_path
 from flowgraph.sources import files as file_source
 from flowgraph.sources import knowledge, sinks, vector_store
 
@@ -35,7 +35,7 @@ def graph_tables(raw: DataFrame) -> GraphTables:
     """
     staged = staging.stage_flows(raw)
     clean = staging.clean_features(staged)
-    pairs = checkpoint(graph.pair_stats(clean))
+    pairs = materialize(graph.pair_stats(clean))
     node_map = graph.node_mapping(pairs)
     edges = graph.super_edges(pairs, node_map)
     gnn = graph.split_mask(edges)

@@ -1,4 +1,4 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -64,11 +64,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there.
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written table.
 
-    Used where a plan must see the same rows in the same partitions twice, and between the
-    layers of an iterative job; the copy survives the loss of any executor.
+    Used where a plan must see the same rows twice, and between the layers of an iterative
+    job.  The copy survives the loss of any executor, later steps read only the columns they
+    need, and the planner knows its size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
