@@ -54,25 +54,74 @@ def _tools(k: int, floor: float | None):
         run = np.repeat(starts, np.diff(np.r_[starts, len(q)])) if len(q) else starts
         return order[np.arange(len(q)) - run < k]
 
+    def groups(vectors):
+        """Number of every row's group of equal vectors, and the number of groups."""
+        rows = np.ascontiguousarray(vectors)
+        if len(np.unique(rows[:, 0])) == len(rows):
+            return np.arange(len(rows)), len(rows)
+        raw = rows.view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1]))).ravel()
+        distinct, group = np.unique(raw, return_inverse=True)
+        return group, len(distinct)
+
+    def thin(vectors, names):
+        """At most k copies of a vector, those with the smallest ids: no query can ever keep more."""
+        if len(vectors) == 0:
+            return vectors, names
+        group, n = groups(vectors)
+        if n == len(vectors):
+            return vectors, names
+        keep = first_k(group, names, np.zeros(len(names)))
+        return vectors[keep], names[keep]
+
     def best(queries, vectors, names, least=None):
-        """(query position, id, similarity) of the k best per query; ``least`` raises the bar per query."""
+        """(query position, id, similarity) of the k best per query; ``least`` raises the bar per query.
+
+        Equal queries are answered once.
+        """
+        if len(queries) == 0:
+            return np.zeros(0, int), names[:0], np.zeros(0)
+        group, n = groups(queries)
+        if n == len(queries):
+            return answer(queries, vectors, names, least)
+        one = np.zeros(n, int)
+        one[group] = np.arange(len(queries))
+        q, name, sims = answer(queries[one], vectors, names, None if least is None else least[one])
+        size = np.bincount(q, minlength=n)
+        start = (np.cumsum(size) - size)[group]
+        size = size[group]
+        pick = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.repeat(np.arange(len(queries)), size), name[pick], sims[pick]
+
+    def answer(queries, vectors, names, least):
+        """Single precision picks candidates with a wide margin; only those are computed exactly."""
+        margin = 1e-4
+        bar = np.full(len(queries), -np.inf if floor is None else floor)
+        bar = (bar if least is None else np.maximum(bar, least)) - margin
+        rough_q, rough_v = queries.astype("float32"), np.ascontiguousarray(vectors.T.astype("float32"))
         found = []
         step = max(1, 4_000_000 // max(1, len(vectors)))
         for a in range(0, len(queries), step):
-            sims = np.round(queries[a : a + step] @ vectors.T, 12)
-            keep = np.ones(sims.shape, bool) if floor is None else sims >= floor
-            if least is not None:
-                keep &= sims >= least[a : a + step, None]
-            if sims.shape[1] > k:
-                keep &= sims >= np.partition(sims, -k, axis=1)[:, -k, None]
+            rough = rough_q[a : a + step] @ rough_v
+            keep = rough >= bar[a : a + step, None]
+            crowded = keep.sum(axis=1) > k
+            if crowded.any():
+                part = rough[crowded]
+                keep[crowded] &= part >= np.partition(part, -k, axis=1)[:, -k, None] - margin
             q, c = np.nonzero(keep)
-            pick = first_k(q, names[c], sims[q, c])
-            found.append((q[pick] + a, names[c[pick]], sims[q[pick], c[pick]]))
+            sims = np.empty(len(q))
+            for i in range(0, len(q), 32768):
+                piece = slice(i, i + 32768)
+                sims[piece] = np.einsum("ij,ij->i", queries[a + q[piece]], vectors[c[piece]])
+            sims = np.round(sims, 12)
+            if floor is not None:
+                q, c, sims = (part[sims >= floor] for part in (q, c, sims))
+            pick = first_k(q, names[c], sims)
+            found.append((q[pick] + a, names[c[pick]], sims[pick]))
         if not found:
             return np.zeros(0, int), names[:0], np.zeros(0)
         return tuple(np.concatenate(part) for part in zip(*found))
 
-    return matrix, ids, first_k, best
+    return matrix, ids, first_k, thin, best
 
 
 def _if_small(df: DataFrame, vector: str, limit_rows: int | None):
@@ -123,9 +172,9 @@ def knn(
 
 
 def _stream_queries(queries, corpus_rows, k, floor, schema):
-    matrix, ids, _, best = _tools(k, floor)
+    matrix, ids, _, thin, best = _tools(k, floor)
     held = queries.sparkSession.sparkContext.broadcast(
-        (ids(corpus_rows["id"]), matrix(corpus_rows["values"])) if corpus_rows.num_rows else None
+        thin(matrix(corpus_rows["values"]), ids(corpus_rows["id"])) if corpus_rows.num_rows else None
     )
     id_type = corpus_rows["id"].type
 
@@ -135,7 +184,7 @@ def _stream_queries(queries, corpus_rows, k, floor, schema):
         for batch in batches:
             if held.value is None or batch.num_rows == 0:
                 continue
-            names, vectors = held.value
+            vectors, names = held.value
             q, name, sims = best(matrix(batch.column(1)), vectors, names)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(q)), pa.array(name, id_type), pa.array(sims)],
@@ -146,7 +195,7 @@ def _stream_queries(queries, corpus_rows, k, floor, schema):
 
 
 def _stream_corpus(query_rows, corpus, k, floor, schema):
-    matrix, ids, first_k, best = _tools(k, floor)
+    matrix, ids, first_k, thin, best = _tools(k, floor)
     held = corpus.sparkSession.sparkContext.broadcast(
         (ids(query_rows["query_id"]), matrix(query_rows["query_vec"])) if query_rows.num_rows else None
     )
@@ -165,7 +214,7 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
             if batch.num_rows == 0:
                 continue
             id_type = batch.column(0).type
-            new = best(vectors, matrix(batch.column(1)), ids(batch.column(0)), least)
+            new = best(vectors, *thin(matrix(batch.column(1)), ids(batch.column(0))), least)
             if state is not None:
                 new = tuple(np.concatenate(pair) for pair in zip(state, new))
             pick = first_k(*new)
@@ -195,7 +244,7 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
 
     spark = corpus.sparkSession
     sc = spark.sparkContext
-    matrix, ids, _, best = _tools(k, floor)
+    matrix, ids, _, thin, best = _tools(k, floor)
     reach = math.acos(min(1.0, max(-1.0, floor))) + 1e-9 if floor is not None and floor > 0 else math.pi + 1
 
     if floor is not None and floor > 0:
@@ -305,7 +354,9 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
 
         if query_block.num_rows == 0 or corpus_block.num_rows == 0:
             return pa.table({"query_id": query_block["query_id"][:0], "id": corpus_block["id"][:0], "similarity": pa.array([], pa.float64())})
-        q, name, sims = best(matrix(query_block["query_vec"]), matrix(corpus_block["values"]), ids(corpus_block["id"]))
+        q, name, sims = best(
+            matrix(query_block["query_vec"]), *thin(matrix(corpus_block["values"]), ids(corpus_block["id"]))
+        )
         return pa.table(
             {
                 "query_id": query_block["query_id"].combine_chunks().take(pa.array(q)),
