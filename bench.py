@@ -27,7 +27,6 @@ HEADLINE = [
     "m1_attention_layer",
     "m7_embed_texts",
     "s20_crawl_frontier",
-    "s7_write_shards",
     "s14_upsert",
 ]
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowgraph.functions.vector import batch_norm, elu, relu
 from flowgraph.operators.graph import edge_inputs
@@ -20,6 +21,7 @@ from flowgraph.operators.joins import HOT_ROWS, salted_join
 from flowgraph.session import materialize
 
 SLOPE = 0.2
+HUB_SALTS = 64
 
 
 @dataclass
@@ -109,6 +111,98 @@ def _with_self_loops(edges: DataFrame, nodes: DataFrame, edge_dim: int) -> DataF
     return others.select(F.col("edge_idx").cast("string").alias("edge_idx"), "src", "dst", "attr").unionByName(loops)
 
 
+def _messages(weighed: DataFrame, heads: int, units: int) -> DataFrame:
+    """(dst, w, z) → per Arrow batch one row (dst, salt, values) per destination.
+
+    ``values`` holds the weighted sums of z and then the sums of w.  A destination that fills
+    a good part of a batch is a hub: its batch sums get changing salts, so that no task
+    receives all of them.
+    """
+    width = heads * units
+    schema = T.StructType(
+        [weighed.schema["dst"], T.StructField("salt", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
+    )
+
+    def add_up(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            turn += 1
+            w = batch.column("w").flatten().to_numpy().reshape(n, heads)
+            z = batch.column("z").flatten().to_numpy().reshape(n, heads, units)
+            values = np.concatenate([(w[:, :, None] * z).reshape(n, width), w], axis=1)
+            dst = batch.column("dst").to_numpy(zero_copy_only=False)
+            order = np.argsort(dst, kind="stable")
+            starts = np.flatnonzero(np.r_[True, dst[order][1:] != dst[order][:-1]])
+            sums = np.add.reduceat(values[order], starts, axis=0)
+            rows = np.diff(np.r_[starts, n])
+            salt = np.where(rows > max(16, n // 100), turn % HUB_SALTS, 0).astype("int32")
+            offsets = pa.array(range(0, sums.size + 1, sums.shape[1]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("dst").take(pa.array(order[starts])),
+                    pa.array(salt),
+                    pa.ListArray.from_arrays(offsets, pa.array(sums.ravel())),
+                ],
+                names=["dst", "salt", "values"],
+            )
+
+    return weighed.select("dst", "w", "z").mapInArrow(add_up, schema)
+
+
+def vector_sums(df: DataFrame, keys: list[str], values: str = "values") -> DataFrame:
+    """Element-wise sum of an array column per key.
+
+    Rows are sorted by key inside their partition and added up as a stream: memory holds one
+    batch and one running sum, whatever the size of a group.
+    """
+    df = df.select(*keys, values)
+    n_keys = len(keys)
+
+    def add_up(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def rows(columns, sums, types):
+            offsets = pa.array(range(0, sums.size + 1, sums.shape[1]), pa.int32())
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+            return pa.RecordBatch.from_arrays(
+                [*arrays, pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))], names=[*keys, values]
+            )
+
+        held = None
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            types = [batch.column(i).type for i in range(n_keys)]
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)]
+            change = np.r_[True, np.zeros(n - 1, bool)]
+            for c in columns:
+                change[1:] |= c[1:] != c[:-1]
+            starts = np.flatnonzero(change)
+            sums = np.add.reduceat(batch.column(n_keys).flatten().to_numpy().reshape(n, -1), starts, axis=0)
+            firsts = [c[starts] for c in columns]
+            if held is not None:
+                if all(f[0] == h[0] for f, h in zip(firsts, held[0])):
+                    sums[0] += held[1][0]
+                else:
+                    yield rows(*held, types)
+            held = ([f[-1:] for f in firsts], sums[-1:].copy())
+            if len(starts) > 1:
+                yield rows([f[:-1] for f in firsts], sums[:-1], types)
+        if held is not None:
+            yield rows(*held, types)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(add_up, df.schema)
+
+
 def attention_layer(
     edges: DataFrame,
     nodes: DataFrame,
@@ -121,6 +215,9 @@ def attention_layer(
 
     Per head: logit = LeakyReLU(a_s·Wx_src + a_d·Wx_dst + a_e·W_e attr), softmax over the edges
     into a node, weighted sum of Wx_src.  Heads are concatenated or averaged.
+
+    Edges carry only one number per head until the weights are known; the wide vectors are
+    joined last and summed in the task that joined them.
     """
     spark = nodes.sparkSession
     h, c = weights.heads, weights.units
@@ -135,14 +232,15 @@ def attention_layer(
         ],
         axis=1,
     )
-    projected = materialize(nodes.select("node_id", times(F.col("x"), stacked, spark).alias("__p")))
-    source = projected.select(
-        F.col("node_id").alias("src"),
-        F.slice("__p", 1, h * c).alias("z"),
-        F.slice("__p", h * c + 1, h).alias("s"),
+    projected = materialize(
+        nodes.select("node_id", times(F.col("x"), stacked, spark).alias("p")).select(
+            "node_id",
+            F.slice("p", 1, h * c).alias("z"),
+            F.slice("p", h * c + 1, h).alias("s"),
+            F.slice("p", h * c + h + 1, h).alias("t"),
+        ),
+        "projected",
     )
-    target = projected.select(F.col("node_id").alias("dst"), F.slice("__p", h * c + h + 1, h).alias("t"))
-
     if weights.project_edge is not None:
         edge_dim = weights.project_edge.shape[0]
         per_head = np.einsum("ihc,hc->ih", weights.project_edge.reshape(edge_dim, h, c), weights.att_edge)
@@ -156,43 +254,43 @@ def attention_layer(
 
     # The part of the logit known at the source; LeakyReLU is monotone, so its largest value
     # per destination gives the largest logit there once the destination's part is added.
+    source = projected.select(F.col("node_id").alias("src"), "s")
     sent = materialize(
-        lines.join(source, "src").select(
-            "edge_idx", "dst", "z", F.zip_with("s", "e", lambda a, b: a + b).alias("u")
-        )
+        lines.join(source, "src").select("edge_idx", "src", "dst", F.zip_with("s", "e", lambda a, b: a + b).alias("u")),
+        "sent",
     )
     peak = sent.groupBy("dst").agg(F.array(*[F.max(F.col("u")[i]) for i in range(h)]).alias("peak"))
-    receiver = target.join(peak, "dst")
+    receiver = projected.select(F.col("node_id").alias("dst"), "t").join(peak, "dst")
 
     def leaky(v: Column) -> Column:
         return F.when(v > 0, v).otherwise(v * SLOPE)
 
-    # The destination of a hub is cut into salts; sums merge per salt first, then per node.
-    met = salted_join(sent, receiver, "dst", "edge_idx", hot_rows, keep_salt=True)
-    weight = [
-        F.exp(leaky(F.col("u")[i] + F.col("t")[i]) - leaky(F.col("peak")[i] + F.col("t")[i])).alias(f"w{i}")
-        for i in range(h)
-    ]
-    weighed = met.select("dst", "__salt", "z", *weight)
-    partial = weighed.groupBy("dst", "__salt").agg(
-        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(h)],
-        *[F.sum(F.col(f"w{i}") * F.col("z")[i * c + j]).alias(f"m{i * c + j}") for i in range(h) for j in range(c)],
-    )
-    summed = partial.groupBy("dst").agg(
-        *[F.sum(f"w{i}").alias(f"w{i}") for i in range(h)], *[F.sum(f"m{k}").alias(f"m{k}") for k in range(h * c)]
+    weight = F.array(
+        *[
+            F.exp(leaky(F.col("u")[i] + F.col("t")[i]) - leaky(F.col("peak")[i] + F.col("t")[i]))
+            for i in range(h)
+        ]
     )
-    values = [[F.col(f"m{i * c + j}") / F.col(f"w{i}") for j in range(c)] for i in range(h)]
+    weighed = salted_join(sent, receiver, "dst", "edge_idx", hot_rows).select("src", "dst", weight.alias("w"))
+    met = weighed.join(projected.select(F.col("node_id").alias("src"), "z"), "src")
+    sums = vector_sums(vector_sums(_messages(met, h, c), ["dst", "salt"]), ["dst"])
+
+    def head(i: int) -> Column:
+        total = F.col("values")[h * c + i]
+        return F.transform(F.slice("values", i * c + 1, c), lambda v: v / total)
+
     if concat:
-        flat = [v for head in values for v in head]
+        mixed = F.concat(*[head(i) for i in range(h)])
     else:
-        flat = [sum((values[i][j] for i in range(h)), F.lit(0.0)) / h for j in range(c)]
-    bias = weights.bias if weights.bias is not None else np.zeros(len(flat))
-    out = summed.select(
-        F.col("dst").alias("node_id"), F.array(*[v + float(b) for v, b in zip(flat, bias)]).alias("__x")
-    )
+        mixed = head(0)
+        for i in range(1, h):
+            mixed = F.zip_with(mixed, head(i), lambda a, b: a + b)
+        mixed = F.transform(mixed, lambda v: v / h)
+    bias = weights.bias if weights.bias is not None else np.zeros(h * c if concat else c)
+    constant = F.array(*[F.lit(float(b)) for b in bias])
+    out = sums.select(F.col("dst").alias("node_id"), F.zip_with(mixed, constant, lambda v, b: v + b).alias("__x"))
     # A node that receives nothing (possible without loops) keeps only the bias.
-    empty = F.array(*[F.lit(float(b)) for b in bias])
-    return nodes.select("node_id").join(out, "node_id", "left").select("node_id", F.coalesce("__x", empty).alias("x"))
+    return nodes.select("node_id").join(out, "node_id", "left").select("node_id", F.coalesce("__x", constant).alias("x"))
 
 
 def linear(vector: Column, weights: np.ndarray, bias: np.ndarray, spark) -> Column:
