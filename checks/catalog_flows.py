@@ -555,7 +555,7 @@ def _check_sql(kind: str) -> str:
 
 
 def _checks(spark, sf, kind):
-    return quality.model_checks(models(spark, sf)).filter(F.col("check_name") == kind)
+    return quality.model_checks(models(spark, sf), [kind])
 
 
 @query("d1_not_null", "stg clean ids se gnn", _check_sql("not_null"))
@@ -610,6 +610,20 @@ def _(spark, sf):
     return missing.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "missing").distinct()
 
 
+@query(
+    "o3_missing_columns",
+    "flows",
+    f"""SELECT DISTINCT 'period=' || source_period AS folder, missing FROM flows, (VALUES ('source_period'), ('label_technique'),
+  ('label_cve'), ('label_binary'), ('vlan'), ('label_tactic')) m(missing)
+WHERE missing = 'source_period' OR (source_period <= '{EARLY}' AND missing <> 'label_tactic')
+  OR (source_period > '{EARLY}' AND source_period <= '{MIDDLE}' AND missing IN ('label_tactic', 'vlan'))""",
+)
+def _(spark, sf):
+    report = files.footer_report(files.list_files(spark, raw_zone(spark, sf)))
+    missing = files.missing_by_file(report, CANONICAL.names)
+    return missing.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "missing").distinct()
+
+
 @query(
     "d5_row_gates",
     "stg clean ids se gnn",

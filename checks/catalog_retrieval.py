@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.catalog_scores import scored
+from checks.catalog_scores import scored, scored_edges
 from checks.registry import query, rounded
 from flowgraph.functions import vector
 from flowgraph.functions.normalize import clean_cves, metadata_text
 from flowgraph.operators import report, retrieval
 from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
 from flowgraph.operators.knn import knn
+from flowgraph.plans import batch
 from flowgraph.session import materialize, new_path
 from flowgraph.sources import knowledge, sinks, vector_store
 
@@ -390,3 +391,35 @@ def _(spark, sf):
     out = embed(inputs.table(spark, sf, "documents").select("doc_id", "text"), "text", model, dim=2)
     v = F.col("values").cast("array<double>")
     return rounded(out.select("doc_id", v[0].alias("v0"), v[1].alias("v1")), ["v0", "v1"], 4)
+
+
+# --- text in, records out: the hashed encoder has no SQL counterpart, so these are rows-only -------
+
+
+def encoded_corpus(spark, sf):
+    """CVE records with vectors of their descriptions, and the encoder that made them."""
+    encoder = HashedTextEncoder(128)
+    vectors = encoder.fit_encode(corpus(spark, sf).drop("values"), "description")
+    return materialize(vectors), encoder
+
+
+@query("j5_query_cve_by_text")
+def _(spark, sf):
+    records, encoder = encoded_corpus(spark, sf)
+    turns = inputs.table(spark, sf, "conversations").selectExpr("concat(conv_id, '-', turn) AS query_id", "text")
+    return retrieval.query_cve_by_text(turns, records, encoder, min_severity=1.0, threshold=0.2)
+
+
+@query("j6_query_mitre_for_cve")
+def _(spark, sf):
+    records, encoder = encoded_corpus(spark, sf)
+    found = encoder(knowledge.extract_techniques(bundle_objects(spark, sf)), "full_text")
+    queries = records.select(F.col("cve_id").alias("query_id"), F.col("description").alias("text"))
+    return retrieval.query_mitre_for_cve(queries, found.drop("full_text"), encoder, threshold=0.2)
+
+
+@query("j7_explain_edges")
+def _(spark, sf):
+    records, encoder = encoded_corpus(spark, sf)
+    out = batch.explain_edges(scored_edges(spark, sf).drop("score"), records, encoder, min_similarity=0.05)
+    return out.select("edge_idx", "prediction", "n_hits", "threat_level")

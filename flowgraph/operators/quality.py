@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,14 +69,20 @@ def unique_checks(df: DataFrame, table: str, columns) -> DataFrame:
     return out
 
 
-def model_checks(models: dict[str, DataFrame]) -> DataFrame:
-    """Every declared check of the given models: one row per check."""
-    parts = [column_checks(df, t, NOT_NULL.get(t, ()), ACCEPTED.get(t)) for t, df in models.items()]
-    parts += [unique_checks(df, t, UNIQUE[t]) for t, df in models.items() if t in UNIQUE]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+KINDS = ("not_null", "unique", "accepted_values")
+
+
+def model_checks(models: dict[str, DataFrame], kinds=KINDS) -> DataFrame:
+    """The declared checks of the given models: one row per check, one aggregation per model."""
+    parts = []
+    for table, df in models.items():
+        not_null = NOT_NULL.get(table, []) if "not_null" in kinds else []
+        accepted = ACCEPTED.get(table, {}) if "accepted_values" in kinds else {}
+        if not_null or accepted:
+            parts.append(column_checks(df, table, not_null, accepted))
+        if table in UNIQUE and "unique" in kinds:
+            parts.append(unique_checks(df, table, UNIQUE[table]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def missing_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgraph.functions.normalize import clean_cves
 from flowgraph.operators.joins import top_k_per_group
 from flowgraph.operators.knn import knn
 from flowgraph.schemas import SIMILARITY_THRESHOLD, TOP_K_CVES, TOP_K_TECHNIQUES
@@ -174,7 +173,3 @@ def retrieval_diagnostic(
         )
     return lines[0].unionByName(lines[1])
 
-
-def with_clean_metadata(cves: DataFrame) -> DataFrame:
-    """Corpus as stored in the index: gaps filled once, at ingest."""
-    return clean_cves(cves)

@@ -247,6 +247,36 @@ def test_attention_layer_equals_dense(spark, concat, self_loops, hot):
     assert len(got) == n
 
 
+@pytest.fixture
+def tiny_batches(spark):
+    """Arrow batches of three rows, so that groups and partitions span many batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_vector_sums_across_batches(spark, tiny_batches):
+    rows = [(k, s, [float(i), 1.0]) for i, (k, s) in enumerate((i % 5 if i % 3 else 0, i % 2) for i in range(200))]
+    df = spark.createDataFrame(rows, "k long, s int, values array<double>").repartition(7)
+    want = {}
+    for k, s, v in rows:
+        want[k, s] = [a + b for a, b in zip(want.get((k, s), [0.0, 0.0]), v)]
+    got = attention.vector_sums(df, ["k", "s"]).collect()
+    assert len(got) == len(want) and {(r["k"], r["s"]): r["values"] for r in got} == want
+
+
+def test_attention_across_batches(spark, tiny_batches):
+    test_attention_layer_equals_dense(spark, True, True, 10)
+
+
+@pytest.mark.parametrize("path", ["small corpus", "small queries", "blocks"])
+def test_search_across_batches(spark, tiny_batches, path):
+    test_search_paths_equal_brute_force(spark, path, 0.3)
+    test_search_paths_equal_brute_force(spark, path, None)
+
+
 def test_whole_network_equals_dense(spark):
     rng = np.random.default_rng(6)
     n = 8

@@ -191,3 +191,21 @@ def test_settings(spark):
     assert sized_for(100 * 10**12)["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (256 << 20)))
     assert sized_for(10)["spark.sql.shuffle.partitions"] == "200"
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_a_description_finds_its_own_record(spark):
+    from flowgraph.operators.retrieval import query_cve_by_text, query_mitre_for_cve
+
+    texts = ["remote code execution in a web server", "weak password check", "buffer overflow in a parser"]
+    rows = [(f"C{i}", t, f"T{i}", 5.0 + i, 2020 + i) for i, t in enumerate(texts)]
+    cves = spark.createDataFrame(rows, "cve_id string, description string, matched_mitre_id string, severity_score double, year int")
+    encoder = HashedTextEncoder(256)
+    corpus = encoder.fit_encode(cves, "description")
+    queries = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9, "nothing alike")], "query_id long, text string")
+    got = query_cve_by_text(queries, corpus, encoder).filter("rank = 1").collect()
+    assert {(r["query_id"], r["cve_id"], r["similarity_score"]) for r in got} == {(i, f"C{i}", 1.0) for i in range(3)}
+    severe = query_cve_by_text(queries, corpus, encoder, min_severity=6.0, year=2021, mitre_id="T1").collect()
+    assert [(r["query_id"], r["cve_id"]) for r in severe] == [(1, "C1")]
+    techniques = corpus.selectExpr("matched_mitre_id AS mitre_id", "description AS name", "description", "values")
+    found = query_mitre_for_cve(queries, techniques, encoder).filter("rank = 1").collect()
+    assert {(r["query_id"], r["mitre_id"]) for r in found} == {(i, f"T{i}") for i in range(3)}
