@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.llm import token_count, url_templates
+from flowgraph.llm import packing, token_count, url_templates
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -29,6 +29,12 @@ def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.pack_digests(table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
@@ -36,6 +42,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_templates": op1_url_templates,
+    "op3_packing": op3_packing,
     "op10_token_counts": op10_token_counts,
 }
 
