@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.llm import packing, token_count, url_templates
+from flowgraph.llm import language, packing, token_count, url_templates
+from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -35,6 +36,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(crc32_mod("doc_id", 4) != 2))
+    found = language.identify(docs, model)
+    return found.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_words")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
@@ -43,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_templates": op1_url_templates,
     "op3_packing": op3_packing,
+    "op8_language": op8_language,
     "op10_token_counts": op10_token_counts,
 }
 
