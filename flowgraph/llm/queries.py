@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.llm import language, packing, token_count, url_templates
+from flowgraph.llm import language, packing, quality, token_count, url_templates
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -36,6 +36,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels").where(crc32_mod("doc_id", 5) != 0))
+    scored = quality.score(docs, model)
+    predicted = (F.col("score") >= quality.KEEP).cast("int").alias("predicted")
+    return scored.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "score", predicted, "n_lines")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(crc32_mod("doc_id", 4) != 2))
@@ -51,6 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_templates": op1_url_templates,
     "op3_packing": op3_packing,
+    "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op10_token_counts": op10_token_counts,
 }
