@@ -4,7 +4,7 @@ Texts are tokenized and cut into full windows and one remainder each.  Only the
 ``window`` - 1 numbers, however large the corpus) reach the driver, which plans there: the longest remaining length opens a
 window, a bitset subset-sum over the multiset of remaining lengths finds the fullest sum that fits, the counts of that sum
 are traced back, and the window is used as often as the counts allow before the next is planned.  Pieces then find their
-place by their rank among equal lengths, which comes from one narrow aggregation; token ids are never shuffled.
+place by their rank among equal lengths, which comes from one small aggregation.
 
 A null text counts as empty and is the end token alone.  Repeated rows are packed each.  Ties go to the longer length.
 An empty table gives an empty table.  Every sequence is gapless from 0; what a window lacks is padding at its end.
@@ -12,10 +12,13 @@ An empty table gives an empty table.  Every sequence is gapless from 0; what a w
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,42 +32,93 @@ PIECE_FIELDS = [
     T.StructField("start", T.LongType()),
     T.StructField("length", T.LongType()),
     T.StructField("doc_tokens", T.LongType()),
-    T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
     T.StructField("task", T.LongType()),
     T.StructField("rank", T.LongType()),
 ]
 
+#: What a piece carries of its ids: a column and the function that makes it of (ids of all pieces, ends of each).
+IDS = T.StructField("ids", T.ArrayType(T.IntegerType(), False))
+
 _STATE: dict[str, object] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers write for each byte."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(other)}}
+
+
 class _Encoder:
-    """ids of white-space separated parts, which this kind of tokenizer handles one by one."""
+    """ids of white-space separated parts, which this kind of tokenizer handles one by one.
+
+    Most parts are Latin letters with a few marks behind; their letters and their marks are tokenized apart, as the
+    tokenizer's own splitting would, and letters go straight to its merges.
+    """
+
+    TAIL = ".,;:!?"
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(text)
-        self.known: dict[str, np.ndarray] = {}
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.known: dict[str, bytes] = {}
+
+    def _word(self, core: str) -> bytes:
+        spelled = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.merges.tokenize(spelled)], np.int32).tobytes()
+
+    def _whole(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, np.int32).tobytes()
 
     def ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all parts after each other, number of ids of each)."""
         known = self.known
         if len(known) > CACHE:
             known.clear()
-        new = [p for p in parts if p not in known]
-        for at in range(0, len(new), 50_000):
-            some = new[at : at + 50_000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[part] = np.array(found.ids, np.int32).tobytes()
-        raw = [known[p] for p in parts]
+        raw = []
+        for part in parts:
+            low = part.lower()
+            core = low.rstrip(self.TAIL)
+            if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
+                found = known.get(core)
+                if found is None:
+                    found = known[core] = self._word(core)
+                if len(core) < len(low):
+                    tail = low[len(core) :]
+                    end = known.get(tail)
+                    if end is None:
+                        end = known[tail] = self._whole(tail)
+                    found = found + end
+            else:
+                found = known.get(part)
+                if found is None:
+                    found = known[part] = self._whole(part)
+            raw.append(found)
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         return np.frombuffer(b"".join(raw), np.int32), sizes
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces of every document: (id, start, length, doc_tokens, ids, task, rank).
+def ids_list(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+
 
-    ``tokenizer`` is the tokenizer's JSON.  ``rank`` counts the task's earlier pieces of the same length.
+def ids_crc32(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """crc32 of each piece's ids as unsigned little-endian 32-bit numbers."""
+    raw = memoryview(ids.astype("<u4").tobytes())
+    return pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())
+
+
+def cut(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int, id: str = "doc_id", text: str = "text",
+    carry: T.StructField = IDS, carried: Callable[[np.ndarray, np.ndarray], pa.Array] = ids_list,
+) -> DataFrame:
+    """Pieces of every document: (id, start, length, doc_tokens, task, rank, ids).
+
+    ``tokenizer`` is the tokenizer's JSON.  ``rank`` counts the task's earlier pieces of the same length.  In place of the
+    ids a piece may carry whatever ``carried`` makes of them.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
@@ -105,20 +159,20 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, window: int, id: str = "do
             values, first, count = np.unique(length[order], return_index=True, return_counts=True)
             rank[order] = np.arange(len(rows)) - np.repeat(first, count) + np.repeat(seen[values], count)
             seen[values] += count
-            offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+            piece_ends = np.concatenate([[0], np.cumsum(length)])
             return {
                 None: rows,
                 "start": start,
                 "length": length,
                 "doc_tokens": doc[rows],
-                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(out)),
                 "task": np.full(len(rows), task, np.int64),
                 "rank": rank,
+                carry.name: carried(out, piece_ends),
             }
 
         return apply
 
-    return map_texts(docs, text, [id], PIECE_FIELDS, make)
+    return map_texts(docs, text, [id], [*PIECE_FIELDS, carry], make)
 
 
 def fullest(counts: dict[int, int], first: int, window: int) -> dict[int, int]:
@@ -215,29 +269,12 @@ def place(pieces: DataFrame, window: int) -> DataFrame:
     return ranked.mapInArrow(run, schema)
 
 
-def ids_crc32(ids: Column) -> Column:
-    """crc32 of the ids as unsigned little-endian 32-bit numbers."""
-
-    @F.pandas_udf("long")
-    def digest(values):
-        import zlib
-
-        return values.map(lambda v: zlib.crc32(np.asarray(v, "<u4").tobytes()))
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, id: str = "doc_id", text: str = "text",
+    carry: T.StructField = IDS, carried: Callable[[np.ndarray, np.ndarray], pa.Array] = ids_list,
+) -> DataFrame:
+    """Pieces and their places: (id, start, length, doc_tokens, ids, sequence_id, offset).
 
-    return digest(ids)
-
-
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces with their ids and their place: (id, start, length, doc_tokens, ids, sequence_id, offset).
-
-    Shuffles the ids with the pieces; where the place alone is wanted, use :func:`cut`, then :func:`place` on narrow rows.
+    The pieces are written once, with what they carry, before their lengths are counted.
     """
-    return place(materialize(cut(docs, tokenizer, end_id, window, id, text), "pieces"), window)
-
-
-def pack_digests(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The same with ids_crc32 for the ids, which leave their task only as the written pieces."""
-    pieces = cut(docs, tokenizer, end_id, window, id, text)
-    narrow = pieces.withColumn("ids_crc32", ids_crc32(F.col("ids"))).drop("ids")
-    placed = place(materialize(narrow, "pieces"), window)
-    return placed.select(id, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return place(materialize(cut(docs, tokenizer, end_id, window, id, text, carry, carried), "pieces"), window)

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowgraph.llm import language, packing, quality, token_count, url_templates
 from flowgraph.llm.text import crc32_mod
@@ -33,7 +34,10 @@ def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
         tokenizer = file.read()
-    return packing.pack_digests(table(spark, sf_dir, "documents"), tokenizer, end_id=2, window=4096)
+    digest = T.StructField("ids_crc32", T.LongType())
+    docs = table(spark, sf_dir, "documents")
+    placed = packing.pack(docs, tokenizer, end_id=2, window=4096, carry=digest, carried=packing.ids_crc32)
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
