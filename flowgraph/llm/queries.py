@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import language, packing, quality, token_count, url_templates
+from flowgraph.llm import decontaminate, language, packing, pii, quality, token_count, topk, url_templates
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -40,6 +40,38 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.detect(docs, pii.train(docs))
+
+    def listed(spans: str):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 20 = 0"), k=20, scale=64)
+
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels").where(crc32_mod("doc_id", 5) != 0))
@@ -63,11 +95,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_templates": op1_url_templates,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
+    "op5_topk": op5_topk,
+    "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {
+    "op5_topk": TOPK_SQL,
     "op1_url_templates": url_templates.duckdb_sql(URL_RULES),
 }
