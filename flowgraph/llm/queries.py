@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import decontaminate, language, packing, pii, quality, token_count, topk, url_templates
+from flowgraph.llm import decontaminate, jaccard, language, packing, pii, quality, token_count, topk, url_templates
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -87,6 +87,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_words")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_count.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
@@ -100,6 +104,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
+    "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
 }
 
