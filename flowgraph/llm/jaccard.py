@@ -290,6 +290,31 @@ def _pair(one: str, other: str):
     return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
 
 
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without those linked with a row of smaller id; of linked rows of one id one stays.
+
+    Rows without n-grams, or without an id, all stay.
+    """
+    found = link(docs, id, text, width, percent).where("set is not null").withColumnRenamed(id, "linked_id")
+    judged = found.groupBy("linked_id", F.col("set").alias("linked_set")).agg(F.count(F.lit(1)).alias("copies"), F.min("component_id").alias("stays"))
+    judged = materialize(judged.where("stays <> linked_id or copies > 1"), "judged")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+
+    def make():
+        def apply(texts):
+            ends, grams = shingle_sets(texts, width)
+            return {"set": _class_names(grams, ends).view(np.int64)}
+
+        return apply
+
+    rows = map_texts(rows, "text", ["row", "id"], [T.StructField("set", T.LongType())], make)
+    rows = rows.join(judged, (F.col("id") == F.col("linked_id")) & (F.col("set") == F.col("linked_set")), "left")
+    left = rows.where("stays is null")
+    if judged.where("copies > 1").limit(1).count():
+        left = left.unionByName(rows.where("stays = id").dropDuplicates(["id", "set"]))
+    return left.select("row.*")
+
+
 def link(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, set, component_id) of every row; ``set`` names the class of equal sets (null without one)."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))

@@ -184,3 +184,9 @@ def score(docs: DataFrame, model: chain.Chain, keep: list[str] | None = None, te
 
     fields = [T.StructField("score", T.DoubleType()), T.StructField("n_lines", T.LongType())]
     return map_texts(docs, text, keep or ["doc_id"], fields, make)
+
+
+def keep_good(docs: DataFrame, model: chain.Chain, text: str = "text", least: float = KEEP) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``least`` or more."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text}`").alias("text"))
+    return score(rows, model, keep=["row"], text="text").where(F.col("score") >= least).select("row.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import decontaminate, jaccard, language, packing, pii, quality, token_count, topk, url_templates
+from flowgraph.llm import decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -27,16 +27,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_json() -> str:
+    with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
+        return file.read()
+
+
 def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = suffix_tree.score(table(spark, sf_dir, "documents"), crc32_mod("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
-        tokenizer = file.read()
     digest = T.StructField("ids_crc32", T.LongType())
     docs = table(spark, sf_dir, "documents")
-    placed = packing.pack(docs, tokenizer, end_id=2, window=4096, carry=digest, carried=packing.ids_crc32)
+    placed = packing.pack(docs, tokenizer_json(), end_id=2, window=4096, carry=digest, carried=packing.ids_crc32)
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -98,6 +106,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_templates": op1_url_templates,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
     "op5_topk": op5_topk,
