@@ -8,7 +8,7 @@ from checks import inputs
 from checks.catalog_scores import scored, scored_edges
 from checks.registry import query, rounded
 from flowgraph.functions import vector
-from flowgraph.functions.normalize import clean_cves, metadata_text
+from flowgraph.functions.normalize import clean_cves
 from flowgraph.operators import report, retrieval
 from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
 from flowgraph.operators.knn import knn
@@ -129,13 +129,14 @@ def _(spark, sf):
 @query(
     "n9_metadata_text",
     "",
-    "SELECT doc_id, text[1:500] AS description, text[1:800] AS full_text FROM documents",
+    "SELECT doc_id, text AS description, text[1:500] AS description_short FROM documents",
 )
 def _(spark, sf):
-    text = F.col("text")
-    return inputs.table(spark, sf, "documents").select(
-        "doc_id", metadata_text(text, 500).alias("description"), metadata_text(text, 800).alias("full_text")
-    )
+    docs = inputs.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("cve_id"), F.lit(None).cast("array<float>").alias("values"), F.lit("").alias("matched_mitre_id"),
+        F.lit(0).alias("year"), F.lit(0.0).alias("severity_score"), F.col("text").alias("description"),
+    )
+    return knowledge.cve_payload(docs).select(F.col("id").alias("doc_id"), "description", "description_short")
 
 
 # --- search ---------------------------------------------------------------------------------------

@@ -43,27 +43,28 @@ def to_flag(c: Column, dtype: T.DataType) -> Column:
     return F.least(F.greatest(to_real(c, dtype), F.lit(0.0)), F.lit(1.0)).cast("tinyint")
 
 
+def strip_zone(ts: Column) -> Column:
+    """Zone-less UTC time of an instant; through the epoch, so that the session zone plays no part."""
+    micros = F.unix_micros(ts)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        F.floor(micros / 86_400_000_000).cast("int"), F.lit(0), F.lit(0),
+        (F.pmod(micros, F.lit(86_400_000_000)) / 1_000_000).cast("decimal(18,6)"),
+    )
+
+
 def to_utc(c: Column, dtype: T.DataType) -> Column:
     """Zone-less UTC time in milliseconds; what cannot be read becomes 1970-01-01."""
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
 
-    def strip(ts: Column) -> Column:
-        # Through the epoch, so that the session zone plays no part.
-        micros = F.unix_micros(ts)
-        return epoch + F.make_dt_interval(
-            F.floor(micros / 86_400_000_000).cast("int"), F.lit(0), F.lit(0),
-            (F.pmod(micros, F.lit(86_400_000_000)) / 1_000_000).cast("decimal(18,6)"),
-        )
-
     if isinstance(dtype, T.TimestampNTZType):
         time = c
     elif isinstance(dtype, T.TimestampType):
-        time = strip(c)
+        time = strip_zone(c)
     elif isinstance(dtype, T.DateType):
         time = c.cast("timestamp_ntz")
     else:
         text = c.cast("string")
-        time = F.when(text.rlike(_ZONED), strip(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+        time = F.when(text.rlike(_ZONED), strip_zone(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
     below_ms = F.pmod((F.date_part(F.lit("SECOND"), time) * 1_000_000).cast("long"), F.lit(1000))
     exact = time - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (below_ms / 1_000_000).cast("decimal(18,6)"))
     return F.coalesce(exact, epoch)
@@ -115,5 +116,5 @@ def clean_cves(df: DataFrame) -> DataFrame:
 
 
 def metadata_text(c: Column, n: int) -> Column:
-    """The first ``n`` characters, as stored next to a vector (the vector itself sees the whole text)."""
+    """The first ``n`` characters, a short form for display beside the whole text."""
     return F.substring(c, 1, n)

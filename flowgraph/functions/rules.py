@@ -65,8 +65,13 @@ def sigmoid(logit: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-logit))
 
 
+def is_hit(score: Column, threshold: float | Column = DECISION_THRESHOLD) -> Column:
+    """A score that is no number is no hit."""
+    return (score >= threshold) & ~F.isnan(score)
+
+
 def prediction(score: Column, threshold: float | Column = DECISION_THRESHOLD) -> Column:
-    return F.when(score >= threshold, F.lit("ATTACK")).otherwise(F.lit("NORMAL"))
+    return F.when(is_hit(score, threshold), F.lit("ATTACK")).otherwise(F.lit("NORMAL"))
 
 
 def label_name(y: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,7 +115,22 @@ def embed(
     return df.mapInArrow(encode, schema)
 
 
-def embed_missing(records: DataFrame, stored: DataFrame, key: str, encode: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Stored vectors of the records, plus freshly encoded ones for keys without a vector."""
-    kept = stored.join(records.select(key).distinct(), key, "left_semi").select(key, "values")
-    return kept.unionByName(encode(missing_from(records, stored, key)).select(key, "values"))
+def text_hash(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def embed_missing(
+    records: DataFrame, stored: DataFrame, key: str, encode: Callable[[DataFrame], DataFrame], text: str | None = None
+) -> DataFrame:
+    """Stored vectors of the records, plus freshly encoded ones for keys without a vector.
+
+    With ``text``, ``stored`` has the ``text_hash`` of what each vector was made from, and a record whose text has
+    changed since is encoded again.
+    """
+    if text is None:
+        kept = stored.join(records.select(key).distinct(), key, "left_semi").select(key, "values")
+        return kept.unionByName(encode(missing_from(records, stored, key)).select(key, "values"))
+    same = records.withColumn("text_hash", text_hash(F.col(text)))
+    kept = stored.join(same.select(key, "text_hash").distinct(), [key, "text_hash"], "left_semi").select(key, "values")
+    new = same.join(stored.select(key, "text_hash"), [key, "text_hash"], "left_anti").drop("text_hash")
+    return kept.unionByName(encode(new).select(key, "values"))

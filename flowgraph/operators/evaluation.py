@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgraph.functions.rules import is_hit
 from flowgraph.operators.numbering import running_sums
 from flowgraph.schemas import DECISION_THRESHOLD, SWEEP_THRESHOLDS
 
@@ -56,7 +57,7 @@ def positive_weight(edges: DataFrame, mask: str = "train") -> DataFrame:
 
 
 def confusion(scored: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:
-    hit = F.col("score") >= threshold
+    hit = is_hit(F.col("score"), threshold)
     return scored.agg(
         _count(~_positive() & ~hit).alias("tn"),
         _count(~_positive() & hit).alias("fp"),
@@ -76,7 +77,7 @@ def threshold_sweep(scored: DataFrame, thresholds=SWEEP_THRESHOLDS) -> DataFrame
     """Recall, precision, F1 and false-positive rate at every threshold, from one pass."""
     counts = [F.count_if(_positive()).alias("p"), F.count_if(~_positive()).alias("n")]
     for i, t in enumerate(thresholds):
-        hit = F.col("score") >= t
+        hit = is_hit(F.col("score"), t)
         counts += [F.count_if(_positive() & hit).alias(f"tp{i}"), F.count_if(~_positive() & hit).alias(f"fp{i}")]
     lines = [
         F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"), "p", "n")

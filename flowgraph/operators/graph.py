@@ -125,8 +125,17 @@ def edge_features(pairs: DataFrame, node_map: DataFrame, n_split: int = 5) -> Da
     )
 
 
+def require_vectors(edges: DataFrame, nodes: DataFrame) -> None:
+    """Fail, with their number, if edges have end points without a node vector."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct()
+    missing = ends.join(nodes.select("node_id"), "node_id", "left_anti").count()
+    if missing:
+        raise ValueError(f"{missing} node(s) of the edges have no vector")
+
+
 def edge_inputs(edges: DataFrame, nodes: DataFrame, name: str = "features") -> DataFrame:
     """Source vector, destination vector and edge vector of every edge, concatenated."""
+    require_vectors(edges, nodes)
     source = nodes.select(F.col("node_id").alias("src"), F.col("x").alias("__x_src"))
     target = nodes.select(F.col("node_id").alias("dst"), F.col("x").alias("__x_dst"))
     return (

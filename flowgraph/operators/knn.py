@@ -4,8 +4,8 @@ Three ways, chosen by measured size, all with the same result:
 
 * the corpus fits ``BROADCAST_BYTES``: it is broadcast, every query is answered inside its task;
 * the queries fit: they are broadcast, every task keeps its k best per query, a window merges them;
-* neither fits: vectors are grouped around pivots, and a query block meets only the corpus
-  blocks that the triangle inequality cannot rule out.
+* neither fits: vectors are grouped around pivots into rings, and a query block meets only the
+  corpus blocks that the triangle inequality cannot rule out for its k best.
 
 Spark moves the rows; inside a task the comparison is one matrix product per Arrow batch.
 Similarities are compared at 12 decimals, so equal vectors tie and the smaller id wins.
@@ -26,6 +26,8 @@ from flowgraph.session import materialize
 BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 8192
 PIVOTS = 256
+#: Angles that a cell is counted by, from 0 to pi.
+RING_BINS = 2048
 
 
 def _tools(k: int, floor: float | None):
@@ -124,17 +126,26 @@ def _tools(k: int, floor: float | None):
     return matrix, ids, first_k, thin, best
 
 
-def _if_small(df: DataFrame, vector: str, limit_rows: int | None):
-    """The whole table as Arrow when its vectors fit the broadcast limit, else None.
+def _if_small(df: DataFrame, id: str, vector: str, limit_rows: int | None):
+    """The whole table as Arrow when its vectors and ids fit the broadcast limit, else None.
 
-    The check itself looks at no more than limit + 1 rows and fetches no vectors.
+    The limit holds for the longest vector in every row; a vector takes 8 bytes a number once it is broadcast.
     """
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.size(vector)).alias("numbers"), F.sum(F.octet_length(F.col(id).cast("string"))).alias("ids")
+    ).first()
     if limit_rows is None:
-        first = df.select(F.size(vector).alias("n")).first()
-        limit_rows = BROADCAST_BYTES // (8 * max(1, first["n"])) if first else 0
-    if len(df.select(F.lit(1)).take(limit_rows + 1)) > limit_rows:
-        return None
-    return df.toArrow()
+        fits = size["rows"] * 8 * max(1, size["numbers"] or 0) + (size["ids"] or 0) <= BROADCAST_BYTES
+    else:
+        fits = size["rows"] <= limit_rows
+    return df.toArrow() if fits else None
+
+
+def _evaluated_once(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a plain scan of files, else a written copy: the search reads its inputs several times."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    plain = not any(word in plan for word in ("InArrow", "InPandas", "UDF", "Join", "Aggregate", "Window", "Generate", "LogicalRDD"))
+    return df if plain else materialize(df, "vectors")
 
 
 def knn(
@@ -150,8 +161,8 @@ def knn(
 
     ``broadcast_rows`` replaces the byte limit of the two broadcast ways.
     """
-    queries = queries.select("query_id", "query_vec").filter(F.col("query_vec").isNotNull())
-    corpus = corpus.select("id", "values").filter(F.col("values").isNotNull())
+    queries = _evaluated_once(queries.select("query_id", "query_vec").filter(F.col("query_vec").isNotNull()))
+    corpus = _evaluated_once(corpus.select("id", "values").filter(F.col("values").isNotNull()))
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -159,11 +170,11 @@ def knn(
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    small = _if_small(corpus, "values", broadcast_rows)
+    small = _if_small(corpus, "id", "values", broadcast_rows)
     if small is not None:
         hits = _stream_queries(queries, small, k, min_similarity, schema)
     else:
-        small = _if_small(queries, "query_vec", broadcast_rows)
+        small = _if_small(queries, "query_id", "query_vec", broadcast_rows)
         if small is not None:
             hits = _stream_corpus(small, corpus, k, min_similarity, schema)
         else:
@@ -235,17 +246,18 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
 def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
     """Both sides large: block against block, without the pairs of blocks that cannot hold a hit.
 
-    A vector belongs to its nearest pivot's cell.  With angles as distances, a query at angle
-    d from a pivot is at least d - radius away from the whole cell, so the cell is skipped
-    when that exceeds the angle of ``min_similarity``.  Cells and the queries around a pivot are
-    cut into blocks of about ``block_rows`` by id hash, so no task gets a whole hot cell.
+    A vector belongs to its nearest pivot's cell, and cells are cut into rings by the angle to their pivot, with angles as
+    distances.  A query at angle d from a pivot has no hit within ``reach`` in a ring outside [d - reach, d + reach].  The
+    reach of a query comes from ``min_similarity`` or, where that is less, from its k-th best hit in the one ring around
+    itself, which is searched first.  Rings and the queries around a pivot are cut by id hash into blocks of about
+    ``block_rows``, so no task gets a whole hot ring.
     """
     import numpy as np
 
     spark = corpus.sparkSession
     sc = spark.sparkContext
     matrix, ids, _, thin, best = _tools(k, floor)
-    reach = math.acos(min(1.0, max(-1.0, floor))) + 1e-9 if floor is not None and floor > 0 else math.pi + 1
+    farthest = math.acos(min(1.0, max(-1.0, floor))) + 1e-9 if floor is not None and floor > 0 else math.pi + 1
 
     if floor is not None and floor > 0:
         # Zero vectors reach nothing above 0 and have no direction to sort by.
@@ -262,6 +274,12 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
     if len(points) == 0:
         points = matrix(corpus.limit(1).toArrow()["values"])
     held = sc.broadcast(points)
+    bins = RING_BINS
+
+    def angles_of(column):
+        import numpy as np
+
+        return np.arccos(np.clip(matrix(column) @ held.value.T, -1, 1))
 
     def near(batches):
         import numpy as np
@@ -270,84 +288,94 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            angles = np.arccos(np.clip(matrix(batch.column(1)) @ held.value.T, -1, 1))
-            cell = angles.argmin(axis=1)
+            angles = angles_of(batch.column(1))
+            cell, angle = angles.argmin(axis=1), angles.min(axis=1)
+            slot = cell * bins + np.minimum((angle * (bins / np.pi)).astype(int), bins - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cell, pa.int32()), pa.array(angles.min(axis=1))],
-                names=["id", "values", "cell", "angle"],
+                [batch.column(0), batch.column(1), pa.array(slot, pa.int32())], names=["id", "values", "slot"]
             )
 
-    cells_schema = T.StructType(
-        [corpus.schema["id"], corpus.schema["values"], T.StructField("cell", T.IntegerType()), T.StructField("angle", T.DoubleType())]
-    )
-    placed = materialize(corpus.mapInArrow(near, cells_schema))
-    # One row per pivot.
-    stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).collect()}
-    radius = np.full(len(points), -np.inf)
-    for cell, row in stats.items():
-        radius[cell] = row["radius"]
-    held_radius = sc.broadcast(radius)
-
-    def route(batches):
-        import numpy as np
+    placed_schema = T.StructType([corpus.schema["id"], corpus.schema["values"], T.StructField("slot", T.IntegerType())])
+    placed = materialize(corpus.mapInArrow(near, placed_schema), "placed")
+    # At most pivots x bins rows: vectors by cell and angle.  Neighbouring bins of a cell make a ring.
+    counted = placed.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    slots, sizes = counted["slot"].to_numpy(), counted["n"].to_numpy()
+    order = np.argsort(slots)
+    ring_of = np.full(len(points) * bins, -1, np.int32)
+    rings: list[list] = []  # cell, least angle, greatest angle, vectors
+    for slot, n in zip(slots[order].tolist(), sizes[order].tolist()):
+        cell, at = divmod(slot, bins)
+        if not rings or rings[-1][0] != cell or rings[-1][3] + n > block_rows:
+            rings.append([cell, at * math.pi / bins, 0.0, 0])
+        rings[-1][2] = (at + 1) * math.pi / bins
+        rings[-1][3] += n
+        ring_of[slot] = len(rings) - 1
+    if not rings:
+        return spark.createDataFrame([], schema)
+    cells = np.array([r[0] for r in rings])
+    low, high = (np.array([r[i] for r in rings]) for i in (1, 2))
+    pieces = np.array([math.ceil(r[3] / block_rows) for r in rings])
+    layout = sc.broadcast((ring_of, cells, low - 1e-9, high + 1e-9, pieces, np.cumsum(pieces) - pieces))
+
+    def block_of(batches):
         import pyarrow as pa
 
+        ring_of, _, _, _, pieces, first = layout.value
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            angles = np.arccos(np.clip(matrix(batch.column(1)) @ held.value.T, -1, 1))
-            hit = np.isfinite(held_radius.value) & (angles - held_radius.value <= reach)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(angles.argmin(axis=1), pa.int32()),
-                    pa.array([np.flatnonzero(row).astype("int32") for row in hit], pa.list_(pa.int32())),
-                ],
-                names=["query_id", "query_vec", "home", "cells"],
-            )
+            ring = ring_of[batch.column(2).to_numpy()]
+            block = first[ring] + batch.column(3).to_numpy() % pieces[ring]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(block)], names=["id", "values", "block"])
+
+    blocked_schema = T.StructType([corpus.schema["id"], corpus.schema["values"], T.StructField("block", T.LongType())])
+    hashed = placed.withColumn("h", F.xxhash64("id").bitwiseAND((1 << 62) - 1)).select("id", "values", "slot", "h")
+    blocked = hashed.mapInArrow(block_of, blocked_schema)
+
+    def router(own: bool):
+        def route(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            ring_of, cells, low, high, pieces, first = layout.value
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                angles = angles_of(batch.column(1))
+                reach = batch.column(2).to_numpy(zero_copy_only=False)
+                query, ring = [], []
+                step = max(1, 4_000_000 // len(cells))
+                for a in range(0, len(angles), step):
+                    d = angles[a : a + step][:, cells]
+                    if own:  # the ring that is nearest in the cell of the nearest pivot, or anywhere if that is empty
+                        away = np.maximum(np.maximum(low - d, d - high), 0)
+                        away += 10 * (cells != angles[a : a + step].argmin(axis=1)[:, None])
+                        q, r = np.arange(len(d)), away.argmin(axis=1)
+                    else:
+                        far = reach[a : a + step, None]
+                        q, r = np.nonzero((d + far >= low) & (d - far <= high))
+                    query.append(q + a)
+                    ring.append(r)
+                query, ring = np.concatenate(query), np.concatenate(ring)
+                n = np.ones(len(ring), int) if own else pieces[ring]
+                block = np.repeat(first[ring], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                hits = np.bincount(np.repeat(query, n), minlength=len(angles))
+                offsets = pa.array(np.concatenate([[0], np.cumsum(hits)]), pa.int32())
+                blocks = pa.ListArray.from_arrays(offsets, pa.array(block.astype(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(angles.argmin(axis=1), pa.int32()), blocks],
+                    names=["query_id", "query_vec", "home", "blocks"],
+                )
+
+        return route
 
     route_schema = T.StructType(
         [
             queries.schema["query_id"],
             queries.schema["query_vec"],
             T.StructField("home", T.IntegerType()),
-            T.StructField("cells", T.ArrayType(T.IntegerType())),
+            T.StructField("blocks", T.ArrayType(T.LongType())),
         ]
     )
-    routed = materialize(queries.mapInArrow(route, route_schema))
-    # At most pivots x pivots rows: which homes send queries to which cell, and in how many pieces.
-    homes = {r["home"]: r["n"] for r in routed.groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}
-    met = (
-        routed.select("home", F.explode("cells").alias("cell")).distinct().collect()
-    )
-    cut = {c: math.ceil(r["n"] / block_rows) for c, r in stats.items()}
-    home_cut = {h: math.ceil(n / block_rows) for h, n in homes.items()}
-    pairs = spark.createDataFrame(
-        [(r["home"], r["cell"], home_cut[r["home"]], cut[r["cell"]]) for r in met],
-        "home int, cell int, home_cut int, cell_cut int",
-    )
-
-    def piece(column, n):
-        return F.pmod(F.xxhash64(column), n).cast("int")
-
-    def all_pieces(n):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    left = (
-        routed.withColumn("cell", F.explode("cells"))
-        .join(F.broadcast(pairs), ["home", "cell"])
-        .withColumn("home_piece", piece("query_id", F.col("home_cut")))
-        .withColumn("cell_piece", all_pieces("cell_cut"))
-        .select("home", "home_piece", "cell", "cell_piece", "query_id", "query_vec")
-    )
-    right = (
-        placed.join(F.broadcast(pairs), "cell")
-        .withColumn("cell_piece", piece("id", F.col("cell_cut")))
-        .withColumn("home_piece", all_pieces("home_cut"))
-        .select("home", "home_piece", "cell", "cell_piece", "id", "values")
-    )
-    key = ["home", "home_piece", "cell", "cell_piece"]
+    key = ["home", "piece", "block"]
 
     def compare(query_block, corpus_block):
         import pyarrow as pa
@@ -365,4 +393,21 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
             }
         )
 
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, schema)
+    def searched(asked, own: bool):
+        routed = materialize(asked.mapInArrow(router(own), route_schema), "routed")
+        # Queries of one home are cut, so that a block meets a bounded number of them at a time.
+        homes = routed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).alias("pieces"))
+        left = routed.join(F.broadcast(homes), "home").select(
+            "home", F.pmod(F.xxhash64("query_id"), F.col("pieces")).alias("piece"), F.explode("blocks").alias("block"), "query_id", "query_vec"
+        )
+        met = left.select(*(F.col(c).alias(f"to_{c}") for c in key)).distinct()
+        right = blocked.join(met, F.col("block") == F.col("to_block")).select(*(f"to_{c}" for c in key), "id", "values")
+        return left.groupBy(*key).cogroup(right.groupBy(*(f"to_{c}" for c in key))).applyInArrow(compare, schema)
+
+    everywhere = queries.withColumn("reach", F.lit(float(farthest)))
+    nearby = searched(everywhere, True).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least"))
+    nearby = materialize(nearby.where(F.col("n") >= k), "bounds").select("query_id", "least")
+    bounded = queries.join(nearby, "query_id", "left").select(
+        "query_id", "query_vec", F.least(F.lit(float(farthest)), F.coalesce(F.acos(F.col("least")) + 1e-6, F.lit(float(farthest)))).alias("reach")
+    )
+    return searched(bounded, False)

@@ -70,6 +70,8 @@ def unique_checks(df: DataFrame, table: str, columns) -> DataFrame:
 
 
 KINDS = ("not_null", "unique", "accepted_values")
+#: Tables that have declared checks.
+CHECKED = {*NOT_NULL, *UNIQUE, *ACCEPTED}
 
 
 def model_checks(models: dict[str, DataFrame], kinds=KINDS) -> DataFrame:
@@ -85,6 +87,13 @@ def model_checks(models: dict[str, DataFrame], kinds=KINDS) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def require_checks(models: dict[str, DataFrame]) -> None:
+    """Fail, naming them, if declared checks of the given models do not hold."""
+    broken = [r for r in model_checks(models).collect() if r["violations"]]
+    if broken:
+        raise CheckFailed("; ".join(f"{r['table_name']}.{r['column_name']} {r['check_name']}: {r['violations']}" for r in broken))
+
+
 def missing_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     """Required columns the table lacks."""
     rows = [(c,) for c in sorted(set(required) - set(df.columns))]

@@ -41,17 +41,16 @@ def sample_attack_edges(edges: DataFrame, n: int = 100, seed: int = SEED, mask:
 def related_cves(assigned: DataFrame, cves: DataFrame, k: int = 5) -> DataFrame:
     """``assigned`` edges with ``mitre_id`` get the ids of that technique's ``k`` most severe records.
 
-    The rules name a handful of techniques, so the index is cut to those before it is
-    broadcast: at most len(TECHNIQUE_IDS) rows of at most ``k`` ids.
+    Every technique of the records is indexed, one row of at most ``k`` ids each; Spark broadcasts the index when it
+    is small.
     """
-    known = cves.filter(F.col("matched_mitre_id").isin(rules.TECHNIQUE_IDS))
     best = (
-        technique_index(known, k)
+        technique_index(cves, k)
         .groupBy("mitre_id")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "cve_id"))).alias("__best"))
         .select("mitre_id", F.transform("__best", lambda b: b["cve_id"]).alias("cve_ids"))
     )
-    return assigned.join(F.broadcast(best), "mitre_id", "left").withColumn(
+    return assigned.join(best, "mitre_id", "left").withColumn(
         "cve_ids", F.coalesce("cve_ids", F.array().cast("array<string>"))
     )
 
@@ -105,6 +104,7 @@ def hybrid_inference(
     scored: DataFrame,
     query_vectors: DataFrame,
     corpus: DataFrame,
+    encoded: DataFrame | None = None,
     threshold: float = DECISION_THRESHOLD,
     k: int = TOP_K_CONTEXT,
     min_similarity: float = 0.5,
@@ -112,20 +112,22 @@ def hybrid_inference(
 ) -> DataFrame:
     """Prediction, retrieved records and threat level of every edge.
 
-    ``query_vectors(edge_idx, query_vec)`` are the encoded query texts.  Only attacks are
-    searched; an edge without hits keeps an empty list.
+    ``query_vectors(edge_idx, query_vec)`` are the encoded query texts; or, with ``encoded(text, query_vec)``, they are
+    ``(edge_idx, text)`` and each text is searched once.  Only attacks are searched; an edge without hits has none.
     """
     predicted = scored.withColumn("prediction", rules.prediction(F.col("score"), threshold))
-    wanted = (
-        query_vectors.join(predicted.filter(F.col("prediction") == "ATTACK").select("edge_idx"), "edge_idx", "left_semi")
-        .select(F.col("edge_idx").alias("query_id"), "query_vec")
-    )
+    attacks = predicted.filter(F.col("prediction") == "ATTACK").select("edge_idx")
+    asked = query_vectors.join(attacks, "edge_idx", "left_semi")
+    wanted = encoded if encoded is not None else asked
+    wanted = wanted.select(F.col("edge_idx" if encoded is None else "text").alias("query_id"), "query_vec")
     chosen = metadata_filter(corpus, min_severity)
     hits = knn(wanted, chosen.select(F.col("cve_id").alias("id"), "values"), k, min_similarity)
     found = (
-        hits.groupBy(F.col("query_id").alias("edge_idx"))
+        hits.groupBy(F.col("query_id").alias("edge_idx" if encoded is None else "text"))
         .agg(F.sort_array(F.collect_list(F.struct("rank", F.col("id").alias("cve_id"), "similarity"))).alias("hits"))
     )
+    if encoded is not None:
+        found = asked.join(found, "text").select("edge_idx", "hits")
     return (
         predicted.join(found, "edge_idx", "left")
         .withColumn("n_hits", F.when(F.col("hits").isNull(), 0).otherwise(F.size("hits")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowgraph.operators.joins import top_k_per_group
 from flowgraph.operators.knn import knn
 from flowgraph.schemas import SIMILARITY_THRESHOLD, TOP_K_CVES, TOP_K_TECHNIQUES
+from flowgraph.session import materialize
 
 
 def metadata_filter(
@@ -35,19 +36,31 @@ def search_cves(
     """Related CVE records of every query vector.
 
     ``corpus`` holds cleaned records with ``values``.  The search itself reads ids and vectors
-    only; the texts are joined to the few hits.
+    only; the texts are joined to the few hits.  Records that share an id are hits of their own.
     """
-    chosen = metadata_filter(corpus, min_severity, year, mitre_id)
-    hits = knn(queries, chosen.select(F.col("cve_id").alias("id"), "values"), top_k, threshold)
+    chosen = _keyed(metadata_filter(corpus, min_severity, year, mitre_id), "cve_id")
+    hits = knn(queries, chosen.select(F.col("__row").alias("id"), "values"), top_k, threshold)
     return (
-        hits.withColumnRenamed("id", "cve_id")
-        .join(chosen.drop("values"), "cve_id")
+        hits.withColumnRenamed("id", "__row")
+        .join(chosen.drop("values"), "__row")
         .select(
             "query_id", "rank", "cve_id", "similarity", "matched_mitre_id", "year", "severity_score", "description"
         )
     )
 
 
+def _keyed(records: DataFrame, key: str) -> DataFrame:
+    """``records`` with ``__row``, which names a row and sorts like its ``key``.
+
+    That is the key itself where no two rows share one; else the rows are written once with a number behind it.
+    """
+    rows = records.agg(F.count(key).alias("n"), F.count_distinct(key).alias("keys")).first()
+    if rows["n"] == rows["keys"]:
+        return records.withColumn("__row", F.col(key))
+    number = F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")
+    return materialize(records.withColumn("__row", F.concat(F.col(key).cast("string"), F.lit("\x01"), number)), "records")
+
+
 def query_cve_by_text(queries: DataFrame, corpus: DataFrame, encode, **options) -> DataFrame:
     """``queries(query_id, text)``: encode, search, round the score to 4 digits."""
     vectors = encode(queries).select("query_id", F.col("values").alias("query_vec"))
@@ -57,9 +70,10 @@ def query_cve_by_text(queries: DataFrame, corpus: DataFrame, encode, **options)
 def search_techniques(
     queries: DataFrame, techniques: DataFrame, top_k: int = TOP_K_TECHNIQUES, threshold: float = SIMILARITY_THRESHOLD
 ) -> DataFrame:
-    """Matching techniques of every query vector."""
-    hits = knn(queries, techniques.select(F.col("mitre_id").alias("id"), "values"), top_k, threshold)
-    return hits.withColumnRenamed("id", "mitre_id").join(techniques.drop("values"), "mitre_id")
+    """Matching techniques of every query vector; techniques that share an id are hits of their own."""
+    keyed = _keyed(techniques, "mitre_id")
+    hits = knn(queries, keyed.select(F.col("__row").alias("id"), "values"), top_k, threshold)
+    return hits.withColumnRenamed("id", "__row").join(keyed.drop("values"), "__row").drop("__row")
 
 
 def query_mitre_for_cve(cves: DataFrame, techniques: DataFrame, encode, **options) -> DataFrame:

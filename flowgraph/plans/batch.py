@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.functions.normalize import clean_cves, load_normalize
+from flowgraph.functions.rules import prediction as rules_prediction
 from flowgraph.functions.rules import query_text_2, sigmoid
 from flowgraph.operators import graph, quality, report, staging
 from flowgraph.operators.embedding import embed_missing
-from flowgraph.schemas import FILE_CAP, SHARDS, SORT_KEYS
+from flowgraph.schemas import DECISION_THRESHOLD, SHARDS, SORT_KEYS
 from flowgraph.session import materialize, new_path
 from flowgraph.sources import files as file_source
 from flowgraph.sources import knowledge, sinks, vector_store
@@ -46,14 +47,20 @@ def flows_to_graph(
     spark: SparkSession,
     root: str,
     database: str = "default",
-    cap: int | None = FILE_CAP,
+    cap: int | None = None,
     require_ack: bool = False,
     null_text: str | None = None,
     expected_nodes: int | None = None,
 ) -> DataFrame:
-    """Period files to published tables; returns the run summary."""
+    """Period files to published tables; returns the run summary with the counts of files found and used.
+
+    All files are read unless ``cap`` asks for the first so many; ``truncated`` then says whether that left any out.
+    The declared checks run on the new tables before any of the marts is switched, and a failing one stops the run.
+    """
     found = file_source.list_files(spark, root)
+    n_found = found.count()
     chosen, truncated = file_source.cap_files(found, cap, require_ack) if cap is not None else (found, False)
+    n_used = min(n_found, cap) if truncated else n_found
     united = file_source.read_periods(spark, chosen, SHARDS)
     shards = sinks.write_shards(united, new_path(spark, "shards"))
     raw = load_normalize(spark.read.parquet(shards).drop("shard"), null_text)
@@ -61,6 +68,10 @@ def flows_to_graph(
     quality.require_columns(raw)
 
     tables = graph_tables(raw)
+    models = {"stg_network_logs": tables.staged, "int_network_clean": tables.clean, "mart_node_mapping": tables.node_map,
+              "mart_super_edges": tables.super_edges, "mart_gnn_ready": tables.gnn_ready}
+    quality.require_checks({name: df for name, df in models.items() if name in quality.CHECKED})
+    sinks.publish(tables.clean, f"{database}.int_network_clean")
     node_map = sinks.publish(tables.node_map, f"{database}.mart_node_mapping", ["node_id"])
     sinks.publish(tables.super_edges, f"{database}.mart_super_edges", ["source_idx", "target_idx"])
     gnn = sinks.publish(tables.gnn_ready, f"{database}.mart_gnn_ready", ["source_idx", "target_idx"])
@@ -68,29 +79,31 @@ def flows_to_graph(
     summary = quality.run_summary(raw, node_map, gnn)
     if expected_nodes is not None:
         quality.expect_count(summary.first()["nodes"], expected_nodes, "nodes", skip_if=truncated)
-    return summary
+    return summary.select(
+        "*", F.lit(n_found).cast("long").alias("files_found"), F.lit(n_used).cast("long").alias("files_used"), F.lit(truncated).alias("truncated")
+    )
 
 
 def refresh_techniques(spark: SparkSession, bundle_path: str, encode, store: str) -> DataFrame:
-    """Technique bundle to vector records, replacing the store."""
+    """Technique bundle to vector records, the last one of each id, replacing the store."""
     records = knowledge.extract_techniques(knowledge.read_bundle(spark, bundle_path))
     unique = records.groupBy("mitre_id").agg(
-        *[F.max_by(c, F.struct("name", "full_text")).alias(c) for c in ("name", "description", "full_text")]
+        *[F.max_by(c, "position").alias(c) for c in ("name", "description", "full_text")]
     )
     sinks.replace_all(knowledge.technique_payload(encode(unique, "full_text")), store)
     return spark.read.parquet(store)
 
 
 def ingest_cves(spark: SparkSession, csv_path: str, encode, store: str | None, target: str) -> DataFrame:
-    """CVE file to vector records: clean, last row per id, encode what is new, upsert, write ``target``."""
-    numbered = knowledge.read_cves(spark, csv_path).withColumn("__line", F.monotonically_increasing_id())
-    records = vector_store.last_per_key(clean_cves(numbered), "cve_id", "__line").drop("__line")
+    """CVE files to vector records: clean, last row per id, encode what is new or changed, upsert, write ``target``."""
+    numbered = knowledge.with_position(knowledge.read_cves(spark, csv_path), "__line")
+    records = materialize(vector_store.last_per_key(clean_cves(numbered), "cve_id", "__line").drop("__line"), "cves")
     if store is None:
         merged = knowledge.cve_payload(encode(records, "description"))
     else:
         base = spark.read.parquet(store)
-        stored = base.select(F.col("id").alias("cve_id"), "values")
-        vectors = embed_missing(records, stored, "cve_id", lambda df: encode(df, "description"))
+        stored = base.select(F.col("id").alias("cve_id"), "values", "text_hash")
+        vectors = embed_missing(records, stored, "cve_id", lambda df: encode(df, "description"), "description")
         merged = vector_store.upsert(base, knowledge.cve_payload(records.join(vectors, "cve_id")), "id")
     sinks.replace_all(merged, target)
     return spark.read.parquet(target)
@@ -105,8 +118,13 @@ def analyze(scored: DataFrame, cves: DataFrame, path: str | None = None, fmt: st
 
 
 def explain_edges(scored: DataFrame, corpus: DataFrame, encode, **options) -> DataFrame:
-    """Hybrid inference over all scored edges: build a query text per edge, encode it, search, rate."""
+    """Hybrid inference over all scored edges: a query text for each attack, encoded, searched, rated.
+
+    Query texts are built of few phrases, so each distinct text is encoded and searched once; the cost of both does not
+    grow with the edges.
+    """
     scored = scored.withColumn("score", sigmoid(F.col("logit")))
-    texts = scored.select("edge_idx", query_text_2(F.col("edge_idx"), F.col("attr")).alias("text"))
-    vectors = encode(texts).select("edge_idx", F.col("values").alias("query_vec"))
-    return report.hybrid_inference(scored, vectors, corpus, **options)
+    attack = rules_prediction(F.col("score"), options.get("threshold", DECISION_THRESHOLD)) == "ATTACK"
+    texts = scored.filter(attack).select("edge_idx", query_text_2(F.col("edge_idx"), F.col("attr")).alias("text"))
+    encoded = materialize(encode(texts.select("text").distinct()).select("text", F.col("values").alias("query_vec")), "query-texts")
+    return report.hybrid_inference(scored, texts, corpus, encoded, **options)

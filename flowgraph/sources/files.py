@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowgraph.functions.normalize import strip_zone
 from flowgraph.operators.numbering import assign_shards
-from flowgraph.schemas import CANONICAL, FILE_CAP, LATE_COLUMNS, SHARDS
+from flowgraph.schemas import CANONICAL, LATE_COLUMNS, SHARDS
+from flowgraph.session import materialize, new_path
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "part-*.parquet", below: str | None = "parquet") -> DataFrame:
-    """(path, size) of the matching files, if wanted only those below a folder named ``below``.
+    """(path, size) of the matching files, if wanted only those below a folder ``below`` inside ``root``.
 
     Spark lists the tree; only names and sizes are read.  Fails when nothing matches.
     """
@@ -23,13 +25,20 @@ def list_files(spark: SparkSession, root: str, pattern: str = "part-*.parquet",
         .select("path", F.col("length").alias("size"))
     )
     if below:
-        files = files.filter(F.col("path").contains(f"/{below}/"))
+        inside = F.substring(F.col("path"), len(_qualified(spark, root)) + 1, 1 << 30)
+        files = files.filter(F.concat(F.lit("/"), F.ltrim(inside, F.lit("/"))).contains(f"/{below}/"))
     if files.isEmpty():
         raise FileNotFoundError(f"no {pattern} in {root}" + (f" below a folder {below}" if below else ""))
     return files
 
 
-def cap_files(files: DataFrame, n: int = FILE_CAP, require_ack: bool = False) -> tuple[DataFrame, bool]:
+def _qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as Spark writes it in the paths it lists."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def cap_files(files: DataFrame, n: int, require_ack: bool = False) -> tuple[DataFrame, bool]:
     """The first ``n`` files by path, and whether that left any out."""
     total = files.count()
     if total <= n:
@@ -54,55 +63,99 @@ _PROBE = T.StructType(
 def probe_footers(files: DataFrame) -> DataFrame:
     """Schema, row groups and row count of every file, or the reason it cannot be read.
 
-    Tasks read footers only; the file list is spread over them.
+    Tasks read footers only; the file list is spread over them.  Where the workers have no client of
+    their own for a store, or no right to it, Spark reads the file for them, with the cluster's settings.
     """
+    spark = files.sparkSession
+    direct = materialize(_probe_directly(files), "footers")
+    failed = direct.filter(F.col("error").isNotNull())
+    paths = [r["path"] for r in failed.select("path").limit(_BY_SPARK + 1).collect()]
+    if not paths or len(paths) > _BY_SPARK:
+        # So many failures have another cause than a store's client; they are reported as they are.
+        return direct
+    whole = spark.read.format("binaryFile").load([p.replace("\\", "\\\\") for p in map(_no_glob, paths)])
+    again = whole.select("path", F.col("length").alias("size"), "content").mapInArrow(_probe_contents, _PROBE)
+    found = direct.filter(F.col("error").isNull()).unionByName(again)
+    return found.unionByName(failed.join(again.select("path"), "path", "left_anti").select(found.columns))
+
+
+#: Files that Spark may read as a whole for the sake of their footer, in one probe.
+_BY_SPARK = 10_000
+
+
+def _no_glob(path: str) -> str:
+    return "".join("\\" + c if c in "*?[]{}" else c for c in path)
+
+
+def _footer(source) -> dict:
+    import json
+
+    import pyarrow.parquet as pq
+
+    footer = pq.ParquetFile(source)
+    fields = json.dumps([[f.name, str(f.type)] for f in footer.schema_arrow])
+    return {"fields": fields, "row_groups": footer.num_row_groups, "rows": footer.metadata.num_rows, "error": None}
+
+
+def _probed(lines: list[dict]):
+    import pyarrow as pa
+
+    kinds = [("path", pa.string()), ("size", pa.int64()), ("fields", pa.string()), ("row_groups", pa.int64()), ("rows", pa.int64()), ("error", pa.string())]
+    empty = {"fields": None, "row_groups": None, "rows": None}
+    return pa.RecordBatch.from_pylist([{**empty, **line} for line in lines], schema=pa.schema(kinds))
+
+
+def _probe_contents(batches):
+    import io
+
+    for batch in batches:
+        for path, size, content in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "content"))):
+            try:
+                yield _probed([{"path": path, "size": size, **_footer(io.BytesIO(content))}])
+            except Exception as e:  # the error is the result here
+                yield _probed([{"path": path, "size": size, "error": f"{type(e).__name__}: {e}"}])
+
+
+def _probe_directly(files: DataFrame) -> DataFrame:
 
     def probe(batches):
-        import json
+        from urllib.parse import quote
 
-        import pyarrow as pa
-        import pyarrow.parquet as pq
         from pyarrow import fs
 
         for batch in batches:
             lines = []
             for path, size in zip(batch.column("path").to_pylist(), batch.column("size").to_pylist()):
-                line = {"path": path, "size": size, "fields": None, "row_groups": None, "rows": None, "error": None}
                 try:
-                    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path
+                    scheme, _, rest = path.partition(":")
+                    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+                    uri = f"{scheme}://{quote(rest if rest.startswith('//') else '//' + rest, safe='/:@')[2:]}"
                     system, name = fs.FileSystem.from_uri(uri)
                     with system.open_input_file(name) as source:
-                        footer = pq.ParquetFile(source)
-                        line["fields"] = json.dumps([[f.name, str(f.type)] for f in footer.schema_arrow])
-                        line["row_groups"] = footer.num_row_groups
-                        line["rows"] = footer.metadata.num_rows
+                        lines.append({"path": path, "size": size, **_footer(source)})
                 except Exception as e:  # the error is the result here
-                    line["error"] = f"{type(e).__name__}: {e}"
-                lines.append(line)
+                    lines.append({"path": path, "size": size, "error": f"{type(e).__name__}: {e}"})
             if lines:
-                yield pa.RecordBatch.from_pylist(
-                    lines,
-                    schema=pa.schema(
-                        [("path", pa.string()), ("size", pa.int64()), ("fields", pa.string()),
-                         ("row_groups", pa.int64()), ("rows", pa.int64()), ("error", pa.string())]
-                    ),
-                )
+                yield _probed(lines)
 
     return files.select("path", "size").mapInArrow(probe, _PROBE)
 
 
 def require_readable(probed: DataFrame, shown: int = 20) -> None:
-    """Fail with the list of unreadable files (the first ones are named, all are counted)."""
-    failed = probed.filter(F.col("error").isNotNull())
+    """Fail if files are unreadable: the first ones are named, the table of all of them is written and named."""
+    failed = probed.filter(F.col("error").isNotNull()).select("path", "error")
     n = failed.count()
     if n:
+        path = new_path(probed.sparkSession, "unreadable-files")
+        failed.write.parquet(path)
         lines = [f"  {r['path']}: {r['error']}" for r in failed.orderBy("path").limit(shown).collect()]
-        raise RuntimeError(f"{n} file(s) failed:\n" + "\n".join(lines))
+        raise RuntimeError(f"{n} file(s) failed, all of them listed in {path}:\n" + "\n".join(lines))
 
 
 def with_source_period(df: DataFrame) -> DataFrame:
-    """Name of the file's folder; call it directly on the file scan."""
-    return df.withColumn("source_period", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    """Name of the file's folder; call it directly on the file scan, whose paths are written as in a URL."""
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return df.withColumn("source_period", F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B"))))
 
 
 def fill_late_columns(df: DataFrame, columns=LATE_COLUMNS) -> DataFrame:
@@ -114,7 +167,7 @@ def _cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if source == target:
         return c
     if isinstance(source, T.TimestampType) and isinstance(target, T.TimestampNTZType):
-        return F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        return strip_zone(c)
     return c.try_cast(target)
 
 
@@ -133,20 +186,18 @@ def read_periods(spark: SparkSession, files: DataFrame, shards: int | None = SHA
     """All files as canonical rows with ``source_period`` and, if wanted, ``shard``.
 
     Files with the same footer schema are read together: one scan per schema (and shard), not
-    per file.  Only paths come to the driver, as they do for any scan.
+    per file.  Paths come to the driver, as they do for any scan, with a number for their schema.
     """
-    probed = probe_footers(files).drop("rows", "row_groups").cache()
-    try:
-        require_readable(probed)
-        rows = (assign_shards(probed, shards) if shards else probed.withColumn("shard", F.lit(0))).collect()
-    finally:
-        probed.unpersist()
+    probed = materialize(probe_footers(files).drop("rows", "row_groups"), "footers")
+    require_readable(probed)
+    named = probed.withColumn("kind", F.xxhash64("fields"))
+    rows = (assign_shards(named, shards) if shards else named.withColumn("shard", F.lit(0))).select("path", "kind", "shard").collect()
     groups: dict[tuple, list[str]] = {}
     for r in rows:
-        groups.setdefault((r["fields"], r["shard"]), []).append(r["path"])
+        groups.setdefault((r["kind"], r["shard"]), []).append(r["path"])
     out = None
     for (_, shard), paths in sorted(groups.items()):
-        part = with_source_period(spark.read.parquet(*sorted(paths)))
+        part = with_source_period(spark.read.parquet(*map(_no_glob, sorted(paths))))
         part = canonicalize(fill_late_columns(part))
         if shards:
             part = part.withColumn("shard", F.lit(shard).cast("int"))

@@ -6,20 +6,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.functions.normalize import metadata_text
+from flowgraph.operators.embedding import text_hash
 from flowgraph.schemas import BUNDLE, CVE
 
 
-def read_cves(spark: SparkSession, path: str) -> DataFrame:
-    """CVE records; descriptions may hold quoted line breaks, so a file is read by one task."""
-    return (
-        spark.read.schema(CVE).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    )
+def read_cves(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CVE records.  ``multi_line`` files may hold quoted line breaks and are read by one task each; files known to
+    have one record a line can be split."""
+    return spark.read.schema(CVE).option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+
+
+def with_position(scan: DataFrame, name: str = "position") -> DataFrame:
+    """Rows of a file scan with their place in the input: (file, start of the split, order within it).
+
+    Call it directly on the scan.  Files follow each other by path.
+    """
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    return scan.withColumn(name, at)
 
 
 def read_bundle(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per object of the bundle files; unused parts are never materialised."""
+    """One row per object of the bundle files, with its ``position``; unused parts are never materialised.
+
+    A ``multi_line`` bundle is one JSON value a file, read by one task; many large files belong in JSON lines.
+    """
     bundle = spark.read.schema(BUNDLE).option("multiLine", multi_line).json(path)
-    return bundle.select(F.explode("objects").alias("object"))
+    placed = with_position(bundle).select("position", F.posexplode("objects").alias("place", "object"))
+    return placed.select(F.struct("position.*", "place").alias("position"), "object")
 
 
 def parse_bundle(json_text: Column) -> Column:
@@ -27,7 +40,7 @@ def parse_bundle(json_text: Column) -> Column:
 
 
 def extract_techniques(objects: DataFrame, column: str = "object") -> DataFrame:
-    """(mitre_id, name, description, full_text) of the attack patterns in force.
+    """(mitre_id, name, description, full_text, and position if given) of the attack patterns in force.
 
     The last reference of the catalogue decides the id; if it has none, the record is dropped.
     Deprecated records go, revoked ones stay.
@@ -44,30 +57,34 @@ def extract_techniques(objects: DataFrame, column: str = "object") -> DataFrame:
             name.alias("name"),
             description.alias("description"),
             F.concat(F.lit("Technique Name: "), name, F.lit(". Description: "), description).alias("full_text"),
+            *(F.col(c) for c in ("position",) if c in objects.columns),
         )
         .filter(F.col("mitre_id") != "")
     )
 
 
 def technique_payload(embedded: DataFrame) -> DataFrame:
-    """Vector records of techniques, with shortened metadata."""
+    """Vector records of techniques: whole texts, and the description's short form for display."""
     return embedded.select(
         F.col("mitre_id").alias("id"),
         "values",
         "mitre_id",
         "name",
-        metadata_text(F.col("description"), 500).alias("description"),
-        metadata_text(F.col("full_text"), 800).alias("full_text"),
+        "description",
+        "full_text",
+        metadata_text(F.col("description"), 500).alias("description_short"),
     )
 
 
 def cve_payload(embedded: DataFrame) -> DataFrame:
-    """Vector records of CVEs, with shortened description."""
+    """Vector records of CVEs: the whole description, its short form, and the hash of what was encoded."""
     return embedded.select(
         F.col("cve_id").alias("id"),
         "values",
         "matched_mitre_id",
         "year",
         "severity_score",
-        metadata_text(F.col("description"), 500).alias("description"),
+        "description",
+        metadata_text(F.col("description"), 500).alias("description_short"),
+        text_hash(F.col("description")).alias("text_hash"),
     )

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.operators.quality import require_rows
-from flowgraph.session import new_path
 
 
 def write_shards(df: DataFrame, path: str, by: str = "shard") -> str:
@@ -27,18 +29,18 @@ def cluster_by_range(df: DataFrame, keys, partitions: int | None = None) -> Data
     return ranged.sortWithinPartitions(*keys)
 
 
-def publish(df: DataFrame, name: str, sort_keys=None, location: str | None = None, drop_old: bool = True) -> DataFrame:
+def publish(df: DataFrame, name: str, sort_keys=None, location: str | None = None, keep_old: int = 1) -> DataFrame:
     """Write a new version, refuse it when empty, then point table ``name`` at it in one step.
 
-    Readers see the old version until the switch; the old files go afterwards.
+    Versions are folders in the table's own place in its database.  Readers see the old version until the switch, and
+    those that have planned on it can finish: the last ``keep_old`` replaced versions stay, older ones are deleted.
     """
     spark = df.sparkSession
-    path = location or new_path(spark, name)
+    home = _home(spark, name)
+    path = location or f"{home}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     (cluster_by_range(df, sort_keys) if sort_keys else df).write.mode("errorifexists").parquet(path)
     require_rows(spark.read.parquet(path), name)
-    old = None
     if spark.catalog.tableExists(name):
-        old = table_location(spark, name)
         current, new = spark.table(name).schema, spark.read.parquet(path).schema
         if [(f.name, f.dataType) for f in current] != [(f.name, f.dataType) for f in new]:
             raise ValueError(f"schema of {name} has changed; publish it under a new name")
@@ -46,11 +48,26 @@ def publish(df: DataFrame, name: str, sort_keys=None, location: str | None = Non
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(name, path, source="parquet")
-    if drop_old and old and old.rstrip("/") != path.rstrip("/"):
-        _delete(spark, old)
+    if not location:
+        for old in _versions(spark, home)[: -1 - keep_old]:
+            _delete(spark, old)
     return spark.table(name)
 
 
+def _home(spark: SparkSession, name: str) -> str:
+    """Folder of a table's versions: beside the tables of its database."""
+    database, _, table = name.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{place.rstrip('/')}/{table}.versions"
+
+
+def _versions(spark: SparkSession, home: str) -> list[str]:
+    """Version folders from the oldest to the newest."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().toString() for f in found if f.getPath().getName().startswith("v"))
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     rows = spark.sql(f"DESCRIBE EXTENDED {name}").filter(F.col("col_name") == "Location").collect()
     return rows[0]["data_type"]

@@ -18,16 +18,13 @@ def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Base rows with updates on top; a repeated key keeps its last row.
+    """Base rows with updates on top; of a key repeated in the updates the last row (by ``order``) counts.
 
-    ``order`` numbers the rows of both inputs within their table (input order); updates always
-    come after the base.
+    The base has one row a key, as upserts leave it.  Only the updates are ranked; the base loses the keys they have,
+    by an anti-join that does not move it while their keys are few.
     """
-    position = F.col(order) if order else F.lit(0)
-    both = base.withColumn("__at", F.struct(F.lit(0).alias("t"), position.alias("o"))).unionByName(
-        updates.withColumn("__at", F.struct(F.lit(1).alias("t"), position.alias("o")))
-    )
-    return last_per_key(both, key, "__at").drop("__at")
+    latest = last_per_key(updates, key, order) if order else updates.dropDuplicates([key])
+    return base.join(latest.select(key), key, "left_anti").select(base.columns).unionByName(latest)
 
 
 def index_stats(vectors: DataFrame) -> DataFrame:

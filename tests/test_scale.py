@@ -186,6 +186,41 @@ def test_block_search_prunes(spark):
     assert got.count() == want.count() == 800
 
 
+@pytest.mark.parametrize("floor", [None, 0.9])
+def test_block_search_copies_few_queries(spark, monkeypatch, floor):
+    """The k-th best hit nearby bounds the reach, with a threshold and without one."""
+    from flowgraph.operators import knn as module
+
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.eye(8)[i % 8] * 10 + rng.normal(size=8) * 0.2).tolist()) for i in range(800)]
+    c = spark.createDataFrame(rows, "id long, values array<double>")
+    q = c.selectExpr("id AS query_id", "values AS query_vec")
+    routed, kept = [], module.materialize
+
+    def counting(df, name="step"):
+        out = kept(df, name)
+        if name == "routed":
+            routed.append(out.selectExpr("sum(size(blocks)) AS n", "max(array_max(blocks)) + 1 AS blocks").first())
+        return out
+
+    monkeypatch.setattr(module, "materialize", counting)
+    got = knn(q, c, 2, floor, broadcast_rows=10, block_rows=40, pivots=16)
+    want = knn(q, c, 2, floor)
+    assert got.select("query_id", "id", "rank").exceptAll(want.select("query_id", "id", "rank")).isEmpty() and got.count() == 1600
+    assert routed[0]["n"] == 800 and routed[1]["n"] < 800 * routed[1]["blocks"] / 3
+
+
+def test_broadcast_limit_counts_every_vector_and_id(spark, monkeypatch):
+    from flowgraph.operators import knn as module
+
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 4000)
+    short_first = spark.createDataFrame([("a", [1.0])] + [(str(i), [1.0] * 20) for i in range(30)], "id string, values array<double>").coalesce(1)
+    assert module._if_small(short_first, "id", "values", None) is None
+    long_ids = spark.createDataFrame([("x" * 500 + str(i), [1.0]) for i in range(10)], "id string, values array<double>")
+    assert module._if_small(long_ids, "id", "values", None) is None
+    assert module._if_small(spark.createDataFrame([("a", [1.0])], "id string, values array<double>"), "id", "values", None).num_rows == 1
+
+
 # --- graph attention ------------------------------------------------------------------------------
 
 

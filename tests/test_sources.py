@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import catalog_flows
+from flowgraph.operators import quality
 from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
 from flowgraph.plans import batch
 from flowgraph.schemas import CANONICAL, SORT_KEYS
@@ -60,14 +61,18 @@ def test_unreadable_file_is_named(spark, zone):
         files.read_periods(spark, files.list_files(spark, zone))
 
 
-def test_publish_swaps_refuses_empty_and_drops_the_old(spark, tmp_path):
+def test_publish_swaps_refuses_empty_and_keeps_one_old(spark, tmp_path):
     one = spark.createDataFrame([("a", "b", 1)], "src_ip_zeek string, dest_ip_zeek string, datetime int")
     first = sinks.publish(one, "default.swapped", SORT_KEYS)
     assert first.count() == 1
     old = sinks.table_location(spark, "default.swapped")
     second = sinks.publish(one.union(one), "default.swapped", SORT_KEYS)
     assert second.count() == 2 and spark.table("default.swapped").count() == 2
-    assert sinks.table_location(spark, "default.swapped") != old and not os.path.exists(old.replace("file:", ""))
+    assert sinks.table_location(spark, "default.swapped") != old and os.path.exists(old.replace("file:", ""))
+    sinks.publish(one, "default.swapped", SORT_KEYS)
+    sinks.publish(one.union(one), "default.swapped", SORT_KEYS)
+    assert not os.path.exists(old.replace("file:", ""))
+    assert len(sinks._versions(spark, sinks._home(spark, "default.swapped"))) == 2
     with pytest.raises(Exception):
         sinks.publish(one.limit(0), "default.swapped", SORT_KEYS)
     assert spark.table("default.swapped").count() == 2
@@ -85,6 +90,76 @@ def test_whole_batch(spark, sf):
         batch.flows_to_graph(spark, root, "batchtest", cap=None, expected_nodes=1)
     capped = batch.flows_to_graph(spark, root, "batchtest", cap=2, expected_nodes=1).first()
     assert capped["raw_rows"] < summary["raw_rows"]
+    assert (capped["files_found"], capped["files_used"], capped["truncated"]) == (7, 2, True)
+    uncapped = batch.flows_to_graph(spark, root, "batchtest").first()
+    assert uncapped["raw_rows"] == summary["raw_rows"] and (uncapped["files_used"], uncapped["truncated"]) == (7, False)
+    assert spark.table("batchtest.int_network_clean").count() > 0
+
+
+def test_a_failing_check_leaves_the_published_tables(spark, sf, monkeypatch):
+    root = catalog_flows.raw_zone(spark, sf)
+    spark.sql("CREATE DATABASE IF NOT EXISTS checkedtest")
+    batch.flows_to_graph(spark, root, "checkedtest")
+    before = sinks.table_location(spark, "checkedtest.mart_gnn_ready")
+    monkeypatch.setitem(quality.ACCEPTED, "mart_gnn_ready", {"split_mask": ["train"]})
+    with pytest.raises(quality.CheckFailed, match="mart_gnn_ready.split_mask accepted_values"):
+        batch.flows_to_graph(spark, root, "checkedtest")
+    assert sinks.table_location(spark, "checkedtest.mart_gnn_ready") == before
+
+
+def test_paths_with_blanks_and_folders_of_the_root(spark, tmp_path):
+    zone = tmp_path / "parquet" / "top"
+    period = zone / "2024-01-01 - 2024-01-08+x"
+    spark.range(3).coalesce(1).write.parquet(str(period / "parquet" / "a"))
+    spark.range(5).write.parquet(str(zone / "beside"))
+    found = files.list_files(spark, str(zone))
+    assert found.count() == 1
+    probed = files.probe_footers(found)
+    assert probed.filter("error IS NOT NULL").isEmpty() and probed.agg(F.sum("rows")).first()[0] == 3
+    one = period / "b.parquet"
+    spark.range(1).coalesce(1).write.parquet(str(one))
+    assert files.with_source_period(spark.read.parquet(str(one))).first()["source_period"] == "b.parquet"
+    inner = str(period / "parquet")
+    moved = spark.read.option("recursiveFileLookup", "true").parquet(inner)
+    assert {r["source_period"] for r in files.with_source_period(moved).collect()} == {"a"}
+    (period / "part-x.parquet").write_bytes(next(one.glob("part-*.parquet")).read_bytes())
+    direct = files.with_source_period(spark.read.parquet(str(period / "part-x.parquet")))
+    assert direct.first()["source_period"] == "2024-01-01 - 2024-01-08+x"
+
+
+def test_stores_only_spark_can_read_are_probed_by_spark(spark, tmp_path):
+    """A path of a scheme the workers have no client for goes to Spark's own readers."""
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "in"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.probe.link./in", f"file://{tmp_path}/in")
+    found = files.list_files(spark, "viewfs://probe/in", below=None)
+    probed = files.probe_footers(found).collect()
+    assert [(r["rows"], r["error"]) for r in probed] == [(4, None)] and probed[0]["path"].startswith("viewfs://")
+
+
+def test_later_files_win_whatever_their_size(spark, tmp_path):
+    head = "cve_id,description,matched_mitre_id,severity_score,year\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1_old.csv").write_text(head + "A,old,T1,1.0,2020\n")
+    (tmp_path / "in" / "2_new.csv").write_text(head + "".join(f"B{i},{'x' * 500},T1,1.0,2020\n" for i in range(2000)) + f"A,{'new ' * 1250},T1,2.0,2021\n")
+    fitted = HashedTextEncoder(8).fit(spark.createDataFrame([("new",), ("old",)], "text string"))
+    first = batch.ingest_cves(spark, str(tmp_path / "in"), fitted, None, str(tmp_path / "v1")).filter("id = 'A'").first()
+    assert first["description"] == "new " * 1250 and first["description_short"] == ("new " * 1250)[:500] and first["severity_score"] == 2.0
+    (tmp_path / "more.csv").write_text(head + "A,old,T1,3.0,2022\n")
+    second = batch.ingest_cves(spark, str(tmp_path / "more.csv"), fitted, str(tmp_path / "v1"), str(tmp_path / "v2")).filter("id = 'A'").first()
+    alone = fitted(spark.createDataFrame([("old",)], "description string"), "description").first()["values"]
+    assert second["description"] == "old" and second["values"] == alone != first["values"]
+
+
+def test_last_technique_of_the_bundle_wins(spark, tmp_path):
+    def technique(name):
+        return {"type": "attack-pattern", "name": name, "description": "d", "external_references": [{"source_name": "mitre-attack", "external_id": "T1"}]}
+
+    (tmp_path / "b.json").write_text(json.dumps({"objects": [technique("z"), technique("a")]}))
+    encode = HashedTextEncoder(4)
+    encode.fit(spark.createDataFrame([("a",)], "text string"))
+    store = batch.refresh_techniques(spark, str(tmp_path / "b.json"), encode, str(tmp_path / "store"))
+    assert [r["name"] for r in store.collect()] == ["a"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -133,7 +208,7 @@ def test_knowledge_base_ingest(spark, tmp_path):
     second = batch.ingest_cves(spark, str(csv), encode, str(tmp_path / "v1"), str(tmp_path / "v2"))
     rows = {r["id"]: r for r in second.collect()}
     assert set(rows) == {"A", "B", "C"} and rows["A"]["severity_score"] == 9.9
-    assert encoded == [2, 1]
+    assert encoded == [2, 1]  # only the new record: the text of A is the same
     assert vector_store.index_stats(second).first()["total_vector_count"] == 3
 
 
