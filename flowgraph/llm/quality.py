@@ -130,9 +130,10 @@ def train(
 ) -> chain.Chain:
     """A model from ``labels`` (id, label 0 or 1) and the texts that ``docs`` has for them."""
     named = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).where("id is not null and label in (0, 1)")
+    untrained = chain.Chain(np.zeros((FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
     n = named.count()
     if not n:
-        return chain.Chain(np.zeros((FEATURES, 2)), np.zeros((2, 2)), np.zeros(2))
+        return untrained
     draw = F.pmod(F.xxhash64("id", F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
     named = named.where(draw < sample_docs / n).distinct().limit(2 * sample_docs)
     chosen = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).join(F.broadcast(named), "id").limit(2 * sample_docs)
@@ -149,6 +150,8 @@ def train(
         return apply
 
     found = map_texts(chosen, "text", ["id", "label"], [T.StructField("bins", T.BinaryType())], make).collect()
+    if not found:
+        return untrained
     found = sorted(found, key=lambda r: (r["id"], r["label"], bytes(r["bins"])))
     each = [np.frombuffer(bytes(r["bins"]), np.int8).reshape(-1, len(EDGES)) for r in found]
     ends = np.concatenate([[0], np.cumsum([len(e) for e in each])]).astype(np.int64)
