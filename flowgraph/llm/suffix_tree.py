@@ -7,25 +7,27 @@ description costs.  A context names the next tokens that make up ``MIN_SHARE`` o
 its mass to its suffix, in proportion.  A token is scored by the longest retained context before it.  ``MIN_SHARE`` bounds the
 tree to 1 / MIN_SHARE entries a level, whatever the corpus; the counts it is grown from are of the whole corpus.
 
-Texts become blocks of word numbers, once.  Words are counted by block, so a word is looked up once a block and not once a
-text.  Level by level, tasks count the (context, next) pairs whose parts are frequent, and Spark sums them.
+Texts become blocks of word numbers, once.  What is counted (words, then pairs of context and next token) is summed inside a
+block, dealt into buckets by hash, and shuffled as one row of packed arrays for each block and bucket; each bucket is summed
+in one task, and the words' counts go back to the blocks that asked.  Words are named by 64-bit hashes.
 
-A null or empty text is the end alone.  Without training texts every probability of the root is 1 / 1.  Repeated rows are
+A null or empty text is the end alone.  Without training texts every probability of the root is 1.  Repeated rows are
 counted and scored each; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm.text import slices, split_words
+from flowgraph.llm.text import slices, small_batches, split_words
 from flowgraph.session import new_path
 
 DEPTH = 3
@@ -33,30 +35,53 @@ DEPTH = 3
 MIN_SHARE = 1e-6
 #: Weight, in counts, of the suffix's distribution in a context's.
 SMOOTHING = 1.0
-#: Text in one block.
-BLOCK_BYTES = 16 << 20
-#: Names of a text's start and end in contexts; words have the hash of their text.
-START, END, RARE = 1, 2, 0
+#: Text in one block, and text for each bucket of what is counted.
+BLOCK_BYTES = 10 << 20
+BUCKET_BYTES = 8 << 20
+#: Numbers of a word that is too rare for the tree, and of a text's end and start; other words count from FIRST.
+RARE, END, START, FIRST = -1, 0, 1, 2
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _array(column: pa.ChunkedArray | pa.Array, row: int, kind) -> np.ndarray:
+def _drop(spark, path: str) -> None:
+    """Delete a table of this run that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _read(column, row: int, kind) -> np.ndarray:
     return np.frombuffer(column[row].as_py(), kind)
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """One row for each stretch of texts: block, ids, trained, ends (int64), codes (int32), and words with training counts."""
+PACK = T.ArrayType(T.StructType().add("bucket", "long").add("data", "binary"))
+
+
+def _packed(bucket: np.ndarray, records: np.ndarray) -> pa.Array:
+    """One (bucket, its records in order) for each bucket, as a list of a single row."""
+    order = np.argsort(bucket, kind="stable")
+    raw = records[order].tobytes()
+    names, first = np.unique(bucket[order], return_index=True)
+    cuts = (np.append(first, len(order)) * records.dtype.itemsize).tolist()
+    data = pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+    structs = pa.StructArray.from_arrays([pa.array(names.astype(np.int64)), data], ["bucket", "data"])
+    return pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), structs)
+
+
+WORD = np.dtype([("name", "<u8"), ("code", "<i4"), ("n", "<i4")])
+COUNTED = np.dtype([("code", "<i4"), ("c", "<i8"), ("name", "<u8")])
+PAIR = np.dtype([("context", "<i4"), ("next", "<i4"), ("n", "<i4")])
+
+
+def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
+    """One row for each stretch of texts: block, ids, trained, ends (int64), codes (int32), tokens, and packed words."""
     id_type = docs.schema["id"].dataType
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("trained", T.BinaryType()),
-        T.StructField("ends", T.BinaryType()), T.StructField("codes", T.BinaryType()),
-        T.StructField("words", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType())),
-    ])
+    schema = T.StructType().add("block", "long").add("ids", T.ArrayType(id_type)).add("trained", "binary").add("ends", "binary")
+    schema = schema.add("codes", "binary").add("tokens", "long").add("words", PACK)
 
     def run(batches):
         from pyspark import TaskContext
@@ -67,34 +92,82 @@ def _blocks(docs: DataFrame) -> DataFrame:
             for start, stop in slices(texts, BLOCK_BYTES):
                 ends, codes, words = split_words(texts.slice(start, stop - start))
                 trained = batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
-                counts = np.bincount(codes[np.repeat(trained, np.diff(ends))], minlength=len(words))
+                records = np.zeros(len(words), WORD)
+                if len(words):
+                    records["name"] = pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False)
+                records["code"] = np.arange(len(words))
+                records["n"] = np.bincount(codes[np.repeat(trained, np.diff(ends))], minlength=len(words))
                 ids = batch.column(0).slice(start, stop - start)
-                values = [
-                    pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([trained.tobytes()]),
-                    pa.array([ends.tobytes()]), pa.array([codes.astype(np.int32).tobytes()]),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts)),
-                ]
-                yield pa.RecordBatch.from_arrays(values, schema.names)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([trained.tobytes()]),
+                        pa.array([ends.tobytes()]), pa.array([codes.astype(np.int32).tobytes()]),
+                        pa.array([int(records["n"].sum()) + int(trained.sum())]), _packed(records["name"] % np.uint64(buckets), records),
+                    ],
+                    schema.names,
+                )
                 block += 1
+                pa.default_memory_pool().release_unused()
 
+    small_batches(docs.sparkSession)
     return docs.select("id", "text", "trained").mapInArrow(run, schema)
 
 
-@dataclass
-class Level:
-    """Retained contexts of one length: log-free weights by (context, next), and what is left to the suffix by context."""
+def _exploded(packs: DataFrame, column: str) -> DataFrame:
+    return packs.select(*(c for c in packs.columns if c != column), F.explode(column).alias("p")).select(
+        *(c for c in packs.columns if c != column), F.col("p.bucket").alias("bucket"), F.col("p.data").alias("data")
+    )
 
-    pairs: np.ndarray
-    adds: np.ndarray
-    contexts: np.ndarray
-    left: np.ndarray
 
+def _counted(blocks: DataFrame, least: int) -> DataFrame:
+    """(block, data, distinct, frequent): counts of a block's words of one bucket; on one row of it, the bucket's own sums.
 
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    h = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.view(np.uint64)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h ^ (h >> np.uint64(29))).view(np.int64)
+    ``distinct`` counts the trained words, ``frequent`` has (name, count) of those that occur ``least`` times.
+    """
+    schema = T.StructType().add("block", "long").add("data", "binary").add("distinct", "long").add("frequent", "binary")
+    pair = np.dtype([("name", "<u8"), ("c", "<i8")])
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [_read(table.column("data"), row, WORD) for row in range(table.num_rows)]
+        names, where = np.unique(np.concatenate([p["name"] for p in parts]), return_inverse=True)
+        c = np.bincount(where.ravel(), np.concatenate([p["n"] for p in parts]), len(names)).astype(np.int64)
+        data, at = [], 0
+        for part in parts:
+            out = np.zeros(len(part), COUNTED)
+            out["code"], out["c"] = part["code"], c[where.ravel()[at : at + len(part)]]
+            out["name"] = np.where(out["c"] >= least, part["name"], 0)
+            at += len(part)
+            data.append(out.tobytes())
+        some = c >= least
+        frequent = np.zeros(int(some.sum()), pair)
+        frequent["name"], frequent["c"] = names[some], c[some]
+        rest = [None] * (len(parts) - 1)
+        return pa.table({
+            "block": table.column("block"), "data": pa.array(data, pa.binary()),
+            "distinct": pa.array([int((c > 0).sum()), *rest], pa.int64()), "frequent": pa.array([frequent.tobytes(), *rest], pa.binary()),
+        })
+
+    return _exploded(blocks.select("block", "words"), "words").groupBy("bucket").applyInArrow(run, schema)
+
+
+def _numbered(blocks: DataFrame, counted: DataFrame, frequent: np.ndarray, kind: np.dtype = COUNTED) -> DataFrame:
+    """``blocks`` with the counts (c, int64) and the tree's numbers (number, int32) of its words by code."""
+    shared = blocks.sparkSession.sparkContext.broadcast(frequent)
+    schema = T.StructType([f for f in blocks.schema if f.name not in ("words", "tokens")]).add("c", "binary").add("number", "binary")
+
+    def attach(block: pa.Table, counts: pa.Table) -> pa.Table:
+        parts = [_read(counts.column("data"), row, kind) for row in range(counts.num_rows)]
+        records = np.concatenate(parts) if parts else np.zeros(0, kind)
+        c, number = np.zeros(len(records), np.int64), np.full(len(records), RARE, np.int32)
+        c[records["code"]] = records["c"]
+        named = records[records["name"] != 0]
+        found, at = _found(shared.value, named["name"])
+        number[named["code"][found]] = at[found] + FIRST
+        more = [pa.array([x.tobytes()] * block.num_rows, pa.binary()) for x in (c, number)]
+        return pa.Table.from_arrays([*(block.column(f.name) for f in schema.fields[:-2]), *more], names=schema.names)
+
+    asked = counted.select(F.col("block").alias("of"), "data")
+    return blocks.drop("words", "tokens").groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(attach, schema)
 
 
 def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,105 +178,141 @@ def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nd
     return sorted_keys[at] == keys, at
 
 
-def _tokens(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(names, root probabilities, ends, trained) of a block's tokens, each text's end included and its start left out."""
-    ends, codes = _array(batch.column("ends"), row, np.int64), _array(batch.column("codes"), row, np.int32)
-    names, roots = _array(batch.column("names"), row, np.int64), _array(batch.column("roots"), row, np.float64)
-    n = np.diff(ends) + 1
-    out = np.concatenate([[0], np.cumsum(n)])
-    words = np.ones(out[-1], bool)
-    words[out[1:] - 1] = False
-    name, root = np.full(out[-1], END, np.int64), np.full(out[-1], roots[-1])
-    name[words], root[words] = names[codes], roots[codes]
-    return name, root, out, _array(batch.column("trained"), row, bool)
+@dataclass
+class Level:
+    """Contexts of one length.
 
+    ``pairs`` are the keys (context << 32 | next) of the named next tokens, in order, with their counts and weights; a pair
+    that is a context of the level after has its place here as its number there.  ``left`` is what a retained context
+    leaves to its suffix, and 1 for all others, by context number.
+    """
 
-def _contexts(name: np.ndarray, ends: np.ndarray, shorter: np.ndarray | None) -> np.ndarray:
-    """Name of the context before each token that is one longer than ``shorter``; RARE where it has a rare word or none.
+    pairs: np.ndarray
+    counts: np.ndarray
+    adds: np.ndarray
+    left: np.ndarray
 
-    A context is named by the context before its last token, and that token.
-    """
+
+@dataclass
+class Tree:
+    unit: float
+    ends: int
+    words: np.ndarray  # counts by number, the end and the start first
+    levels: list[Level] = field(default_factory=list)
+
+    def contexts(self, level: int) -> int:
+        """How many context numbers there are for the level (from 0)."""
+        return len(self.words) if level == 0 else len(self.levels[level - 1].pairs)
+
+
+def _key(context: np.ndarray, following: np.ndarray) -> np.ndarray:
+    return context.astype(np.int64) << 32 | following
+
+
+def _walk(number: np.ndarray, root: np.ndarray, ends: np.ndarray, tree: Tree):
+    """(probability of each token after its longest retained context, number of the context that the next level needs)."""
+    p = root.copy()
     first = ends[:-1]
-    before = np.full(len(name), RARE, np.int64)
-    before[1:] = name[:-1]
-    if shorter is None:
-        before[first] = START
-        return before
-    further = np.full(len(name), RARE, np.int64)
-    further[1:] = shorter[:-1]
-    out = np.where((before == RARE) | (further == RARE), RARE, _mix(further, before))
-    out[first] = RARE
-    return out
-
-
-def _level(pairs: pa.Table, totals: dict[str, np.ndarray]) -> Level:
-    """Divergence tests: ``pairs`` has context, next, n and root (the suffix's probability), ``totals`` context and n."""
-    context, n, base = (pairs.column(c).to_numpy() for c in ("context", "n", "suffix"))
-    order = np.argsort(context, kind="stable")
-    context, n, base = context[order], n[order].astype(float), base[order]
-    key = _mix(context, pairs.column("next").to_numpy()[order])
-    names, first, count = np.unique(context, return_index=True, return_counts=True)
-    sort = np.argsort(totals["context"])
-    known, at = _found(totals["context"][sort], names)
-    total = np.where(known, totals["n"][sort][at] if len(sort) else 0, 0).astype(float)
-    named = np.add.reduceat(n, first) if len(first) else np.zeros(0)
-    total = np.maximum(total, named)
-    left = (total - named + SMOOTHING) / (total + SMOOTHING)
-    add = n / np.repeat(total + SMOOTHING, count)
-    after = add + np.repeat(left, count) * base
-    gain = (np.add.reduceat(n * np.log(after / base), first) if len(first) else named) + (total - named) * np.log(left)
-    keep = known & (gain > 0.5 * count * np.log(np.maximum(total, 2.0)))
-    kept = np.repeat(keep, count)
-    order = np.argsort(key[kept])
-    return Level(key[kept][order], add[kept][order], names[keep], left[keep])
-
-
-def _probabilities(name, root, ends, levels: list[Level]) -> tuple[np.ndarray, np.ndarray | None]:
-    """(probability of each token after its longest retained context, names of the contexts of the last length)."""
-    p, context = root.copy(), None
-    for level in levels:
-        context = _contexts(name, ends, context)
-        inside, at = _found(level.contexts, context)
-        some = np.flatnonzero(inside)
-        p[some] *= level.left[at[some]]
-        named, where = _found(level.pairs, _mix(context[some], name[some]))
-        p[some[named]] += level.adds[where[named]]
+    context = np.full(len(number), RARE, np.int32)
+    context[1:] = number[:-1]
+    context[first] = START
+    for level in tree.levels:
+        some = np.flatnonzero(context >= 0)
+        c = context[some]
+        p[some] *= level.left[c]
+        key = _key(c, np.maximum(number[some], 0))
+        named, at = _found(level.pairs, key)
+        named &= number[some] >= 0
+        p[some[named]] += level.adds[at[named]]
+        # The context of one more token is the pair before: its context and the token that followed.
+        longer = np.full(len(number), RARE, np.int32)
+        reached = np.full(len(number), RARE, np.int32)
+        reached[some[named]] = at[named]
+        longer[1:] = reached[:-1]
+        longer[first] = RARE
+        context = longer
     return p, context
 
 
-def _grown(blocks: DataFrame, levels: list[Level], totals: dict[str, np.ndarray], least: int) -> tuple[Level, dict[str, np.ndarray]]:
-    """The next level of the tree, and the counts of its pairs as contexts of the level after."""
-    spark = blocks.sparkSession
-    frequent = np.sort(totals["context"])
-    shared = spark.sparkContext.broadcast((levels, frequent))
-
-    def run(batches):
-        levels, frequent = shared.value
+def _tokens(batch: pa.RecordBatch, row: int, tree: Tree):
+    """(numbers, root probabilities, ends, trained) of a block's tokens, each text's end included and its start left out."""
+    ends, codes = _read(batch.column("ends"), row, np.int64), _read(batch.column("codes"), row, np.int32)
+    c, number = _read(batch.column("c"), row, np.int64), _read(batch.column("number"), row, np.int32)
+    out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
+    words = np.ones(out[-1], bool)
+    words[out[1:] - 1] = False
+    numbers, root = np.full(out[-1], END, np.int32), np.full(out[-1], (tree.ends + 1) / tree.unit)
+    numbers[words], root[words] = number[codes], ((c + 1) / tree.unit)[codes]
+    return numbers, root, out, _read(batch.column("trained"), row, bool)
+
+
+def _suffix_probability(tree: Tree, level: int, context: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Probability of ``following`` after the suffix of a context of the level (from 0): one token less at its start."""
+    tokens = []  # of each context, the last first
+    for above in range(level, 0, -1):
+        key = tree.levels[above - 1].pairs[context]
+        tokens.append((key & 0xFFFFFFFF).astype(np.int64))
+        context = key >> 32
+    p = (np.where(following == END, tree.ends, tree.words[following]) + 1) / tree.unit
+    # Suffixes of the suffix, from the shortest: numbers of the last 1, 2, ... tokens.
+    for size in range(1, level + 1):
+        number, known = tokens[size - 1], np.ones(len(following), bool)
+        for inner in range(size - 1):
+            found, at = _found(tree.levels[inner].pairs, _key(number, tokens[size - 2 - inner]))
+            known &= found
+            number = at
+        grown = tree.levels[size - 1]
+        number = np.where(known, number, 0)
+        p = np.where(known, p * grown.left[number], p)
+        found, at = _found(grown.pairs, _key(number, following))
+        p = p + np.where(known & found, grown.adds[at] if len(grown.adds) else 0.0, 0.0)
+    return p
+
+
+def _grow(blocks: DataFrame, tree: Tree, least: int, buckets: int) -> None:
+    """Add the next level: counts of all (context, next) whose parts are in the tree, then the divergence tests."""
+    depth = len(tree.levels)
+    shared = blocks.sparkSession.sparkContext.broadcast(tree)
+
+    def pairs(batches):
+        tree = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                name, root, ends, trained = _tokens(batch, row)
-                p, context = _probabilities(name, root, ends, levels)
-                context = _contexts(name, ends, context)
-                use = np.flatnonzero(np.repeat(trained, np.diff(ends)) & (context != RARE) & (name != RARE))
-                use = use[_found(frequent, context[use])[0]]
-                if not len(use):
-                    continue
-                order = use[np.lexsort((name[use], context[use]))]
-                c, a = context[order], name[order]
-                cut = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (a[1:] != a[:-1])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[cut]), pa.array(a[cut]), pa.array(np.diff(np.append(cut, len(order)))), pa.array(p[order[cut]])],
-                    ["context", "next", "n", "suffix"],
-                )
-
-    counted = blocks.select("ends", "codes", "names", "roots", "trained").mapInArrow(run, "context long, next long, n long, suffix double")
-    # The suffix's probability of a pair is the same wherever it stands.
-    summed = counted.groupBy("context", "next").agg(F.sum("n").alias("n"), F.max("suffix").alias("suffix")).where(F.col("n") >= least)
-    pairs = summed.toArrow()
-    level = _level(pairs, totals)
-    context, following = pairs.column("context").to_numpy(), pairs.column("next").to_numpy()
-    inner = following != END
-    return level, {"context": _mix(context, following)[inner], "n": pairs.column("n").to_numpy()[inner]}
+                number, root, ends, trained = _tokens(batch, row, tree)
+                _, context = _walk(number, root, ends, tree)
+                use = np.repeat(trained, np.diff(ends)) & (context >= 0) & (number >= 0)
+                key, n = np.unique(_key(context[use], number[use]), return_counts=True)
+                records = np.zeros(len(key), PAIR)
+                records["context"], records["next"], records["n"] = key >> 32, key & 0xFFFFFFFF, n
+                mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                yield pa.RecordBatch.from_arrays([_packed(mixed % np.uint64(buckets), records)], ["pairs"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        parts = np.concatenate([_read(table.column("data"), row, PAIR) for row in range(table.num_rows)])
+        key, where = np.unique(_key(parts["context"], parts["next"]), return_inverse=True)
+        n = np.bincount(where.ravel(), parts["n"], len(key)).astype(np.int64)
+        some = n >= least
+        return pa.table({"key": key[some], "n": n[some]})
+
+    counted = blocks.select("ends", "codes", "c", "number", "trained").mapInArrow(pairs, T.StructType().add("pairs", PACK))
+    found = _exploded(counted, "pairs").groupBy("bucket").applyInArrow(summed, "key long, n long").toArrow()
+    key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    context, following = key >> 32, key & 0xFFFFFFFF
+    total = (tree.words if depth == 0 else tree.levels[-1].counts).astype(float)
+    names, first, count = np.unique(context, return_index=True, return_counts=True)
+    named = np.add.reduceat(n.astype(float), first) if len(first) else np.zeros(0)
+    all_n = np.maximum(total[names], named)
+    rest = (all_n - named + SMOOTHING) / (all_n + SMOOTHING)
+    adds = n / np.repeat(all_n + SMOOTHING, count)
+    suffix = _suffix_probability(tree, depth, context, following)
+    gains = n * np.log((adds + np.repeat(rest, count) * suffix) / suffix)
+    gain = (np.add.reduceat(gains, first) if len(first) else named) + (all_n - named) * np.log(rest)
+    keep = gain > 0.5 * count * np.log(np.maximum(all_n, 2.0))
+    left = np.ones(max(1, tree.contexts(depth)))
+    left[names[keep]] = rest[keep]
+    tree.levels.append(Level(key, n, np.where(np.repeat(keep, count), adds, 0.0), left))
 
 
 def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,46 +322,37 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     """
     spark = docs.sparkSession
     named = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("trained"))
-    raw = _written(_blocks(named), "blocks")
-    words = raw.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("code", "w")).select("block", "code", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counts = _written(words.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    known = counts.where("c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    ends = named.agg(F.sum(F.col("trained").cast("long")).alias("n")).first()["n"] or 0
-    tokens = (known["n"] or 0) + ends
-    unit = float(tokens + known["v"] + (ends > 0) + 1)
+    size = named.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.col("trained").cast("long")).alias("trained")).first()
+    buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
+    ends = size["trained"] or 0
+    raw, raw_path = _written(_blocks(named, buckets), "blocks")
+    tokens = raw.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     least = max(2, int(np.ceil(MIN_SHARE * tokens)))
-    lookup = words.select("block", "code", "word").join(counts, "word").select(F.col("block").alias("of"), "code", F.xxhash64("word").alias("name"), "c")
-    schema = T.StructType([f for f in raw.schema if f.name not in ("words", "counts")]).add("names", "binary").add("roots", "binary").add("known", "binary")
-
-    def attach(block: pa.Table, looked: pa.Table) -> pa.Table:
-        order = np.argsort(looked.column("code").to_numpy())
-        c, name = looked.column("c").to_numpy()[order], looked.column("name").to_numpy()[order]
-        names = np.where(c >= least, name, RARE)
-        roots = np.append((c + 1) / unit, (ends + 1) / unit)  # the last one is the end's
-        more = [pa.array([x.tobytes()] * block.num_rows, pa.binary()) for x in (names, roots, c > 0)]
-        return pa.Table.from_arrays([*(block.column(f.name) for f in schema.fields[:-3]), *more], names=schema.names)
-
-    blocks = raw.drop("words", "counts").groupBy("block").cogroup(lookup.groupBy("of")).applyInArrow(attach, schema)
-    blocks = _written(blocks, "blocks")
-    frequent = counts.where(F.col("c") >= least).select(F.xxhash64("word").alias("context"), F.col("c").alias("n")).toArrow()
-    totals = {"context": np.append(frequent.column("context").to_numpy(), START), "n": np.append(frequent.column("n").to_numpy(), ends)}
-    levels: list[Level] = []
+    counted, counted_path = _written(_counted(raw, least), "counts")
+    distinct = counted.agg(F.sum("distinct").alias("v")).first()["v"] or 0
+    rows = counted.where("frequent is not null").select("frequent").toArrow().column("frequent")
+    parts = [np.frombuffer(r.as_py(), [("name", "<u8"), ("c", "<i8")]) for r in rows]
+    frequent = np.sort(np.concatenate(parts), order="name") if parts else np.zeros(0, [("name", "<u8"), ("c", "<i8")])
+    blocks, _ = _written(_numbered(raw, counted, frequent["name"].copy()), "blocks")
+    _drop(spark, raw_path)
+    _drop(spark, counted_path)
+    # The start is the context of as many tokens as there are texts; nothing follows an end.
+    tree = Tree(float(tokens + distinct + (ends > 0) + 1), ends, np.concatenate([[0, ends], frequent["c"]]).astype(np.int64))
     for _ in range(DEPTH):
-        level, totals = _grown(blocks, levels, totals, least)
-        levels.append(level)
-    shared = spark.sparkContext.broadcast(levels)
-    id_type = named.schema["id"].dataType
-    result = T.StructType([T.StructField("id", id_type), T.StructField("trained", T.BooleanType())])
+        _grow(blocks, tree, least, buckets)
+    shared = spark.sparkContext.broadcast(tree)
+    result = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("trained", T.BooleanType())])
     for column, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         result.add(column, kind)
 
     def scored(batches):
+        tree = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                name, root, out, trained = _tokens(batch, row)
-                p, _ = _probabilities(name, root, out, shared.value)
-                codes, places = _array(batch.column("codes"), row, np.int32), _array(batch.column("ends"), row, np.int64)
-                hits = np.concatenate([[0], np.cumsum(_array(batch.column("known"), row, bool)[codes])])
+                number, root, out, trained = _tokens(batch, row, tree)
+                p, _ = _walk(number, root, out, tree)
+                codes, places = _read(batch.column("codes"), row, np.int32), _read(batch.column("ends"), row, np.int64)
+                hits = np.concatenate([[0], np.cumsum((_read(batch.column("c"), row, np.int64) > 0)[codes])])
                 sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
                 lists = batch.column("ids")
                 ids = lists.values.slice(lists.offsets[row].as_py(), len(trained))
@@ -261,6 +361,7 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
                      *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)],
                     result.names,
                 )
+                pa.default_memory_pool().release_unused()
 
     rows = blocks.mapInArrow(scored, result)
     return rows.select(F.col("id").alias(id), "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -11,16 +11,21 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one step inside a task handles at a time; one longer text is a step of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Rows that Spark hands to a task at a time; whole texts are large rows.
+BATCH_ROWS = 2000
 
 
-def as_long(name: str) -> Column:
-    return F.col(name).cast("long").alias(name)
+def small_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch from Spark's default, which counts rows whatever their size."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -48,6 +53,7 @@ def map_texts(
     ``make`` runs once a task and gives a function from a string array without nulls to a dict of columns; a key
     ``None`` holds the row number of each result row where a text has any number of them.
     """
+    small_batches(docs.sparkSession)
     kept = [docs.schema[name] for name in keep]
     schema = T.StructType([*(T.StructField(f"k{i}", f.dataType) for i, f in enumerate(kept)), *fields])
     names = [f.name for f in fields]
@@ -65,6 +71,7 @@ def map_texts(
                     columns = [c.take(take) for c in columns]
                 columns += [found[n] if isinstance(found[n], pa.Array) else pa.array(found[n]) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
+                pa.default_memory_pool().release_unused()
 
     narrow = docs.select(
         *(F.col(f"`{f.name}`").alias(f"k{i}") for i, f in enumerate(kept)), F.col(f"`{text}`").cast("string").alias("t")
