@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -198,9 +199,14 @@ def _(spark, sf):
     return sinks.publish(raw, name, SORT_KEYS)
 
 
-@query("s11_sort_key", "flows", "SELECT src_ip_zeek, dest_ip_zeek, datetime, uid FROM flows")
+@query("s11_sort_key", "flows", "SELECT src_ip_zeek, dest_ip_zeek, datetime, uid, true AS in_order FROM flows")
 def _(spark, sf):
-    return sinks.cluster_by_range(inputs.flows(spark, sf), SORT_KEYS).select(*SORT_KEYS, "uid")
+    """Each row is also compared with the one before it, in its partition and across the borders of partitions."""
+    placed = sinks.cluster_by_range(inputs.flows(spark, sf), SORT_KEYS).select(*SORT_KEYS, "uid")
+    placed = materialize(placed.withColumn("at", F.monotonically_increasing_id()))
+    keys = F.struct(*SORT_KEYS)
+    before = F.lag(keys).over(Window.orderBy("at"))
+    return placed.withColumn("in_order", before.isNull() | (before <= keys)).drop("at")
 
 
 _LINKS = r"""links AS (

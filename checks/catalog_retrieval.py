@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -48,7 +49,7 @@ FROM (SELECT doc_id, text, CASE doc_id % 3 WHEN 1 THEN concat('T', 1000 + doc_id
 def _(spark, sf):
     path = new_path(spark, "bundle")
     inputs.bundle_json(spark, sf).select("json").write.text(path)
-    return knowledge.extract_techniques(knowledge.read_bundle(spark, path, multi_line=False))
+    return knowledge.extract_techniques(knowledge.read_bundle(spark, path, multi_line=False)).drop("position")
 
 
 def bundle_objects(spark, sf):
@@ -257,9 +258,16 @@ def _(spark, sf):
     return retrieval.technique_index(inputs.cves(spark, sf), 5)
 
 
-@query("l1_sort_by_severity", "cves", "SELECT cve_id, severity_score FROM cves")
+@query(
+    "l1_sort_by_severity",
+    "cves",
+    "SELECT cve_id, severity_score, CAST(row_number() OVER (ORDER BY severity_score DESC NULLS LAST, cve_id) AS INTEGER) AS place FROM cves",
+)
 def _(spark, sf):
-    return retrieval.sort_by_severity(inputs.cves(spark, sf).select("cve_id", "severity_score"))
+    """With the place that each row has in the sorted result."""
+    placed = retrieval.sort_by_severity(inputs.cves(spark, sf).select("cve_id", "severity_score"))
+    placed = materialize(placed.withColumn("at", F.monotonically_increasing_id()))
+    return placed.withColumn("place", F.row_number().over(Window.orderBy("at"))).drop("at")
 
 
 # --- retrieval quality ------------------------------------------------------------------------------

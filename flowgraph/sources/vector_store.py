@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgraph.operators.joins import top_k_per_group
+from flowgraph.session import materialize
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
@@ -20,10 +21,10 @@ def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Base rows with updates on top; of a key repeated in the updates the last row (by ``order``) counts.
 
-    The base has one row a key, as upserts leave it.  Only the updates are ranked; the base loses the keys they have,
-    by an anti-join that does not move it while their keys are few.
+    The base has one row a key, as upserts leave it.  Only the updates are ranked, and written once, so that the planner
+    knows their size: the base loses the keys they have by an anti-join that does not move it while they are few.
     """
-    latest = last_per_key(updates, key, order) if order else updates.dropDuplicates([key])
+    latest = materialize(last_per_key(updates, key, order) if order else updates.dropDuplicates([key]), "updates")
     return base.join(latest.select(key), key, "left_anti").select(base.columns).unionByName(latest)
 
 
