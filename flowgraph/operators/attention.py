@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgraph.functions.vector import batch_norm, elu, relu
-from flowgraph.operators.graph import edge_inputs
+from flowgraph.operators.graph import require_vectors
 from flowgraph.operators.joins import HOT_ROWS, salted_join
 from flowgraph.session import materialize
 
@@ -300,11 +300,23 @@ def linear(vector: Column, weights: np.ndarray, bias: np.ndarray, spark) -> Colu
 
 
 def edge_scores(edges: DataFrame, nodes: DataFrame, w1, b1, w2, b2) -> DataFrame:
-    """Linear → ReLU → Linear on [x_src, x_dst, attr]: one ``logit`` per edge."""
+    """Linear → ReLU → Linear on [x_src, x_dst, attr]: one ``logit`` per edge.
+
+    The rows of the first matrix that meet a node's vector are applied once per node; edges join the two short products.
+    """
     spark = nodes.sparkSession
-    wide = edge_inputs(edges, nodes)
-    hidden = wide.withColumn("__h", relu(linear(F.col("features"), w1, b1, spark))).drop("features")
-    return hidden.withColumn("logit", linear(F.col("__h"), np.asarray(w2).reshape(-1, 1), np.atleast_1d(b2), spark)[0]).drop("__h")
+    require_vectors(edges, nodes)
+    w1 = np.asarray(w1, dtype="float64")
+    first = nodes.select(F.size("x").alias("n")).first()
+    d = first["n"] if first else w1.shape[0] // 2
+    hidden = w1.shape[1]
+    both = nodes.select("node_id", times(F.col("x"), np.concatenate([w1[:d], w1[d : 2 * d]], axis=1), spark).alias("__p"))
+    both = materialize(both.select("node_id", F.slice("__p", 1, hidden).alias("__s"), F.slice("__p", hidden + 1, hidden).alias("__d")), "ends")
+    own = edges.withColumn("__e", linear(F.col("attr"), w1[2 * d :], b1, spark))
+    met = own.join(both.select(F.col("node_id").alias("src"), "__s"), "src").join(both.select(F.col("node_id").alias("dst"), "__d"), "dst")
+    total = F.zip_with(F.zip_with("__s", "__d", lambda a, b: a + b), "__e", lambda a, b: a + b)
+    scored = met.withColumn("__h", relu(total)).drop("__s", "__d", "__e")
+    return scored.withColumn("logit", linear(F.col("__h"), np.asarray(w2).reshape(-1, 1), np.atleast_1d(b2), spark)[0]).drop("__h")
 
 
 def score_graph(edges: DataFrame, nodes: DataFrame, layers: list[dict], classifier: dict, hot_rows: int = HOT_ROWS) -> DataFrame:
