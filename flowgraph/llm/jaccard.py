@@ -8,8 +8,8 @@ the counts of sets by size and the mean length of a list.  Pairs of a light and
 
 Groups of near copies never meet pair by pair.  Lists and subsets are first searched by leaders: every set of a list is
 compared with two sets of it, and links join components; a list whose sets are in one component needs nothing more.  Only sets
-in different components are then compared with each other.  A pair is first bounded by its shared first members, and what is
-left is decided exactly on the whole sets.
+in different components are then compared with each other: on short lists by a join, on long ones in blocks, inside tasks,
+which give away only pairs with enough shared first members.  What is left is decided exactly on the whole sets.
 
 N-grams are 64-bit hashes, and so are the names of classes.  The order by frequency comes from a sample of the documents and
 only affects cost: any order gives the same links.
@@ -32,14 +32,19 @@ from flowgraph.llm.text import map_texts, split_words
 from flowgraph.session import materialize
 
 #: One document of so many gives its n-grams to the estimate of frequencies; with so many sampled it counts as frequent.
-SAMPLE = 16
-FREQUENT = 3
+SAMPLE = 8
+FREQUENT = 2
 #: Frequent n-grams that are sent to the tasks, the most frequent first (8 bytes each).
 MOST_FREQUENT = 1_000_000
 #: Largest set that may be light.
 LIGHT_LIMIT = 256
 #: Pairs a posting that are compared without looking for leaders first.
 PAIRS_A_POSTING = 8
+#: Lists up to this length are joined with themselves; the sets of longer ones are counted against each other in blocks.
+SHORT_LIST = 16
+LIST_BLOCK = 1024
+#: The blocks of lists longer than this bring whole sets, so that their pairs are decided where they meet.
+HOT_LIST = 256
 
 
 def _mix(h: np.ndarray, seed: int) -> np.ndarray:
@@ -92,8 +97,8 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """(hashes of frequent n-grams in order, sampled pairs of documents that share one of the others)."""
+def _frequent(docs: DataFrame, width: int) -> np.ndarray:
+    """Hashes of frequent n-grams, in order."""
     sampled = docs.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(SAMPLE)) == 0)
 
     def make():
@@ -106,7 +111,7 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
     counts = map_texts(sampled, "text", [], [T.StructField("gram", T.LongType())], make).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where("n > 1")
     counts = materialize(counts, "gram-counts")
-    by_size = counts.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.count(F.lit(1)).alias("grams"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    by_size = counts.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.count(F.lit(1)).alias("grams"))
     sizes = sorted(by_size.collect(), key=lambda r: -r["size"])
     least, kept = 1 << 62, 0
     for row in sizes:
@@ -114,9 +119,8 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
             break
         kept += row["grams"]
         least = max(FREQUENT, 1 << int(row["size"]))
-    rare_pairs = sum(r["squares"] - r["all"] for r in sizes if (1 << int(r["size"])) < least)
     found = counts.where(F.col("n") >= least).select("gram").toArrow().column("gram").to_numpy()
-    return np.sort(found.view(np.uint64)), rare_pairs
+    return np.sort(found.view(np.uint64))
 
 
 FEATURES = [
@@ -162,6 +166,14 @@ def _features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
     return map_texts(docs, "text", ["id"], FEATURES, make)
 
 
+def _list_length(classes: DataFrame) -> float:
+    """Mean length of the list that a first member is in, from one list of 64."""
+    member = F.explode("first").alias("member")
+    lists = classes.select(member).where(F.pmod(F.xxhash64("member"), F.lit(64)) == 0).groupBy("member").agg(F.count(F.lit(1)).alias("k"))
+    sums = lists.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("squares")).first()
+    return sums["squares"] / sums["k"] if sums["k"] else 1.0
+
+
 def light_border(counts: dict[int, int], mean: float, percent: int) -> int:
     """Size up to which sets are light, with the least sum of subsets enumerated and list entries scanned."""
     sizes = np.arange(LIGHT_LIMIT + 1)
@@ -217,7 +229,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     side = classes.select("set", "n", "first")
     both = pairs.join(side.toDF("a", "na", "fa"), "a").join(side.toDF("b", "nb", "fb"), "b")
     # 100 * overlap >= percent * union is overlap * (100 + percent) >= percent * (na + nb).
-    overlap = F.ceil(percent * (F.col("na") + F.col("nb")) / F.lit(float(100 + percent)) - 1e-9)
+    overlap = -F.floor(-percent * (F.col("na") + F.col("nb")) / F.lit(float(100 + percent)) + 1e-9)
     shared = F.size(F.array_intersect("fa", "fb"))
     # Up to the earlier of both last members, shared ones are in both; all later ones are in the rest of that set.
     rest = F.greatest(F.col("na") - F.size("fa"), F.col("nb") - F.size("fb"))
@@ -259,31 +271,96 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _short_lists(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b), once, of sets in different components that are in one of the short lists."""
+    side = postings.select("key", "set", "n", "component")
+    left, right = side.toDF("key", "a", "na", "ca"), side.toDF("key", "b", "nb", "cb")
+    pairs = left.join(right, "key").where(f"ca < cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    return pairs.select(*_pair("a", "b")).distinct()
+
+
+def _long_lists(postings: DataFrame, classes: DataFrame, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """(a, b), once, of sets in different components that are in a list together and share enough first members.
+
+    A list is cut into blocks by a hash of the set, and every two blocks of it meet in a group of bounded size; there each
+    set scans the lists of its first members and counts how often it meets the others.  With ``sets`` (set, members) the
+    pairs are also decided there, so that only links leave the task.
+    """
+    blocks = F.ceil(F.col("k") / F.lit(float(LIST_BLOCK)))
+    long = postings.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set", "key"), F.col("blocks")))
+    long = long.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    long = long.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "set", "component")
+    wide = long.join(classes.select("set", "n", "first"), "set")
+    exact = sets is not None
+    if exact:
+        wide = wide.join(sets, "set")
+
+    def scan(table: pa.Table) -> pa.Table:
+        name, component, n = (table.column(c).to_numpy() for c in ("set", "component", "n"))
+        lists = table.column("first").combine_chunks()
+        wholes = table.column("members").combine_chunks() if exact else None
+        size = np.diff(lists.offsets.to_numpy())
+        owner, member = np.repeat(np.arange(len(name)), size), lists.flatten().to_numpy()
+        order = np.argsort(member, kind="stable")
+        cut = np.flatnonzero(np.diff(member[order])) + 1
+        begin, end = np.append(0, cut), np.append(cut, len(order))
+        where = np.empty(len(order), np.int64)
+        where[order] = np.repeat(np.arange(len(begin)), end - begin)
+        posted, place = owner[order], np.concatenate([[0], np.cumsum(size)])
+        found_a, found_b = [], []
+        for x in range(len(name)):
+            rows = [posted[begin[t] : end[t]] for t in where[place[x] : place[x + 1]]]
+            shared = np.bincount(np.concatenate(rows), minlength=len(name)) if rows else np.zeros(len(name), int)
+            both = n[x] + n
+            needed = -(-percent * both // (100 + percent))
+            rest = np.maximum(n[x] - size[x], n - size)
+            fits = (component > component[x]) & (100 * np.minimum(n[x], n) >= percent * np.maximum(n[x], n)) & (shared + rest >= needed)
+            hits = np.flatnonzero(fits)
+            if exact and len(hits):
+                own = np.frombuffer(wholes[x].as_py(), np.uint64)
+                count = np.array([len(np.intersect1d(own, np.frombuffer(wholes[h].as_py(), np.uint64), assume_unique=True)) for h in hits])
+                hits = hits[100 * count >= percent * (both[hits] - count)]
+            found_a.append(np.minimum(name[x], name[hits]))
+            found_b.append(np.maximum(name[x], name[hits]))
+        return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+
+    return wide.groupBy("key", "i", "j").applyInArrow(scan, "a long, b long").distinct()
+
+
 class _Search:
     """Links found so far, and the steps that find more."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
         self.docs, self.classes, self.width, self.percent = docs, classes, width, percent
-        self.links = None
-        self.labels = None
+        self.links = self.labels = None
+        self.new = 0  # links that the labels do not know yet
 
     def labelled(self, postings: DataFrame) -> DataFrame:
         if self.labels is None:
             return postings.withColumn("component", F.col("set"))
         return postings.join(self.labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
 
-    def test(self, pairs: DataFrame) -> int:
-        """Adds the links among ``pairs`` (a < b); how many."""
-        pairs = materialize(_bounded(pairs.distinct(), self.classes, self.percent), "pairs")
-        wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-        wanted = self.classes.join(wanted, "set", "left_semi").select("set", "id")
+    def test(self, pairs: DataFrame, hot: DataFrame | None = None) -> None:
+        """Adds the links among ``pairs`` (a < b) and on the ``hot`` lists, and joins components by all links."""
+        pairs = materialize(pairs, "pairs")
+        wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
+        if hot is not None:
+            wanted = wanted.unionByName(hot.select("set"))
+        wanted = self.classes.join(wanted.distinct(), "set", "left_semi").select("set", "id")
         sets = materialize(_sets(self.docs, wanted, self.width), "sets")
-        found = materialize(_linked(pairs, sets, self.percent), "links")
+        if hot is not None:
+            self.add(_long_lists(hot, self.classes, self.percent, sets))
+        self.add(_linked(pairs, sets, self.percent))
+        if self.new:
+            self.labels, self.new = components(self.links), 0
+
+    def add(self, links: DataFrame) -> None:
+        """Keeps ``links`` (a < b)."""
+        found = materialize(links, "links")
         n = found.count()
         if n:
             self.links = found if self.links is None else self.links.unionByName(found)
-            self.labels = components(self.links)
-        return n
+            self.new += n
 
 
 def _pair(one: str, other: str):
@@ -318,44 +395,43 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
 def link(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, set, component_id) of every row; ``set`` names the class of equal sets (null without one)."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    frequent, rare_pairs = _frequent(docs, width)
+    frequent = _frequent(docs, width)
     features = materialize(_features(docs, width, percent, frequent), "features")
     full = features.where("n > 0")
     classes = full.groupBy("set").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "first")))
     classes = materialize(classes, "classes")
-    sizes = classes.groupBy(F.least("n", F.lit(LIGHT_LIMIT + 1)).alias("n")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all")).collect()
+    sizes = classes.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()
     counts = {r["n"]: r["k"] for r in sizes}
-    mean = 1 + SAMPLE * SAMPLE * rare_pairs / max(1, sum(r["all"] for r in sizes))
+    mean = _list_length(classes)
     border = light_border(counts, mean, percent)
     postings = _postings(classes, border, percent)
     shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
     postings = materialize(postings.join(shared_keys, "key"), "postings")
     search = _Search(docs, classes, width, percent)
+    before = None
     while True:
-        now = materialize(search.labelled(postings), "postings")
-        ends = now.groupBy("key").agg(
-            F.min(F.struct("component", "set")).alias("low"), F.max(F.struct("component", "set")).alias("high"), F.count(F.lit(1)).alias("k")
-        ).where("low.component < high.component")
-        ends = materialize(ends, "keys")
-        size = ends.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("squares")).first()
+        now = search.labelled(postings)
+        per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("set"))
+        one = F.struct("component", "set")
+        lists = per.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.sum("m").alias("k"), F.sum(F.col("m") * F.col("m")).alias("same"))
+        lists = materialize(lists.where("low.component < high.component"), "lists")
+        pairs = F.sum(F.col("k") * F.col("k") - F.col("same")).alias("pairs")
+        size = lists.agg(F.sum("k").alias("k"), pairs, F.max("k").alias("longest")).first()
         if not size["k"]:
             break
-        postings = now.join(ends, "key")
-        if size["squares"] <= 2 * PAIRS_A_POSTING * size["k"]:
+        # Leaders are worth another round while they leave fewer pairs than before, and many.
+        if size["pairs"] <= 2 * PAIRS_A_POSTING * size["k"] or (before is not None and size["pairs"] > 0.4 * before):
             break
+        before = size["pairs"]
         leaders = F.explode(F.array("low", "high")).alias("leader")
-        pairs = postings.select("set", "component", leaders).where("component <> leader.component").select(*_pair("set", "leader.set"))
-        found = search.test(pairs)
-        postings = materialize(postings.select("key", "set", "n"), "postings")
-        if not found:
-            postings = search.labelled(postings)
-            break
+        pairs = now.join(lists, "key").select("set", "component", leaders).where("component <> leader.component").select(*_pair("set", "leader.set"))
+        search.test(_bounded(pairs.distinct(), classes, percent))
     if size["k"]:
-        side = postings.select("key", "set", "n", "component")
-        left, right = side.toDF("key", "a", "na", "ca"), side.toDF("key", "b", "nb", "cb")
-        # Two light sets are found by subsets; all keys that both have serve the same end.
-        pairs = left.join(right, "key").where(f"ca < cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select(*_pair("a", "b"))
-        search.test(pairs)
+        left = materialize(now.join(lists.select("key", "k"), "key"), "postings")
+        short, long = left.where(F.col("k") <= SHORT_LIST), left.where((F.col("k") > SHORT_LIST) & (F.col("k") <= HOT_LIST))
+        pairs = _bounded(_short_lists(short, percent), classes, percent).unionByName(_long_lists(long, classes, percent)).distinct()
+        hot = left.where(F.col("k") > HOT_LIST) if size["longest"] > HOT_LIST else None
+        search.test(pairs, hot)
     if search.labels is None:
         named = classes.select("set", F.col("id").alias("component_id"))
     else:
