@@ -210,9 +210,12 @@ def attention_layer(
     concat: bool = True,
     self_loops: bool = True,
     hot_rows: int = HOT_ROWS,
+    check: bool = True,
 ) -> DataFrame:
     """One attention layer: nodes(node_id, x), edges(edge_idx, src, dst, attr) → nodes(node_id, x).
 
+    Edges whose end points lack a vector are refused; ``check=False`` is for callers that have made sure of it.
+
     Per head: logit = LeakyReLU(a_s·Wx_src + a_d·Wx_dst + a_e·W_e attr), softmax over the edges
     into a node, weighted sum of Wx_src.  Heads are concatenated or averaged.
 
@@ -220,6 +223,8 @@ def attention_layer(
     joined last and summed in the task that joined them.
     """
     spark = nodes.sparkSession
+    if check:
+        require_vectors(edges, nodes)
     h, c = weights.heads, weights.units
 
     # One product yields [Wx | a_s·Wx per head | a_d·Wx per head].
@@ -327,8 +332,8 @@ def score_graph(edges: DataFrame, nodes: DataFrame, layers: list[dict], classifi
     def constant(values):
         return F.array(*[F.lit(float(v)) for v in values])
 
-    for layer in layers:
-        x = attention_layer(edges, nodes, layer["attention"], layer.get("concat", True), hot_rows=hot_rows)
+    for at, layer in enumerate(layers):
+        x = attention_layer(edges, nodes, layer["attention"], layer.get("concat", True), hot_rows=hot_rows, check=at == 0)
         norm = layer["norm"]
         normed = batch_norm(
             F.col("x"), constant(norm["mean"]), constant(norm["var"]), constant(norm["weight"]), constant(norm["bias"])
