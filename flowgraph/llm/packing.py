@@ -26,7 +26,7 @@ from flowgraph.llm.text import map_texts
 from flowgraph.session import materialize
 
 #: Distinct parts whose ids a worker remembers before it starts afresh (a cache, no limit on what is tokenized).
-CACHE = 400_000
+CACHE = 150_000
 
 PIECE_FIELDS = [
     T.StructField("start", T.LongType()),

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one step inside a task handles at a time; one longer text is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Rows that Spark hands to a task at a time; whole texts are large rows.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
