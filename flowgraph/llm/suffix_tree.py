@@ -1,15 +1,17 @@
 """Language model scores by a probabilistic suffix tree over words.
 
 A text is its words (A-Z lower-cased) and one end.  The root gives every token log10((count + 1) / (N + V + 1)), all unknown
-tokens being one symbol.  A context is the last 1 to ``DEPTH`` tokens (a text's start included), if it makes up ``MIN_SHARE``
-of the training tokens; it is retained if its next-token distribution diverges from that of its suffix by more than its
-description costs.  A context names the next tokens that make up ``MIN_SHARE`` of all tokens with it, and leaves the rest of
-its mass to its suffix, in proportion.  A token is scored by the longest retained context before it.  ``MIN_SHARE`` bounds the
-tree to 1 / MIN_SHARE entries a level, whatever the corpus; the counts it is grown from are of the whole corpus.
-
-Texts become blocks of word numbers, once.  What is counted (words, then pairs of context and next token) is summed inside a
-block, dealt into buckets by hash, and shuffled as one row of packed arrays for each block and bucket; each bucket is summed
-in one task, and the words' counts go back to the blocks that asked.  Words are named by 64-bit hashes.
+tokens being one symbol.  A context is the last 1 to ``DEPTH`` tokens (a text's start included), if it occurs ``LEAST`` times;
+it is retained if its next-token distribution diverges from that of its suffix by more than its description costs.  A context
+names the next tokens that follow it ``LEAST`` times, and leaves the rest of its mass to its suffix, in proportion.  A token is
+scored by the longest retained context before it.  ``LEAST`` is the same for every corpus, so the tree grows with the corpus;
+it is held in tables, never on the driver.
+
+Texts become blocks, once.  A block asks for the counts of its sequences of 1, then 2, up to ``DEPTH`` + 1 tokens, if their
+context and suffix occur ``LEAST`` times, as those of any sequence that does; what is asked is dealt into buckets by hash, shuffled as one row of packed arrays for each block and bucket, and summed in one task a bucket.
+The counts go back to the blocks, of which one also hands each sequence to the tree's tables.  The tree is grown there level by
+level, and the blocks ask in the same way what the retained contexts leave to their suffixes.  Words and sequences are named
+by 64-bit hashes.
 
 A null or empty text is the end alone.  Without training texts every probability of the root is 1.  Repeated rows are
 counted and scored each; an empty table gives an empty table.
@@ -17,8 +19,6 @@ counted and scored each; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,20 +31,24 @@ from flowgraph.llm.text import slices, small_batches, split_words
 from flowgraph.session import new_path
 
 DEPTH = 3
-#: Share of all training tokens that a context, and a next token together with it, must make up.
-MIN_SHARE = 1e-6
+#: Times that a context, and a next token together with it, must occur in the training texts.
+LEAST = 2
+#: Share of all training tokens that they must make up besides: none, whatever the corpus.
+MIN_SHARE = 0.0
 #: Weight, in counts, of the suffix's distribution in a context's.
 SMOOTHING = 1.0
-#: Text in one block, and text for each bucket of what is counted.
-BLOCK_BYTES = 10 << 20
-BUCKET_BYTES = 8 << 20
-#: Numbers of a word that is too rare for the tree, and of a text's end and start; other words count from FIRST.
-RARE, END, START, FIRST = -1, 0, 1, 2
+#: Text in one block, and text for each bucket of what is asked.
+BLOCK_BYTES = 6 << 20
+BUCKET_BYTES = 4 << 20
+#: Names of a text's end and start; 0 names nothing.
+END, START = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
 def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    # Shuffle files of a finished write go when the driver collects its garbage, which it seldom does by itself.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -54,34 +58,129 @@ def _drop(spark, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """The array compressed, first bytes of all numbers together, then the second ones, and so on."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+
+
+def _unsqueezed(data: bytes, kind) -> np.ndarray:
+    size, kind = int.from_bytes(data[:8], "little"), np.dtype(kind)
+    raw = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b"", np.uint8)
+    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def _read(column, row: int, kind) -> np.ndarray:
-    return np.frombuffer(column[row].as_py(), kind)
+    return _unsqueezed(column[row].as_py(), kind)
+
+
+def _read_names(column, row: int) -> np.ndarray:
+    """Ascending names; their steps are written, which are smaller."""
+    return np.cumsum(_read(column, row, np.uint64), dtype=np.uint64)
+
+
+PACK = T.ArrayType(T.StructType().add("bucket", "long").add("names", "binary").add("n", "binary"))
+
+
+def _packed(names: np.ndarray, n: np.ndarray, buckets: int) -> pa.Array:
+    """One (bucket, its names, their n) for each bucket, as a list of a single row; ``names`` ascend, and so do their buckets."""
+    bucket = (names >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    found, first = np.unique(bucket, return_index=True)
+    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(names)]))
+    steps = pa.array([_squeezed(np.diff(names[a:b], prepend=np.uint64(0))) for a, b in cuts], pa.binary())
+    numbers = pa.array([_squeezed(n[a:b]) for a, b in cuts], pa.binary())
+    structs = pa.StructArray.from_arrays([pa.array(found.astype(np.int64)), steps, numbers], ["bucket", "names", "n"])
+    return pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), structs)
+
 
+def _bucket(name: str, buckets: int) -> Column:
+    """The bucket of a name that is written as a signed number."""
+    return F.shiftright(F.shiftrightunsigned(name, 32) * F.lit(buckets).cast("long"), 32)
 
-PACK = T.ArrayType(T.StructType().add("bucket", "long").add("data", "binary"))
 
+def _joined(replies: pa.Table, kind) -> np.ndarray:
+    """Replies of all buckets to one block, in the order of the names it asked for."""
+    order = np.argsort(replies.column("bucket").to_numpy())
+    return np.concatenate([np.zeros(0, kind), *(_read(replies.column("data"), int(row), kind) for row in order)])
 
-def _packed(bucket: np.ndarray, records: np.ndarray) -> pa.Array:
-    """One (bucket, its records in order) for each bucket, as a list of a single row."""
-    order = np.argsort(bucket, kind="stable")
-    raw = records[order].tobytes()
-    names, first = np.unique(bucket[order], return_index=True)
-    cuts = (np.append(first, len(order)) * records.dtype.itemsize).tolist()
-    data = pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
-    structs = pa.StructArray.from_arrays([pa.array(names.astype(np.int64)), data], ["bucket", "data"])
-    return pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), structs)
+
+def _exploded(packs: DataFrame) -> DataFrame:
+    return packs.select("block", F.explode("packs").alias("p")).select("block", "p.bucket", "p.names", "p.n")
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Names of sequences: of ``a`` followed by the token ``b``."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _sequences(ends: np.ndarray, codes: np.ndarray, words: np.ndarray):
+    """(names of the last 1, 2, ... tokens up to each token, names of the contexts before it, ends of texts with their ends).
+
+    The first dimension is the length less 1; 0 stands where a text has no such sequence.
+    """
+    out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
+    inner = np.ones(out[-1], bool)
+    inner[out[1:] - 1] = False
+    grams, contexts = np.zeros((DEPTH + 1, out[-1]), np.uint64), np.zeros((DEPTH, out[-1]), np.uint64)
+    grams[0] = END
+    grams[0, inner] = words[codes]
+    for level in range(DEPTH):
+        contexts[level, 1:] = grams[level, :-1]
+        contexts[level, out[:-1]] = START if level == 0 else 0
+        grams[level + 1] = np.where(contexts[level] != 0, _mixed(contexts[level], grams[0]), 0)
+    return grams, contexts, out
+
+
+def _asked_for(grams: np.ndarray, counts: np.ndarray, out: np.ndarray, size: int):
+    """(which tokens end a sequence of ``size`` + 1 tokens that may occur often enough, the sequences' names, their places).
+
+    Both the context and the suffix of such a sequence occur as often; single tokens are all asked for.
+    """
+    some = grams[size] != 0
+    if size:
+        often = np.abs(counts[size - 1]) >= LEAST
+        before = np.concatenate([[False], often[:-1]])
+        before[out[:-1]] = size == 1
+        some &= often & before
+    names, where = np.unique(grams[size][some], return_inverse=True)
+    return some, names, where
+
+
+def _of_block(table, row: int, sizes: int = DEPTH + 1):
+    """(sequences' names, contexts' names, ends, sequences' counts), of the first ``sizes`` lengths, of a block.
+
+    A count is negative where the block hands the sequence on, and 0 where it was not asked for.
+    """
+    ends, codes = _read(table.column("ends"), row, np.int64), _read(table.column("codes"), row, np.int32)
+    grams, contexts, out = _sequences(ends, codes, _read(table.column("words"), row, np.uint64))
+    counts = np.zeros(grams.shape, np.int64)
+    for size in range(sizes):
+        some, _, where = _asked_for(grams, counts, out, size)
+        counts[size, some] = _read(table.column(f"counts{size}"), row, np.int64)[where]
+    return grams, contexts, out, counts
 
 
-WORD = np.dtype([("name", "<u8"), ("code", "<i4"), ("n", "<i4")])
-COUNTED = np.dtype([("code", "<i4"), ("c", "<i8"), ("name", "<u8")])
-PAIR = np.dtype([("context", "<i4"), ("next", "<i4"), ("n", "<i4")])
+def _context_counts(level: int, counts: np.ndarray, out: np.ndarray, ends: int) -> np.ndarray:
+    """Counts of the contexts of a level (from 0) before each token, from those of the sequences up to each token."""
+    c = np.concatenate([[0], counts[level, :-1]])
+    c[out[:-1]] = ends if level == 0 else 0
+    return c
 
 
-def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
-    """One row for each stretch of texts: block, ids, trained, ends (int64), codes (int32), tokens, and packed words."""
+def _asked_contexts(contexts: np.ndarray, counts: np.ndarray, out: np.ndarray, ends: int) -> np.ndarray:
+    """Names of the contexts that occur often enough to be in the tree."""
+    known = [contexts[level][_context_counts(level, counts, out, ends) >= LEAST] for level in range(DEPTH)]
+    return np.unique(np.concatenate(known))
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    """One row for each stretch of texts: block, ids, trained, ends (int64), codes (int32), words (names), tokens."""
     id_type = docs.schema["id"].dataType
     schema = T.StructType().add("block", "long").add("ids", T.ArrayType(id_type)).add("trained", "binary").add("ends", "binary")
-    schema = schema.add("codes", "binary").add("tokens", "long").add("words", PACK)
+    schema = schema.add("codes", "binary").add("words", "binary").add("tokens", "long")
 
     def run(batches):
         from pyspark import TaskContext
@@ -90,19 +189,17 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             texts = pc.fill_null(batch.column(1), "")
             for start, stop in slices(texts, BLOCK_BYTES):
-                ends, codes, words = split_words(texts.slice(start, stop - start))
+                ends, codes, distinct = split_words(texts.slice(start, stop - start))
                 trained = batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
-                records = np.zeros(len(words), WORD)
-                if len(words):
-                    records["name"] = pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False)
-                records["code"] = np.arange(len(words))
-                records["n"] = np.bincount(codes[np.repeat(trained, np.diff(ends))], minlength=len(words))
+                words = np.zeros(0, np.uint64)
+                if len(distinct):
+                    words = pd.util.hash_array(np.array(distinct.to_pylist(), object), categorize=False)
                 ids = batch.column(0).slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([trained.tobytes()]),
-                        pa.array([ends.tobytes()]), pa.array([codes.astype(np.int32).tobytes()]),
-                        pa.array([int(records["n"].sum()) + int(trained.sum())]), _packed(records["name"] % np.uint64(buckets), records),
+                        pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                        *(pa.array([_squeezed(x)], pa.binary()) for x in (trained, ends, codes.astype(np.int32), words)),
+                        pa.array([int((np.diff(ends) + 1)[trained].sum())]),
                     ],
                     schema.names,
                 )
@@ -113,206 +210,136 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("id", "text", "trained").mapInArrow(run, schema)
 
 
-def _exploded(packs: DataFrame, column: str) -> DataFrame:
-    return packs.select(*(c for c in packs.columns if c != column), F.explode(column).alias("p")).select(
-        *(c for c in packs.columns if c != column), F.col("p.bucket").alias("bucket"), F.col("p.data").alias("data")
-    )
+def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
+    """(block, bucket, names, n): the sequences of ``size`` + 1 tokens of a block, with how often its training texts have them."""
+    schema = T.StructType().add("block", "long").add("packs", PACK)
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                grams, _, out, counts = _of_block(batch, row, size)
+                some, names, where = _asked_for(grams, counts, out, size)
+                use = np.repeat(_read(batch.column("trained"), row, bool), np.diff(out))
+                n = np.bincount(where[use[some]], minlength=len(names)).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(row, 1), _packed(names, n, buckets)], schema.names)
+
+    return _exploded(blocks.drop("ids").mapInArrow(run, schema))
 
 
-def _counted(blocks: DataFrame, least: int) -> DataFrame:
-    """(block, data, distinct, frequent): counts of a block's words of one bucket; on one row of it, the bucket's own sums.
+def _counted(asked: DataFrame) -> DataFrame:
+    """(block, bucket, data, distinct): counts of what a block asked of one bucket; on one row of a bucket, its distinct trained sequences.
 
-    ``distinct`` counts the trained words, ``frequent`` has (name, count) of those that occur ``least`` times.
+    The count is negative in the reply to one of the blocks that train on the sequence.
     """
-    schema = T.StructType().add("block", "long").add("data", "binary").add("distinct", "long").add("frequent", "binary")
-    pair = np.dtype([("name", "<u8"), ("c", "<i8")])
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [_read(table.column("data"), row, WORD) for row in range(table.num_rows)]
-        names, where = np.unique(np.concatenate([p["name"] for p in parts]), return_inverse=True)
-        c = np.bincount(where.ravel(), np.concatenate([p["n"] for p in parts]), len(names)).astype(np.int64)
-        data, at = [], 0
-        for part in parts:
-            out = np.zeros(len(part), COUNTED)
-            out["code"], out["c"] = part["code"], c[where.ravel()[at : at + len(part)]]
-            out["name"] = np.where(out["c"] >= least, part["name"], 0)
-            at += len(part)
-            data.append(out.tobytes())
-        some = c >= least
-        frequent = np.zeros(int(some.sum()), pair)
-        frequent["name"], frequent["c"] = names[some], c[some]
-        rest = [None] * (len(parts) - 1)
-        return pa.table({
-            "block": table.column("block"), "data": pa.array(data, pa.binary()),
-            "distinct": pa.array([int((c > 0).sum()), *rest], pa.int64()), "frequent": pa.array([frequent.tobytes(), *rest], pa.binary()),
-        })
-
-    return _exploded(blocks.select("block", "words"), "words").groupBy("bucket").applyInArrow(run, schema)
-
-
-def _numbered(blocks: DataFrame, counted: DataFrame, frequent: np.ndarray, kind: np.dtype = COUNTED) -> DataFrame:
-    """``blocks`` with the counts (c, int64) and the tree's numbers (number, int32) of its words by code."""
-    shared = blocks.sparkSession.sparkContext.broadcast(frequent)
-    schema = T.StructType([f for f in blocks.schema if f.name not in ("words", "tokens")]).add("c", "binary").add("number", "binary")
-
-    def attach(block: pa.Table, counts: pa.Table) -> pa.Table:
-        parts = [_read(counts.column("data"), row, kind) for row in range(counts.num_rows)]
-        records = np.concatenate(parts) if parts else np.zeros(0, kind)
-        c, number = np.zeros(len(records), np.int64), np.full(len(records), RARE, np.int32)
-        c[records["code"]] = records["c"]
-        named = records[records["name"] != 0]
-        found, at = _found(shared.value, named["name"])
-        number[named["code"][found]] = at[found] + FIRST
-        more = [pa.array([x.tobytes()] * block.num_rows, pa.binary()) for x in (c, number)]
-        return pa.Table.from_arrays([*(block.column(f.name) for f in schema.fields[:-2]), *more], names=schema.names)
-
-    asked = counted.select(F.col("block").alias("of"), "data")
-    return blocks.drop("words", "tokens").groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(attach, schema)
-
-
-def _found(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which ``keys`` are among ``sorted_keys``, their places)."""
-    if not len(sorted_keys):
-        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return sorted_keys[at] == keys, at
-
-
-@dataclass
-class Level:
-    """Contexts of one length.
-
-    ``pairs`` are the keys (context << 32 | next) of the named next tokens, in order, with their counts and weights; a pair
-    that is a context of the level after has its place here as its number there.  ``left`` is what a retained context
-    leaves to its suffix, and 1 for all others, by context number.
+        parts = [_read_names(table.column("names"), row) for row in range(table.num_rows)]
+        names, where = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.concatenate([_read(table.column("n"), row, np.uint32) for row in range(table.num_rows)])
+        c = np.bincount(where, n, len(names)).astype(np.int64)
+        asked = np.flatnonzero(n)
+        _, first = np.unique(where[asked], return_index=True)
+        replies = c[where]
+        replies[asked[first]] *= -1
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        data = pa.array([_squeezed(x) for x in np.split(replies, cuts)], pa.binary())
+        distinct = pa.array([int((c > 0).sum()), *[None] * (len(parts) - 1)], pa.int64())
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "data": data, "distinct": distinct})
+
+    return asked.groupBy("bucket").applyInArrow(run, "block long, bucket long, data binary, distinct long")
+
+
+def _with_counts(blocks: DataFrame, counted: DataFrame, size: int) -> DataFrame:
+    """``blocks`` with the counts (int64) of their sequences of ``size`` + 1 tokens in the order of the names, and a share of all that are distinct and trained."""
+    kept = blocks.drop("tokens", "distinct")
+    schema = T.StructType([*kept.schema.fields, T.StructField(f"counts{size}", T.BinaryType()), T.StructField("distinct", T.LongType())])
+
+    def attach(block: pa.Table, replies: pa.Table) -> pa.Table:
+        counts = pa.array([_squeezed(_joined(replies, np.int64))] * block.num_rows, pa.binary())
+        distinct = pa.array([pc.sum(replies.column("distinct")).as_py() or 0] * block.num_rows, pa.int64())
+        return block.append_column(f"counts{size}", counts).append_column("distinct", distinct)
+
+    asked = counted.withColumnRenamed("block", "of")
+    return kept.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(attach, schema)
+
+
+def _pairs(blocks: DataFrame, ends: int) -> DataFrame:
+    """(level, pair, context, n, total, suffix, following) of every context and next token of the tree, once.
+
+    ``total`` is the context's count, ``suffix`` names the pair with its first token left out, ``following`` is the next token's count.
     """
+    schema = "level int, pair long, context long, n long, total long, suffix long, following long"
 
-    pairs: np.ndarray
-    counts: np.ndarray
-    adds: np.ndarray
-    left: np.ndarray
-
-
-@dataclass
-class Tree:
-    unit: float
-    ends: int
-    words: np.ndarray  # counts by number, the end and the start first
-    levels: list[Level] = field(default_factory=list)
-
-    def contexts(self, level: int) -> int:
-        """How many context numbers there are for the level (from 0)."""
-        return len(self.words) if level == 0 else len(self.levels[level - 1].pairs)
-
-
-def _key(context: np.ndarray, following: np.ndarray) -> np.ndarray:
-    return context.astype(np.int64) << 32 | following
-
-
-def _walk(number: np.ndarray, root: np.ndarray, ends: np.ndarray, tree: Tree):
-    """(probability of each token after its longest retained context, number of the context that the next level needs)."""
-    p = root.copy()
-    first = ends[:-1]
-    context = np.full(len(number), RARE, np.int32)
-    context[1:] = number[:-1]
-    context[first] = START
-    for level in tree.levels:
-        some = np.flatnonzero(context >= 0)
-        c = context[some]
-        p[some] *= level.left[c]
-        key = _key(c, np.maximum(number[some], 0))
-        named, at = _found(level.pairs, key)
-        named &= number[some] >= 0
-        p[some[named]] += level.adds[at[named]]
-        # The context of one more token is the pair before: its context and the token that followed.
-        longer = np.full(len(number), RARE, np.int32)
-        reached = np.full(len(number), RARE, np.int32)
-        reached[some[named]] = at[named]
-        longer[1:] = reached[:-1]
-        longer[first] = RARE
-        context = longer
-    return p, context
-
-
-def _tokens(batch: pa.RecordBatch, row: int, tree: Tree):
-    """(numbers, root probabilities, ends, trained) of a block's tokens, each text's end included and its start left out."""
-    ends, codes = _read(batch.column("ends"), row, np.int64), _read(batch.column("codes"), row, np.int32)
-    c, number = _read(batch.column("c"), row, np.int64), _read(batch.column("number"), row, np.int32)
-    out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
-    words = np.ones(out[-1], bool)
-    words[out[1:] - 1] = False
-    numbers, root = np.full(out[-1], END, np.int32), np.full(out[-1], (tree.ends + 1) / tree.unit)
-    numbers[words], root[words] = number[codes], ((c + 1) / tree.unit)[codes]
-    return numbers, root, out, _read(batch.column("trained"), row, bool)
-
-
-def _suffix_probability(tree: Tree, level: int, context: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """Probability of ``following`` after the suffix of a context of the level (from 0): one token less at its start."""
-    tokens = []  # of each context, the last first
-    for above in range(level, 0, -1):
-        key = tree.levels[above - 1].pairs[context]
-        tokens.append((key & 0xFFFFFFFF).astype(np.int64))
-        context = key >> 32
-    p = (np.where(following == END, tree.ends, tree.words[following]) + 1) / tree.unit
-    # Suffixes of the suffix, from the shortest: numbers of the last 1, 2, ... tokens.
-    for size in range(1, level + 1):
-        number, known = tokens[size - 1], np.ones(len(following), bool)
-        for inner in range(size - 1):
-            found, at = _found(tree.levels[inner].pairs, _key(number, tokens[size - 2 - inner]))
-            known &= found
-            number = at
-        grown = tree.levels[size - 1]
-        number = np.where(known, number, 0)
-        p = np.where(known, p * grown.left[number], p)
-        found, at = _found(grown.pairs, _key(number, following))
-        p = p + np.where(known & found, grown.adds[at] if len(grown.adds) else 0.0, 0.0)
-    return p
-
-
-def _grow(blocks: DataFrame, tree: Tree, least: int, buckets: int) -> None:
-    """Add the next level: counts of all (context, next) whose parts are in the tree, then the divergence tests."""
-    depth = len(tree.levels)
-    shared = blocks.sparkSession.sparkContext.broadcast(tree)
-
-    def pairs(batches):
-        tree = shared.value
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                grams, contexts, out, counts = _of_block(batch, row)
+                own, counts = counts <= -LEAST, np.abs(counts)
+                for level in range(DEPTH):
+                    some = np.flatnonzero(own[level + 1])
+                    pair, first = np.unique(grams[level + 1, some], return_index=True)
+                    at = some[first]
+                    columns = (pair, contexts[level, at], counts[level + 1, at], _context_counts(level, counts, out, ends)[at], grams[level, at], counts[0, at])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(at), level, np.int32)), *(pa.array(x.view(np.int64)) for x in columns)],
+                        ["level", "pair", "context", "n", "total", "suffix", "following"],
+                    )
+
+    return blocks.drop("ids").mapInArrow(run, schema)
+
+
+def _grown(pairs: DataFrame, unit: float) -> DataFrame:
+    """(context, left) of the retained contexts, with what each leaves to its suffix."""
+    contexts, suffixes, levels = None, None, []
+    adds = F.col("n") / (F.col("total") + SMOOTHING)
+    for level in range(DEPTH):
+        # p is the probability of the next token after the context's suffix.
+        rows = pairs.where(F.col("level") == level)
+        rows = rows.join(suffixes, "suffix") if level else rows.withColumn("p", (F.col("following") + 1) / F.lit(unit))
+        rows, path = _written(rows.select("pair", "context", "n", "total", "p"), "level")
+        levels.append(path)
+        named = rows.groupBy("context").agg(F.sum("n").alias("named"), F.count("*").alias("entries"))
+        left = (F.col("total") - F.col("named") + SMOOTHING) / (F.col("total") + SMOOTHING)
+        gains = rows.join(named, "context").withColumn("left", left).groupBy("context").agg(
+            F.sum(F.col("n") * F.log((adds + F.col("left") * F.col("p")) / F.col("p"))).alias("gain"),
+            *(F.max(c).alias(c) for c in ("total", "named", "entries", "left")),
+        )
+        gain = F.col("gain") + (F.col("total") - F.col("named")) * F.log("left")
+        keep = gain > 0.5 * F.col("entries") * F.log(F.greatest(F.col("total"), F.lit(2)).cast("double"))
+        kept, _ = _written(gains.where(keep).select("context", "left"), "contexts")
+        contexts = kept if contexts is None else contexts.unionByName(kept)
+        after = F.coalesce(F.col("left") * F.col("p") + adds, F.col("p"))
+        suffixes = rows.join(kept, "context", "left").select(F.col("pair").alias("suffix"), after.alias("p"))
+    for path in levels:
+        _drop(pairs.sparkSession, path)
+    return contexts
+
+
+def _lefts(blocks: DataFrame, contexts: DataFrame, ends: int, buckets: int) -> DataFrame:
+    """(block, bucket, data): what the contexts that a block has leave to their suffixes, 1 for those not retained."""
+    schema = T.StructType().add("block", "long").add("packs", PACK)
+
+    def ask(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                number, root, ends, trained = _tokens(batch, row, tree)
-                _, context = _walk(number, root, ends, tree)
-                use = np.repeat(trained, np.diff(ends)) & (context >= 0) & (number >= 0)
-                key, n = np.unique(_key(context[use], number[use]), return_counts=True)
-                records = np.zeros(len(key), PAIR)
-                records["context"], records["next"], records["n"] = key >> 32, key & 0xFFFFFFFF, n
-                mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-                yield pa.RecordBatch.from_arrays([_packed(mixed % np.uint64(buckets), records)], ["pairs"])
-
-    def summed(table: pa.Table) -> pa.Table:
-        parts = np.concatenate([_read(table.column("data"), row, PAIR) for row in range(table.num_rows)])
-        key, where = np.unique(_key(parts["context"], parts["next"]), return_inverse=True)
-        n = np.bincount(where.ravel(), parts["n"], len(key)).astype(np.int64)
-        some = n >= least
-        return pa.table({"key": key[some], "n": n[some]})
-
-    counted = blocks.select("ends", "codes", "c", "number", "trained").mapInArrow(pairs, T.StructType().add("pairs", PACK))
-    found = _exploded(counted, "pairs").groupBy("bucket").applyInArrow(summed, "key long, n long").toArrow()
-    key, n = found.column("key").to_numpy(), found.column("n").to_numpy()
-    order = np.argsort(key)
-    key, n = key[order], n[order]
-    context, following = key >> 32, key & 0xFFFFFFFF
-    total = (tree.words if depth == 0 else tree.levels[-1].counts).astype(float)
-    names, first, count = np.unique(context, return_index=True, return_counts=True)
-    named = np.add.reduceat(n.astype(float), first) if len(first) else np.zeros(0)
-    all_n = np.maximum(total[names], named)
-    rest = (all_n - named + SMOOTHING) / (all_n + SMOOTHING)
-    adds = n / np.repeat(all_n + SMOOTHING, count)
-    suffix = _suffix_probability(tree, depth, context, following)
-    gains = n * np.log((adds + np.repeat(rest, count) * suffix) / suffix)
-    gain = (np.add.reduceat(gains, first) if len(first) else named) + (all_n - named) * np.log(rest)
-    keep = gain > 0.5 * count * np.log(np.maximum(all_n, 2.0))
-    left = np.ones(max(1, tree.contexts(depth)))
-    left[names[keep]] = rest[keep]
-    tree.levels.append(Level(key, n, np.where(np.repeat(keep, count), adds, 0.0), left))
+                _, contexts, out, counts = _of_block(batch, row)
+                names = _asked_contexts(contexts, np.abs(counts), out, ends)
+                yield pa.RecordBatch.from_arrays([batch.column("block").slice(row, 1), _packed(names, names[:0], buckets)], schema.names)
+
+    def reply(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        names = kept.column("context").to_numpy().view(np.uint64)
+        order = np.argsort(names)
+        names, left = np.append(names[order], np.uint64(0)), np.append(kept.column("left").to_numpy()[order], 1.0)
+        data = []
+        for row in range(asked.num_rows):
+            wanted = _read_names(asked.column("names"), row)
+            at = np.searchsorted(names[:-1], wanted)
+            data.append(_squeezed(np.where(names[at] == wanted, left[at], 1.0)))
+        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "data": pa.array(data, pa.binary())})
+
+    asked = _exploded(blocks.drop("ids").mapInArrow(ask, schema))
+    kept = contexts.select(_bucket("context", buckets).alias("of"), "context", "left")
+    return asked.groupBy("bucket").cogroup(kept.groupBy("of")).applyInArrow(reply, "block long, bucket long, data binary")
 
 
 def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -325,43 +352,47 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     size = named.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.col("trained").cast("long")).alias("trained")).first()
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
     ends = size["trained"] or 0
-    raw, raw_path = _written(_blocks(named, buckets), "blocks")
-    tokens = raw.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    least = max(2, int(np.ceil(MIN_SHARE * tokens)))
-    counted, counted_path = _written(_counted(raw, least), "counts")
-    distinct = counted.agg(F.sum("distinct").alias("v")).first()["v"] or 0
-    rows = counted.where("frequent is not null").select("frequent").toArrow().column("frequent")
-    parts = [np.frombuffer(r.as_py(), [("name", "<u8"), ("c", "<i8")]) for r in rows]
-    frequent = np.sort(np.concatenate(parts), order="name") if parts else np.zeros(0, [("name", "<u8"), ("c", "<i8")])
-    blocks, _ = _written(_numbered(raw, counted, frequent["name"].copy()), "blocks")
-    _drop(spark, raw_path)
-    _drop(spark, counted_path)
-    # The start is the context of as many tokens as there are texts; nothing follows an end.
-    tree = Tree(float(tokens + distinct + (ends > 0) + 1), ends, np.concatenate([[0, ends], frequent["c"]]).astype(np.int64))
-    for _ in range(DEPTH):
-        _grow(blocks, tree, least, buckets)
-    shared = spark.sparkContext.broadcast(tree)
+    blocks, path = _written(_blocks(named), "blocks")
+    tokens = blocks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    for size in range(DEPTH + 1):
+        asked, before = _asked(blocks, size, buckets), path
+        blocks, path = _written(_with_counts(blocks, _counted(asked), size), "blocks")
+        _drop(spark, before)
+        if size == 0:
+            distinct = blocks.agg(F.sum("distinct").alias("v")).first()["v"] or 0
+    unit = float(tokens + distinct + 1)
+    pairs, pairs_path = _written(_pairs(blocks, ends), "pairs")
+    contexts = _grown(pairs, unit)
+    _drop(spark, pairs_path)
+    lefts, _ = _written(_lefts(blocks, contexts, ends, buckets), "lefts")
     result = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("trained", T.BooleanType())])
     for column, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         result.add(column, kind)
 
-    def scored(batches):
-        tree = shared.value
-        for batch in batches:
-            for row in range(batch.num_rows):
-                number, root, out, trained = _tokens(batch, row, tree)
-                p, _ = _walk(number, root, out, tree)
-                codes, places = _read(batch.column("codes"), row, np.int32), _read(batch.column("ends"), row, np.int64)
-                hits = np.concatenate([[0], np.cumsum((_read(batch.column("c"), row, np.int64) > 0)[codes])])
-                sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
-                lists = batch.column("ids")
-                ids = lists.values.slice(lists.offsets[row].as_py(), len(trained))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(trained), pa.array(np.diff(out)), pa.array(hits[places[1:]] - hits[places[:-1]] + (ends > 0)),
-                     *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)],
-                    result.names,
-                )
-                pa.default_memory_pool().release_unused()
-
-    rows = blocks.mapInArrow(scored, result)
+    def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
+        parts = []
+        for row in range(block.num_rows):
+            _, contexts, out, counts = _of_block(block, row)
+            counts = np.abs(counts)
+            root = (counts[0] + 1) / unit
+            names = _asked_contexts(contexts, counts, out, ends)
+            left = _joined(replies, np.float64)
+            p = root.copy()
+            for level in range(DEPTH):
+                total = _context_counts(level, counts, out, ends)
+                some = np.flatnonzero((total >= LEAST) & (contexts[level] != 0))
+                leaves = left[np.searchsorted(names, contexts[level, some])]
+                n = counts[level + 1, some]
+                # A retained context leaves less than 1.
+                p[some] = p[some] * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total[some] + SMOOTHING), 0.0)
+            hits = np.concatenate([[0], np.cumsum(counts[0] > 0)])
+            sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
+            ids = pa.array(block.column("ids")[row].values)
+            trained = _read(block.column("trained"), row, bool)
+            columns = [ids, pa.array(trained), pa.array(np.diff(out)), pa.array(hits[out[1:]] - hits[out[:-1]])]
+            parts.append(pa.Table.from_arrays([*columns, *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)], names=result.names))
+        return pa.concat_tables(parts)
+
+    asked = lefts.select(F.col("block").alias("of"), "bucket", "data")
+    rows = blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(scored, result)
     return rows.select(F.col("id").alias(id), "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -136,3 +136,16 @@ def test_language_edges(spark, awkward, nothing, documents):
     assert [r["lang_pred"] == "und" for r in language.identify(numbers, model).orderBy("doc_id").collect()] == [True, True, False]
     empty = language.train(documents.where("lang = 'none'"))
     assert {r["lang_pred"] for r in language.identify(awkward, empty).collect()} == {"und"}
+
+
+def test_a_phrase_is_a_context_whatever_the_size_of_the_corpus(spark):
+    """Seen twice among 6 million other tokens."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(1, "alpha beta gamma"), (2, "alpha beta gamma"), (3, "alpha beta gamma")], "doc_id long, text string")
+    bulk = spark.range(100, 130).select(F.col("id").alias("doc_id"), F.repeat(F.lit("lorem ipsum "), 100_000).alias("text"))
+    small = spark.range(100, 102).select(F.col("id").alias("doc_id"), F.lit("lorem ipsum lorem ipsum").alias("text"))
+    for more in (small, bulk):
+        found = suffix_tree.score(rows.unionByName(more), F.col("doc_id") != 3).where("doc_id = 3").first()
+        assert found["n_known"] == 4 and found["score"] > found["base_score"] + 1
+    assert found["train_tokens"] == 6_000_000 + 30 + 8 and found["score"] > -9
