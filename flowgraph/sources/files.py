@@ -69,17 +69,21 @@ def probe_footers(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     direct = materialize(_probe_directly(files), "footers")
     failed = direct.filter(F.col("error").isNotNull())
-    paths = [r["path"] for r in failed.select("path").limit(_BY_SPARK + 1).collect()]
-    if not paths or len(paths) > _BY_SPARK:
-        # So many failures have another cause than a store's client; they are reported as they are.
+    paths = [r["path"] for r in failed.select("path").collect()]
+    if not paths:
         return direct
-    whole = spark.read.format("binaryFile").load([p.replace("\\", "\\\\") for p in map(_no_glob, paths)])
-    again = whole.select("path", F.col("length").alias("size"), "content").mapInArrow(_probe_contents, _PROBE)
+    written = new_path(spark, "footers")
+    for start in range(0, len(paths), _BY_SPARK):
+        some = [p.replace("\\", "\\\\") for p in map(_no_glob, paths[start : start + _BY_SPARK])]
+        whole = spark.read.format("binaryFile").load(some)
+        read = whole.select("path", F.col("length").alias("size"), "content").mapInArrow(_probe_contents, _PROBE)
+        read.write.mode("append").parquet(written)
+    again = spark.read.schema(_PROBE).parquet(written)
     found = direct.filter(F.col("error").isNull()).unionByName(again)
     return found.unionByName(failed.join(again.select("path"), "path", "left_anti").select(found.columns))
 
 
-#: Files that Spark may read as a whole for the sake of their footer, in one probe.
+#: Files that Spark reads as a whole for the sake of their footer at a time, until none is left.
 _BY_SPARK = 10_000
 
 

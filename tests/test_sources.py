@@ -137,6 +137,18 @@ def test_stores_only_spark_can_read_are_probed_by_spark(spark, tmp_path):
     assert [(r["rows"], r["error"]) for r in probed] == [(4, None)] and probed[0]["path"].startswith("viewfs://")
 
 
+def test_any_number_of_files_goes_to_spark(spark, tmp_path, monkeypatch):
+    """More files than Spark reads at a time, one of them broken."""
+    monkeypatch.setattr(files, "_BY_SPARK", 2)
+    spark.range(10).repartition(5).write.parquet(str(tmp_path / "in"))
+    (tmp_path / "in" / "part-broken.parquet").write_bytes(b"no footer")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.many.link./in", f"file://{tmp_path}/in")
+    probed = files.probe_footers(files.list_files(spark, "viewfs://many/in", below=None)).collect()
+    assert len(probed) == 6 and sum(r["rows"] or 0 for r in probed) == 10
+    assert [r["path"].rsplit("/", 1)[1] for r in probed if r["error"]] == ["part-broken.parquet"]
+
+
 def test_later_files_win_whatever_their_size(spark, tmp_path):
     head = "cve_id,description,matched_mitre_id,severity_score,year\n"
     (tmp_path / "in").mkdir()
