@@ -203,10 +203,15 @@ def _(spark, sf):
 def _(spark, sf):
     """Each row is also compared with the one before it, in its partition and across the borders of partitions."""
     placed = sinks.cluster_by_range(inputs.flows(spark, sf), SORT_KEYS).select(*SORT_KEYS, "uid")
-    placed = materialize(placed.withColumn("at", F.monotonically_increasing_id()))
+    placed = materialize(placed.withColumn("at", F.monotonically_increasing_id())).withColumn("part", F.shiftright("at", 33))
     keys = F.struct(*SORT_KEYS)
-    before = F.lag(keys).over(Window.orderBy("at"))
-    return placed.withColumn("in_order", before.isNull() | (before <= keys)).drop("at")
+    last = materialize(placed.groupBy("part").agg(F.max_by(keys, "at").alias("last")))
+    parts = sorted(r["part"] for r in last.select("part").collect())
+    follows = spark.createDataFrame(list(zip(parts[1:], parts)), "after long, part long")
+    border = last.join(F.broadcast(follows), "part").select(F.col("after").alias("part"), "last")
+    before = F.coalesce(F.lag(keys).over(Window.partitionBy("part").orderBy("at")), F.col("last"))
+    placed = placed.join(F.broadcast(border), "part", "left")
+    return placed.withColumn("in_order", before.isNull() | (before <= keys)).drop("at", "part", "last")
 
 
 _LINKS = r"""links AS (

@@ -356,3 +356,13 @@ def test_pair_counts_cover_the_clean_rows(spark, sf):
     p = catalog_flows.pairs(spark, sf).agg(F.sum("connection_count")).first()[0]
     assert p == catalog_flows.clean(spark, sf).filter("src_ip_zeek IS NOT NULL AND dest_ip_zeek IS NOT NULL").count()
     assert inputs.flows(spark, sf).count() >= p
+
+
+@pytest.mark.parametrize("name", ["s11_sort_key"])
+def test_order_is_checked_without_one_task_for_all(spark, sf, name, capsys):
+    from checks import catalog
+
+    found = catalog.QUERIES[name](spark, sf)
+    found.explain()
+    assert "SinglePartition" not in capsys.readouterr().out
+    assert found.where("NOT in_order").isEmpty() and found.count() > 0
