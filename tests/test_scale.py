@@ -366,3 +366,12 @@ def test_order_is_checked_without_one_task_for_all(spark, sf, name, capsys):
     found.explain()
     assert "SinglePartition" not in capsys.readouterr().out
     assert found.where("NOT in_order").isEmpty() and found.count() > 0
+
+
+def test_places_are_numbered_without_one_task_for_all(spark, sf, capsys):
+    from checks import catalog
+
+    found = catalog.QUERIES["l1_sort_by_severity"](spark, sf)
+    found.explain()
+    assert "SinglePartition" not in capsys.readouterr().out
+    assert sorted(r["place"] for r in found.collect()) == list(range(1, found.count() + 1)) != []
