@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates
+from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -104,6 +104,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations))
+    return conversation_repair.with_all(repaired, conversations)
+
+
 QUERIES = {
     "op1_url_templates": op1_url_templates,
     "op2_suffix_tree": op2_suffix_tree,
@@ -115,9 +121,11 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
+    "op12_auction_repair": op12_auction_repair,
 }
 
 ORACLES = {
     "op5_topk": TOPK_SQL,
     "op1_url_templates": url_templates.duckdb_sql(URL_RULES),
+    "op12_auction_repair": conversation_repair.duckdb_sql(),
 }
