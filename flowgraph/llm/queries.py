@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates
+from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates, vector_near
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -110,6 +110,10 @@ def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.with_all(repaired, conversations)
 
 
+def op13_pigeonhole_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_near.link(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_url_templates": op1_url_templates,
     "op2_suffix_tree": op2_suffix_tree,
@@ -122,10 +126,12 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
     "op12_auction_repair": op12_auction_repair,
+    "op13_pigeonhole_join": op13_pigeonhole_join,
 }
 
 ORACLES = {
     "op5_topk": TOPK_SQL,
     "op1_url_templates": url_templates.duckdb_sql(URL_RULES),
     "op12_auction_repair": conversation_repair.duckdb_sql(),
+    "op13_pigeonhole_join": vector_near.DUCKDB_SQL,
 }
