@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, suffix_tree, token_count, topk, url_templates, vector_near
+from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, signature_search, suffix_tree, token_count, topk, url_templates, vector_near
 from flowgraph.llm.text import crc32_mod
 
 #: Folder of the public vocabularies, unless the environment or the caller names another.
@@ -104,6 +104,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_signature_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     repaired = conversation_repair.repair(conversation_repair.damage(conversations))
@@ -125,6 +129,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
+    "op11_signature_search": op11_signature_search,
     "op12_auction_repair": op12_auction_repair,
     "op13_pigeonhole_join": op13_pigeonhole_join,
 }
@@ -132,6 +137,7 @@ QUERIES = {
 ORACLES = {
     "op5_topk": TOPK_SQL,
     "op1_url_templates": url_templates.duckdb_sql(URL_RULES),
+    "op11_signature_search": signature_search.duckdb_sql(10),
     "op12_auction_repair": conversation_repair.duckdb_sql(),
     "op13_pigeonhole_join": vector_near.DUCKDB_SQL,
 }

@@ -100,8 +100,13 @@ def test_cells_hold_every_neighbour():
     assert max(np.bincount(list(at_home.values()))) < 300
 
 
-def test_pairs_are_not_emitted(spark):
-    rows = clustered(9, 16, 1, 400, 0.02)
-    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>")
-    made = vector_near._compare(0.98)
-    assert all(r["n_links"] > 150 for r in vector_near.link(df).collect()) and made is not None
+def test_a_group_of_pairs_is_returned_as_a_forest():
+    n, d = 500, 16
+    vectors = vector_near.units(np.random.default_rng(9).standard_normal((n, d)) * 0.01 + 1)
+    q = np.rint(vectors @ vector_near.rotation(d) * vector_near.UNIT).astype(np.int16)
+    group = vector_near.Group(np.arange(n), np.ones(n, bool), np.ones(n), vectors, q, 0, 0.98)
+    group.meet(np.arange(n), np.arange(n))
+    assert (group.links == n - 1).all() and (group.parent == 0).all()
+    later = vector_near.Group(np.arange(n), np.ones(n, bool), np.ones(n), vectors, q, 1, 0.98)
+    later.meet(np.arange(n), np.arange(n))
+    assert not later.links.any()  # every pair belongs to the first block
