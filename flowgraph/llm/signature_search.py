@@ -69,10 +69,12 @@ def name_of(words: pa.Array) -> np.ndarray:
 
 def places(names: np.ndarray, step: int, width: int) -> np.ndarray:
     """Slices (one column for each hash) that terms set for a step."""
-    x = (names ^ np.uint64(0x9E3779B97F4A7C15 * (step + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(31)
-    first, stride = x & np.uint64(0xFFFFFFFF), (x >> np.uint64(32)) | np.uint64(1)
-    return np.stack([((first + np.uint64(i) * stride) % np.uint64(width)).astype(np.int64) for i in range(HASHES)], axis=1)
+    out = []
+    for half in range(HASHES // 2):
+        x = (names ^ np.uint64(0x9E3779B97F4A7C15 * (HASHES * step + half + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        out += [(x & np.uint64(0xFFFFFFFF)) % np.uint64(width), (x >> np.uint64(32)) % np.uint64(width)]
+    return np.stack(out, axis=1).astype(np.int64)
 
 
 def gain(tf, m):

@@ -96,6 +96,6 @@ def test_bounds_are_bounds_and_tight():
                 for i, bound in zip(row["ids"], bounds.tolist()):
                     score = exact.get((first + j, i), 0)
                     assert bound >= score
-                    over += bound > 1.05 * score + 1
+                    over += bound > 1.3 * score + 1
                     seen += 1
     assert seen == len(docs) * len(items) and over < 0.05 * seen
