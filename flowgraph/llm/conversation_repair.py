@@ -34,6 +34,7 @@ from flowgraph.operators.numbering import global_row_number
 from flowgraph.session import materialize
 
 PIECE_ROWS = 128
+PIECES_A_TASK = 1000
 KEEP, REROLE, DELETE, INSERT = 0, 3, 4, 3
 #: Added to a truncated row that stays.
 TRUNCATED = 3
@@ -97,16 +98,19 @@ class Lattice:
         self.codes, self.ends, self.n = codes, ends, len(codes)
         self.sink = 4 * (self.n + 1)
         self.price = [0] * (self.sink + 1)
+        self.known: list = [None] * self.sink
         beyond = min(e for e in ends if e is not None)
         for row in range(self.n, -1, -1):
             beyond += LEAST[codes[row]] if row < self.n else 0
             self.price[4 * row : 4 * row + 4] = [beyond] * 4
 
     def arcs(self, node: int) -> list[tuple[str, int, int]]:
+        if self.known[node] is not None:
+            return self.known[node]
         row, state = divmod(node, 4)
-        out = [("I", INSERT, 4 * row + NEXT[state])]
+        out = self.known[node] = [("I", INSERT, 4 * row + NEXT[state])]
         if row < self.n:
-            out += [(letter, cost, 4 * row + 4 + after) for letter, cost, after in ARCS[self.codes[row]][state]]
+            out.extend((letter, cost, 4 * row + 4 + after) for letter, cost, after in ARCS[self.codes[row]][state])
         elif self.ends[state] is not None:
             out.append(("", self.ends[state], self.sink))
         return out
@@ -116,7 +120,10 @@ class Lattice:
         price, path = self.price, [origin]
         while path[-1] != self.sink:
             node = path[-1]
-            best, nearest = min((cost + price[after], after) for _, cost, after in self.arcs(node))
+            best, nearest = None, None
+            for _, cost, after in self.arcs(node):
+                if best is None or cost + price[after] < best:
+                    best, nearest = cost + price[after], after
             if price[node] < best:
                 price[node] = best
                 if len(path) > 1:
@@ -323,7 +330,8 @@ def repair(
     placed = pieces.join(whole, F.col("conv").eqNullSafe(F.col("c"))).drop("c", "gaps")
 
     short = placed.where("first_piece = last_piece").select("conv", "piece", "at", "codes", "first_piece", F.array(*map(F.lit, ACCEPT)).cast("array<bigint>").alias("ends"))
-    long = placed.where("first_piece < last_piece").select("conv", "piece", "at", "codes", "first_piece")
+    tasks = -(-pieces.count() // PIECES_A_TASK)  # rows are small and the work on each is not
+    long = placed.where("first_piece < last_piece").select("conv", "piece", "at", "codes", "first_piece").repartition(max(1, tasks), "conv", "piece")
     steps = _each_piece(long.drop("first_piece"), "steps array<bigint>", lambda b: {"steps": pa.array([transfer(c) for c in b["codes"]], pa.list_(pa.int64()))})
     steps = steps.select("conv", "piece", "steps").repartition("conv").sortWithinPartitions("conv", F.desc("piece"))
     kind = pieces.schema["conv"].dataType.simpleString()
