@@ -64,6 +64,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Drops the shuffle files of an execution when it ends; a written table is never computed again.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str, compression: str | None) -> DataFrame:
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        (df.write.option("compression", compression) if compression else df.write).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
@@ -71,6 +86,35 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     job.  The copy survives the loss of any executor, later steps read only the columns they
     need, and the planner knows its size.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, new_path(df.sparkSession, name), None)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever filesystem it is; nothing happens if there is none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one run, each dropped after its last reader."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._tables: list[tuple[DataFrame, str]] = []
+
+    def write(self, df: DataFrame, name: str = "step") -> DataFrame:
+        """As :func:`materialize`, compressed with zstd and known to :meth:`drop`."""
+        path = new_path(self.spark, name)
+        out = _write(df, path, "zstd")
+        self._tables.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Delete these tables of the run; what is none of them is left alone."""
+        for table in tables:
+            for known, path in [entry for entry in self._tables if entry[0] is table]:
+                delete_path(self.spark, path)
+                self._tables.remove((known, path))
+
+    def drop_all(self, but: DataFrame | None = None) -> None:
+        self.drop(*(table for table, _ in list(self._tables) if table is not but))
