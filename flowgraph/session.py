@@ -116,5 +116,8 @@ class Scratch:
                 delete_path(self.spark, path)
                 self._tables.remove((known, path))
 
+    def tables(self) -> list[DataFrame]:
+        return [table for table, _ in self._tables]
+
     def drop_all(self, but: DataFrame | None = None) -> None:
-        self.drop(*(table for table, _ in list(self._tables) if table is not but))
+        self.drop(*(table for table in self.tables() if table is not but))
