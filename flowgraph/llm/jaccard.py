@@ -11,7 +11,7 @@ compared with two sets of it, and links join components; a list whose sets are i
 in different components are then compared with each other: on short lists by a join, on long ones in blocks, inside tasks,
 which give away only pairs with enough shared first members.  What is left is decided exactly on the whole sets.
 
-N-grams are 64-bit hashes, and so are the names of classes.  The order by frequency comes from a sample of the documents and
+N-grams are 64-bit hashes, and so are the names of classes, by which sets are taken for equal.  The order by frequency comes from a sample of the documents and
 only affects cost: any order gives the same links.
 
 A null or blank text has no n-gram and is linked with nothing; a text of fewer words is one n-gram.  Repeated rows are equal
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from flowgraph.llm.components import components
 from flowgraph.llm.text import map_texts, split_words
-from flowgraph.session import materialize
+from flowgraph.session import Scratch
 
 #: One document of so many gives its n-grams to the estimate of frequencies; with so many sampled it counts as frequent.
 SAMPLE = 8
@@ -97,7 +97,7 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def _frequent(docs: DataFrame, width: int) -> np.ndarray:
+def _frequent(docs: DataFrame, width: int, scratch: Scratch) -> np.ndarray:
     """Hashes of frequent n-grams, in order."""
     sampled = docs.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(SAMPLE)) == 0)
 
@@ -110,7 +110,7 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
 
     counts = map_texts(sampled, "text", [], [T.StructField("gram", T.LongType())], make).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where("n > 1")
-    counts = materialize(counts, "gram-counts")
+    counts = scratch.write(counts, "gram-counts")
     by_size = counts.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.count(F.lit(1)).alias("grams"))
     sizes = sorted(by_size.collect(), key=lambda r: -r["size"])
     least, kept = 1 << 62, 0
@@ -120,13 +120,13 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
         kept += row["grams"]
         least = max(FREQUENT, 1 << int(row["size"]))
     found = counts.where(F.col("n") >= least).select("gram").toArrow().column("gram").to_numpy()
+    scratch.drop(counts)
     return np.sort(found.view(np.uint64))
 
 
 FEATURES = [
     T.StructField("n", T.LongType()),
     T.StructField("set", T.LongType()),
-    T.StructField("check", T.LongType()),
     T.StructField("first", T.ArrayType(T.LongType(), False)),
 ]
 
@@ -136,7 +136,7 @@ def _class_names(members: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(id, n, set, check, first): size, name and checksum of the set, and its first members in the global order."""
+    """(id, n, set, first): size and name of the set, and its first members in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
@@ -157,7 +157,6 @@ def _features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
             return {
                 "n": n,
                 "set": _class_names(grams, ends).view(np.int64),
-                "check": _sums(_mix(grams, 103), ends).view(np.int64),
                 "first": pa.ListArray.from_arrays(where, pa.array(grams[chosen].view(np.int64))),
             }
 
@@ -330,8 +329,8 @@ def _long_lists(postings: DataFrame, classes: DataFrame, percent: int, sets: Dat
 class _Search:
     """Links found so far, and the steps that find more."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
-        self.docs, self.classes, self.width, self.percent = docs, classes, width, percent
+    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int, scratch: Scratch):
+        self.scratch, self.docs, self.classes, self.width, self.percent = scratch, docs, classes, width, percent
         self.links = self.labels = None
         self.new = 0  # links that the labels do not know yet
 
@@ -342,21 +341,23 @@ class _Search:
 
     def test(self, pairs: DataFrame, hot: DataFrame | None = None) -> None:
         """Adds the links among ``pairs`` (a < b) and on the ``hot`` lists, and joins components by all links."""
-        pairs = materialize(pairs, "pairs")
+        pairs = self.scratch.write(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set")))
         if hot is not None:
             wanted = wanted.unionByName(hot.select("set"))
         wanted = self.classes.join(wanted.distinct(), "set", "left_semi").select("set", "id")
-        sets = materialize(_sets(self.docs, wanted, self.width), "sets")
+        sets = self.scratch.write(_sets(self.docs, wanted, self.width), "sets")
         if hot is not None:
             self.add(_long_lists(hot, self.classes, self.percent, sets))
         self.add(_linked(pairs, sets, self.percent))
+        self.scratch.drop(pairs, sets)
         if self.new:
-            self.labels, self.new = components(self.links), 0
+            self.scratch.drop(self.labels)
+            self.labels, self.new = components(self.links, scratch=self.scratch), 0
 
     def add(self, links: DataFrame) -> None:
         """Keeps ``links`` (a < b)."""
-        found = materialize(links, "links")
+        found = self.scratch.write(links, "links")
         n = found.count()
         if n:
             self.links = found if self.links is None else self.links.unionByName(found)
@@ -368,53 +369,80 @@ def _pair(one: str, other: str):
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, without those linked with a row of smaller id; of linked rows of one id one stays.
+    """The rows of ``docs``, all columns, of which one of each group of linked rows stays: the one of the smallest id.
 
-    Rows without n-grams, or without an id, all stay.
+    Where several rows of a group have that id, that of the least set name stays.  Rows without n-grams, or without an id, all
+    stay.
     """
-    found = link(docs, id, text, width, percent).where("set is not null").withColumnRenamed(id, "linked_id")
-    judged = found.groupBy("linked_id", F.col("set").alias("linked_set")).agg(F.count(F.lit(1)).alias("copies"), F.min("component_id").alias("stays"))
-    judged = materialize(judged.where("stays <> linked_id or copies > 1"), "judged")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    scratch = Scratch(docs.sparkSession)
+    found = _components(docs, id, text, width, percent, scratch).where("set is not null and id is not null")
+    first = found.groupBy("component").agg(F.min(F.struct("id", "set")).alias("first"))
+    judged = found.join(first, "component").select("id", "set", (F.struct("id", "set") == F.col("first")).alias("stays"))
+    judged = scratch.write(judged, "groups")
+    # Ids of one row are judged by id alone; of an id's several rows, the sets must be told apart.
+    per_id = judged.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.max("stays").alias("stays"))
+    per_id = scratch.write(per_id.where("rows > 1 or not stays").select(F.col("id").alias("judged_id"), (F.col("rows") > 1).alias("several")), "judged")
+    left = docs.join(per_id.select("judged_id"), F.col(f"`{id}`") == F.col("judged_id"), "left_anti")
+    if not per_id.where("several").limit(1).count():
+        scratch.drop_all(but=per_id)
+        return left
+    several = per_id.where("several").select("judged_id")
+    kept = judged.where("stays").join(several, F.col("id") == F.col("judged_id"), "left_semi").select(F.col("id").alias("kept_id"), F.col("set").alias("kept_set"))
+    kept = scratch.write(kept.distinct(), "kept")
+    scratch.drop(*(t for t in scratch.tables() if t is not per_id and t is not kept))
+    rows = docs.join(several, F.col(f"`{id}`") == F.col("judged_id"))
+    rows = rows.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), "judged_id", docs[f"`{text}`"].alias("text"))
 
     def make():
         def apply(texts):
             ends, grams = shingle_sets(texts, width)
-            return {"set": _class_names(grams, ends).view(np.int64)}
+            return {"n": np.diff(ends), "set": _class_names(grams, ends).view(np.int64)}
 
         return apply
 
-    rows = map_texts(rows, "text", ["row", "id"], [T.StructField("set", T.LongType())], make)
-    rows = rows.join(judged, (F.col("id") == F.col("linked_id")) & (F.col("set") == F.col("linked_set")), "left")
-    left = rows.where("stays is null")
-    if judged.where("copies > 1").limit(1).count():
-        left = left.unionByName(rows.where("stays = id").dropDuplicates(["id", "set"]))
-    return left.select("row.*")
+    rows = map_texts(rows, "text", ["row", "judged_id"], [T.StructField("n", T.LongType()), T.StructField("set", T.LongType())], make)
+    ones = rows.where("n > 0").join(kept, (F.col("judged_id") == F.col("kept_id")) & (F.col("set") == F.col("kept_set")), "left_semi")
+    ones = ones.dropDuplicates(["judged_id", "set"])
+    return left.unionByName(rows.where("n = 0").select("row.*")).unionByName(ones.select("row.*"))
 
 
 def link(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, set, component_id) of every row; ``set`` names the class of equal sets (null without one)."""
+    scratch = Scratch(docs.sparkSession)
+    found = _components(docs, id, text, width, percent, scratch)
+    component = F.when(F.col("set").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
+    result = scratch.write(found.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "set", component.alias("component_id")), "linked")
+    scratch.drop_all(but=result)
+    return result
+
+
+def _components(docs: DataFrame, id: str, text: str, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(id, n, set, component, component_id) of every row: its group's name and smallest id, null without a set."""
     docs = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    frequent = _frequent(docs, width)
-    features = materialize(_features(docs, width, percent, frequent), "features")
+    frequent = _frequent(docs, width, scratch)
+    features = scratch.write(_features(docs, width, percent, frequent), "features")
     full = features.where("n > 0")
     classes = full.groupBy("set").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "first")))
-    classes = materialize(classes, "classes")
+    classes = scratch.write(classes, "classes")
+    members = scratch.write(features.select("id", "n", F.when(F.col("n") > 0, F.col("set")).alias("set")), "members")
+    scratch.drop(features)
     sizes = classes.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()
     counts = {r["n"]: r["k"] for r in sizes}
     mean = _list_length(classes)
     border = light_border(counts, mean, percent)
     postings = _postings(classes, border, percent)
-    shared_keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
-    postings = materialize(postings.join(shared_keys, "key"), "postings")
-    search = _Search(docs, classes, width, percent)
-    before = None
+    shared_keys = scratch.write(postings.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "keys")
+    every, postings = shared_keys, scratch.write(postings.join(shared_keys, "key"), "postings")
+    scratch.drop(every)
+    search = _Search(docs, classes, width, percent, scratch)
+    before, lists = None, None
     while True:
         now = search.labelled(postings)
         per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("set"))
         one = F.struct("component", "set")
+        scratch.drop(lists)
         lists = per.groupBy("key").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.sum("m").alias("k"), F.sum(F.col("m") * F.col("m")).alias("same"))
-        lists = materialize(lists.where("low.component < high.component"), "lists")
+        lists = scratch.write(lists.where("low.component < high.component"), "lists")
         pairs = F.sum(F.col("k") * F.col("k") - F.col("same")).alias("pairs")
         size = lists.agg(F.sum("k").alias("k"), pairs, F.max("k").alias("longest")).first()
         if not size["k"]:
@@ -427,19 +455,18 @@ def link(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5
         pairs = now.join(lists, "key").select("set", "component", leaders).where("component <> leader.component").select(*_pair("set", "leader.set"))
         search.test(_bounded(pairs.distinct(), classes, percent))
     if size["k"]:
-        left = materialize(now.join(lists.select("key", "k"), "key"), "postings")
+        left = scratch.write(now.join(lists.select("key", "k"), "key"), "postings")
+        scratch.drop(postings, lists)
         short, long = left.where(F.col("k") <= SHORT_LIST), left.where((F.col("k") > SHORT_LIST) & (F.col("k") <= HOT_LIST))
         pairs = _bounded(_short_lists(short, percent), classes, percent).unionByName(_long_lists(long, classes, percent)).distinct()
         hot = left.where(F.col("k") > HOT_LIST) if size["longest"] > HOT_LIST else None
         search.test(pairs, hot)
+        scratch.drop(left)
     if search.labels is None:
-        named = classes.select("set", F.col("id").alias("component_id"))
+        named = classes.select("set", F.col("set").alias("component"), F.col("id").alias("component_id"))
     else:
-        labelled = classes.join(search.labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+        labelled = classes.select("set", "id").join(search.labels.withColumnRenamed("node", "set"), "set", "left")
+        labelled = labelled.withColumn("component", F.coalesce("component", "set"))
         least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-        named = labelled.join(least, "component").select("set", "component_id")
-    linked = features.join(named, "set", "left")
-    return linked.select(
-        F.col("id").alias(id), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("set")).alias("set"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-    )
+        named = labelled.join(least, "component").select("set", "component", "component_id")
+    return members.join(named, "set", "left").select("id", "n", "set", "component", "component_id")

@@ -272,3 +272,68 @@ def test_urls_as_in_sql(spark, sf_dir):
     con = compare.duck(sf_dir)
     for name, sql in queries.ORACLES.items():
         assert compare.difference(queries.QUERIES[name](spark, sf_dir), con, sql) is None
+
+
+def test_deep_paths_are_told_apart(spark):
+    """Sections that differ below the fourth segment only, each with its own rule, and a path that is alone."""
+    urls = [f"http://h.org/a/b/c/d/{part}/x{'abcdefgh'[i % 8]}{'klmno'[i // 8]}" for part in ("good", "bad") for i in range(40)]
+    rules = [("h.org/a/b/c/d/good/xa", "allow"), ("h.org/a/b/c/d/bad/xa", "block"), ("h.org/a/b/c/d/bad/xb", "block")]
+    urls += ["http://h.org/" + "s/" * 3000 + "end", "http://deep.org/" + "q" * 20_000, None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in url_templates.judge_urls(pages, rules).collect()}
+    assert [found[i] for i in range(40)] == ["allow"] * 40 and [found[i] for i in range(40, 80)] == ["block"] * 40
+    assert found[80] == found[81] == found[82] == "allow"
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    connection.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+    plain = connection.execute(url_templates.duckdb_sql(rules)).fetchall()
+    assert {r[0]: r[4] for r in plain} == found
+
+
+def test_one_host_holds_most_urls(spark):
+    pages = spark.range(30_000).selectExpr("id page_id", "if(id % 3 = 0, concat('http://rare', id % 50, '.org/p'), concat('http://hot.com/s', substr('abcdefg', cast(id % 7 as int) + 1, 1), '/', id)) url")
+    found = url_templates.judge_urls(pages, [("hot.com/sb/", "block")]).groupBy("verdict").count().collect()
+    assert {r["verdict"]: r["count"] for r in found} == {"block": sum(i % 3 != 0 and i % 7 == 1 for i in range(30_000)), "allow": sum(i % 3 == 0 or i % 7 != 1 for i in range(30_000))}
+
+
+def test_written_out_addresses_are_candidates_as_a_whole():
+    text = "write to john.doe99 [at] mail.example.co.uk or 4 5 3 9 1 4 8 8 0 3 4 3 6 4 6 7 now"
+    borders_of = lambda a, b: pii.segments(text, a, b)
+    whole = {text.index("john"): text.index(" or"), text.index("4 5"): text.index(" now")}
+    found = {}
+    for a, b in pii.islands(text):
+        borders, spans, _ = borders_of(a, b)
+        found |= {(borders[i], borders[j]): True for i, j in spans}
+    assert all((a, b) in found for a, b in whole.items())
+    long = "x1" * 5000 + "@" + "y2." * 5000
+    (a, b), *more = pii.islands(long)
+    assert not more and a == 10_000 - pii.MAX_TOKENS and len(pii.segments(long, a, b)[1]) < 10_000
+
+
+def test_linked_texts_under_one_id_leave_one(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words[:-1] + ["other"])
+    rows = [(5, " ".join(words)), (5, near), (5, near), (7, near), (5, "one two three four five six"), (9, "lone words"), (None, near), (5, ""), (6, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = jaccard.one_of_each(docs).collect()
+    assert sorted(r["doc_id"] for r in left if r["doc_id"] is not None) == [5, 5, 5, 6, 9] and len(left) == 6
+    fives = [r["text"] for r in left if r["doc_id"] == 5]
+    assert "" in fives and "one two three four five six" in fives and sum(t in (near, rows[0][1]) for t in fives) == 1
+
+
+def test_a_join_leaves_no_table_but_its_result(spark, documents):
+    import os
+
+    from flowgraph.session import shared_dir
+
+    def tables():
+        return {n for n in os.listdir(shared_dir(spark).removeprefix("file:")) if "-" in n}
+
+    before = tables()
+    jaccard.link(documents).count()
+    assert {n.rsplit("-", 1)[0] for n in tables() - before} == {"linked"}
+    before = tables()
+    jaccard.one_of_each(documents).count()
+    assert {n.rsplit("-", 1)[0] for n in tables() - before} == {"judged"}
