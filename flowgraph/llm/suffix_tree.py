@@ -28,13 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgraph.llm.text import slices, small_batches, split_words
-from flowgraph.session import new_path
+from flowgraph.session import Scratch
 
 DEPTH = 3
 #: Times that a context, and a next token together with it, must occur in the training texts.
 LEAST = 2
-#: Share of all training tokens that they must make up besides: none, whatever the corpus.
-MIN_SHARE = 0.0
 #: Weight, in counts, of the suffix's distribution in a context's.
 SMOOTHING = 1.0
 #: Text in one block, and text for each bucket of what is asked.
@@ -44,20 +42,6 @@ BUCKET_BYTES = 4 << 20
 END, START = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    # Shuffle files of a finished write go when the driver collects its garbage, which it seldom does by itself.
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def _drop(spark, path: str) -> None:
-    """Delete a table of this run that nothing reads any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _squeezed(x: np.ndarray) -> bytes:
     """The array compressed, first bytes of all numbers together, then the second ones, and so on."""
     raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
@@ -288,7 +272,7 @@ def _pairs(blocks: DataFrame, ends: int) -> DataFrame:
     return blocks.drop("ids").mapInArrow(run, schema)
 
 
-def _grown(pairs: DataFrame, unit: float) -> DataFrame:
+def _grown(pairs: DataFrame, unit: float, scratch: Scratch) -> DataFrame:
     """(context, left) of the retained contexts, with what each leaves to its suffix."""
     contexts, suffixes, levels = None, None, []
     adds = F.col("n") / (F.col("total") + SMOOTHING)
@@ -296,8 +280,9 @@ def _grown(pairs: DataFrame, unit: float) -> DataFrame:
         # p is the probability of the next token after the context's suffix.
         rows = pairs.where(F.col("level") == level)
         rows = rows.join(suffixes, "suffix") if level else rows.withColumn("p", (F.col("following") + 1) / F.lit(unit))
-        rows, path = _written(rows.select("pair", "context", "n", "total", "p"), "level")
-        levels.append(path)
+        rows = scratch.write(rows.select("pair", "context", "n", "total", "p"), "level")
+        scratch.drop(*levels)
+        levels.append(rows)
         named = rows.groupBy("context").agg(F.sum("n").alias("named"), F.count("*").alias("entries"))
         left = (F.col("total") - F.col("named") + SMOOTHING) / (F.col("total") + SMOOTHING)
         gains = rows.join(named, "context").withColumn("left", left).groupBy("context").agg(
@@ -306,12 +291,11 @@ def _grown(pairs: DataFrame, unit: float) -> DataFrame:
         )
         gain = F.col("gain") + (F.col("total") - F.col("named")) * F.log("left")
         keep = gain > 0.5 * F.col("entries") * F.log(F.greatest(F.col("total"), F.lit(2)).cast("double"))
-        kept, _ = _written(gains.where(keep).select("context", "left"), "contexts")
+        kept = scratch.write(gains.where(keep).select("context", "left"), "contexts")
         contexts = kept if contexts is None else contexts.unionByName(kept)
         after = F.coalesce(F.col("left") * F.col("p") + adds, F.col("p"))
         suffixes = rows.join(kept, "context", "left").select(F.col("pair").alias("suffix"), after.alias("p"))
-    for path in levels:
-        _drop(pairs.sparkSession, path)
+    scratch.drop(*levels)
     return contexts
 
 
@@ -352,19 +336,20 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     size = named.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.col("trained").cast("long")).alias("trained")).first()
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
     ends = size["trained"] or 0
-    blocks, path = _written(_blocks(named), "blocks")
+    scratch = Scratch(spark)
+    blocks = scratch.write(_blocks(named), "blocks")
     tokens = blocks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     for size in range(DEPTH + 1):
-        asked, before = _asked(blocks, size, buckets), path
-        blocks, path = _written(_with_counts(blocks, _counted(asked), size), "blocks")
-        _drop(spark, before)
+        replies = scratch.write(_counted(_asked(blocks, size, buckets)), "counts")
+        before, blocks = blocks, scratch.write(_with_counts(blocks, replies, size), "blocks")
+        scratch.drop(before, replies)
         if size == 0:
             distinct = blocks.agg(F.sum("distinct").alias("v")).first()["v"] or 0
     unit = float(tokens + distinct + 1)
-    pairs, pairs_path = _written(_pairs(blocks, ends), "pairs")
-    contexts = _grown(pairs, unit)
-    _drop(spark, pairs_path)
-    lefts, _ = _written(_lefts(blocks, contexts, ends, buckets), "lefts")
+    pairs = scratch.write(_pairs(blocks, ends), "pairs")
+    contexts = _grown(pairs, unit, scratch)
+    scratch.drop(pairs)
+    lefts = scratch.write(_lefts(blocks, contexts, ends, buckets), "lefts")
     result = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("trained", T.BooleanType())])
     for column, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         result.add(column, kind)
@@ -394,5 +379,6 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
         return pa.concat_tables(parts)
 
     asked = lefts.select(F.col("block").alias("of"), "bucket", "data")
-    rows = blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(scored, result)
+    rows = scratch.write(blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(scored, result), "scored")
+    scratch.drop_all(but=rows)
     return rows.select(F.col("id").alias(id), "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -78,13 +78,12 @@ def edit_occurrence(pattern, text):
     return min(row), row.index(min(row))
 
 
-def suffix_tree_scores(rows, depth, share, smoothing):
+def suffix_tree_scores(rows, depth, least, smoothing):
     """{id: (held out, n_tokens, n_known, N, base, score)} of (id, text) rows with unique ids."""
     held = {i: remainder(i, 7) == 2 for i, _ in rows}
     texts = {i: words(t) + ["\n"] for i, t in rows}
     count = collections.Counter(w for i, t in texts.items() if not held[i] for w in t)
     total = sum(count.values())
-    least = max(2, math.ceil(share * total))
 
     def root(w):
         return (count[w] + 1) / (total + len(count) + 1)

@@ -36,9 +36,13 @@ def test_gradient_of_the_likelihood():
     assert (prob.argmax(axis=1) == labels).all()
 
 
-def test_suffix_tree_is_that_of_plain_counting(spark, documents, sf_dir):
+@pytest.mark.parametrize("block_bytes,bucket_bytes", [(6 << 20, 4 << 20), (20_000, 100_000)])
+def test_suffix_tree_is_that_of_plain_counting(spark, documents, sf_dir, monkeypatch, block_bytes, bucket_bytes):
+    """In one block, and in many that hand counts to each other and share their frequent words."""
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", bucket_bytes)
     rows = [(r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect()]
-    plain = suffix_tree_scores(rows, suffix_tree.DEPTH, suffix_tree.MIN_SHARE, suffix_tree.SMOOTHING)
+    plain = suffix_tree_scores(rows, suffix_tree.DEPTH, suffix_tree.LEAST, suffix_tree.SMOOTHING)
     found = queries.op2_suffix_tree(spark, sf_dir).collect()
     assert len(found) == len(plain)
     for r in found:
