@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 from flowgraph.llm.text import map_texts
 from flowgraph.session import materialize
 
-#: Distinct parts whose ids a worker remembers before it starts afresh (a cache, no limit on what is tokenized).
+#: Distinct parts whose ids a worker remembers before it starts afresh, and the longest of them (a cache, no limit on what
+#: is tokenized).
 CACHE = 150_000
+CACHED_LENGTH = 64
 
 PIECE_FIELDS = [
     T.StructField("start", T.LongType()),
@@ -85,17 +87,23 @@ class _Encoder:
             if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
                 found = known.get(core)
                 if found is None:
-                    found = known[core] = self._word(core)
+                    found = self._word(core)
+                    if len(core) <= CACHED_LENGTH:
+                        known[core] = found
                 if len(core) < len(low):
                     tail = low[len(core) :]
                     end = known.get(tail)
                     if end is None:
-                        end = known[tail] = self._whole(tail)
+                        end = self._whole(tail)
+                        if len(tail) <= CACHED_LENGTH:
+                            known[tail] = end
                     found = found + end
             else:
                 found = known.get(part)
                 if found is None:
-                    found = known[part] = self._whole(part)
+                    found = self._whole(part)
+                    if len(part) <= CACHED_LENGTH:
+                        known[part] = found
             raw.append(found)
         sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         return np.frombuffer(b"".join(raw), np.int32), sizes
@@ -105,6 +113,23 @@ def ids_list(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
 
+def ids_packed(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The ids of each piece compressed, first bytes of all numbers together, then the second ones, and so on."""
+    planes = ids.astype("<i4").view(np.uint8).reshape(-1, 4)
+    packed = [pa.compress(planes[a:b].T.tobytes(), "zstd", asbytes=True) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return pa.array(packed, pa.binary())
+
+
+def ids_unpacked(packed: pa.Array, length: np.ndarray) -> pa.Array:
+    """What ``ids_packed`` was made of, as lists; ``length`` holds their numbers of ids."""
+    parts = []
+    for data, n in zip(packed, length.tolist()):
+        planes = np.frombuffer(pa.decompress(data.as_py(), 4 * n, "zstd", asbytes=True), np.uint8)
+        parts.append(np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel())
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    return ids_list(flat.astype(np.int32), np.concatenate([[0], np.cumsum(length)]))
+
+
 def ids_crc32(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     """crc32 of each piece's ids as unsigned little-endian 32-bit numbers."""
     raw = memoryview(ids.astype("<u4").tobytes())
@@ -238,15 +263,18 @@ def _table(plans: list[tuple[int, dict[int, int]]], window: int) -> dict[str, np
     return dict(zip(("length", "rank", "copies", "sequence", "offset"), cols))
 
 
-def place(pieces: DataFrame, window: int) -> DataFrame:
-    """``pieces`` (with length, task and rank) with sequence_id and offset in place of task and rank."""
+def place(pieces: DataFrame, window: int, packed: bool = False) -> DataFrame:
+    """``pieces`` (with length, task and rank) with sequence_id and offset in place of task and rank.
+
+    Ids that are ``packed`` are moved as they are and unpacked at the end.
+    """
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = _table(plan(counts, window), window)
     shared = pieces.sparkSession.sparkContext.broadcast(table)
-    schema = T.StructType([f for f in pieces.schema if f.name not in ("task", "rank")])
+    schema = T.StructType([IDS if packed and f.name == IDS.name else f for f in pieces.schema if f.name not in ("task", "rank")])
     schema = schema.add("sequence_id", "long").add("offset", "long")
     ranked = pieces.join(bases, ["length", "task"]).select(
         *(f.name for f in schema.fields[:-2]), (F.col("rank") + F.col("base")).alias("rank")
@@ -264,6 +292,8 @@ def place(pieces: DataFrame, window: int) -> DataFrame:
             sequence = t["sequence"][row] + copy // t["copies"][row]
             offset = t["offset"][row] + copy % t["copies"][row] * length
             columns = [batch.column(f.name) for f in schema.fields[:-2]]
+            if packed:
+                columns = [ids_unpacked(c, length) if f.name == IDS.name else c for f, c in zip(schema.fields, columns)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], schema.names)
 
     return ranked.mapInArrow(run, schema)
@@ -275,6 +305,9 @@ def pack(
 ) -> DataFrame:
     """Pieces and their places: (id, start, length, doc_tokens, ids, sequence_id, offset).
 
-    The pieces are written once, with what they carry, before their lengths are counted.
+    The pieces are written once, with what they carry, before their lengths are counted; ids are compressed meanwhile.
     """
-    return place(materialize(cut(docs, tokenizer, end_id, window, id, text, carry, carried), "pieces"), window)
+    packed = carry == IDS
+    if packed:
+        carry, carried = T.StructField(IDS.name, T.BinaryType()), ids_packed
+    return place(materialize(cut(docs, tokenizer, end_id, window, id, text, carry, carried), "pieces"), window, packed)
