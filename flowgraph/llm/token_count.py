@@ -22,8 +22,10 @@ from flowgraph.llm.text import map_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Distinct parts whose counts a task remembers before it starts afresh (a cache, no limit on what is counted).
+#: Distinct parts whose counts a task remembers before it starts afresh, and the longest of them (a cache, no limit on what
+#: is counted).
 CACHE = 1_000_000
+CACHED_LENGTH = 64
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -145,7 +147,9 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id: str =
             for i, part in enumerate(parts.to_pylist()):
                 n = known.get(part)
                 if n is None:
-                    n = known[part] = counter.count(MARK + part)
+                    n = counter.count(MARK + part)
+                    if len(part) <= CACHED_LENGTH:
+                        known[part] = n
                 sizes[i] = n
             sums = np.concatenate([[0], np.cumsum(sizes[codes])])
             return {"n_tokens": sums[ends[1:]] - sums[ends[:-1]], "n_parts": ends[1:] - ends[:-1]}
@@ -156,12 +160,12 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id: str =
     return map_texts(docs, text, [id], fields, make)
 
 
-_COUNTERS: dict[int, UnigramCounter] = {}
+_COUNTERS: dict[tuple, UnigramCounter] = {}
 
 
 def _worker_counter(shared) -> UnigramCounter:
-    """One automaton and one cache for each Python worker, which serves many tasks."""
-    key = hash(tuple(shared.value[::97])) ^ len(shared.value)
+    """One automaton and one cache for each Python worker, which serves many tasks; another vocabulary has its own."""
+    key = tuple(shared.value)
     if key not in _COUNTERS:
         _COUNTERS.clear()
         _COUNTERS[key] = UnigramCounter(shared.value)

@@ -135,3 +135,22 @@ def test_packed_ids_and_edges(spark, awkward, nothing):
     assert all(len(r["ids"]) == r["length"] for r in found)
     assert [r["ids"] for r in found if r["doc_id"] == 1] == [[2]]
     assert len([r for r in found if r["doc_id"] == 5]) == 2
+
+
+def test_each_vocabulary_has_its_own_counter(spark):
+    """Two vocabularies that differ in one score, one after the other on the same workers."""
+    docs = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
+    for score, tokens in ((-1.0, 1), (-50.0, 3)):
+        vocabulary = [("<unk>", 0.0), ("▁ab", score), ("▁", -2.0), ("a", -2.0), ("b", -2.0)]
+        assert token_count.count_tokens(docs, vocabulary).first()["n_tokens"] == tokens
+
+
+def test_long_parts_are_not_kept():
+    encoder = packing._Encoder(queries.tokenizer_json())
+    ids, sizes = encoder.ids(["x" * 500, "x" * 500 + "!", "short", "1" * 300])
+    assert set(encoder.known) == {"short", "!"} and len(sizes) == 4
+
+
+def test_packed_ids_come_back():
+    ids, ends = np.arange(0, 200_000, 777, dtype=np.int32), np.array([0, 0, 3, 200, 258])
+    assert packing.ids_unpacked(packing.ids_packed(ids, ends), np.diff(ends)).to_pylist() == packing.ids_list(ids, ends).to_pylist()
