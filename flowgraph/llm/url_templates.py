@@ -3,13 +3,15 @@
 Each host has a tree over the segments of its paths.  Level by level a segment that few of its node's urls share becomes
 the wildcard ``*``, and siblings whose labelled block rate cannot be told from their node's share one branch ``~``.  Runs
 of digits are ``#`` from the start.  A finished template is rejected when its labelled urls, smoothed by the rate over all
-hosts, are mostly blocked; hand-written rules label urls and always decide their own.
+hosts, are mostly blocked; hand-written rules label urls and always decide their own.  The tree is grown
+as deep as paths share nodes; all segments that a path has left alone are judged at once, as they have the same counts.
 
 The tree is grown on distinct (host, shape) rows with counts, never on urls, and every step is a partial aggregation or a
 join by (host, prefix, ...), so a host with a third of all urls is cut by partial sums and adaptive skew joins.
 
 A null url, or one without ``://``, has an empty host and path; an empty path has the template of its host's root.
-Repeated rows are judged each; an empty table gives an empty table; other columns are not read.
+Urls of any length are judged whole.  Repeated rows are judged each; an empty table gives an empty table; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -19,10 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowgraph.session import materialize
+from flowgraph.session import Scratch
 
-#: Levels of the tree; deeper segments of a path share one last branch.
-DEPTH = 4
 #: A segment stays literal with this many urls, and this share of its node's urls.
 MIN_URLS = 5
 MIN_SHARE = 0.02
@@ -56,37 +56,42 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
 
 
 def _grown(tree: DataFrame, level: int) -> DataFrame:
-    """``tree`` with its prefix longer by the branch that each row takes at ``level``."""
-    seg = f"s{level}"
+    """``tree`` with one more segment in the prefix of each path that has no template yet, and templates where paths end."""
+    parts = F.split("shape", "/", -1)
+    done = tree.where("template is not null")
+    paths = tree.where("template is null").withColumn("seg", F.get(parts, F.lit(level)))
     sums = [F.sum(c).alias(c) for c in ("urls", "blocked", "labelled")]
-    children = tree.where(F.col(seg).isNotNull()).groupBy("host", "prefix", seg).agg(*sums)
-    nodes = children.groupBy("host", "prefix").agg(*(F.sum(c).alias(f"all_{c}") for c in ("urls", "blocked", "labelled")))
+    children = paths.groupBy("host", "prefix", "seg").agg(*sums, F.count(F.lit(1)).alias("shapes"))
+    totals = [F.sum(c).alias(f"all_{c}") for c in ("urls", "blocked", "labelled", "shapes")]
+    nodes = children.groupBy("host", "prefix").agg(*totals)
     rate = F.col("all_blocked") / F.col("all_labelled")
     apart = F.abs(F.col("blocked") / F.col("labelled") - rate)
-    branch = (
-        F.when(F.col("urls") < F.greatest(F.lit(float(MIN_URLS)), MIN_SHARE * F.col("all_urls")), "*")
-        .when((F.col("labelled") > 0) & (apart <= MERGE_Z * F.sqrt(rate * (1 - rate) / F.col("labelled"))), "~")
-        .otherwise(F.col(seg))
+    kind = F.when(F.col("urls") < F.greatest(F.lit(float(MIN_URLS)), MIN_SHARE * F.col("all_urls")), "*").when(
+        (F.col("labelled") > 0) & (apart <= MERGE_Z * F.sqrt(rate * (1 - rate) / F.col("labelled"))), "~"
     )
-    branches = children.join(nodes, ["host", "prefix"]).select("host", "prefix", seg, branch.alias("branch"))
-    longer = F.when(F.col(seg).isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), "branch"))
-    return tree.join(branches, ["host", "prefix", seg], "left").withColumn("prefix", longer).drop("branch", seg)
+    branches = children.join(nodes, ["host", "prefix"]).select("host", "prefix", "seg", kind.alias("kind"), (F.col("all_shapes") == 1).alias("alone"))
+    longer = F.concat("prefix", F.lit("/"), F.coalesce("kind", "seg"))
+    rest = F.transform(F.slice(parts, level + 1, F.size(parts)), lambda x: F.coalesce("kind", x))
+    ended = F.when(F.col("alone"), F.concat("prefix", F.lit("/"), F.array_join(rest, "/"))).when(F.size(parts) == level + 1, longer)
+    grown = paths.join(branches, ["host", "prefix", "seg"]).withColumn("template", ended).withColumn("prefix", longer)
+    return done.unionByName(grown.select(tree.columns))
 
 
 def template_tree(urls: DataFrame) -> DataFrame:
     """(host, shape, template, rate): ``urls`` has host, shape and blocked (true, false, or null without a label)."""
+    scratch = Scratch(urls.sparkSession)
     counted = urls.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("urls"),
         F.coalesce(F.sum(F.col("blocked").cast("long")), F.lit(0)).alias("blocked"),
         F.count("blocked").alias("labelled"),
     )
-    parts = F.split("shape", "/", -1)
-    tree = counted.select("*", F.lit("").alias("prefix"), *(F.get(parts, F.lit(d)).alias(f"s{d}") for d in range(1, DEPTH + 1)),
-                          (F.size(parts) > DEPTH + 1).alias("deeper"))
-    tree = materialize(tree, "url-tree")
-    for level in range(1, DEPTH + 1):
-        tree = materialize(_grown(tree, level), "url-tree")
-    tree = tree.withColumn("template", F.when(F.col("deeper"), F.concat("prefix", F.lit("/**"))).otherwise(F.col("prefix")))
+    whole = F.when(~F.contains("shape", F.lit("/")), "")
+    tree = scratch.write(counted.select("*", F.lit("").alias("prefix"), whole.alias("template")), "url-tree")
+    level = 0
+    while tree.where("template is null").limit(1).count():
+        level += 1
+        before, tree = tree, scratch.write(_grown(tree, level), "url-tree")
+        scratch.drop(before)
     total = tree.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).first()
     prior = (total["b"] or 0) / total["l"] if total["l"] else 0.0
     rates = tree.groupBy("host", "template").agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"))
@@ -118,25 +123,24 @@ def duckdb_sql(rules: Sequence[tuple[str, str]]) -> str:
             arms.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash + tail}') THEN '{value(text, what)}'")
         return f"CASE {' '.join(arms)} END"
 
-    levels = [
-        f"""l0 AS (SELECT host, shape, count(*) AS urls, coalesce(sum(CAST(ruled = 'block' AS BIGINT)), 0) AS blocked,
-  count(ruled) AS labelled, '' AS prefix, string_split(shape, '/') AS parts FROM known GROUP BY host, shape)"""
-    ]
-    for d in range(1, DEPTH + 1):
-        levels.append(f"""c{d} AS (SELECT host, prefix, parts[{d + 1}] AS seg, sum(urls) AS urls, sum(blocked) AS blocked, sum(labelled) AS labelled
-  FROM l{d - 1} WHERE len(parts) > {d} GROUP BY 1, 2, 3),
-n{d} AS (SELECT host, prefix, sum(urls) AS all_urls, CAST(sum(blocked) AS DOUBLE) / nullif(sum(labelled), 0) AS p FROM c{d} GROUP BY 1, 2),
-b{d} AS (SELECT c.host, c.prefix, seg, CASE WHEN urls < greatest({float(MIN_URLS)}::DOUBLE, {MIN_SHARE}::DOUBLE * CAST(all_urls AS DOUBLE)) THEN '*'
-  WHEN labelled > 0 AND abs(CAST(blocked AS DOUBLE) / labelled - p) <= {MERGE_Z}::DOUBLE * sqrt(p * (1 - p) / labelled) THEN '~' ELSE seg END AS branch
-  FROM c{d} c JOIN n{d} n ON c.host = n.host AND c.prefix = n.prefix),
-l{d} AS (SELECT l.host, shape, urls, blocked, labelled, parts,
-  CASE WHEN branch IS NULL THEN l.prefix ELSE l.prefix || '/' || branch END AS prefix
-  FROM l{d - 1} l LEFT JOIN b{d} b ON l.host = b.host AND l.prefix = b.prefix AND parts[{d + 1}] = seg)""")
-    return f"""WITH split AS (SELECT page_id, translate(coalesce(regexp_extract(url, '{HOST}', 1), ''), '{UPPER}', '{LOWER}') AS host,
+    share = f"greatest({float(MIN_URLS)}::DOUBLE, {MIN_SHARE}::DOUBLE * CAST(all_urls AS DOUBLE))"
+    apart = f"abs(CAST(blocked_here AS DOUBLE) / labelled_here - p) <= {MERGE_Z}::DOUBLE * sqrt(p * (1 - p) / labelled_here)"
+    child, node = "PARTITION BY host, prefix, parts[level + 2]", "PARTITION BY host, prefix"
+    grown = f"""SELECT 0 AS level, host, shape, urls, blocked, labelled, parts, '' AS prefix, CASE WHEN len(parts) = 1 THEN '' END AS template FROM counted
+  UNION ALL SELECT level + 1, host, shape, urls, blocked, labelled, parts, longer,
+    CASE WHEN alone THEN prefix || '/' || array_to_string(list_transform(parts[level + 2:], lambda x: coalesce(kind, x)), '/') WHEN len(parts) = level + 2 THEN longer END
+  FROM (SELECT *, CASE WHEN CAST(urls_here AS DOUBLE) < {share} THEN '*' WHEN labelled_here > 0 AND {apart} THEN '~' END AS kind,
+      prefix || '/' || coalesce(kind, seg) AS longer
+    FROM (SELECT *, parts[level + 2] AS seg, sum(urls) OVER ({child}) AS urls_here, sum(blocked) OVER ({child}) AS blocked_here,
+      sum(labelled) OVER ({child}) AS labelled_here, sum(urls) OVER ({node}) AS all_urls, count(*) OVER ({node}) = 1 AS alone,
+      CAST(sum(blocked) OVER ({node}) AS DOUBLE) / nullif(sum(labelled) OVER ({node}), 0) AS p FROM grown WHERE template IS NULL))"""
+    return f"""WITH RECURSIVE split AS (SELECT page_id, translate(coalesce(regexp_extract(url, '{HOST}', 1), ''), '{UPPER}', '{LOWER}') AS host,
   coalesce(regexp_extract(url, '{PATH}', 1), '') AS path FROM pages),
 known AS (SELECT *, {case(lambda t, w: t)} AS rule, {case(lambda t, w: w)} AS ruled, regexp_replace(path, '[0-9]+', '#', 'g') AS shape FROM split),
-{", ".join(levels)},
-tree AS (SELECT *, CASE WHEN len(parts) > {DEPTH + 1} THEN prefix || '/**' ELSE prefix END AS template FROM l{DEPTH}),
+counted AS (SELECT host, shape, count(*) AS urls, coalesce(sum(CAST(ruled = 'block' AS BIGINT)), 0) AS blocked,
+  count(ruled) AS labelled, string_split(shape, '/') AS parts FROM known GROUP BY host, shape),
+grown AS ({grown}),
+tree AS (SELECT * FROM grown WHERE template IS NOT NULL),
 prior AS (SELECT coalesce(CAST(sum(blocked) AS DOUBLE) / nullif(sum(labelled), 0), 0) AS g FROM tree),
 rates AS (SELECT host, template, sum(labelled) AS l,
   (sum(blocked) + {PRIOR_WEIGHT}::DOUBLE * (SELECT g FROM prior)) / (sum(labelled) + {PRIOR_WEIGHT}::DOUBLE) AS rate FROM tree GROUP BY 1, 2)
