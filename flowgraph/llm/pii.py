@@ -10,7 +10,8 @@ The weights are learned by maximum likelihood (forward-backward over segments) f
 most ``sample_docs`` documents, chosen by a hash of their id; base spans are the truth there, so that strings which fail a
 check count against their look.  Segments found beyond the base spans are added where they touch none.
 
-A null or empty text has no spans.  Repeated rows are searched each; an empty table gives an empty table and a model that
+A null or empty text has no spans; texts of any length are searched whole.  Of equally good segmentations the one with fewer
+and earlier segments stands, of equally good kinds the first.  Repeated rows are searched each; an empty table gives an empty table and a model that
 adds nothing.
 """
 
@@ -29,8 +30,8 @@ from flowgraph.llm.text import map_texts
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000
 SAMPLE_ISLANDS = 4_000
-#: Tokens in the longest candidate segment.
-MAX_TOKENS = 15
+#: Tokens in the longest candidate segment: written-out addresses and numbers with every digit apart have fewer.
+MAX_TOKENS = 40
 
 LOCAL = "A-Za-z0-9._%+-"
 EMAIL_TAIL = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -87,16 +88,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found + ips + cards + phones
 
 
+def _reach(text: str, at: int, step: int, marks: str) -> int:
+    """Where the address characters (with one blank first) end that go on from ``at``, or ``MAX_TOKENS`` tokens of them."""
+    kind, tokens, first = None, 0, True
+    while True:
+        c = text[at - 1 : at] if step < 0 else text[at : at + 1]
+        if not (c and c.isascii() and (c.isalnum() or c in marks or (c == " " and first))):
+            return at
+        own = "0" if c.isdigit() else "a" if c.isalpha() else None
+        tokens += own is None or own != kind
+        if tokens > MAX_TOKENS:
+            return at
+        kind, first, at = own, False, at + step
+
+
 def islands(text: str) -> list[tuple[int, int]]:
     """Parts of ``text`` where a segment may lie: number runs, and address characters around an at-sign."""
     parts = [m.span() for m in re.finditer(r"[0-9+(][0-9+() ./-]{5,}[0-9]", text)]
     for m in ADDRESS.finditer(text):
-        a, b = m.span()
-        while a and b - a < 200 and (text[a - 1].isascii() and (text[a - 1].isalnum() or text[a - 1] in "._%+-" or (text[a - 1] == " " and m.start() == a))):
-            a -= 1
-        while b < len(text) and b - a < 400 and (text[b].isascii() and (text[b].isalnum() or text[b] in "-.[](){}" or (text[b] == " " and b == m.end()))):
-            b += 1
-        parts.append((a, b))
+        parts.append((_reach(text, m.start(), -1, "._%+-"), _reach(text, m.end(), 1, "-.[](){}")))
     parts.sort()
     merged: list[tuple[int, int]] = []
     for a, b in parts:
