@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowgraph.llm import decontaminate, jaccard, packing, pii, quality
 from flowgraph.llm.queries import table, tokenizer_json
 from flowgraph.llm.text import crc32_mod
-from flowgraph.session import new_path
+from flowgraph.session import Scratch
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = new_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        before, docs = docs, scratch.write(stage(spark, docs, sf_dir), name)
+        scratch.drop(before)
     return docs
