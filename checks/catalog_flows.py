@@ -584,6 +584,27 @@ def _(spark, sf):
     return _checks(spark, sf, "accepted_values")
 
 
+def _observed(spark, sf, kind):
+    """Check lines observed while each model is written."""
+    lines = []
+    for name, df in models(spark, sf).items():
+        if name in quality.CHECKED:
+            watch = quality.Watch(name)
+            watch.on(df).write.parquet(new_path(spark, "watched"))
+            lines += [line for line in watch.lines() if line["check_name"] == kind]
+    return spark.createDataFrame(lines, "table_name string, column_name string, check_name string, violations long")
+
+
+@query("d1_observed_not_null", "stg clean ids se gnn", _check_sql("not_null"))
+def _(spark, sf):
+    return _observed(spark, sf, "not_null")
+
+
+@query("d3_observed_values", "stg clean gnn", _check_sql("accepted_values"))
+def _(spark, sf):
+    return _observed(spark, sf, "accepted_values")
+
+
 @query(
     "d2_repeated_uids",
     "flows",

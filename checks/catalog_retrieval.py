@@ -14,7 +14,7 @@ from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missin
 from flowgraph.operators.knn import knn
 from flowgraph.plans import batch
 from flowgraph.session import materialize, new_path
-from flowgraph.sources import knowledge, sinks, vector_store
+from flowgraph.sources import bucket_store, knowledge, sinks, vector_store
 
 LOW = 0.3  # the given vectors are far apart; the library's defaults would find almost nothing
 
@@ -63,24 +63,38 @@ def _(spark, sf):
 _CVE_ID = "concat('CVE-', 2015 + doc_id % 11, '-', 1000 + doc_id)"
 
 
-@query(
-    "s14_upsert",
-    "cves",
-    f"""SELECT id, severity, text FROM (
+ORACLE_UPSERT = f"""SELECT id, severity, text FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY t DESC, pos DESC) AS rn FROM (
     SELECT cve_id AS id, severity_score AS severity, description AS text, 0 AS t, vec_id AS pos FROM cves
     UNION ALL SELECT {_CVE_ID}, 9.9e0, text, 1, doc_id FROM documents
     UNION ALL SELECT {_CVE_ID}, 1.5e0, lang, 1, doc_id + 1000000000 FROM documents WHERE lang <> 'en'))
-WHERE rn = 1""",
-)
-def _(spark, sf):
+WHERE rn = 1"""
+
+
+def upsert_inputs(spark, sf):
     base = inputs.cves(spark, sf).selectExpr("cve_id AS id", "severity_score AS severity", "description AS text", "vec_id AS pos")
     docs = inputs.table(spark, sf, "documents")
     first = docs.selectExpr(f"{_CVE_ID} AS id", "9.9D AS severity", "text", "doc_id AS pos")
     again = docs.filter("lang <> 'en'").selectExpr(f"{_CVE_ID} AS id", "1.5D AS severity", "lang AS text", "doc_id + 1000000000 AS pos")
+    return base, first, again
+
+
+@query("s14_upsert", "cves", ORACLE_UPSERT)
+def _(spark, sf):
+    base, first, again = upsert_inputs(spark, sf)
     return vector_store.upsert(base, first.unionByName(again), "id", "pos").drop("pos")
 
 
+@query("s14_upsert_buckets", "cves", ORACLE_UPSERT)
+def _(spark, sf):
+    base, first, again = upsert_inputs(spark, sf)
+    path = new_path(spark, "store")
+    bucket_store.create(base.drop("pos"), path, "id", 16)
+    for updates in (first, again):
+        bucket_store.upsert(spark, path, updates, "id", "pos")
+    return bucket_store.read(spark, path, "id")
+
+
 @query("s15_full_refresh", "", _TECHNIQUES_SQL)
 def _(spark, sf):
     path = new_path(spark, "techniques")

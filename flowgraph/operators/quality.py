@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.schemas import REQUIRED_COLUMNS
@@ -87,13 +87,46 @@ def model_checks(models: dict[str, DataFrame], kinds=KINDS) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def require_checks(models: dict[str, DataFrame]) -> None:
-    """Fail, naming them, if declared checks of the given models do not hold."""
-    broken = [r for r in model_checks(models).collect() if r["violations"]]
+class Watch:
+    """The declared not-null and accepted-values checks of a table, its rows and further counts, taken while it is written.
+
+    The counts belong to the first action on the observed table.  They are put above the last shuffle (a range sort looks
+    at its input twice), so that each row is counted once.
+    """
+
+    def __init__(self, table: str, counts: dict[str, str] | None = None):
+        self.table, self.more = table, counts or {}
+        self.checks = [(f"n{i}", c, "not_null") for i, c in enumerate(NOT_NULL.get(table, []))]
+        self.checks += [(f"a{i}", c, "accepted_values") for i, c in enumerate(ACCEPTED.get(table, {}))]
+        self.observation = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        broken = {"not_null": lambda c: F.col(c).isNull(), "accepted_values": lambda c: ~F.col(c).isin(ACCEPTED[self.table][c])}
+        counts = [F.count_if(broken[kind](c)).alias(name) for name, c, kind in self.checks]
+        counts += [F.count_if(F.expr(condition)).alias(name) for name, condition in self.more.items()]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def counts(self) -> dict[str, int]:
+        return self.observation.get
+
+    def lines(self) -> list[Row]:
+        """One row for each check, as of ``model_checks``."""
+        found = self.counts()
+        return [Row(table_name=self.table, column_name=c, check_name=kind, violations=found[name]) for name, c, kind in self.checks]
+
+
+def require_lines(lines: list[Row]) -> None:
+    """Fail, naming them, if some of these checks found violations."""
+    broken = [r for r in lines if r["violations"]]
     if broken:
         raise CheckFailed("; ".join(f"{r['table_name']}.{r['column_name']} {r['check_name']}: {r['violations']}" for r in broken))
 
 
+def require_checks(models: dict[str, DataFrame]) -> None:
+    """Fail, naming them, if declared checks of the given models do not hold."""
+    require_lines(model_checks(models).collect())
+
+
 def missing_columns(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     """Required columns the table lacks."""
     rows = [(c,) for c in sorted(set(required) - set(df.columns))]
@@ -142,6 +175,13 @@ def run_summary(raw: DataFrame, node_map: DataFrame, edges: DataFrame) -> DataFr
     )
 
 
+def summary_of(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``run_summary`` from counts that were observed."""
+    share = counts["train"] / counts["edges"] if counts["edges"] else 0.0
+    schema = "raw_rows long, nodes long, edges long, train long, test long, train_share double"
+    return spark.createDataFrame([(*(counts[c] for c in ("raw_rows", "nodes", "edges", "train", "test")), share)], schema)
+
+
 def dataset_summary(edges: DataFrame, nodes: DataFrame, cves: DataFrame) -> DataFrame:
     """Edges, attack share, masks, nodes and known techniques in one row."""
     return edges.agg(

@@ -13,9 +13,10 @@ from flowgraph.functions.rules import query_text_2, sigmoid
 from flowgraph.operators import graph, quality, report, staging
 from flowgraph.operators.embedding import embed_missing
 from flowgraph.schemas import DECISION_THRESHOLD, SHARDS, SORT_KEYS
-from flowgraph.session import materialize, new_path
+from flowgraph.session import Scratch, delete_path, materialize, new_path
+from flowgraph.sources import bucket_store, knowledge
 from flowgraph.sources import files as file_source
-from flowgraph.sources import knowledge, sinks, vector_store
+from flowgraph.sources import sinks, vector_store
 
 
 @dataclass
@@ -65,25 +66,56 @@ def flows_to_graph(
     shards = sinks.write_shards(united, new_path(spark, "shards"))
     raw = load_normalize(spark.read.parquet(shards).drop("shard"), null_text)
     raw = sinks.publish(raw, f"{database}.network_logs", SORT_KEYS)
+    delete_path(spark, shards)
     quality.require_columns(raw)
 
-    tables = graph_tables(raw)
-    models = {"stg_network_logs": tables.staged, "int_network_clean": tables.clean, "mart_node_mapping": tables.node_map,
-              "mart_super_edges": tables.super_edges, "mart_gnn_ready": tables.gnn_ready}
-    quality.require_checks({name: df for name, df in models.items() if name in quality.CHECKED})
-    sinks.publish(tables.clean, f"{database}.int_network_clean")
-    node_map = sinks.publish(tables.node_map, f"{database}.mart_node_mapping", ["node_id"])
-    sinks.publish(tables.super_edges, f"{database}.mart_super_edges", ["source_idx", "target_idx"])
-    gnn = sinks.publish(tables.gnn_ready, f"{database}.mart_gnn_ready", ["source_idx", "target_idx"])
-
-    summary = quality.run_summary(raw, node_map, gnn)
+    counted = publish_models(raw, database)
     if expected_nodes is not None:
-        quality.expect_count(summary.first()["nodes"], expected_nodes, "nodes", skip_if=truncated)
-    return summary.select(
+        quality.expect_count(counted["nodes"], expected_nodes, "nodes", skip_if=truncated)
+    return quality.summary_of(spark, counted).select(
         "*", F.lit(n_found).cast("long").alias("files_found"), F.lit(n_used).cast("long").alias("files_used"), F.lit(truncated).alias("truncated")
     )
 
 
+def publish_models(raw: DataFrame, database: str) -> dict[str, int]:
+    """The marts of ``raw``, published together, and their counts; the flows are read once.
+
+    Every model's new version is written with its checks and counts observed on the way; only when all checks hold are the
+    tables switched to them, else the new versions are deleted and the old ones stay.
+    """
+    spark, scratch = raw.sparkSession, Scratch(raw.sparkSession)
+    names = {m: f"{database}.{m}" for m in ("int_network_clean", "mart_node_mapping", "mart_super_edges", "mart_gnn_ready")}
+    staged = quality.Watch("stg_network_logs")
+    clean_watch = quality.Watch("int_network_clean")
+    clean = clean_watch.on(staging.clean_features(staged.on(staging.stage_flows(raw))))
+    paths = {"int_network_clean": sinks.write_version(clean, names["int_network_clean"])}
+    watches = [staged, clean_watch]
+    try:
+        pairs = scratch.write(graph.pair_stats(spark.read.parquet(paths["int_network_clean"])), "pairs")
+        node_map = scratch.write(graph.node_mapping(pairs), "nodes")
+        gnn = scratch.write(graph.split_mask(graph.super_edges(pairs, node_map)), "edges")
+        models = {"mart_node_mapping": (node_map, ["node_id"]), "mart_super_edges": (gnn.drop("split_mask"), ["source_idx", "target_idx"]),
+                  "mart_gnn_ready": (gnn, ["source_idx", "target_idx"])}
+        for model, (df, keys) in models.items():
+            watch = quality.Watch(model, {"train": "split_mask = 'train'", "test": "split_mask = 'test'"} if model == "mart_gnn_ready" else {})
+            paths[model] = sinks.write_version(df, names[model], keys, watch)
+            watches.append(watch)
+        repeated = quality.model_checks({"mart_node_mapping": node_map}, ("unique",))
+        quality.require_lines([line for watch in watches for line in watch.lines()] + repeated.collect())
+    except BaseException:
+        for path in paths.values():
+            delete_path(spark, path)
+        raise
+    finally:
+        scratch.drop_all()
+    for model, path in paths.items():
+        sinks.switch(spark, names[model], path)
+    gnn_counts = watches[-1].counts()
+    return {"raw_rows": staged.counts()["rows"], "nodes": watches[2].counts()["rows"], "edges": gnn_counts["rows"],
+            "train": gnn_counts["train"], "test": gnn_counts["test"]}
+
+
+
 def refresh_techniques(spark: SparkSession, bundle_path: str, encode, store: str) -> DataFrame:
     """Technique bundle to vector records, the last one of each id, replacing the store."""
     records = knowledge.extract_techniques(knowledge.read_bundle(spark, bundle_path))
@@ -109,6 +141,24 @@ def ingest_cves(spark: SparkSession, csv_path: str, encode, store: str | None, t
     return spark.read.parquet(target)
 
 
+def update_cves(spark: SparkSession, csv_path: str, encode, store: str) -> int:
+    """CVE files into a bucketed store, in place: only buckets with a new or changed record are read and written.
+
+    Returns the number of buckets rewritten.  The store is that of ``bucket_store.create`` with the key ``id``.
+    """
+    scratch = Scratch(spark)
+    numbered = knowledge.with_position(knowledge.read_cves(spark, csv_path), "__line")
+    records = scratch.write(vector_store.last_per_key(clean_cves(numbered), "cve_id", "__line").drop("__line"), "cves")
+    base = bucket_store.touched(spark, store, "id", records.select(F.col("cve_id").alias("id")))
+    stored = base.select(F.col("id").alias("cve_id"), "values", "text_hash")
+    vectors = embed_missing(records, stored, "cve_id", lambda df: encode(df, "description"), "description")
+    payload = scratch.write(knowledge.cve_payload(records.join(vectors, "cve_id")), "payload")
+    changed = payload.join(base.select(payload.columns), [payload[c].eqNullSafe(base[c]) for c in payload.columns], "left_anti")
+    rewritten = bucket_store.upsert(spark, store, changed, "id")
+    scratch.drop_all()
+    return rewritten
+
+
 def analyze(scored: DataFrame, cves: DataFrame, path: str | None = None, fmt: str = "json", **options) -> DataFrame:
     """Scored edges ``(…, logit)`` to analysis records, exported when ``path`` is given."""
     analysis = report.analyze_edges(scored.withColumn("score", sigmoid(F.col("logit"))), cves, **options)

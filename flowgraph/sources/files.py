@@ -64,29 +64,57 @@ def probe_footers(files: DataFrame) -> DataFrame:
     """Schema, row groups and row count of every file, or the reason it cannot be read.
 
     Tasks read footers only; the file list is spread over them.  Where the workers have no client of
-    their own for a store, or no right to it, Spark reads the file for them, with the cluster's settings.
+    their own for a store, or no right to it, Spark reads the file for them, with the cluster's settings; a file above
+    Spark's limit for one value (``spark.sql.sources.binaryFile.maxLength``) is opened by its Parquet reader, which does
+    not tell the row groups.  Whatever cannot be read is a row with its error.
     """
     spark = files.sparkSession
     direct = materialize(_probe_directly(files), "footers")
     failed = direct.filter(F.col("error").isNotNull())
-    paths = [r["path"] for r in failed.select("path").collect()]
-    if not paths:
+    if failed.isEmpty():
         return direct
-    written = new_path(spark, "footers")
-    for start in range(0, len(paths), _BY_SPARK):
-        some = [p.replace("\\", "\\\\") for p in map(_no_glob, paths[start : start + _BY_SPARK])]
-        whole = spark.read.format("binaryFile").load(some)
-        read = whole.select("path", F.col("length").alias("size"), "content").mapInArrow(_probe_contents, _PROBE)
-        read.write.mode("append").parquet(written)
-    again = spark.read.schema(_PROBE).parquet(written)
+    limit = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    written, some = new_path(spark, "footers"), False
+    whole, large = failed.filter(F.col("size") <= limit).select("path"), failed.filter(F.col("size") > limit).select("path", "size")
+    for paths in _batches((r["path"] for r in whole.toLocalIterator()), _BY_SPARK):
+        escaped = [p.replace("\\", "\\\\") for p in map(_no_glob, paths)]
+        content = spark.read.format("binaryFile").load(escaped).select("path", F.col("length").alias("size"), "content")
+        content.mapInArrow(_probe_contents, _PROBE).write.mode("append").parquet(written)
+        some = True
+    for lines in _batches((_probe_by_scan(spark, r["path"], r["size"]) for r in large.toLocalIterator()), _BY_SPARK):
+        spark.createDataFrame(lines, _PROBE).write.mode("append").parquet(written)
+        some = True
+    again = spark.read.schema(_PROBE).parquet(written) if some else direct.limit(0)
     found = direct.filter(F.col("error").isNull()).unionByName(again)
     return found.unionByName(failed.join(again.select("path"), "path", "left_anti").select(found.columns))
 
 
-#: Files that Spark reads as a whole for the sake of their footer at a time, until none is left.
+#: Files whose footers Spark looks up at a time, until none is left; no more paths are on the driver at once.
 _BY_SPARK = 10_000
 
 
+def _batches(values, size: int):
+    from itertools import islice
+
+    values = iter(values)
+    while batch := list(islice(values, size)):
+        yield batch
+
+
+def _probe_by_scan(spark: SparkSession, path: str, size: int) -> tuple:
+    """The probe of a file too large for one value: what Spark's own reader finds in its footer, or its error."""
+    import json
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    try:
+        table = spark.read.parquet(_no_glob(path))
+        fields = json.dumps([[f.name, str(to_arrow_type(f.dataType))] for f in table.schema])
+        return (path, size, fields, None, table.count(), None)
+    except Exception as e:  # the error is the result here
+        return (path, size, None, None, None, f"{type(e).__name__}: {str(e).splitlines()[0]}")
+
+
 def _no_glob(path: str) -> str:
     return "".join("\\" + c if c in "*?[]{}" else c for c in path)
 

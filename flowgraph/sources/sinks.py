@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgraph.operators.quality import require_rows
+from flowgraph.operators.quality import Watch, require_rows
+from flowgraph.session import delete_path
 
 
 def write_shards(df: DataFrame, path: str, by: str = "shard") -> str:
@@ -35,10 +36,21 @@ def publish(df: DataFrame, name: str, sort_keys=None, location: str | None = Non
     Versions are folders in the table's own place in its database.  Readers see the old version until the switch, and
     those that have planned on it can finish: the last ``keep_old`` replaced versions stay, older ones are deleted.
     """
+    path = write_version(df, name, sort_keys, location=location)
+    return switch(df.sparkSession, name, path, None if location else keep_old)
+
+
+def write_version(df: DataFrame, name: str, sort_keys=None, watch: Watch | None = None, location: str | None = None) -> str:
+    """Write a new version of ``name``, observed by ``watch``, that no reader sees yet; its path."""
     spark = df.sparkSession
-    home = _home(spark, name)
-    path = location or f"{home}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    (cluster_by_range(df, sort_keys) if sort_keys else df).write.mode("errorifexists").parquet(path)
+    path = location or f"{_home(spark, name)}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    ready = cluster_by_range(df, sort_keys) if sort_keys else df
+    (watch.on(ready) if watch else ready).write.mode("errorifexists").parquet(path)
+    return path
+
+
+def switch(spark: SparkSession, name: str, path: str, keep_old: int | None = 1) -> DataFrame:
+    """Point table ``name`` at a written version, unless that is empty, and delete what is older than ``keep_old`` versions."""
     require_rows(spark.read.parquet(path), name)
     if spark.catalog.tableExists(name):
         current, new = spark.table(name).schema, spark.read.parquet(path).schema
@@ -48,9 +60,9 @@ def publish(df: DataFrame, name: str, sort_keys=None, location: str | None = Non
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(name, path, source="parquet")
-    if not location:
-        for old in _versions(spark, home)[: -1 - keep_old]:
-            _delete(spark, old)
+    if keep_old is not None:
+        for old in _versions(spark, _home(spark, name))[: -1 - keep_old]:
+            delete_path(spark, old)
     return spark.table(name)
 
 
@@ -73,12 +85,6 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def replace_all(df: DataFrame, path: str) -> str:
     """Full refresh: delete everything, then write."""
     df.write.mode("overwrite").parquet(path)
