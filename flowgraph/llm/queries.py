@@ -11,8 +11,16 @@ from pyspark.sql import types as T
 from flowgraph.llm import conversation_repair, decontaminate, jaccard, language, packing, pii, quality, signature_search, suffix_tree, token_count, topk, url_templates, vector_near
 from flowgraph.llm.text import crc32_mod
 
-#: Folder of the public vocabularies, unless the environment or the caller names another.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+def vocabulary_path(name: str) -> str:
+    """A public vocabulary file, in the folder that TOKENIZERS_DIR names or where its package keeps it."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 URL_RULES = [
     ("com/", "allow"),
@@ -28,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer_json() -> str:
-    with open(f"{TOKENIZERS}/word_bpe_49k.json", encoding="utf-8") as file:
+    with open(vocabulary_path("word_bpe_49k.json"), encoding="utf-8") as file:
         return file.read()
 
 
@@ -100,7 +108,7 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = token_count.read_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    vocabulary = token_count.read_vocabulary(vocabulary_path("piece_bpe_32k.model"))
     return token_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 

@@ -51,5 +51,5 @@ def test_all_operators_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
