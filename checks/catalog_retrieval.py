@@ -201,6 +201,16 @@ def _(spark, sf):
     return rounded(hits.withColumnRenamed("id", "cve_id"), ["similarity"])
 
 
+@query("j4_knn_batches", "sims", _TOP.format(where="", k=5))
+def _(spark, sf):
+    """Both sides large and searched in turns: 300 queries are broadcast at a time."""
+    hits = knn(
+        inputs.query_vectors(spark, sf), corpus(spark, sf).select(F.col("cve_id").alias("id"), "values"), 5,
+        broadcast_rows=300, block_rows=400, pivots=4, rotate=True,
+    )
+    return rounded(hits.withColumnRenamed("id", "cve_id"), ["similarity"])
+
+
 @query(
     "j5_search_cves",
     "sims",

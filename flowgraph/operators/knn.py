@@ -5,7 +5,12 @@ Three ways, chosen by measured size, all with the same result:
 * the corpus fits ``BROADCAST_BYTES``: it is broadcast, every query is answered inside its task;
 * the queries fit: they are broadcast, every task keeps its k best per query, a window merges them;
 * neither fits: vectors are grouped around pivots into rings, and a query block meets only the
-  corpus blocks that the triangle inequality cannot rule out for its k best.
+  corpus blocks that the triangle inequality cannot rule out for its k best.  Where that rules out
+  so little that queries would be copied more often than a rotation reads vectors, the queries are
+  broadcast a batch at a time instead, and meet the corpus where it lies.
+
+Before a broadcast of queries the k-th best hit in a sample of a large corpus (or, in a rotation, in the
+nearest ring) is a lower bound for each query, so a task sends on only what may be among the k best of all.
 
 Spark moves the rows; inside a task the comparison is one matrix product per Arrow batch.
 Similarities are compared at 12 decimals, so equal vectors tie and the smaller id wins.
@@ -21,13 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgraph.operators.joins import top_k_per_group
-from flowgraph.session import materialize
+from flowgraph.session import delete_path, materialize, new_path
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 8192
 PIVOTS = 256
 #: Angles that a cell is counted by, from 0 to pi.
 RING_BINS = 2048
+#: Tasks of a scan from which on a sample bounds the broadcast queries first.
+SAMPLED_FROM = 64
+#: Bytes that a task keeps for each of the k best of a query, twice while it merges.
+HELD_BYTES = 48
 
 
 def _tools(k: int, floor: float | None):
@@ -141,13 +150,6 @@ def _if_small(df: DataFrame, id: str, vector: str, limit_rows: int | None):
     return df.toArrow() if fits else None
 
 
-def _evaluated_once(df: DataFrame) -> DataFrame:
-    """``df`` itself if it is a plain scan of files, else a written copy: the search reads its inputs several times."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    plain = not any(word in plan for word in ("InArrow", "InPandas", "UDF", "Join", "Aggregate", "Window", "Generate", "LogicalRDD"))
-    return df if plain else materialize(df, "vectors")
-
-
 def knn(
     queries: DataFrame,
     corpus: DataFrame,
@@ -156,13 +158,20 @@ def knn(
     broadcast_rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
     pivots: int = PIVOTS,
+    rotate: bool | None = None,
+    sampled_from: int = SAMPLED_FROM,
+    plain_scans: bool = False,
 ) -> DataFrame:
     """``queries(query_id, query_vec)`` × ``corpus(id, values)`` → (query_id, id, similarity, rank).
 
-    ``broadcast_rows`` replaces the byte limit of the two broadcast ways.
+    ``broadcast_rows`` replaces the byte limit of the broadcast ways, also for the queries of one turn of a rotation;
+    ``rotate`` decides between rotation and blocks where both sides are large, which is else decided by their cost.
+    Both inputs are written once before they are read several times, unless ``plain_scans`` says that they are mere scans.
     """
-    queries = _evaluated_once(queries.select("query_id", "query_vec").filter(F.col("query_vec").isNotNull()))
-    corpus = _evaluated_once(corpus.select("id", "values").filter(F.col("values").isNotNull()))
+    queries = queries.select("query_id", "query_vec").filter(F.col("query_vec").isNotNull())
+    corpus = corpus.select("id", "values").filter(F.col("values").isNotNull())
+    if not plain_scans:  # the search reads both several times
+        queries, corpus = materialize(queries, "queries"), materialize(corpus, "vectors")
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -176,9 +185,10 @@ def knn(
     else:
         small = _if_small(queries, "query_id", "query_vec", broadcast_rows)
         if small is not None:
-            hits = _stream_corpus(small, corpus, k, min_similarity, schema)
+            least = _sample_bounds(small, corpus, k, min_similarity, schema, sampled_from)
+            hits = _stream_corpus(small, corpus, k, min_similarity, schema, least)
         else:
-            hits = _blocks(queries, corpus, k, min_similarity, schema, block_rows, pivots)
+            hits = _blocks(queries, corpus, k, min_similarity, schema, block_rows, pivots, broadcast_rows, rotate)
     return top_k_per_group(hits, "query_id", [F.desc("similarity"), F.asc("id")], k)
 
 
@@ -205,10 +215,33 @@ def _stream_queries(queries, corpus_rows, k, floor, schema):
     return queries.mapInArrow(answer, schema)
 
 
-def _stream_corpus(query_rows, corpus, k, floor, schema):
+def _sample_bounds(query_rows, corpus, k, floor, schema, sampled_from):
+    """The k-th best similarity of every query row in a hashed sample of the corpus, or None for a scan of few tasks.
+
+    At least k vectors are as near, so nothing below is among the k best.  A scan of n tasks without bounds sends on n times
+    the k best; a sample of one row in sqrt(n), read by sqrt(n) tasks, and then the bounded scan send about sqrt(n) times each.
+    """
+    import numpy as np
+
+    tasks = corpus.rdd.getNumPartitions()
+    if tasks < sampled_from or query_rows.num_rows == 0:
+        return None
+    share = math.isqrt(tasks)
+    sample = corpus.filter(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(share)) == 0).coalesce(-(-tasks // share))
+    numbered = query_rows.set_column(query_rows.schema.get_field_index("query_id"), "query_id", [np.arange(query_rows.num_rows)])
+    numbers = T.StructType([T.StructField("query_id", T.LongType()), *schema.fields[1:]])
+    hits = top_k_per_group(_stream_corpus(numbered, sample, k, floor, numbers), "query_id", [F.desc("similarity"), F.asc("id")], k)
+    found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least")).where(F.col("n") >= k).toArrow()
+    least = np.full(query_rows.num_rows, -np.inf)
+    least[found["query_id"].to_numpy()] = found["least"].to_numpy()
+    return least
+
+
+def _stream_corpus(query_rows, corpus, k, floor, schema, bounds=None):
+    """Hits of broadcast queries; nothing below a query's bound is among them."""
     matrix, ids, first_k, thin, best = _tools(k, floor)
     held = corpus.sparkSession.sparkContext.broadcast(
-        (ids(query_rows["query_id"]), matrix(query_rows["query_vec"])) if query_rows.num_rows else None
+        (ids(query_rows["query_id"]), matrix(query_rows["query_vec"]), bounds) if query_rows.num_rows else None
     )
     query_type = query_rows["query_id"].type
 
@@ -218,9 +251,10 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
 
         if held.value is None:
             return
-        query_ids, vectors = held.value
+        query_ids, vectors, bounds = held.value
         state, id_type = None, None
-        least = np.full(len(vectors), -np.inf)
+        known = np.full(len(vectors), -np.inf) if bounds is None else bounds
+        least = known
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -233,8 +267,10 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
             full = np.bincount(state[0], minlength=len(vectors)) >= k
             lowest = np.full(len(vectors), np.inf)
             np.minimum.at(lowest, state[0], state[2])
-            least = np.where(full, lowest, -np.inf)
+            least = np.where(full, np.maximum(lowest, known), known)
         if state is not None:
+            above = state[2] >= known[state[0]]
+            state = tuple(part[above] for part in state)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(query_ids[state[0]], query_type), pa.array(state[1], id_type), pa.array(state[2])],
                 names=["query_id", "id", "similarity"],
@@ -243,7 +279,39 @@ def _stream_corpus(query_rows, corpus, k, floor, schema):
     return corpus.mapInArrow(scan, schema)
 
 
-def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
+def _turns(queries, k, batch_rows) -> int:
+    """Batches of queries whose vectors, and what a task holds of their hits, fit the broadcast limit."""
+    size = queries.agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.size("query_vec")).alias("numbers"), F.sum(F.octet_length(F.col("query_id").cast("string"))).alias("ids")
+    ).first()
+    if batch_rows is not None:
+        return max(1, math.ceil(size["rows"] / batch_rows))
+    held = size["rows"] * (8 * max(1, size["numbers"] or 0) + HELD_BYTES * k) + (size["ids"] or 0)
+    return max(1, math.ceil(held / BROADCAST_BYTES))
+
+
+def _rotation(bounded, corpus, k, floor, schema, turns):
+    """Both sides large and little to rule out: ``bounded(query_id, query_vec, least)`` in ``turns`` batches over the corpus.
+
+    No vector is shuffled: the corpus is read once a batch, by tasks that each keep the k best of the batch's queries.
+    Rows are dealt to batches by their place in the table, whatever their ids.
+    """
+    import numpy as np
+
+    spark = corpus.sparkSession
+    asked, found = new_path(spark, "turns"), new_path(spark, "turn-hits")
+    dealt = bounded.select("query_id", "query_vec", "least", F.pmod(F.monotonically_increasing_id(), F.lit(turns)).cast("int").alias("turn"))
+    dealt.write.partitionBy("turn").parquet(asked)
+    for turn in range(turns):
+        rows = spark.read.schema(dealt.schema).parquet(asked).where(F.col("turn") == turn).drop("turn").toArrow()
+        least = np.nan_to_num(rows["least"].to_numpy().astype("float64"), nan=-np.inf)
+        hits = _stream_corpus(rows, corpus, k, floor, schema, least)
+        top_k_per_group(hits, "query_id", [F.desc("similarity"), F.asc("id")], k).drop("rank").write.mode("append").parquet(found)
+    delete_path(spark, asked)
+    return spark.read.schema(schema).parquet(found)
+
+
+def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots, batch_rows=None, rotate=None):
     """Both sides large: block against block, without the pairs of blocks that cannot hold a hit.
 
     A vector belongs to its nearest pivot's cell, and cells are cut into rings by the angle to their pivot, with angles as
@@ -393,8 +461,10 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
             }
         )
 
-    def searched(asked, own: bool):
-        routed = materialize(asked.mapInArrow(router(own), route_schema), "routed")
+    def routes(asked, own: bool):
+        return materialize(asked.select("query_id", "query_vec", "reach").mapInArrow(router(own), route_schema), "routed")
+
+    def searched(routed):
         # Queries of one home are cut, so that a block meets a bounded number of them at a time.
         homes = routed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).alias("pieces"))
         left = routed.join(F.broadcast(homes), "home").select(
@@ -405,9 +475,14 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots):
         return left.groupBy(*key).cogroup(right.groupBy(*(f"to_{c}" for c in key))).applyInArrow(compare, schema)
 
     everywhere = queries.withColumn("reach", F.lit(float(farthest)))
-    nearby = searched(everywhere, True).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least"))
+    nearby = searched(routes(everywhere, True)).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("similarity").alias("least"))
     nearby = materialize(nearby.where(F.col("n") >= k), "bounds").select("query_id", "least")
     bounded = queries.join(nearby, "query_id", "left").select(
-        "query_id", "query_vec", F.least(F.lit(float(farthest)), F.coalesce(F.acos(F.col("least")) + 1e-6, F.lit(float(farthest)))).alias("reach")
+        "query_id", "query_vec", F.least(F.lit(float(farthest)), F.coalesce(F.acos(F.col("least")) + 1e-6, F.lit(float(farthest)))).alias("reach"), "least"
     )
-    return searched(bounded, False)
+    routed = routes(bounded, False) if not rotate else None
+    turns = _turns(queries, k, batch_rows) if rotate is not False else None
+    if rotate is None:
+        copies = routed.agg(F.sum(F.size("blocks")).alias("n")).first()["n"] or 0
+        rotate = copies > turns * sum(r[3] for r in rings)
+    return _rotation(bounded, corpus, k, floor, schema, turns) if rotate else searched(routed)

@@ -151,7 +151,7 @@ def vectors(seed, n, copies=0, zero=True):
 
 
 @pytest.mark.parametrize("floor", [None, 0.0, 0.3, 0.9])
-@pytest.mark.parametrize("path", ["small corpus", "small queries", "blocks"])
+@pytest.mark.parametrize("path", ["small corpus", "small queries", "sampled bounds", "blocks", "rotation"])
 def test_search_paths_equal_brute_force(spark, path, floor):
     queries = [(i, v) for i, v in enumerate(vectors(1, 30))] + [(99, np.arange(1.0, 7.0))]
     # A third of the corpus are copies of one vector.
@@ -161,7 +161,9 @@ def test_search_paths_equal_brute_force(spark, path, floor):
     options = {
         "small corpus": {},
         "small queries": {"broadcast_rows": 50},
-        "blocks": {"broadcast_rows": 5, "block_rows": 16, "pivots": 5},
+        "sampled bounds": {"broadcast_rows": 50, "sampled_from": 1},
+        "blocks": {"broadcast_rows": 5, "block_rows": 16, "pivots": 5, "rotate": False},
+        "rotation": {"broadcast_rows": 5, "block_rows": 16, "pivots": 5, "rotate": True},
     }[path]
     got = {(r["query_id"], r["id"], round(r["similarity"], 9), r["rank"]) for r in knn(q, c, 4, floor, **options).collect()}
     assert got == brute(queries, corpus, 4, floor)
@@ -210,6 +212,59 @@ def test_block_search_copies_few_queries(spark, monkeypatch, floor):
     assert routed[0]["n"] == 800 and routed[1]["n"] < 800 * routed[1]["blocks"] / 3
 
 
+def _searches_of_random_vectors(spark, monkeypatch, n, **options):
+    """(rows of the routes written, hits that tasks sent on) of a search where angles rule nothing out."""
+    from flowgraph.operators import knn as module
+
+    rng = np.random.default_rng(n)
+    c = spark.createDataFrame([(i, rng.normal(size=64).tolist()) for i in range(n)], "id long, values array<double>").repartition(4)
+    q = spark.createDataFrame([(i, rng.normal(size=64).tolist()) for i in range(120)], "query_id long, query_vec array<double>")
+    routed, kept, turns, rotation = [], module.materialize, [], module._rotation
+
+    def counting(df, name="step"):
+        out = kept(df, name)
+        if name == "routed":
+            routed.append(out.selectExpr("sum(size(blocks)) AS n").first()["n"])
+        return out
+
+    def turning(*args):
+        turns.append(args[-1])
+        return rotation(*args)
+
+    monkeypatch.setattr(module, "materialize", counting)
+    monkeypatch.setattr(module, "_rotation", turning)
+    got = module.knn(q, c, 3, broadcast_rows=60, block_rows=20, pivots=8, **options)
+    want = module.knn(q, c, 3)
+    assert got.select("query_id", "id", "rank").exceptAll(want.select("query_id", "id", "rank")).isEmpty() and got.count() == 360
+    monkeypatch.undo()
+    return routed, turns
+
+
+def test_random_vectors_are_searched_in_turns_without_copies(spark, monkeypatch):
+    """In 64 dimensions rings prune nothing: queries take turns, and their copies do not grow with the corpus."""
+    copies = {}
+    for n in (300, 1200):
+        routed, turns = _searches_of_random_vectors(spark, monkeypatch, n, rotate=True)
+        copies[n] = sum(routed)
+        assert turns == [2]
+    assert copies[300] == copies[1200] == 120  # the one ring that bounds each query
+    routed, turns = _searches_of_random_vectors(spark, monkeypatch, 300)
+    assert turns == ([2] if routed[1] > 2 * 300 else [])  # the cheaper of the two
+
+
+def test_bounds_of_a_sample_cut_what_tasks_send(spark):
+    from flowgraph.operators import knn as module
+
+    rng = np.random.default_rng(8)
+    c = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(4000)], "id long, values array<double>").repartition(64)
+    q = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(30)], "query_id long, query_vec array<double>").toArrow()
+    schema = spark.createDataFrame([], "query_id long, id long, similarity double").schema
+    assert module._sample_bounds(q, c, 5, None, schema, 65) is None
+    bounds = module._sample_bounds(q, c, 5, None, schema, 64)
+    assert module._stream_corpus(q, c, 5, None, schema).count() == 64 * 30 * 5
+    assert module._stream_corpus(q, c, 5, None, schema, bounds).count() < 64 * 30 * 5 / 4
+
+
 def test_broadcast_limit_counts_every_vector_and_id(spark, monkeypatch):
     from flowgraph.operators import knn as module
 
