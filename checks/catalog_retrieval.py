@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.catalog_scores import scored, scored_edges
-from checks.registry import query, rounded
+from checks.registry import ORACLES, query, rounded
 from flowgraph.functions import vector
 from flowgraph.functions.normalize import clean_cves
 from flowgraph.operators import report, retrieval
 from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
 from flowgraph.operators.knn import knn
+from flowgraph.operators.sparse import SLOTS, SparseTextEncoder
 from flowgraph.plans import batch
 from flowgraph.session import materialize, new_path
 from flowgraph.sources import bucket_store, knowledge, sinks, vector_store
@@ -406,10 +407,50 @@ def _(spark, sf):
 # --- encoding ---------------------------------------------------------------------------------------
 
 
-@query("m7_embed_texts")
+def hashed_sql(name: str, source: str, id: str, text: str, slots: int, fitted: str = "", unit: str = "DOUBLE") -> str:
+    """CTEs of texts hashed by word: ``{name}_h`` (id, slot, n) and the unit vectors' entries ``{name}_u`` (id, slot, v).
+
+    Document frequencies are those of ``fitted``, another such name whose CTEs came before, or of the texts themselves.
+    """
+    of = fitted or name
+    rows = f"{name}_f AS (SELECT slot, ln(((SELECT count(*) FROM {source}) + 1) / (count(*) + 1e0)) AS idf FROM {name}_h GROUP BY slot)," \
+           f" {name}_n AS (SELECT ln((SELECT count(*) FROM {source}) + 1e0) AS idf)," if not fitted else ""
+    return f"""{name}_h AS (SELECT id, CAST('0x' || md5(w)[1:8] AS BIGINT) % {slots} AS slot, count(*) AS n FROM (
+  SELECT {id} AS id, unnest(regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM {source})
+  WHERE w <> '' GROUP BY ALL), {rows}
+{name}_w AS (SELECT id, h.slot, h.n * coalesce(f.idf, (SELECT idf FROM {of}_n)) AS w FROM {name}_h h LEFT JOIN {of}_f f ON f.slot = h.slot),
+{name}_u AS (SELECT id, slot, CAST(CAST(w / sqrt(list_sum(list(w * w ORDER BY slot) OVER (PARTITION BY id))) AS {unit}) AS DOUBLE) AS v
+  FROM {name}_w WHERE w > 0)"""
+
+
+def dense_sql(name: str, slots: int) -> str:
+    """CTE ``{name}_v`` (id, vec) of the entries as whole lists, without zero vectors."""
+    return f"""{name}_v AS (SELECT k.id, list(coalesce(u.v, 0e0) ORDER BY r.range) AS vec FROM (SELECT DISTINCT id FROM {name}_u) k
+  CROSS JOIN range({slots}) r LEFT JOIN {name}_u u ON u.id = k.id AND u.slot = r.range GROUP BY k.id)"""
+
+
+@query(
+    "m7_embed_texts",
+    "",
+    "WITH " + hashed_sql("d", "documents", "doc_id", "text", 384, unit="FLOAT")
+    + " SELECT id AS doc_id, CAST(384 AS INTEGER) AS dimension, slot, round(v, 6) AS value FROM d_u",
+)
 def _(spark, sf):
+    """Every number of every vector that is not 0."""
     docs = inputs.table(spark, sf, "documents").select("doc_id", "text")
-    return HashedTextEncoder().fit_encode(docs).select("doc_id", F.size("values").alias("dimension"))
+    dense = HashedTextEncoder().fit_encode(docs).select("doc_id", F.size("values").alias("dimension"), F.posexplode("values").alias("slot", "value"))
+    return rounded(dense.where("value <> 0").withColumn("value", F.col("value").cast("double")).withColumn("slot", F.col("slot").cast("long")), ["value"])
+
+
+@query(
+    "m7_sparse_texts",
+    "",
+    "WITH " + hashed_sql("d", "documents", "doc_id", "text", SLOTS) + " SELECT id AS doc_id, slot, round(v, 6) AS value FROM d_u",
+)
+def _(spark, sf):
+    docs = inputs.table(spark, sf, "documents")
+    terms = SparseTextEncoder().fit(docs)(docs, "doc_id").select("doc_id", F.inline("terms"))
+    return rounded(terms.withColumnRenamed("weight", "value"), ["value"])
 
 
 @query(
@@ -429,7 +470,14 @@ def _(spark, sf):
     return rounded(out.select("doc_id", v[0].alias("v0"), v[1].alias("v1")), ["v0", "v1"], 4)
 
 
-# --- text in, records out: the hashed encoder has no SQL counterpart, so these are rows-only -------
+# --- text in, records out ---------------------------------------------------------------------------
+
+_HELD = hashed_sql("c", "cves", "cve_id", "description", 128, unit="FLOAT")
+_TURN = "concat(conv_id, '-', turn)"
+
+
+def turns(spark, sf):
+    return inputs.table(spark, sf, "conversations").selectExpr(f"{_TURN} AS query_id", "text")
 
 
 def encoded_corpus(spark, sf):
@@ -439,14 +487,45 @@ def encoded_corpus(spark, sf):
     return materialize(vectors), encoder
 
 
-@query("j5_query_cve_by_text")
+_FOUND = """, found AS (SELECT query_id, cve_id, similarity, matched_mitre_id, coalesce(year, 2026) AS year, severity_score,
+    coalesce(description, '') AS description, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, cve_id) AS rank
+  FROM met JOIN (SELECT * REPLACE (coalesce(severity_score, 0) AS severity_score) FROM cves) USING (cve_id)
+  WHERE similarity >= 0.2 AND severity_score >= 1)
+SELECT query_id, rank, cve_id, matched_mitre_id, year, severity_score, description, round(similarity, 4) AS similarity_score FROM found WHERE rank <= 10"""
+
+
+@query(
+    "j5_query_cve_by_text",
+    "cves",
+    f", {_HELD}, {dense_sql('c', 128)}, {hashed_sql('t', 'conversations', _TURN, 'text', 128, 'c', 'FLOAT')}, {dense_sql('t', 128)}"
+    ", met AS (SELECT t_v.id AS query_id, c_v.id AS cve_id, round(list_cosine_similarity(t_v.vec, c_v.vec), 12) AS similarity FROM t_v, c_v)" + _FOUND,
+)
 def _(spark, sf):
     records, encoder = encoded_corpus(spark, sf)
-    turns = inputs.table(spark, sf, "conversations").selectExpr("concat(conv_id, '-', turn) AS query_id", "text")
-    return retrieval.query_cve_by_text(turns, records, encoder, min_severity=1.0, threshold=0.2)
+    return retrieval.query_cve_by_text(turns(spark, sf), records, encoder, min_severity=1.0, threshold=0.2)
+
+
+@query(
+    "j5_search_texts",
+    "cves",
+    f", {hashed_sql('c', 'cves', 'cve_id', 'description', SLOTS)}, {hashed_sql('t', 'conversations', _TURN, 'text', SLOTS, 'c')}"
+    """, met AS (SELECT t.id AS query_id, c.id AS cve_id, round(list_sum(list(t.v * c.v ORDER BY t.slot)), 12) AS similarity
+  FROM t_u t JOIN c_u c ON t.slot = c.slot GROUP BY ALL)""" + _FOUND,
+)
+def _(spark, sf):
+    """The same question by shared words alone."""
+    return retrieval.search_texts(turns(spark, sf), corpus(spark, sf).drop("values"), min_severity=1.0, threshold=0.2)
 
 
-@query("j6_query_mitre_for_cve")
+@query(
+    "j6_query_mitre_for_cve",
+    "cves",
+    f", {_HELD}, {dense_sql('c', 128)}, known AS ({_TECHNIQUES_SQL}), {hashed_sql('k', 'known', 'mitre_id', 'full_text', 128, 'c', 'FLOAT')}, {dense_sql('k', 128)}"
+    """, met AS (SELECT c_v.id AS query_id, k_v.id AS mitre_id, round(list_cosine_similarity(c_v.vec, k_v.vec), 12) AS similarity FROM c_v, k_v)
+SELECT query_id, rank, mitre_id, name, description, round(similarity, 4) AS similarity_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, mitre_id) AS rank FROM met JOIN known USING (mitre_id) WHERE similarity >= 0.2)
+WHERE rank <= 5""",
+)
 def _(spark, sf):
     records, encoder = encoded_corpus(spark, sf)
     found = encoder(knowledge.extract_techniques(bundle_objects(spark, sf)), "full_text")
@@ -454,7 +533,18 @@ def _(spark, sf):
     return retrieval.query_mitre_for_cve(queries, found.drop("full_text"), encoder, threshold=0.2)
 
 
-@query("j7_explain_edges")
+@query(
+    "j7_explain_edges",
+    "edges scored cves",
+    f""", asked AS (SELECT q.edge_idx, q.text FROM ({ORACLES['x9_query_text_2']}) q JOIN scored USING (edge_idx) WHERE score >= 0.5),
+texts AS (SELECT DISTINCT text FROM asked), {_HELD}, {dense_sql('c', 128)}, {hashed_sql('t', 'texts', 'text', 'text', 128, 'c', 'FLOAT')}, {dense_sql('t', 128)}"""
+    """, hits AS (SELECT text, least(count(*), 5) AS n FROM (
+  SELECT t_v.id AS text, round(list_cosine_similarity(t_v.vec, c_v.vec), 12) AS similarity FROM t_v, c_v JOIN cves ON cve_id = c_v.id WHERE severity_score >= 7)
+  WHERE similarity >= 0.05 GROUP BY text)
+SELECT edge_idx, CASE WHEN score >= 0.5 THEN 'ATTACK' ELSE 'NORMAL' END AS prediction, CAST(coalesce(n, 0) AS INTEGER) AS n_hits,
+  CASE WHEN score >= 0.5 AND n > 0 THEN CASE WHEN score > 0.8 THEN 'HIGH' ELSE 'MEDIUM' END ELSE 'LOW' END AS threat_level
+FROM edges JOIN scored USING (edge_idx) LEFT JOIN asked USING (edge_idx) LEFT JOIN hits USING (text)""",
+)
 def _(spark, sf):
     records, encoder = encoded_corpus(spark, sf)
     out = batch.explain_edges(scored_edges(spark, sf).drop("score"), records, encoder, min_similarity=0.05)

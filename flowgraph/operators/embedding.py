@@ -9,16 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowgraph.functions.vector import word_slots
 from flowgraph.operators.joins import missing_from
 from flowgraph.session import materialize
 
 DIMENSION = 384
 
 
-# Everything that is neither letter nor digit separates words.
-WORD_GAP = r"[^\p{L}\p{N}]+"
-
-
 class HashedTextEncoder:
     """Default encoder: hashed word counts weighted by inverse document frequency, unit length.
 
@@ -33,8 +30,7 @@ class HashedTextEncoder:
         self._idf = None
 
     def _hashed(self, df: DataFrame, text: str) -> DataFrame:
-        words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_GAP), lambda w: w != "")
-        return df.withColumn("__slots", F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(self.dim))))
+        return df.withColumn("__slots", word_slots(F.col(text), self.dim))
 
     def _fit(self, hashed: DataFrame) -> None:
         n = hashed.count()

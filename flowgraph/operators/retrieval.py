@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgraph.operators.joins import top_k_per_group
+from flowgraph.operators import sparse
 from flowgraph.operators.knn import knn
+from flowgraph.operators.sparse import SparseTextEncoder
 from flowgraph.schemas import SIMILARITY_THRESHOLD, TOP_K_CVES, TOP_K_TECHNIQUES
 from flowgraph.session import materialize
 
@@ -61,6 +63,30 @@ def _keyed(records: DataFrame, key: str) -> DataFrame:
     return materialize(records.withColumn("__row", F.concat(F.col(key).cast("string"), F.lit("\x01"), number)), "records")
 
 
+def search_texts(
+    queries: DataFrame,
+    corpus: DataFrame,
+    top_k: int = TOP_K_CVES,
+    min_severity: float | None = None,
+    year: int | None = None,
+    mitre_id: str | None = None,
+    threshold: float = SIMILARITY_THRESHOLD,
+    encoder: SparseTextEncoder | None = None,
+) -> DataFrame:
+    """Related CVE records of every ``queries(query_id, text)`` by the words they share; no dense vectors are made or kept.
+
+    The encoder is fitted on the descriptions of all records, whatever the filters, unless one is given.
+    """
+    encoder = encoder or SparseTextEncoder().fit(corpus, "description")
+    chosen = _keyed(metadata_filter(corpus, min_severity, year, mitre_id), "cve_id")
+    terms = encoder(chosen.select(F.col("__row").alias("id"), "description"), "id", "description")
+    hits = sparse.search(encoder(queries, "query_id"), terms, top_k, threshold)
+    found = hits.withColumnRenamed("id", "__row").join(chosen, "__row")
+    return round_similarity(
+        found.select("query_id", "rank", "cve_id", "similarity", "matched_mitre_id", "year", "severity_score", "description")
+    )
+
+
 def query_cve_by_text(queries: DataFrame, corpus: DataFrame, encode, **options) -> DataFrame:
     """``queries(query_id, text)``: encode, search, round the score to 4 digits."""
     vectors = encode(queries).select("query_id", F.col("values").alias("query_vec"))
