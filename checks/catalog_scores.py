@@ -11,6 +11,7 @@ from checks.registry import query, rounded
 from flowgraph.functions import rules, vector
 from flowgraph.operators import attention, evaluation, quality, report, training
 from flowgraph.operators.graph import edge_inputs
+from flowgraph.plans import batch
 from flowgraph.schemas import SEED
 from flowgraph.session import new_path
 from flowgraph.sources import sinks
@@ -623,6 +624,28 @@ def _(spark, sf):
     return rounded(out.select("edge_idx", "logit"), ["logit"])
 
 
+@query(
+    "x14_score_and_analyze",
+    "edges",
+    """, l AS (SELECT edge_idx, mask, y, 0.1e0 + list_sum(list_transform(range(0, 8), lambda j: greatest(0, (j - 3) / 20e0 +
+    list_sum(list_transform(range(0, 136), lambda i: f[i + 1] * (((31 * i + 17 * j) % 23) - 11) / 50e0))) * ((7 * j) % 5 - 2) / 10e0)) AS logit
+  FROM (SELECT e.*, list_concat(list_concat(s.embedding::DOUBLE[], d.embedding::DOUBLE[]), [a0, a1, a2, a3, a4, a5, a6, a7]) AS f
+    FROM edges e JOIN embeddings s ON s.vec_id = e.src JOIN embeddings d ON d.vec_id = e.dst)),
+p AS (SELECT *, 1 / (1 + exp(-logit)) AS score FROM l),
+f AS (SELECT threshold, 2e0 * count_if(y = 1 AND score >= threshold) / nullif(count_if(score >= threshold) + count_if(y = 1), 0) AS f1
+  FROM p, (VALUES (0.7e0), (0.6e0), (0.5e0), (0.4e0), (0.3e0)) t(threshold) WHERE mask = 'test' GROUP BY threshold),
+b AS (SELECT coalesce((SELECT threshold FROM f WHERE f1 > 0 ORDER BY f1 DESC, threshold DESC LIMIT 1), 0.5e0) AS threshold)
+SELECT edge_idx, round(score, 6) AS score, threshold, CASE WHEN score >= threshold THEN 'ATTACK' ELSE 'NORMAL' END AS prediction,
+  (score >= threshold) = (y = 1) AS match FROM p, b""",
+)
+def _(spark, sf):
+    """Weights from their table (the edge scorer of m4 alone), the threshold from the test edges, a record for every edge."""
+    classifier = {"w1": _grid(136, 8, 31, 17, 23, 11, 50.0), "b1": (np.arange(8) - 3) / 20, "w2": _grid(8, 1, 7, 1, 5, 2, 10.0), "b2": [0.1]}
+    weights = attention.network_table(spark, [], classifier)
+    out = batch.score_and_analyze(edges(spark, sf), inputs.nodes(spark, sf), weights, inputs.cves(spark, sf))
+    return rounded(out.select("edge_idx", "score", "threshold", "prediction", "match"), ["score"])
+
+
 @query("m5_edge_classifier")
 def _(spark, sf):
     e = edges(spark, sf)

@@ -66,6 +66,32 @@ def load_weights(table: DataFrame, max_rows: int = 1_000_000) -> dict[str, dict[
     return {layer: {n: np.array(v) for n, v in parts.items()} for layer, parts in out.items()}
 
 
+def network_table(spark, layers: list[dict], classifier: dict) -> DataFrame:
+    """The arguments of :func:`score_graph` as a table that :func:`load_network` reads."""
+    parts = {}
+    for at, layer in enumerate(layers):
+        weights = {k: v for k, v in vars(layer["attention"]).items() if v is not None}
+        norm = {f"norm_{k}": v for k, v in layer["norm"].items()}
+        parts[f"layer{at:03d}"] = weights | norm | {"concat": np.array([float(layer.get("concat", True))])}
+    return weights_table(spark, parts | {"classifier": {k: np.asarray(v, dtype="float64") for k, v in classifier.items()}})
+
+
+def load_network(table: DataFrame) -> tuple[list[dict], dict]:
+    """(layers, classifier) for :func:`score_graph`; layers are in the order of their names, ``classifier`` is none of them."""
+    parts = load_weights(table)
+    if "classifier" not in parts:
+        raise ValueError("the weights have no classifier")
+    vectors = {"bias", "concat", "b1", "b2"}
+    parts = {layer: {n: v[0] if n in vectors or n.startswith("norm_") else v for n, v in named.items()} for layer, named in parts.items()}
+    classifier, layers = parts.pop("classifier"), []
+    for name in sorted(parts):
+        named = parts[name]
+        norm = {n.removeprefix("norm_"): v for n, v in named.items() if n.startswith("norm_")}
+        weights = {n: v for n, v in named.items() if not n.startswith("norm_") and n != "concat"}
+        layers.append({"attention": AttentionWeights(**weights), "norm": norm, "concat": bool(named["concat"][0])})
+    return layers, classifier
+
+
 def times(vector: Column, weights: np.ndarray, spark) -> Column:
     """vector · weights for an ARRAY<DOUBLE> column, one matrix product per Arrow batch."""
     held = spark.sparkContext.broadcast(np.asarray(weights, dtype="float64"))

@@ -1,4 +1,4 @@
-"""The three entries: flows to graph tables, texts to a vector store, edges to analysis records."""
+"""The entries: flows to graph tables, texts to a vector store, edges to scores and analysis records."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowgraph.functions.normalize import clean_cves, load_normalize
 from flowgraph.functions.rules import prediction as rules_prediction
 from flowgraph.functions.rules import query_text_2, sigmoid
-from flowgraph.operators import graph, quality, report, staging
+from flowgraph.operators import attention, evaluation, graph, quality, report, staging
 from flowgraph.operators.embedding import embed_missing
 from flowgraph.schemas import DECISION_THRESHOLD, SHARDS, SORT_KEYS
 from flowgraph.session import Scratch, delete_path, materialize, new_path
@@ -167,6 +167,23 @@ def analyze(scored: DataFrame, cves: DataFrame, path: str | None = None, fmt: st
     return analysis
 
 
+def score_and_analyze(
+    edges: DataFrame, nodes: DataFrame, weights: DataFrame, cves: DataFrame, path: str | None = None, fmt: str = "json",
+    threshold: float | None = None, held_out: str = "test", **options,
+) -> DataFrame:
+    """Edges, node vectors and a table of weights to analysis records, with the ``threshold`` they were decided by.
+
+    The threshold is the one of the highest F1 among the edges whose mask is ``held_out``, unless one is given; without a
+    single hit there it is the default.  Edges are scored once, and the written scores serve the choice and the records.
+    """
+    layers, classifier = attention.load_network(weights)
+    scored = materialize(attention.score_graph(edges, nodes, layers, classifier), "scored")
+    if threshold is None:
+        judged = scored.where(F.col("mask") == held_out).select("y", sigmoid(F.col("logit")).alias("score"))
+        threshold = evaluation.best_threshold(evaluation.threshold_sweep(judged)).first()["threshold"]
+    return analyze(scored, cves, path, fmt, threshold=threshold, **options).withColumn("threshold", F.lit(float(threshold)))
+
+
 def explain_edges(scored: DataFrame, corpus: DataFrame, encode, **options) -> DataFrame:
     """Hybrid inference over all scored edges: a query text for each attack, encoded, searched, rated.
 

@@ -1,10 +1,11 @@
 """Scores that are no number, edges without vectors, repeated ids, techniques outside the rules, repeated query texts."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from flowgraph.functions import rules
-from flowgraph.operators import evaluation, graph, report, retrieval
+from flowgraph.operators import attention, evaluation, graph, report, retrieval
 from flowgraph.plans import batch
 from flowgraph.sources.vector_store import upsert
 
@@ -70,3 +71,48 @@ def test_upsert_leaves_the_base_in_place(spark, tmp_path):
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
     rows = {r["id"]: r["v"] for r in out.collect()}
     assert len(rows) == 1001 and rows[5] == -2 and rows[2000] == 7 and rows[6] == 6
+
+
+# --- scoring from a table of weights -----------------------------------------------------------
+
+
+def test_network_survives_its_table_and_scores_the_same(spark, tmp_path):
+    rng = np.random.default_rng(5)
+
+    def layer(heads, units, inputs, **more):
+        weights = attention.AttentionWeights(rng.normal(size=(inputs, heads * units)), rng.normal(size=(heads, units)), rng.normal(size=(heads, units)), **more)
+        norm = {"mean": rng.normal(size=heads * units), "var": np.ones(heads * units), "weight": np.ones(heads * units), "bias": np.zeros(heads * units)}
+        return {"attention": weights, "norm": norm}
+
+    layers = [layer(2, 3, 4, bias=rng.normal(size=6)), layer(1, 2, 6) | {"concat": False}]
+    classifier = {"w1": rng.normal(size=(6, 3)), "b1": rng.normal(size=3), "w2": rng.normal(size=(3, 1)), "b2": [0.2]}
+    attention.network_table(spark, layers, classifier).write.parquet(str(tmp_path / "weights"))
+    table = spark.read.parquet(str(tmp_path / "weights"))
+    back, same = attention.load_network(table)
+    assert [x["concat"] for x in back] == [True, False] and back[0]["attention"].heads == 2 and back[1]["attention"].bias is None
+    assert np.array_equal(same["b1"], classifier["b1"]) and np.array_equal(same["w2"], classifier["w2"])
+
+    nodes = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(6)], "node_id long, x array<double>")
+    rows = [(i, i % 6, (i * 5 + 1) % 6, rng.random(8).tolist()[:2] + [0.0] * 6, i % 2, "test" if i % 5 == 4 else "train") for i in range(20)]
+    edges = spark.createDataFrame(rows, "edge_idx long, src long, dst long, attr array<double>, y int, mask string")
+    classifier["w1"] = rng.normal(size=(12, 3))
+    cves = spark.createDataFrame([], "cve_id string, matched_mitre_id string, severity_score double, year int")
+    weights = attention.network_table(spark, layers, classifier)
+    want = {r["edge_idx"]: 1 / (1 + np.exp(-r["logit"])) for r in attention.score_graph(edges, nodes, layers, classifier).collect()}
+
+    out = batch.score_and_analyze(edges, nodes, weights, cves, str(tmp_path / "records")).collect()
+    assert {r["edge_idx"]: pytest.approx(r["score"]) for r in out} == want
+    judged = [(y, want[i]) for i, _, _, _, y, mask in rows if mask == "test"]
+
+    def f1(t):
+        tp = sum(y == 1 and s >= t for y, s in judged)
+        return 2 * tp / max(1, sum(y == 1 for y, _ in judged) + sum(s >= t for _, s in judged))
+
+    best = max((f1(t), t) for t in (0.3, 0.4, 0.5, 0.6, 0.7))
+    assert {r["threshold"] for r in out} == {best[1] if best[0] > 0 else 0.5}
+    assert all((r["prediction"] == "ATTACK") == (r["score"] >= r["threshold"]) for r in out)
+    assert spark.read.json(str(tmp_path / "records")).count() == 20
+    given = batch.score_and_analyze(edges, nodes, weights, cves, threshold=0.0).collect()
+    assert {r["prediction"] for r in given} == {"ATTACK"}
+    with pytest.raises(ValueError):
+        attention.load_network(weights.where("layer <> 'classifier'"))
