@@ -11,10 +11,11 @@ from checks import inputs
 from checks.registry import query, rounded, sql_rounded
 from flowgraph.functions import normalize as nz
 from flowgraph.operators import graph, joins, numbering, quality, staging
+from flowgraph.plans import batch
 from flowgraph.plans.batch import graph_tables
 from flowgraph.schemas import CANONICAL, COUNTER_COLUMNS, LATE_COLUMNS, NETWORK_LOG_COLUMNS, PORT_COLUMNS, SORT_KEYS
 from flowgraph.session import materialize, new_path
-from flowgraph.sources import files, pages, sinks
+from flowgraph.sources import files, pages, pair_store, sinks
 from flowgraph.streaming.frontier import ingest_new_files
 
 CLEAN_COLUMNS = (
@@ -494,6 +495,18 @@ def _(spark, sf):
     return rounded(graph.super_edges(p, graph.node_mapping(p)), MEANS)
 
 
+@query("a1_super_edges_merged", "se", f"SELECT {sql_rounded(graph.EDGE_COLUMNS, MEANS)} FROM se")
+def _(spark, sf):
+    """Early periods first; the later ones are merged into their states."""
+    root, store = new_path(spark, "zone"), new_path(spark, "states")
+    df = inputs.flows(spark, sf).withColumnRenamed("source_period", "period")
+    for part in (df.filter(F.col("period") <= MIDDLE), df.filter(F.col("period") > MIDDLE)):
+        part.write.mode("append").partitionBy("period").parquet(f"{root}/parquet")
+        batch.update_pair_states(spark, root, store)
+    p = materialize(graph.merged_pairs(pair_store.states(spark, store)))
+    return rounded(graph.super_edges(p, graph.node_mapping(p)), MEANS)
+
+
 @query("w3_split_mask", "gnn", f"SELECT {sql_rounded([*graph.EDGE_COLUMNS, 'split_mask'], MEANS)} FROM gnn")
 def _(spark, sf):
     return rounded(graph_tables(inputs.flows(spark, sf)).gnn_ready, MEANS)

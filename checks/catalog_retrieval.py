@@ -16,6 +16,7 @@ from flowgraph.operators.sparse import SLOTS, SparseTextEncoder
 from flowgraph.plans import batch
 from flowgraph.session import materialize, new_path
 from flowgraph.sources import bucket_store, knowledge, sinks, vector_store
+from flowgraph.streaming.frontier import upsert_new_files
 
 LOW = 0.3  # the given vectors are far apart; the library's defaults would find almost nothing
 
@@ -96,6 +97,19 @@ def _(spark, sf):
     return bucket_store.read(spark, path, "id")
 
 
+@query("s21_stream_upsert", "cves", ORACLE_UPSERT)
+def _(spark, sf):
+    """Updates arrive as files in two runs, then a run that finds nothing new."""
+    base, first, again = upsert_inputs(spark, sf)
+    path, inbox, state = (new_path(spark, n) for n in ("store", "inbox", "state"))
+    bucket_store.create(base.drop("pos"), path, "id", 16)
+    for updates in (first, again, None):
+        if updates is not None:
+            updates.write.mode("append").parquet(inbox)
+        upsert_new_files(spark, inbox, base.schema, path, "id", state, "pos")
+    return bucket_store.read(spark, path, "id")
+
+
 @query("s15_full_refresh", "", _TECHNIQUES_SQL)
 def _(spark, sf):
     path = new_path(spark, "techniques")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowgraph.operators.numbering import global_row_number
@@ -35,6 +35,47 @@ def pair_stats(clean: DataFrame) -> DataFrame:
     )
 
 
+_AVERAGED = ["log_duration", "log_orig_bytes", "log_resp_bytes"]
+_SUMMED = {"tcp_count": "proto_tcp", "udp_count": "proto_udp", "icmp_count": "proto_icmp", "http_count": "srv_http", "dns_count": "srv_dns"}
+
+
+def pair_states(clean: DataFrame, period: str = "period") -> DataFrame:
+    """One mergeable row per (period, source ip, destination ip): counts, means and the sum of squared deviations."""
+    return clean.groupBy(period, "src_ip_zeek", "dest_ip_zeek").agg(
+        F.count(F.lit(1)).alias("connection_count"),
+        *[F.count(c).alias(f"n_{c}") for c in _AVERAGED],
+        *[F.avg(c).alias(f"mean_{c}") for c in _AVERAGED],
+        (F.var_pop("log_duration") * F.count("log_duration")).alias("dev_log_duration"),
+        *[F.sum(c).alias(name) for name, c in _SUMMED.items()],
+        F.max("label").alias("label"),
+    )
+
+
+def merged_pairs(states: DataFrame) -> DataFrame:
+    """``pair_stats`` of all flows from the states of their periods.
+
+    Deviations are taken around the pair's overall mean, so no large squares are subtracted from each other.  A pair has one
+    state a period, which bounds its window; the aggregation that follows needs no further shuffle.
+    """
+    pair = ["src_ip_zeek", "dest_ip_zeek"]
+    whole = Window.partitionBy(*pair)
+    weighed = F.col("mean_log_duration") * F.col("n_log_duration")
+    overall = F.try_divide(F.sum(weighed).over(whole), F.sum("n_log_duration").over(whole))
+    apart = F.col("mean_log_duration") - overall
+    total, dev = F.sum("n_log_duration"), F.sum("dev_log_duration")
+    return (
+        states.withColumn("dev_log_duration", F.col("dev_log_duration") + F.col("n_log_duration") * apart * apart)
+        .groupBy(*pair)
+        .agg(
+            F.sum("connection_count").alias("connection_count"),
+            *[F.try_divide(F.sum(F.col(f"mean_{c}") * F.col(f"n_{c}")), F.sum(f"n_{c}")).alias(f"mean_{c}") for c in _AVERAGED],
+            F.when(total > 1, F.sqrt(dev / (total - 1))).alias("std_log_duration"),
+            *[F.sum(name).alias(name) for name in _SUMMED],
+            F.max("label").alias("label"),
+        )
+    )
+
+
 def unique_ips(pairs: DataFrame) -> DataFrame:
     """Distinct source and destination ips; works on flows and, cheaper, on ``pair_stats``."""
     return (

@@ -64,8 +64,8 @@ def one_hot(c: Column, values, prefix: str) -> list[Column]:
     return [F.coalesce((c == v).cast("int"), F.lit(0)).alias(f"{prefix}{v}") for v in values]
 
 
-def clean_features(staged: DataFrame) -> DataFrame:
-    """Log-scaled measures, one-hot protocol and service, 0/1 label."""
+def clean_features(staged: DataFrame, keep=()) -> DataFrame:
+    """Log-scaled measures, one-hot protocol and service, 0/1 label; the columns ``keep`` stay as they are."""
     measures = ["duration", "orig_bytes", "resp_bytes", "orig_pkts", "resp_pkts"]
     return staged.select(
         "src_ip_zeek",
@@ -77,6 +77,7 @@ def clean_features(staged: DataFrame) -> DataFrame:
         "label_tactic",
         "label_technique",
         "final_target",
+        *keep,
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowgraph.functions.normalize import clean_cves, load_normalize
@@ -14,7 +14,7 @@ from flowgraph.operators import attention, evaluation, graph, quality, report, s
 from flowgraph.operators.embedding import embed_missing
 from flowgraph.schemas import DECISION_THRESHOLD, SHARDS, SORT_KEYS
 from flowgraph.session import Scratch, delete_path, materialize, new_path
-from flowgraph.sources import bucket_store, knowledge
+from flowgraph.sources import bucket_store, knowledge, pair_store
 from flowgraph.sources import files as file_source
 from flowgraph.sources import sinks, vector_store
 
@@ -83,15 +83,57 @@ def publish_models(raw: DataFrame, database: str) -> dict[str, int]:
     Every model's new version is written with its checks and counts observed on the way; only when all checks hold are the
     tables switched to them, else the new versions are deleted and the old ones stay.
     """
-    spark, scratch = raw.sparkSession, Scratch(raw.sparkSession)
-    names = {m: f"{database}.{m}" for m in ("int_network_clean", "mart_node_mapping", "mart_super_edges", "mart_gnn_ready")}
+    spark = raw.sparkSession
+    loaded = Observation()
     staged = quality.Watch("stg_network_logs")
     clean_watch = quality.Watch("int_network_clean")
-    clean = clean_watch.on(staging.clean_features(staged.on(staging.stage_flows(raw))))
-    paths = {"int_network_clean": sinks.write_version(clean, names["int_network_clean"])}
-    watches = [staged, clean_watch]
+    counted = raw.observe(loaded, F.count(F.lit(1)).alias("rows"))
+    clean = clean_watch.on(staging.clean_features(staged.on(staging.stage_flows(counted))))
+    path = sinks.write_version(clean, f"{database}.int_network_clean")
+    counts = _publish_edges(graph.pair_stats(spark.read.parquet(path)), database, {"int_network_clean": path}, [staged, clean_watch])
+    return {"raw_rows": loaded.get["rows"], **counts}
+
+
+def update_graph(spark: SparkSession, root: str, store: str, database: str = "default", null_text: str | None = None) -> DataFrame:
+    """Period files to the three marts by way of a ``pair_store``, and the run summary; only new or changed periods are opened.
+
+    Periods whose files are as they were keep their states, and those whose files are gone count no more.  The declared checks
+    of the marts run as in :func:`publish_models`; those of single flows are not part of this way.
+    """
+    update_pair_states(spark, root, store, null_text)
+    counts = _publish_edges(graph.merged_pairs(pair_store.states(spark, store)), database, {}, [])
+    rows = pair_store.manifest(spark, store).agg(F.sum("rows")).first()[0]
+    return quality.summary_of(spark, {"raw_rows": rows, **counts})
+
+
+def update_pair_states(spark: SparkSession, root: str, store: str, null_text: str | None = None) -> int:
+    """Bring a ``pair_store`` up to date with the period files below ``root``; returns the number of periods computed."""
+    scratch = Scratch(spark)
+    pair_store.create(spark, store)
+    folder = F.element_at(F.split("path", "/"), -2)
+    found = scratch.write(file_source.list_files(spark, root, times=True).withColumn("period", folder), "found")
+    now = scratch.write(pair_store.listed(found), "now")
+    chosen = scratch.write(found.join(pair_store.changed(now, pair_store.manifest(spark, store)), "period"), "chosen")
+    probed = file_source.probe_footers(chosen).withColumn("period", folder)
+    rows = scratch.write(probed.groupBy("period").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")), "rows")
+    n = rows.count()
+    states = None
+    if n:
+        raw = load_normalize(file_source.read_periods(spark, chosen.select("path", "size"), None), null_text)
+        staged = staging.stage_flows(raw).withColumnRenamed("source_period", "period")
+        states = graph.pair_states(staging.clean_features(staged, keep=["period"]))
+    pair_store.put(spark, store, now, rows, states)
+    scratch.drop_all()
+    return n
+
+
+def _publish_edges(pairs: DataFrame, database: str, paths: dict[str, str], watches: list[quality.Watch]) -> dict[str, int]:
+    """Node map, edges and split of ``pairs``, published together with the versions already in ``paths`` if all checks hold."""
+    spark, scratch = pairs.sparkSession, Scratch(pairs.sparkSession)
+    names = {m: f"{database}.{m}" for m in (*paths, "mart_node_mapping", "mart_super_edges", "mart_gnn_ready")}
+    before = len(watches)
     try:
-        pairs = scratch.write(graph.pair_stats(spark.read.parquet(paths["int_network_clean"])), "pairs")
+        pairs = scratch.write(pairs, "pairs")
         node_map = scratch.write(graph.node_mapping(pairs), "nodes")
         gnn = scratch.write(graph.split_mask(graph.super_edges(pairs, node_map)), "edges")
         models = {"mart_node_mapping": (node_map, ["node_id"]), "mart_super_edges": (gnn.drop("split_mask"), ["source_idx", "target_idx"]),
@@ -99,7 +141,7 @@ def publish_models(raw: DataFrame, database: str) -> dict[str, int]:
         for model, (df, keys) in models.items():
             watch = quality.Watch(model, {"train": "split_mask = 'train'", "test": "split_mask = 'test'"} if model == "mart_gnn_ready" else {})
             paths[model] = sinks.write_version(df, names[model], keys, watch)
-            watches.append(watch)
+            watches = [*watches, watch]
         repeated = quality.model_checks({"mart_node_mapping": node_map}, ("unique",))
         quality.require_lines([line for watch in watches for line in watch.lines()] + repeated.collect())
     except BaseException:
@@ -111,10 +153,7 @@ def publish_models(raw: DataFrame, database: str) -> dict[str, int]:
     for model, path in paths.items():
         sinks.switch(spark, names[model], path)
     gnn_counts = watches[-1].counts()
-    return {"raw_rows": staged.counts()["rows"], "nodes": watches[2].counts()["rows"], "edges": gnn_counts["rows"],
-            "train": gnn_counts["train"], "test": gnn_counts["test"]}
-
-
+    return {"nodes": watches[before].counts()["rows"], "edges": gnn_counts["rows"], "train": gnn_counts["train"], "test": gnn_counts["test"]}
 
 def refresh_techniques(spark: SparkSession, bundle_path: str, encode, store: str) -> DataFrame:
     """Technique bundle to vector records, the last one of each id, replacing the store."""

@@ -12,8 +12,10 @@ from flowgraph.schemas import CANONICAL, LATE_COLUMNS, SHARDS
 from flowgraph.session import materialize, new_path
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "part-*.parquet", below: str | None = "parquet") -> DataFrame:
-    """(path, size) of the matching files, if wanted only those below a folder ``below`` inside ``root``.
+def list_files(
+    spark: SparkSession, root: str, pattern: str = "part-*.parquet", below: str | None = "parquet", times: bool = False
+) -> DataFrame:
+    """(path, size) and, if wanted, ``modified`` of the matching files, or only of those below a folder ``below`` inside ``root``.
 
     Spark lists the tree; only names and sizes are read.  Fails when nothing matches.
     """
@@ -22,7 +24,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "part-*.parquet",
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select("path", F.col("length").alias("size"))
+        .select("path", F.col("length").alias("size"), *([F.col("modificationTime").alias("modified")] if times else []))
     )
     if below:
         inside = F.substring(F.col("path"), len(_qualified(spark, root)) + 1, 1 << 30)

@@ -72,7 +72,7 @@ def test_models_and_checks_read_the_flows_once(spark, sf):
             yield b
 
     counts = batch.publish_models(raw.mapInArrow(counted, raw.schema), "watchtest")
-    assert seen.value == raw.count() and counts["raw_rows"] == staging.stage_flows(raw).count()
+    assert seen.value == raw.count() and counts["raw_rows"] == raw.count()
     assert counts["edges"] == spark.table("watchtest.mart_gnn_ready").count() == counts["train"] + counts["test"]
     assert counts["nodes"] == spark.table("watchtest.mart_node_mapping").count()
     assert quality.summary_of(spark, counts).first()["train_share"] == counts["train"] / counts["edges"]
