@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -13,7 +16,7 @@ from flowgraph.operators import attention, evaluation, quality, report, training
 from flowgraph.operators.graph import edge_inputs
 from flowgraph.plans import batch
 from flowgraph.schemas import SEED
-from flowgraph.session import new_path
+from flowgraph.session import materialize, new_path
 from flowgraph.sources import sinks
 
 
@@ -542,9 +545,43 @@ def _(spark, sf):
     return spread(out, "x", 8, prefix="x")
 
 
-@query("m1_score_graph")
+def _layer_sql(at: int, heads: int, units: int, width: int) -> str:
+    """One layer of the network over the nodes ``x{at}(node_id, x)`` and the edges with loops ``le``; gives ``x{at + 1}``."""
+    own = f"list_sum(list_transform(range(0, {units}), lambda c: z[h * {units} + c + 1] *"
+    return f""", z{at} AS (SELECT node_id, list_transform(range(0, {heads * units}), lambda j: list_sum(list_transform(range(0, {width}),
+    lambda i: x[i + 1] * (((31 * i + 17 * j) % 23) - 11) / 50e0))) AS z FROM x{at}),
+n{at} AS (SELECT node_id, z, list_transform(range(0, {heads}), lambda h: {own} ((3 * h + 7 * c) % 5 - 2) / 10e0))) AS s,
+  list_transform(range(0, {heads}), lambda h: {own} ((5 * h + 3 * c) % 7 - 3) / 10e0))) AS t FROM z{at}),
+h{at} AS (SELECT src, dst, attr, unnest(range(0, {heads})) AS h FROM le),
+r{at} AS (SELECT dst, h, a.z[h * {units} + 1 : h * {units} + {units}] AS z, a.s[h + 1] + b.t[h + 1] +
+  list_sum(list_transform(range(0, {units}), lambda c: ((2 * h + 11 * c) % 9 - 4) / 10e0 * list_sum(list_transform(range(0, 8),
+    lambda i: attr[i + 1] * ((13 * i + 5 * (h * {units} + c)) % 17 - 8) / 60e0)))) AS u
+  FROM h{at} JOIN n{at} a ON a.node_id = src JOIN n{at} b ON b.node_id = dst),
+l{at} AS (SELECT dst, h, z, CASE WHEN u > 0 THEN u ELSE 0.2e0 * u END AS u FROM r{at}),
+w{at} AS (SELECT dst, h, z, exp(u - max(u) OVER (PARTITION BY dst, h)) AS w FROM l{at}),
+c{at} AS (SELECT dst, h * {units} + c AS j, sum(w * v) / sum(w) AS v FROM
+  (SELECT dst, h, w, unnest(range(0, {units})) AS c, unnest(z) AS v FROM w{at}) GROUP BY dst, h, c),
+b{at} AS (SELECT dst, j, (v + ((3 * j) % 4 - 1) / 20e0) / sqrt(1 + 1e-5) AS v FROM c{at}),
+x{at + 1} AS (SELECT dst AS node_id, list(CASE WHEN v > 0 THEN v ELSE exp(v) - 1 END ORDER BY j) AS x FROM b{at} GROUP BY dst)"""
+
+
+_NETWORK = (
+    """, others AS (SELECT src, dst, [a0, a1, a2, a3, a4, a5, a6, a7] AS attr FROM edges WHERE src <> dst),
+le AS (SELECT * FROM others UNION ALL SELECT vec_id, vec_id, ["""
+    + ", ".join(f"coalesce(avg(attr[{i + 1}]), 0)" for i in range(8))
+    + """] FROM embeddings LEFT JOIN others ON dst = vec_id GROUP BY vec_id),
+x0 AS (SELECT vec_id AS node_id, embedding::DOUBLE[] AS x FROM embeddings)"""
+    + _layer_sql(0, 4, 4, 64) + _layer_sql(1, 4, 4, 16) + _layer_sql(2, 1, 8, 16)
+    + """ SELECT edge_idx, round(0.1e0 + list_sum(list_transform(range(0, 8), lambda j: greatest(0, list_sum(list_transform(range(0, 24),
+  lambda i: f[i + 1] * (((31 * i + 17 * j) % 23) - 11) / 50e0))) * ((7 * j) % 5 - 2) / 10e0)), 6) + 0e0 AS logit
+FROM (SELECT edge_idx, list_concat(list_concat(s.x, d.x), [a0, a1, a2, a3, a4, a5, a6, a7]) AS f
+  FROM edges JOIN x3 s ON s.node_id = src JOIN x3 d ON d.node_id = dst)"""
+)
+
+
+@query("m1_score_graph", "edges", _NETWORK)
 def _(spark, sf):
-    """Three layers with several heads, self loops, norms and the edge scorer: rows only."""
+    """Three layers with several heads, self loops, norms and the edge scorer."""
 
     def norm(n):
         return {"mean": np.zeros(n), "var": np.ones(n), "weight": np.ones(n), "bias": np.zeros(n)}
@@ -555,7 +592,8 @@ def _(spark, sf):
         {"attention": _layer(1, 8, 16), "norm": norm(8), "concat": False},
     ]
     classifier = {"w1": _grid(24, 8, 31, 17, 23, 11, 50.0), "b1": np.zeros(8), "w2": _grid(8, 1, 7, 1, 5, 2, 10.0), "b2": [0.1]}
-    return attention.score_graph(edges(spark, sf), inputs.nodes(spark, sf), layers, classifier).select("edge_idx", "logit")
+    out = attention.score_graph(edges(spark, sf), inputs.nodes(spark, sf), layers, classifier)
+    return rounded(out.select("edge_idx", "logit"), ["logit"])
 
 
 _NORM = "(((i * 7) % 11) - 5) / 40e0, 0.5e0 + ((i * 3) % 5) / 10e0, 1e0 + ((i * 5) % 7) / 10e0, (((i * 2) % 9) - 4) / 20e0".split(", ")
@@ -658,3 +696,50 @@ def _(spark, sf):
     e = training.three_way_mask(edges(spark, sf))
     (model, _, _), _ = training.select_classifier(e, [{"reg": 1e-4}, {"reg": 1e-2}])
     return training.classify_edges(model, e).select("edge_idx", "y", "mask", "score")
+
+
+# At an optimum the weighted mean of score · feature, plus the penalty, is that of label · feature, which the data alone give.
+_MOMENTS = """, marked AS (SELECT *, {mask} AS m FROM edges),
+t AS (SELECT *, CASE WHEN y = 1 THEN (SELECT count_if(y = 0) / CAST(count_if(y = 1) AS DOUBLE) FROM marked WHERE m = 'train') ELSE 1e0 END AS w
+  FROM marked WHERE m = 'train'),
+v AS (SELECT w, y, unnest(range(1, 9)) AS coordinate, unnest([a0, a1, a2, a3, a4, a5, a6, a7]) AS x FROM t),
+c AS (SELECT coordinate, sum(w * x) / sum(w) AS mean, sum(w * x * x) / sum(w) AS square FROM v GROUP BY 1),
+d AS (SELECT coordinate, mean, CASE WHEN square - mean * mean > 1e-12 * mean * mean THEN 1 / sqrt(square - mean * mean) ELSE 0 END AS scale FROM c),
+o AS (SELECT coordinate, sum(w * y * (x - mean) * scale) / sum(w) AS moment FROM v JOIN d USING (coordinate) GROUP BY 1
+  UNION ALL SELECT 0, sum(w * y) / sum(w) FROM t)
+SELECT CAST(candidate AS INTEGER) AS candidate, CAST(coordinate AS INTEGER) AS coordinate, round(moment, 6) + 0e0 AS moment
+FROM o, (SELECT unnest(range(0, {candidates})) AS candidate)"""
+
+
+def _moments(models, e):
+    """(candidate, coordinate, moment) of the scores of the training rows, features standardised as for training."""
+    train = materialize(e.where(F.col("mask") == "train").select("y", "attr"))
+    n = train.agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1")).first()
+    weight = F.when(F.col("y") == 1, n["n0"] / n["n1"]).otherwise(1.0)
+    width = len(models[0].coefficients)
+    means = train.agg(*[(F.sum(weight * F.col("attr")[j]) / F.sum(weight)).alias(f"m{j}") for j in range(width)]).first()
+    out = []
+    for i, model in enumerate(models):
+        p = weight * rules.sigmoid(model.logit(F.col("attr")))
+        scale = [b / s if s else 0.0 for b, s in zip(model.coefficients, model.optimum[1:])]
+        sums = train.agg(
+            (F.sum(p) / F.sum(weight)).alias("a0"),
+            *[(F.sum(p * (F.col("attr")[j] - means[j]) * float(scale[j])) / F.sum(weight) + float(model.reg * model.optimum[j + 1])).alias(f"a{j + 1}") for j in range(width)],
+        )
+        pairs = [F.struct(F.lit(i).alias("candidate"), F.lit(j).alias("coordinate"), F.col(f"a{j}").alias("moment")) for j in range(width + 1)]
+        out.append(sums.select(F.inline(F.array(*pairs))))
+    return rounded(reduce(DataFrame.unionByName, out), ["moment"])
+
+
+@query("m5_optimality", "edges", _MOMENTS.format(mask="mask", candidates=1))
+def _(spark, sf):
+    e = edges(spark, sf)
+    return _moments([training.fit_edge_classifier(e)], e)
+
+
+@query("m6_optimality", "edges", _MOMENTS.format(mask="CASE WHEN edge_idx % 10 < 2 THEN 'test' WHEN edge_idx % 10 = 2 THEN 'val' ELSE 'train' END", candidates=3))
+def _(spark, sf):
+    """Three candidates fitted together."""
+    turn = F.pmod("edge_idx", F.lit(10))
+    e = edges(spark, sf).withColumn("mask", F.when(turn < 2, "test").when(turn == 2, "val").otherwise("train"))
+    return _moments(training.fit_edge_classifiers(e, [{"reg": 1e-4}, {"reg": 1e-2}, {"reg": 1.0}]), e)
