@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from flowgraph.functions.vector import batch_norm, elu, relu
 from flowgraph.operators.graph import require_vectors
-from flowgraph.operators.joins import HOT_ROWS, salted_join
+from flowgraph.operators.joins import HOT_ROWS, hot_keys, salted_join
 from flowgraph.session import materialize
 
 SLOPE = 0.2
@@ -106,17 +106,15 @@ def times(vector: Column, weights: np.ndarray, spark) -> Column:
 
 
 def edge_softmax(edges: DataFrame, logit: str = "logit", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Attention weight of every edge: softmax of ``logit`` over the edges with the same ``dst``."""
-    peak = edges.groupBy("dst").agg(F.max(logit).alias("__peak"))
-    weighted = materialize(
-        salted_join(edges, peak, "dst", "edge_idx", hot_rows).withColumn("__w", F.exp(F.col(logit) - F.col("__peak")))
-    )
-    total = weighted.groupBy("dst").agg(F.sum("__w").alias("__total"))
-    return (
-        salted_join(weighted, total, "dst", "edge_idx", hot_rows)
-        .withColumn("alpha", F.col("__w") / F.col("__total"))
-        .drop("__peak", "__w", "__total")
-    )
+    """Attention weight of every edge: softmax of ``logit`` over the edges with the same ``dst``; NULL where it is NULL.
+
+    Greatest logit and scaled sum of a destination come from one pass, and edges join them once.
+    """
+    least = F.lit(-1e308)  # of no weight beside any logit
+    parts = _messages(edges.select("dst", F.array(F.coalesce(F.col(logit).cast("double"), least)).alias("l")), 1, 0)
+    total = _merged(parts, 1, 0).select("dst", F.col("values")[0].alias("__peak"), F.col("values")[1].alias("__total"))
+    joined = salted_join(edges, total, "dst", "edge_idx", hot_rows)
+    return joined.withColumn("alpha", F.exp(F.col(logit) - F.col("__peak")) / F.col("__total")).drop("__peak", "__total")
 
 
 def _with_self_loops(edges: DataFrame, nodes: DataFrame, edge_dim: int) -> DataFrame:
@@ -137,16 +135,30 @@ def _with_self_loops(edges: DataFrame, nodes: DataFrame, edge_dim: int) -> DataF
     return others.select(F.col("edge_idx").cast("string").alias("edge_idx"), "src", "dst", "attr").unionByName(loops)
 
 
-def _messages(weighed: DataFrame, heads: int, units: int) -> DataFrame:
-    """(dst, w, z) → per Arrow batch one row (dst, salt, values) per destination.
+def _softmax_merge(heads: int, units: int):
+    """Merging of rows [greatest logit, sums of w·z, sums of w] per head, where w = exp(logit - greatest logit of the row)."""
+
+    def merge(values, starts):
+        import numpy as np
+
+        peak = np.maximum.reduceat(values[:, :heads], starts, axis=0)
+        group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(values)]))
+        scale = np.exp(values[:, :heads] - peak[group])
+        wide = np.concatenate([np.repeat(scale, units, axis=1), scale], axis=1)
+        return np.concatenate([peak, np.add.reduceat(values[:, heads:] * wide, starts, axis=0)], axis=1)
+
+    return merge
 
-    ``values`` holds the weighted sums of z and then the sums of w.  A destination that fills
-    a good part of a batch is a hub: its batch sums get changing salts, so that no task
-    receives all of them.
+
+def _messages(met: DataFrame, heads: int, units: int) -> DataFrame:
+    """(dst, l, z) → per Arrow batch one row (dst, salt, values) per destination, values as :func:`_softmax_merge` takes them.
+
+    ``l`` holds a logit per head; with 0 units there is no ``z``.  A destination that fills a good part of a batch is a hub: its
+    rows get changing salts, so that no task receives all of them.
     """
-    width = heads * units
+    merge = _softmax_merge(heads, units)
     schema = T.StructType(
-        [weighed.schema["dst"], T.StructField("salt", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
+        [met.schema["dst"], T.StructField("salt", T.IntegerType()), T.StructField("values", T.ArrayType(T.DoubleType()))]
     )
 
     def add_up(batches):
@@ -160,13 +172,12 @@ def _messages(weighed: DataFrame, heads: int, units: int) -> DataFrame:
             if n == 0:
                 continue
             turn += 1
-            w = batch.column("w").flatten().to_numpy().reshape(n, heads)
-            z = batch.column("z").flatten().to_numpy().reshape(n, heads, units)
-            values = np.concatenate([(w[:, :, None] * z).reshape(n, width), w], axis=1)
+            parts = [batch.column(c).flatten().to_numpy().reshape(n, -1) for c in (["l", "z"] if units else ["l"])]
+            values = np.concatenate([*parts, np.ones((n, heads))], axis=1)
             dst = batch.column("dst").to_numpy(zero_copy_only=False)
             order = np.argsort(dst, kind="stable")
             starts = np.flatnonzero(np.r_[True, dst[order][1:] != dst[order][:-1]])
-            sums = np.add.reduceat(values[order], starts, axis=0)
+            sums = merge(values[order], starts)
             rows = np.diff(np.r_[starts, n])
             salt = np.where(rows > max(16, n // 100), turn % HUB_SALTS, 0).astype("int32")
             offsets = pa.array(range(0, sums.size + 1, sums.shape[1]), pa.int32())
@@ -179,11 +190,17 @@ def _messages(weighed: DataFrame, heads: int, units: int) -> DataFrame:
                 names=["dst", "salt", "values"],
             )
 
-    return weighed.select("dst", "w", "z").mapInArrow(add_up, schema)
+    return met.select("dst", "l", *(["z"] if units else [])).mapInArrow(add_up, schema)
+
+
+def _merged(messages: DataFrame, heads: int, units: int) -> DataFrame:
+    """One row (dst, values) per destination; the pieces of a hub are merged first."""
+    merge = _softmax_merge(heads, units)
+    return vector_sums(vector_sums(messages, ["dst", "salt"], merge=merge), ["dst"], merge=merge)
 
 
-def vector_sums(df: DataFrame, keys: list[str], values: str = "values") -> DataFrame:
-    """Element-wise sum of an array column per key.
+def vector_sums(df: DataFrame, keys: list[str], values: str = "values", merge=None) -> DataFrame:
+    """Element-wise sum of an array column per key, or what ``merge(rows, starts)`` makes of each group of consecutive rows.
 
     Rows are sorted by key inside their partition and added up as a stream: memory holds one
     batch and one running sum, whatever the size of a group.
@@ -195,6 +212,8 @@ def vector_sums(df: DataFrame, keys: list[str], values: str = "values") -> DataF
         import numpy as np
         import pyarrow as pa
 
+        combine = merge or (lambda rows, starts: np.add.reduceat(rows, starts, axis=0))
+
         def rows(columns, sums, types):
             offsets = pa.array(range(0, sums.size + 1, sums.shape[1]), pa.int32())
             arrays = [pa.array(c, t) for c, t in zip(columns, types)]
@@ -213,11 +232,11 @@ def vector_sums(df: DataFrame, keys: list[str], values: str = "values") -> DataF
             for c in columns:
                 change[1:] |= c[1:] != c[:-1]
             starts = np.flatnonzero(change)
-            sums = np.add.reduceat(batch.column(n_keys).flatten().to_numpy().reshape(n, -1), starts, axis=0)
+            sums = combine(batch.column(n_keys).flatten().to_numpy().reshape(n, -1), starts)
             firsts = [c[starts] for c in columns]
             if held is not None:
                 if all(f[0] == h[0] for f, h in zip(firsts, held[0])):
-                    sums[0] += held[1][0]
+                    sums[0] = combine(np.stack([held[1][0], sums[0]]), np.zeros(1, int))[0]
                 else:
                     yield rows(*held, types)
             held = ([f[-1:] for f in firsts], sums[-1:].copy())
@@ -245,8 +264,8 @@ def attention_layer(
     Per head: logit = LeakyReLU(a_s·Wx_src + a_d·Wx_dst + a_e·W_e attr), softmax over the edges
     into a node, weighted sum of Wx_src.  Heads are concatenated or averaged.
 
-    Edges carry only one number per head until the weights are known; the wide vectors are
-    joined last and summed in the task that joined them.
+    Edges meet their destination's numbers first; the wide vectors of the sources are joined last and summed in the task that
+    joined them.
     """
     spark = nodes.sparkSession
     if check:
@@ -283,32 +302,23 @@ def attention_layer(
             edges = _with_self_loops(edges.withColumn("attr", F.array(F.lit(0.0))), nodes, 1)
         lines = edges.select("edge_idx", "src", "dst", F.array(*[F.lit(0.0)] * h).alias("e"))
 
-    # The part of the logit known at the source; LeakyReLU is monotone, so its largest value
-    # per destination gives the largest logit there once the destination's part is added.
-    source = projected.select(F.col("node_id").alias("src"), "s")
-    sent = materialize(
-        lines.join(source, "src").select("edge_idx", "src", "dst", F.zip_with("s", "e", lambda a, b: a + b).alias("u")),
-        "sent",
-    )
-    peak = sent.groupBy("dst").agg(F.array(*[F.max(F.col("u")[i]) for i in range(h)]).alias("peak"))
-    receiver = projected.select(F.col("node_id").alias("dst"), "t").join(peak, "dst")
+    # Logits are known once both ends have been met; sums are kept relative to the greatest logit seen so far, so that no
+    # pass is needed to find it first.
+    lines = materialize(lines, "lines")
+    receiver = projected.select(F.col("node_id").alias("dst"), "t")
+    sender = projected.select(F.col("node_id").alias("src"), "s", "z")
+    sent = salted_join(lines, receiver, "dst", "edge_idx", hot_rows)
+    met = salted_join(sent, sender, "src", "edge_idx", hot_rows, hot=hot_keys(lines, "src", hot_rows))
 
-    def leaky(v: Column) -> Column:
+    def logit(i: int) -> Column:
+        v = F.col("s")[i] + F.col("t")[i] + F.col("e")[i]
         return F.when(v > 0, v).otherwise(v * SLOPE)
 
-    weight = F.array(
-        *[
-            F.exp(leaky(F.col("u")[i] + F.col("t")[i]) - leaky(F.col("peak")[i] + F.col("t")[i]))
-            for i in range(h)
-        ]
-    )
-    weighed = salted_join(sent, receiver, "dst", "edge_idx", hot_rows).select("src", "dst", weight.alias("w"))
-    met = weighed.join(projected.select(F.col("node_id").alias("src"), "z"), "src")
-    sums = vector_sums(vector_sums(_messages(met, h, c), ["dst", "salt"]), ["dst"])
+    sums = _merged(_messages(met.select("dst", F.array(*[logit(i) for i in range(h)]).alias("l"), "z"), h, c), h, c)
 
     def head(i: int) -> Column:
-        total = F.col("values")[h * c + i]
-        return F.transform(F.slice("values", i * c + 1, c), lambda v: v / total)
+        total = F.col("values")[h + h * c + i]
+        return F.transform(F.slice("values", h + i * c + 1, c), lambda v: v / total)
 
     if concat:
         mixed = F.concat(*[head(i) for i in range(h)])

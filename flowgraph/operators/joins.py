@@ -22,14 +22,16 @@ def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def salted_join(
-    facts: DataFrame, dim: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS, keep_salt: bool = False
+    facts: DataFrame, dim: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS, keep_salt: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner many-to-one join on ``key``; rows of a hot key are spread over several tasks.
 
     Only hot keys are cut, and only their dimension rows are repeated.  ``keep_salt`` leaves
-    ``__salt`` in the result so that a following aggregation can merge per piece first.
+    ``__salt`` in the result so that a following aggregation can merge per piece first.  ``hot`` gives the hot keys where
+    they have been found on a table that is cheaper to read than ``facts``.
     """
-    hot = F.broadcast(hot_keys(facts, key, hot_rows))
+    hot = F.broadcast(hot_keys(facts, key, hot_rows) if hot is None else hot)
     pieces = F.coalesce("__pieces", F.lit(1))
     left = (
         facts.join(hot, key, "left")

@@ -1,5 +1,6 @@
 """Metrics against hand numbers and a brute-force pair count."""
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -75,3 +76,29 @@ def test_three_way_mask_covers_everything(spark):
     edges = spark.range(2000).withColumnRenamed("id", "edge_idx")
     counts = {r["mask"]: r["count"] for r in training.three_way_mask(edges).groupBy("mask").count().collect()}
     assert sum(counts.values()) == 2000 and set(counts) == {"train", "val", "test"} and counts["train"] > counts["test"] > counts["val"]
+
+
+def test_candidates_fitted_together_reach_their_optima(spark):
+    rng = np.random.default_rng(5)
+    x = np.c_[rng.normal(3, 2, (400, 3)), np.full(400, 7.0)]
+    y = (x[:, 0] - x[:, 1] + rng.normal(0, 2, 400) > 1.5).astype(int)
+    rows = [(i, [float(v) for v in x[i]], int(y[i]), "train") for i in range(400)] + [(400, [0.0] * 4, None, "train"), (401, [9.0] * 4, 1, "test")]
+    edges = spark.createDataFrame(rows, "edge_idx long, attr array<double>, y int, mask string").repartition(7)
+    regs = [0.0, 1e-3, 1.0]
+    together = training.fit_edge_classifiers(edges, [{"reg": r} for r in regs])
+    w = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0)
+    mean = (w[:, None] * x).sum(0) / w.sum()
+    dev = np.sqrt((w[:, None] * (x - mean) ** 2).sum(0) / w.sum())
+    u = np.where(dev > 1e-9, (x - mean) / np.where(dev > 1e-9, dev, 1), 0)
+    for reg, model in zip(regs, together):
+        score = 1 / (1 + np.exp(-(x @ model.coefficients + model.intercept)))
+        slope = (u * (w * (score - y))[:, None]).sum(0) / w.sum() + reg * model.optimum[1:]
+        assert np.abs(slope).max() < 1e-8 and abs((w * (score - y)).sum()) < 1e-6 and model.coefficients[3] == 0
+        alone = training.fit_edge_classifier(edges, reg=reg)
+        assert np.allclose(alone.coefficients, model.coefficients, atol=1e-7)
+    got = {r["edge_idx"]: r["logit"] for r in training.classify_edges(together[1], edges).collect()}
+    assert got[3] == pytest.approx(float(x[3] @ together[1].coefficients + together[1].intercept))
+    with pytest.raises(ValueError):
+        training.fit_edge_classifier(edges.where("y = 1"))
+    with pytest.raises(ValueError):
+        training.fit_edge_classifier(edges.limit(0))

@@ -430,3 +430,12 @@ def test_places_are_numbered_without_one_task_for_all(spark, sf, capsys):
     found.explain()
     assert "SinglePartition" not in capsys.readouterr().out
     assert sorted(r["place"] for r in found.collect()) == list(range(1, found.count() + 1)) != []
+
+
+def test_softmax_of_missing_and_huge_logits(spark):
+    rows = [("a", 1, None), ("b", 1, 1000.0), ("c", 1, 1001.0), ("d", 2, None), ("e", 3, -1e6)]
+    edges = spark.createDataFrame(rows, "edge_idx string, dst int, logit double").repartition(3)
+    got = {r["edge_idx"]: r["alpha"] for r in attention.edge_softmax(edges).collect()}
+    assert got["a"] is None and got["d"] is None and got["e"] == 1.0
+    assert got["b"] == pytest.approx(1 / (1 + np.e)) and got["c"] == pytest.approx(np.e / (1 + np.e))
+    assert attention.edge_softmax(edges.limit(0)).count() == 0
