@@ -14,6 +14,7 @@ from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missin
 from flowgraph.operators.knn import knn
 from flowgraph.operators.sparse import SLOTS, SparseTextEncoder
 from flowgraph.plans import batch
+from flowgraph.schemas import SEED
 from flowgraph.session import materialize, new_path
 from flowgraph.sources import bucket_store, knowledge, sinks, vector_store
 from flowgraph.streaming.frontier import upsert_new_files
@@ -563,3 +564,31 @@ def _(spark, sf):
     records, encoder = encoded_corpus(spark, sf)
     out = batch.explain_edges(scored_edges(spark, sf).drop("score"), records, encoder, min_similarity=0.05)
     return out.select("edge_idx", "prediction", "n_hits", "threat_level")
+
+
+@query(
+    "a16_evaluate_retrieval",
+    "edges scored cves",
+    f""", sampled AS (SELECT edge_idx FROM edges WHERE y = 1 AND mask = 'test' ORDER BY md5(concat_ws('|', '{SEED}', edge_idx)), edge_idx LIMIT 100),
+asked AS (SELECT q.edge_idx, q.text, score FROM ({ORACLES['x9_query_text_2']}) q JOIN scored USING (edge_idx) JOIN sampled USING (edge_idx)
+  WHERE score >= 0.5), texts AS (SELECT DISTINCT text FROM asked),
+{_HELD}, {dense_sql('c', 128)}, {hashed_sql('t', 'texts', 'text', 'text', 128, 'c', 'FLOAT')}, {dense_sql('t', 128)}"""
+    """, hits AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY similarity DESC, cve_id) AS rank FROM (
+  SELECT t_v.id AS text, cve_id, matched_mitre_id AS mitre_id, severity_score AS severity, coalesce(year, 2026) AS year,
+    round(list_cosine_similarity(t_v.vec, c_v.vec), 12) AS similarity FROM t_v, c_v JOIN cves ON cve_id = c_v.id WHERE severity_score >= 7)
+  WHERE similarity >= 0.05),
+retrieved AS (SELECT edge_idx AS query_id, score, hits.* FROM asked JOIN hits USING (text) WHERE rank <= 5)"""
+    + _SUMMARY_SQL.replace("FROM embeddings", "FROM sampled")
+    .replace("FROM triad", ", (SELECT string_agg(DISTINCT mitre_id, ' ' ORDER BY mitre_id) FROM retrieved) AS techniques FROM triad"),
+)
+def _(spark, sf):
+    """Sampled, explained, rated and exported; the measures are read back from the export."""
+    records, encoder = encoded_corpus(spark, sf)
+    path = new_path(spark, "evaluation")
+    batch.evaluate_retrieval(scored_edges(spark, sf).drop("score"), records, encoder, path, top_similarity=0.35, min_similarity=0.05)
+    back = spark.read.json(path).select(
+        "retrieval_rate",
+        *[F.col(f"{c.rsplit('_', 1)[0]}.{c.rsplit('_', 1)[1]}").alias(c) for c in _SUMMARY],
+        "unique_mitre_ids", "avg_similarity", "avg_severity", F.array_join("techniques", " ").alias("techniques"),
+    )
+    return rounded(back, ["retrieval_rate", *_SUMMARY, "avg_similarity", "avg_severity"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowgraph.functions.normalize import clean_cves, load_normalize
 from flowgraph.functions.rules import prediction as rules_prediction
 from flowgraph.functions.rules import query_text_2, sigmoid
-from flowgraph.operators import attention, evaluation, graph, quality, report, staging
+from flowgraph.operators import attention, evaluation, graph, quality, report, retrieval, staging
 from flowgraph.operators.embedding import embed_missing
 from flowgraph.schemas import DECISION_THRESHOLD, SHARDS, SORT_KEYS
 from flowgraph.session import Scratch, delete_path, materialize, new_path
@@ -234,3 +234,29 @@ def explain_edges(scored: DataFrame, corpus: DataFrame, encode, **options) -> Da
     texts = scored.filter(attack).select("edge_idx", query_text_2(F.col("edge_idx"), F.col("attr")).alias("text"))
     encoded = materialize(encode(texts.select("text").distinct()).select("text", F.col("values").alias("query_vec")), "query-texts")
     return report.hybrid_inference(scored, texts, corpus, encoded, **options)
+
+
+def evaluate_retrieval(
+    scored: DataFrame, corpus: DataFrame, encode, path: str | None = None, n: int = 100, top_similarity: float = 0.7, **options
+) -> DataFrame:
+    """Retrieval quality in one row: a sample of attack edges explained, the measures of what was found, techniques covered.
+
+    ``scored`` are edges with y, mask and logit; ``corpus`` has one record an id.  Up to ``n`` attack edges of the test mask are
+    drawn; those that are not predicted as attacks find nothing and count as failures.  The row is exported as JSON when ``path``
+    is given.  Without any attack edge all measures are 0.
+    """
+    scratch = Scratch(scored.sparkSession)
+    sample = scratch.write(report.sample_attack_edges(scored, n), "sample")
+    hits = explain_edges(sample, corpus, encode, **options).select(
+        F.col("edge_idx").alias("query_id"), "score", F.explode("hits").alias("hit")
+    )
+    records = corpus.select("cve_id", F.col("matched_mitre_id").alias("mitre_id"), F.col("severity_score").alias("severity"), "year")
+    found = hits.select("query_id", "score", "hit.cve_id", "hit.similarity").join(records, "cve_id")
+    retrieved = scratch.write(found, "retrieved")
+    summary = retrieval.triad_summary(sample.select(F.col("edge_idx").alias("query_id")), retrieved, top_similarity)
+    covered = retrieval.technique_coverage(retrieved).agg(F.sort_array(F.collect_set("mitre_id")))
+    out = materialize(summary.select("*", covered.scalar().alias("techniques")), "evaluation")
+    scratch.drop_all()
+    if path:
+        sinks.export_summary(out, path)
+    return out

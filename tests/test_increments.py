@@ -129,3 +129,23 @@ def test_a_replayed_batch_adds_nothing(spark, tmp_path):
     for name in os.listdir(f"{state}/commits"):
         os.remove(f"{state}/commits/{name}")
     assert {k: v[0] for k, v in run().items()} == {k: v[0] for k, v in first.items()}
+
+
+def test_evaluation_counts_missed_attacks_and_takes_none(spark, tmp_path):
+    corpus = spark.createDataFrame(
+        [("C1", [1.0, 0.0], "T1", 9.5, 2021), ("C2", [0.9, 0.1], "T2", 8.0, 2019), ("C3", [0.8, 0.3], None, 7.5, 2022)],
+        "cve_id string, values array<double>, matched_mitre_id string, severity_score double, year int",
+    )
+    attr = [1.0] * 8
+    rows = [(0, 1, 2, attr, 1, "test", 3.0), (1, 2, 3, attr, 1, "test", -3.0), (2, 3, 4, attr, 0, "test", 3.0), (3, 4, 5, attr, 1, "train", 3.0)]
+    edges = spark.createDataFrame(rows, "edge_idx long, src long, dst long, attr array<double>, y int, mask string, logit double")
+
+    def encode(texts):
+        return texts.withColumn("values", F.array(F.lit(1.0), F.lit(0.0)))
+
+    row = batch.evaluate_retrieval(edges, corpus, encode, str(tmp_path / "out")).first()
+    assert row["retrieval_rate"] == 0.5 and row["groundedness_mean"] == 1.0 and row["answer_relevance_mean"] == 1.0
+    assert row["techniques"] == ["T1", "T2"] and row["unique_mitre_ids"] == 3 and row["avg_severity"] == pytest.approx(25 / 3)
+    assert spark.read.json(str(tmp_path / "out")).first()["groundedness"]["mean"] == 1.0
+    none = batch.evaluate_retrieval(edges.where("y = 0"), corpus, encode).first()
+    assert none["retrieval_rate"] == 0.0 and none["context_relevance_mean"] == 0.0 and none["techniques"] == []
