@@ -10,7 +10,7 @@ from checks.registry import ORACLES, query, rounded
 from flowgraph.functions import vector
 from flowgraph.functions.normalize import clean_cves
 from flowgraph.operators import report, retrieval
-from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing
+from flowgraph.operators.embedding import HashedTextEncoder, embed, embed_missing, text_hash
 from flowgraph.operators.knn import knn
 from flowgraph.operators.sparse import SLOTS, SparseTextEncoder
 from flowgraph.plans import batch
@@ -457,6 +457,24 @@ def _(spark, sf):
     return rounded(dense.where("value <> 0").withColumn("value", F.col("value").cast("double")).withColumn("slot", F.col("slot").cast("long")), ["value"])
 
 
+@query(
+    "s17_changed_texts",
+    "",
+    "WITH " + hashed_sql("d", "documents", "doc_id", "text", 128, unit="FLOAT")
+    + " SELECT id AS doc_id, slot, round(CASE WHEN id % 3 = 1 THEN -v ELSE v END, 6) + 0e0 AS value FROM d_u",
+)
+def _(spark, sf):
+    """A third has the vector of another text, a third one of its own text (negated, so that its reuse shows), a third none."""
+    docs = inputs.table(spark, sf, "documents").select("doc_id", "text")
+    encoder = HashedTextEncoder(128).fit(docs)
+    turn = F.pmod("doc_id", F.lit(3))
+    before = docs.where(turn < 2).withColumn("text", F.when(turn == 0, F.concat_ws(" ", F.lit("before"), "text")).otherwise(F.col("text")))
+    stored = encoder(before).select("doc_id", F.transform("values", lambda v: -v).alias("values"), text_hash(F.col("text")).alias("text_hash"))
+    out = embed_missing(docs, materialize(stored), "doc_id", lambda df: encoder(df).select("doc_id", "values"), "text")
+    dense = out.select("doc_id", F.posexplode("values").alias("slot", "value")).where("value <> 0")
+    return rounded(dense.withColumn("value", F.col("value").cast("double")).withColumn("slot", F.col("slot").cast("long")), ["value"])
+
+
 @query(
     "m7_sparse_texts",
     "",
