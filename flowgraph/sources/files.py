@@ -252,6 +252,13 @@ def footer_report(files: DataFrame) -> DataFrame:
     )
 
 
+def rows_by_table(report: DataFrame, root: str) -> DataFrame:
+    """(file, rows) of the tables directly in ``root``, each one file or a folder of files, from ``footer_report``."""
+    inside = F.substring(F.col("path"), len(_qualified(report.sparkSession, root)) + 1, 1 << 30)
+    table = F.split(F.ltrim(inside, F.lit("/")), "/")[0]
+    return report.groupBy(table.alias("file")).agg(F.sum("rows").alias("rows"))
+
+
 def missing_by_file(report: DataFrame, required) -> DataFrame:
     """Required columns that a file of ``footer_report`` lacks: one row per file and column."""
     wanted = F.array(*[F.lit(c) for c in required])

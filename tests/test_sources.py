@@ -296,3 +296,16 @@ def test_a_description_finds_its_own_record(spark):
     techniques = corpus.selectExpr("matched_mitre_id AS mitre_id", "description AS name", "description", "values")
     found = query_mitre_for_cve(queries, techniques, encoder).filter("rank = 1").collect()
     assert {(r["query_id"], r["mitre_id"]) for r in found} == {(i, f"T{i}") for i in range(3)}
+
+
+def test_tables_are_counted_as_files_or_folders(spark, tmp_path):
+    """A table may be a folder of parts, which count together under the table's name."""
+    catalog = tmp_path / "a b=1"
+    spark.range(30).repartition(3).write.parquet(str(catalog / "parts.parquet"))
+    spark.range(4).coalesce(1).write.parquet(str(tmp_path / "one"))
+    part = next(p for p in (tmp_path / "one").iterdir() if p.suffix == ".parquet")
+    (catalog / "single.parquet").write_bytes(part.read_bytes())
+    report = files.footer_report(files.list_files(spark, str(catalog), "*.parquet", below=None))
+    assert report.count() == 4
+    for root in (str(catalog), f"{catalog}/", f"file:{catalog}"):
+        assert {r["file"]: r["rows"] for r in files.rows_by_table(report, root).collect()} == {"parts.parquet": 30, "single.parquet": 4}
