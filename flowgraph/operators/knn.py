@@ -164,7 +164,8 @@ def knn(
 ) -> DataFrame:
     """``queries(query_id, query_vec)`` × ``corpus(id, values)`` → (query_id, id, similarity, rank).
 
-    ``broadcast_rows`` replaces the byte limit of the broadcast ways, also for the queries of one turn of a rotation;
+    ``broadcast_rows`` replaces the byte limit of the broadcast ways, also for the queries of one turn of a rotation, of
+    which one scan serves as many as fit the byte limit;
     ``rotate`` decides between rotation and blocks where both sides are large, which is else decided by their cost.
     Both inputs are written once before they are read several times, unless ``plain_scans`` says that they are mere scans.
     """
@@ -293,16 +294,18 @@ def _turns(queries, k, batch_rows) -> int:
 def _rotation(bounded, corpus, k, floor, schema, turns):
     """Both sides large and little to rule out: ``bounded(query_id, query_vec, least)`` in ``turns`` batches over the corpus.
 
-    No vector is shuffled: the corpus is read once a batch, by tasks that each keep the k best of the batch's queries.
-    Rows are dealt to batches by their place in the table, whatever their ids.
+    No vector is shuffled: the corpus is read by tasks that each keep the k best of the queries they are given.  Turns that fit
+    the byte limit together are one turn, however small each of them is, so scans are as few as memory allows.
+    Rows are dealt to turns by their place in the table, whatever their ids.
     """
     import numpy as np
 
     spark = corpus.sparkSession
     asked, found = new_path(spark, "turns"), new_path(spark, "turn-hits")
-    dealt = bounded.select("query_id", "query_vec", "least", F.pmod(F.monotonically_increasing_id(), F.lit(turns)).cast("int").alias("turn"))
+    scans = min(turns, _turns(bounded, k, None))
+    dealt = bounded.select("query_id", "query_vec", "least", F.pmod(F.monotonically_increasing_id(), F.lit(scans)).cast("int").alias("turn"))
     dealt.write.partitionBy("turn").parquet(asked)
-    for turn in range(turns):
+    for turn in range(scans):
         rows = spark.read.schema(dealt.schema).parquet(asked).where(F.col("turn") == turn).drop("turn").toArrow()
         least = np.nan_to_num(rows["least"].to_numpy().astype("float64"), nan=-np.inf)
         hits = _stream_corpus(rows, corpus, k, floor, schema, least)
@@ -336,7 +339,8 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots, batch_rows=
 
     # Any vectors do as pivots; a hash keeps about four times as many candidates as needed, so
     # that only those are sorted.  A vector that is not a pivot is still compared in full.
-    share = max(1, corpus.count() // (4 * n_pivots))
+    rows = corpus.count()
+    share = max(1, rows // (4 * n_pivots))
     drawn = corpus.filter(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
     points = matrix(drawn.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(n_pivots).toArrow()["values"])
     if len(points) == 0:
