@@ -30,6 +30,9 @@ from flowgraph.session import delete_path, materialize, new_path
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 BLOCK_ROWS = 8192
+#: Blocks grow with the corpus to a 16th of it, so that a row is not copied ever more often, until their vectors reach so many bytes.
+BLOCK_SHARE = 16
+BLOCK_BYTES = 16 * 1024 * 1024
 PIVOTS = 256
 #: Angles that a cell is counted by, from 0 to pi.
 RING_BINS = 2048
@@ -165,7 +168,7 @@ def knn(
     """``queries(query_id, query_vec)`` × ``corpus(id, values)`` → (query_id, id, similarity, rank).
 
     ``broadcast_rows`` replaces the byte limit of the broadcast ways, also for the queries of one turn of a rotation, of
-    which one scan serves as many as fit the byte limit;
+    which one scan serves as many as fit the byte limit; blocks have ``block_rows`` rows, or more in a large corpus;
     ``rotate`` decides between rotation and blocks where both sides are large, which is else decided by their cost.
     Both inputs are written once before they are read several times, unless ``plain_scans`` says that they are mere scans.
     """
@@ -321,7 +324,8 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots, batch_rows=
     distances.  A query at angle d from a pivot has no hit within ``reach`` in a ring outside [d - reach, d + reach].  The
     reach of a query comes from ``min_similarity`` or, where that is less, from its k-th best hit in the one ring around
     itself, which is searched first.  Rings and the queries around a pivot are cut by id hash into blocks of about
-    ``block_rows``, so no task gets a whole hot ring.
+    ``block_rows``, so no task gets a whole hot ring.  A query is copied once for every block it meets and a block once for every
+    piece of queries, so in a large corpus blocks are as large as a task can hold.
     """
     import numpy as np
 
@@ -346,6 +350,8 @@ def _blocks(queries, corpus, k, floor, schema, block_rows, n_pivots, batch_rows=
     if len(points) == 0:
         points = matrix(corpus.limit(1).toArrow()["values"])
     held = sc.broadcast(points)
+    if len(points):
+        block_rows = max(block_rows, min(rows // BLOCK_SHARE, BLOCK_BYTES // (8 * max(1, points.shape[1]))))
     bins = RING_BINS
 
     def angles_of(column):

@@ -37,3 +37,23 @@ def test_small_turns_share_a_scan(spark, monkeypatch):
             got = module.knn(as_queries(c), c, 3, broadcast_rows=10, block_rows=20, pivots=4, rotate=True)
             assert 1 <= len(scans) <= most and sum(scans) == 600
         assert same_as_broadcast(c, got)
+
+
+def test_copies_do_not_grow_with_the_corpus(spark, monkeypatch):
+    """Blocks of 10 rows would be 30 and then 120 copies of every query; they grow with the corpus instead."""
+    copies, kept = {}, module.materialize
+    for n in (300, 1200):
+        c, routed = random_vectors(spark, n, size=32), []
+
+        def counting(df, name="step"):
+            out = kept(df, name)
+            if name == "routed":
+                routed.append(out.selectExpr("sum(size(blocks)) AS n").first()["n"])
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(module, "materialize", counting)
+            got = module.knn(as_queries(c), c, 3, broadcast_rows=10, block_rows=10, pivots=2, rotate=False)
+        assert same_as_broadcast(c, got)
+        copies[n] = routed[1] / n
+    assert copies[1200] <= 1.3 * copies[300] <= 1.3 * 3 * module.BLOCK_SHARE
