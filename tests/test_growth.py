@@ -57,3 +57,15 @@ def test_copies_do_not_grow_with_the_corpus(spark, monkeypatch):
         assert same_as_broadcast(c, got)
         copies[n] = routed[1] / n
     assert copies[1200] <= 1.3 * copies[300] <= 1.3 * 3 * module.BLOCK_SHARE
+
+
+def test_words_are_counted_without_a_shuffle(spark):
+    """One row of the result is one row of the input; the words of a text never leave its task."""
+    from flowgraph.operators.sparse import SparseTextEncoder
+
+    c = spark.createDataFrame([(i, f"one two w{i % 7} w{i}") for i in range(3000)] + [(3000, None), (3001, " .")], "id long, text string")
+    terms = SparseTextEncoder().fit(c)(c, "id")
+    assert "Exchange" not in terms._jdf.queryExecution().executedPlan().toString()
+    assert terms.count() == 3000
+    again = SparseTextEncoder().fit(c)(c.where("id < 2").selectExpr("0L AS id", "text"), "id").collect()
+    assert len(again) == 1 and len(again[0]["terms"]) == 4  # one, two, w0, w1: rows of one id count together
