@@ -69,3 +69,29 @@ def test_words_are_counted_without_a_shuffle(spark):
     assert terms.count() == 3000
     again = SparseTextEncoder().fit(c)(c.where("id < 2").selectExpr("0L AS id", "text"), "id").collect()
     assert len(again) == 1 and len(again[0]["terms"]) == 4  # one, two, w0, w1: rows of one id count together
+
+
+@pytest.mark.parametrize("part", [64, 2_000_000])
+def test_texts_that_all_share_words_make_no_pairs(spark, monkeypatch, part):
+    """Every text shares words with every other: the pairs are never rows, and the result is that of the postings."""
+    from flowgraph.operators import sparse
+
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, 12) % 60)) for i in range(300)] + [(300 + i, "w1 w5 w9") for i in range(9)]
+    c = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    terms = sparse.SparseTextEncoder().fit(c)(c, "id")
+    q = terms.withColumnRenamed("id", "query_id")
+    monkeypatch.setattr(sparse, "PAIRS_A_VECTOR", 1 << 60)
+    want = sorted(sparse.search(q, terms, 4, 0.2).collect())
+    monkeypatch.undo()
+    monkeypatch.setattr(sparse, "PART_NUMBERS", part)
+    monkeypatch.setattr(sparse, "BLOCK_ENTRIES", 500)
+    names, kept = [], sparse.materialize
+
+    def naming(df, name="step"):
+        names.append(name)
+        return kept(df, name)
+
+    monkeypatch.setattr(sparse, "materialize", naming)
+    assert sorted(sparse.search(q, terms, 4, 0.2).collect()) == want
+    assert "pairs" not in names
