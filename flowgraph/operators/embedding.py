@@ -14,6 +14,15 @@ from flowgraph.operators.joins import missing_from
 from flowgraph.session import materialize
 
 DIMENSION = 384
+#: Rows that are encoded in memory at a time.
+ROWS_AT_ONCE = 512
+
+
+def _pieces(batches):
+    """The Arrow batches in pieces, so that what encoding takes does not depend on the size of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
 
 
 class HashedTextEncoder:
@@ -64,7 +73,7 @@ class HashedTextEncoder:
             import pyarrow as pa
 
             weight = np.array(idf)
-            for batch in batches:
+            for batch in _pieces(batches):
                 n = batch.num_rows
                 slots = batch.column("__slots")
                 row = np.repeat(np.arange(n), slots.value_lengths().to_numpy(zero_copy_only=False))
@@ -85,7 +94,7 @@ def embed(
 ) -> DataFrame:
     """Vectors from a plugged-in model: ``encoder()`` returns a function list[str] → rows of ``dim`` numbers.
 
-    The model is built once per task and fed Arrow batches; vectors are brought to unit length.
+    The model is built once per task and fed pieces of Arrow batches; vectors are brought to unit length.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.FloatType()))])
 
@@ -94,7 +103,7 @@ def embed(
         import pyarrow as pa
 
         model = encoder()
-        for batch in batches:
+        for batch in _pieces(batches):
             texts = ["" if t is None else t for t in batch.column(text).to_pylist()]
             if not texts:
                 continue

@@ -95,3 +95,23 @@ def test_texts_that_all_share_words_make_no_pairs(spark, monkeypatch, part):
     monkeypatch.setattr(sparse, "materialize", naming)
     assert sorted(sparse.search(q, terms, 4, 0.2).collect()) == want
     assert "pairs" not in names
+
+
+def test_a_model_gets_a_bounded_number_of_texts_at_a_time(spark):
+    from flowgraph.operators.embedding import HashedTextEncoder, embed
+
+    df = spark.range(3000).selectExpr("id", "concat('text ', id) AS text").coalesce(1)
+
+    def model():
+        return lambda texts: [[len(texts), 0] if i % 2 else [len(texts), len(texts) - 512] for i in range(len(texts))]
+
+    out = embed(df, "text", model, dim=2).selectExpr("id", "values[1] AS v").collect()
+    assert len(out) == 3000 and all(r["v"] <= 0 for r in out)
+    vectors = HashedTextEncoder(16).fit_encode(df).collect()
+    assert {r["id"] for r in vectors} == set(range(3000)) and len({tuple(r["values"]) for r in vectors}) > 5
+
+
+def test_vectors_of_40_mb_are_not_broadcast(spark):
+    """Four workers of an executor hold a broadcast each, in two precisions."""
+    c = spark.range(10_000).selectExpr("id", "array_repeat(1.0D, 512) AS values")
+    assert module._if_small(c, "id", "values", None) is None
