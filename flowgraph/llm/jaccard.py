@@ -6,7 +6,9 @@ overlap.  Small ("light") sets are found by enumerating their subsets of two of
 by scanning the inverted lists of single members.  The border between both is the size with the least estimated cost, from
 the counts of sets by size and the mean length of a list.  Pairs of a light and a heavy set are found on the lists.
 
-Groups of near copies never meet pair by pair.  Lists and subsets are first searched by leaders: every set of a list is
+Groups of near copies never meet pair by pair.  Before any list is made, sets of equal least hashes are compared with two of
+them, which joins most near copies to components; a list or subset of one component needs nothing more and is not kept.  What
+is kept is searched by leaders: every set of a list is
 compared with two sets of it, and links join components; a list whose sets are in one component needs nothing more.  Only sets
 in different components are then compared with each other: on short lists by a join, on long ones in blocks, inside tasks,
 which give away only pairs with enough shared first members.  What is left is decided exactly on the whole sets.
@@ -38,6 +40,8 @@ FREQUENT = 2
 MOST_FREQUENT = 1_000_000
 #: Largest set that may be light.
 LIGHT_LIMIT = 256
+#: Least hashes of a set, each under a function of its own, by which near copies meet first.
+NEAR = 4
 #: Pairs a posting that are compared without looking for leaders first.
 PAIRS_A_POSTING = 8
 #: Lists up to this length are joined with themselves; the sets of longer ones are counted against each other in blocks.
@@ -128,6 +132,7 @@ FEATURES = [
     T.StructField("n", T.LongType()),
     T.StructField("set", T.LongType()),
     T.StructField("first", T.ArrayType(T.LongType(), False)),
+    T.StructField("near", T.ArrayType(T.LongType(), False)),
 ]
 
 
@@ -136,7 +141,7 @@ def _class_names(members: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def _features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(id, n, set, first): size and name of the set, and its first members in the global order."""
+    """(id, n, set, first, near): size and name of the set, its first members in the global order, its least hashes."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
@@ -154,10 +159,15 @@ def _features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -
             first = np.minimum(n, n - _needed(n, percent) + np.where(n <= LIGHT_LIMIT, 2, 1))
             chosen = order[np.arange(len(grams)) - ends[:-1][row] < first[row]]
             where = pa.array(np.concatenate([[0], np.cumsum(first)]).astype(np.int32))
+            full = np.flatnonzero(n)
+            near = np.zeros((len(n), NEAR), np.uint64)
+            if len(full):
+                near[full] = np.stack([np.minimum.reduceat(_mix(grams, 201 + j), ends[full]) for j in range(NEAR)], axis=1)
             return {
                 "n": n,
                 "set": _class_names(grams, ends).view(np.int64),
                 "first": pa.ListArray.from_arrays(where, pa.array(grams[chosen].view(np.int64))),
+                "near": pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * NEAR), pa.array(near.ravel().view(np.int64))),
             }
 
         return apply
@@ -189,11 +199,11 @@ def light_border(counts: dict[int, int], mean: float, percent: int) -> int:
 
 
 def _postings(classes: DataFrame, border: int, percent: int) -> DataFrame:
-    """(key, set, n): a light set under every subset of two of its first members, the others under single members.
+    """(key, set, n, component): a light set under every subset of two of its first members, the others under single members.
 
     Light sets that a heavy one may be linked with are on the lists too.
     """
-    schema = T.StructType().add("key", "long").add("set", "long").add("n", "long")
+    schema = T.StructType().add("key", "long").add("set", "long").add("n", "long").add("component", "long")
     on_lists = int(_needed(np.array(border + 1), percent))
 
     def run(batches):
@@ -218,9 +228,18 @@ def _postings(classes: DataFrame, border: int, percent: int) -> DataFrame:
                     keys.append(_mix(low * np.uint64(0x9E3779B97F4A7C15) + high, 12).ravel())
                     rows.append(np.repeat(some, len(i)))
             row = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(name[row]), pa.array(n[row])], schema.names)
+            columns = [pa.array(np.concatenate(keys).view(np.int64)), *(batch.column(c).take(pa.array(row)) for c in ("set", "n", "component"))]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return classes.select("set", "n", "first").mapInArrow(run, schema)
+    return classes.select("set", "n", "first", "component").mapInArrow(run, schema)
+
+
+def _near(classes: DataFrame) -> DataFrame:
+    """(a, b), once, of every set and the least and the greatest of those that have one of its least hashes."""
+    postings = classes.select(F.explode("near").alias("key"), "set")
+    lists = postings.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low < high")
+    pairs = postings.join(lists, "key").select("set", F.explode(F.array("low", "high")).alias("leader")).where("set <> leader")
+    return pairs.select(*_pair("set", "leader")).distinct()
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -283,7 +302,7 @@ def _long_lists(postings: DataFrame, classes: DataFrame, percent: int, sets: Dat
 
     A list is cut into blocks by a hash of the set, and every two blocks of it meet in a group of bounded size; there each
     set scans the lists of its first members and counts how often it meets the others.  With ``sets`` (set, members) the
-    pairs are also decided there, so that only links leave the task.
+    pairs are also decided there, and only links that join components not joined in the group yet leave the task.
     """
     blocks = F.ceil(F.col("k") / F.lit(float(LIST_BLOCK)))
     long = postings.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set", "key"), F.col("blocks")))
@@ -306,6 +325,7 @@ def _long_lists(postings: DataFrame, classes: DataFrame, percent: int, sets: Dat
         where = np.empty(len(order), np.int64)
         where[order] = np.repeat(np.arange(len(begin)), end - begin)
         posted, place = owner[order], np.concatenate([[0], np.cumsum(size)])
+        joined = np.unique(component, return_inverse=True)[1]
         found_a, found_b = [], []
         for x in range(len(name)):
             rows = [posted[begin[t] : end[t]] for t in where[place[x] : place[x + 1]]]
@@ -316,9 +336,14 @@ def _long_lists(postings: DataFrame, classes: DataFrame, percent: int, sets: Dat
             fits = (component > component[x]) & (100 * np.minimum(n[x], n) >= percent * np.maximum(n[x], n)) & (shared + rest >= needed)
             hits = np.flatnonzero(fits)
             if exact and len(hits):
-                own = np.frombuffer(wholes[x].as_py(), np.uint64)
-                count = np.array([len(np.intersect1d(own, np.frombuffer(wholes[h].as_py(), np.uint64), assume_unique=True)) for h in hits])
-                hits = hits[100 * count >= percent * (both[hits] - count)]
+                own, links = np.frombuffer(wholes[x].as_py(), np.uint64), []
+                for h in hits:
+                    if joined[h] != joined[x]:
+                        count = len(np.intersect1d(own, np.frombuffer(wholes[h].as_py(), np.uint64), assume_unique=True))
+                        if 100 * count >= percent * (both[h] - count):
+                            links.append(h)
+                            joined[joined == joined[h]] = joined[x]
+                hits = np.array(links, np.int64)
             found_a.append(np.minimum(name[x], name[hits]))
             found_b.append(np.maximum(name[x], name[hits]))
         return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
@@ -334,10 +359,14 @@ class _Search:
         self.links = self.labels = None
         self.new = 0  # links that the labels do not know yet
 
-    def labelled(self, postings: DataFrame) -> DataFrame:
+    def joined(self, sets: DataFrame) -> DataFrame:
+        """``sets`` with the component of each, null where no link of it is known."""
         if self.labels is None:
-            return postings.withColumn("component", F.col("set"))
-        return postings.join(self.labels.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
+            return sets.withColumn("component", F.lit(None).cast("long"))
+        return sets.join(self.labels.withColumnRenamed("node", "set"), "set", "left")
+
+    def labelled(self, sets: DataFrame) -> DataFrame:
+        return self.joined(sets).withColumn("component", F.coalesce("component", "set"))
 
     def test(self, pairs: DataFrame, hot: DataFrame | None = None) -> None:
         """Adds the links among ``pairs`` (a < b) and on the ``hot`` lists, and joins components by all links."""
@@ -422,7 +451,7 @@ def _components(docs: DataFrame, id: str, text: str, width: int, percent: int, s
     frequent = _frequent(docs, width, scratch)
     features = scratch.write(_features(docs, width, percent, frequent), "features")
     full = features.where("n > 0")
-    classes = full.groupBy("set").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "first")))
+    classes = full.groupBy("set").agg(F.min("id").alias("id"), *(F.first(c).alias(c) for c in ("n", "first", "near")))
     classes = scratch.write(classes, "classes")
     members = scratch.write(features.select("id", "n", F.when(F.col("n") > 0, F.col("set")).alias("set")), "members")
     scratch.drop(features)
@@ -430,14 +459,17 @@ def _components(docs: DataFrame, id: str, text: str, width: int, percent: int, s
     counts = {r["n"]: r["k"] for r in sizes}
     mean = _list_length(classes)
     border = light_border(counts, mean, percent)
-    postings = _postings(classes, border, percent)
-    shared_keys = scratch.write(postings.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "keys")
-    every, postings = shared_keys, scratch.write(postings.join(shared_keys, "key"), "postings")
-    scratch.drop(every)
     search = _Search(docs, classes, width, percent, scratch)
-    before, lists = None, None
+    search.test(_bounded(_near(classes), classes, percent))
+    every = _postings(search.joined(classes), border, percent)
+    # A key whose sets are all in one component already has nothing left to find; a null component is a set alone.
+    ends = [F.min("component").alias("low"), F.max("component").alias("high"), F.count("component").alias("linked")]
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("k"), *ends).where("k > 1 and (linked < k or low < high)")
+    open_keys = scratch.write(keys.select("key"), "keys")
+    postings = scratch.write(every.withColumn("component", F.coalesce("component", "set")).join(open_keys, "key"), "postings")
+    scratch.drop(open_keys)
+    before, lists, now = None, None, postings
     while True:
-        now = search.labelled(postings)
         per = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("set"))
         one = F.struct("component", "set")
         scratch.drop(lists)
@@ -454,6 +486,7 @@ def _components(docs: DataFrame, id: str, text: str, width: int, percent: int, s
         leaders = F.explode(F.array("low", "high")).alias("leader")
         pairs = now.join(lists, "key").select("set", "component", leaders).where("component <> leader.component").select(*_pair("set", "leader.set"))
         search.test(_bounded(pairs.distinct(), classes, percent))
+        now = search.labelled(postings.drop("component"))
     if size["k"]:
         left = scratch.write(now.join(lists.select("key", "k"), "key"), "postings")
         scratch.drop(postings, lists)

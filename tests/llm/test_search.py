@@ -337,3 +337,25 @@ def test_a_join_leaves_no_table_but_its_result(spark, documents):
     before = tables()
     jaccard.one_of_each(documents).count()
     assert {n.rsplit("-", 1)[0] for n in tables() - before} == {"judged"}
+
+
+def test_near_copies_of_one_component_leave_no_lists(spark, monkeypatch):
+    """What a group of near copies is listed under is found by its least hashes first, and then not kept."""
+    rnd, rows = random.Random(7), []
+    base = [f"x{i}" for i in range(120)]
+    for i in range(150):
+        words = list(base)
+        words[rnd.randrange(120)] = f"y{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(rnd.choice(VOCABULARY) for _ in range(60))) for i in range(50)]
+    kept, write = [], jaccard.Scratch.write
+
+    def counting(self, df, name="step"):
+        out = write(self, df, name)
+        if name == "postings":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard.Scratch, "write", counting)
+    assert _found(spark, rows) == sorted(linked_components(rows))
+    assert kept[0] <= len(rows)
