@@ -9,8 +9,9 @@ it is held in tables, never on the driver.
 
 Texts become blocks, once.  A block asks for the counts of its sequences of 1, then 2, up to ``DEPTH`` + 1 tokens, if their
 context and suffix occur ``LEAST`` times, as those of any sequence that does; what is asked is dealt into buckets by hash, shuffled as one row of packed arrays for each block and bucket, and summed in one task a bucket.
-The counts go back to the blocks, of which one also hands each sequence to the tree's tables.  The tree is grown there level by
-level, and the blocks ask in the same way what the retained contexts leave to their suffixes.  Words and sequences are named
+The counts go to a table of replies, in buckets of the block as the blocks themselves, so neither is moved or written again; one of
+the blocks also hands each sequence to the tree's tables.  The tree is grown there level by level, and the blocks ask in the same
+way what the retained contexts leave to their suffixes.  Words and sequences are named
 by 64-bit hashes.
 
 A null or empty text is the end alone.  Without training texts every probability of the root is 1.  Repeated rows are
@@ -63,6 +64,9 @@ def _read_names(column, row: int) -> np.ndarray:
     return np.cumsum(_read(column, row, np.uint64), dtype=np.uint64)
 
 
+#: Counts of sequences, by their tokens less 1, or, in turn ``LEFT``, what contexts leave.
+REPLY = "block long, part int, bucket long, data binary, distinct long"
+LEFT = DEPTH + 1
 PACK = T.ArrayType(T.StructType().add("bucket", "long").add("names", "binary").add("n", "binary"))
 
 
@@ -82,10 +86,11 @@ def _bucket(name: str, buckets: int) -> Column:
     return F.shiftright(F.shiftrightunsigned(name, 32) * F.lit(buckets).cast("long"), 32)
 
 
-def _joined(replies: pa.Table, kind) -> np.ndarray:
-    """Replies of all buckets to one block, in the order of the names it asked for."""
-    order = np.argsort(replies.column("bucket").to_numpy())
-    return np.concatenate([np.zeros(0, kind), *(_read(replies.column("data"), int(row), kind) for row in order)])
+def _joined(replies: pa.Table, part: int, kind) -> np.ndarray:
+    """Replies of all buckets to what one block asked in turn ``part``, in the order of the names it asked for."""
+    rows = np.flatnonzero(replies.column("part").to_numpy() == part)
+    rows = rows[np.argsort(replies.column("bucket").to_numpy()[rows])]
+    return np.concatenate([np.zeros(0, kind), *(_read(replies.column("data"), int(row), kind) for row in rows)])
 
 
 def _exploded(packs: DataFrame) -> DataFrame:
@@ -133,20 +138,25 @@ def _asked_for(grams: np.ndarray, counts: np.ndarray, out: np.ndarray, size: int
     return some, names, where
 
 
-def _of_block(table, row: int, sizes: int = DEPTH + 1):
+def _of_block(block: pa.Table, replies: pa.Table | None, sizes: int = DEPTH + 1):
     """(sequences' names, contexts' names, ends, sequences' counts), of the first ``sizes`` lengths, of a block.
 
     A count is negative where the block hands the sequence on, and 0 where it was not asked for.
     """
-    ends, codes = _read(table.column("ends"), row, np.int64), _read(table.column("codes"), row, np.int32)
-    grams, contexts, out = _sequences(ends, codes, _read(table.column("words"), row, np.uint64))
+    ends, codes = _read(block.column("ends"), 0, np.int64), _read(block.column("codes"), 0, np.int32)
+    grams, contexts, out = _sequences(ends, codes, _read(block.column("words"), 0, np.uint64))
     counts = np.zeros(grams.shape, np.int64)
     for size in range(sizes):
         some, _, where = _asked_for(grams, counts, out, size)
-        counts[size, some] = _read(table.column(f"counts{size}"), row, np.int64)[where]
+        counts[size, some] = _joined(replies, size, np.int64)[where]
     return grams, contexts, out, counts
 
 
+def _by_block(blocks: DataFrame, replies: DataFrame, run, schema) -> DataFrame:
+    """``run(block, its replies)`` for every block; both tables lie in buckets of the block and stay where they are."""
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+
+
 def _context_counts(level: int, counts: np.ndarray, out: np.ndarray, ends: int) -> np.ndarray:
     """Counts of the contexts of a level (from 0) before each token, from those of the sequences up to each token."""
     c = np.concatenate([[0], counts[level, :-1]])
@@ -194,24 +204,28 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", "trained").mapInArrow(run, schema)
 
 
-def _asked(blocks: DataFrame, size: int, buckets: int) -> DataFrame:
+def _asked(blocks: DataFrame, replies: DataFrame | None, size: int, buckets: int) -> DataFrame:
     """(block, bucket, names, n): the sequences of ``size`` + 1 tokens of a block, with how often its training texts have them."""
     schema = T.StructType().add("block", "long").add("packs", PACK)
 
+    def ask(block: pa.Table, replies: pa.Table | None) -> pa.Table:
+        grams, _, out, counts = _of_block(block, replies, size)
+        some, names, where = _asked_for(grams, counts, out, size)
+        use = np.repeat(_read(block.column("trained"), 0, bool), np.diff(out))
+        n = np.bincount(where[use[some]], minlength=len(names)).astype(np.uint32)
+        return pa.table([block.column("block"), _packed(names, n, buckets)], schema.names)
+
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                grams, _, out, counts = _of_block(batch, row, size)
-                some, names, where = _asked_for(grams, counts, out, size)
-                use = np.repeat(_read(batch.column("trained"), row, bool), np.diff(out))
-                n = np.bincount(where[use[some]], minlength=len(names)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays([batch.column("block").slice(row, 1), _packed(names, n, buckets)], schema.names)
+                yield from ask(pa.Table.from_batches([batch.slice(row, 1)]), None).to_batches()
 
-    return _exploded(blocks.drop("ids").mapInArrow(run, schema))
+    kept = blocks.drop("ids", "tokens")
+    return _exploded(kept.mapInArrow(run, schema) if replies is None else _by_block(kept, replies, ask, schema))
 
 
-def _counted(asked: DataFrame) -> DataFrame:
-    """(block, bucket, data, distinct): counts of what a block asked of one bucket; on one row of a bucket, its distinct trained sequences.
+def _counted(asked: DataFrame, size: int) -> DataFrame:
+    """(block, part, bucket, data, distinct): counts of what a block asked of one bucket; on one row of a bucket, its distinct trained sequences.
 
     The count is negative in the reply to one of the blocks that train on the sequence.
     """
@@ -228,48 +242,33 @@ def _counted(asked: DataFrame) -> DataFrame:
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         data = pa.array([_squeezed(x) for x in np.split(replies, cuts)], pa.binary())
         distinct = pa.array([int((c > 0).sum()), *[None] * (len(parts) - 1)], pa.int64())
-        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "data": data, "distinct": distinct})
-
-    return asked.groupBy("bucket").applyInArrow(run, "block long, bucket long, data binary, distinct long")
-
+        part = pa.array(np.full(len(parts), size, np.int32))
+        return pa.table({"block": table.column("block"), "part": part, "bucket": table.column("bucket"), "data": data, "distinct": distinct})
 
-def _with_counts(blocks: DataFrame, counted: DataFrame, size: int) -> DataFrame:
-    """``blocks`` with the counts (int64) of their sequences of ``size`` + 1 tokens in the order of the names, and a share of all that are distinct and trained."""
-    kept = blocks.drop("tokens", "distinct")
-    schema = T.StructType([*kept.schema.fields, T.StructField(f"counts{size}", T.BinaryType()), T.StructField("distinct", T.LongType())])
+    return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
-    def attach(block: pa.Table, replies: pa.Table) -> pa.Table:
-        counts = pa.array([_squeezed(_joined(replies, np.int64))] * block.num_rows, pa.binary())
-        distinct = pa.array([pc.sum(replies.column("distinct")).as_py() or 0] * block.num_rows, pa.int64())
-        return block.append_column(f"counts{size}", counts).append_column("distinct", distinct)
 
-    asked = counted.withColumnRenamed("block", "of")
-    return kept.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(attach, schema)
-
-
-def _pairs(blocks: DataFrame, ends: int) -> DataFrame:
+def _pairs(blocks: DataFrame, replies: DataFrame, ends: int) -> DataFrame:
     """(level, pair, context, n, total, suffix, following) of every context and next token of the tree, once.
 
     ``total`` is the context's count, ``suffix`` names the pair with its first token left out, ``following`` is the next token's count.
     """
     schema = "level int, pair long, context long, n long, total long, suffix long, following long"
 
-    def run(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                grams, contexts, out, counts = _of_block(batch, row)
-                own, counts = counts <= -LEAST, np.abs(counts)
-                for level in range(DEPTH):
-                    some = np.flatnonzero(own[level + 1])
-                    pair, first = np.unique(grams[level + 1, some], return_index=True)
-                    at = some[first]
-                    columns = (pair, contexts[level, at], counts[level + 1, at], _context_counts(level, counts, out, ends)[at], grams[level, at], counts[0, at])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), level, np.int32)), *(pa.array(x.view(np.int64)) for x in columns)],
-                        ["level", "pair", "context", "n", "total", "suffix", "following"],
-                    )
+    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
+        grams, contexts, out, counts = _of_block(block, replies)
+        own, counts = counts <= -LEAST, np.abs(counts)
+        parts = []
+        for level in range(DEPTH):
+            some = np.flatnonzero(own[level + 1])
+            pair, first = np.unique(grams[level + 1, some], return_index=True)
+            at = some[first]
+            columns = (pair, contexts[level, at], counts[level + 1, at], _context_counts(level, counts, out, ends)[at], grams[level, at], counts[0, at])
+            arrays = [pa.array(np.full(len(at), level, np.int32)), *(pa.array(x.view(np.int64)) for x in columns)]
+            parts.append(pa.table(arrays, ["level", "pair", "context", "n", "total", "suffix", "following"]))
+        return pa.concat_tables(parts)
 
-    return blocks.drop("ids").mapInArrow(run, schema)
+    return _by_block(blocks.drop("ids", "trained", "tokens"), replies, run, schema)
 
 
 def _grown(pairs: DataFrame, unit: float, scratch: Scratch) -> DataFrame:
@@ -299,16 +298,14 @@ def _grown(pairs: DataFrame, unit: float, scratch: Scratch) -> DataFrame:
     return contexts
 
 
-def _lefts(blocks: DataFrame, contexts: DataFrame, ends: int, buckets: int) -> DataFrame:
-    """(block, bucket, data): what the contexts that a block has leave to their suffixes, 1 for those not retained."""
+def _lefts(blocks: DataFrame, replies: DataFrame, contexts: DataFrame, ends: int, buckets: int) -> DataFrame:
+    """Further replies: what the contexts that a block has leave to their suffixes, 1 for those not retained."""
     schema = T.StructType().add("block", "long").add("packs", PACK)
 
-    def ask(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                _, contexts, out, counts = _of_block(batch, row)
-                names = _asked_contexts(contexts, np.abs(counts), out, ends)
-                yield pa.RecordBatch.from_arrays([batch.column("block").slice(row, 1), _packed(names, names[:0], buckets)], schema.names)
+    def ask(block: pa.Table, replies: pa.Table) -> pa.Table:
+        _, contexts, out, counts = _of_block(block, replies)
+        names = _asked_contexts(contexts, np.abs(counts), out, ends)
+        return pa.table([block.column("block"), _packed(names, names[:0], buckets)], schema.names)
 
     def reply(asked: pa.Table, kept: pa.Table) -> pa.Table:
         names = kept.column("context").to_numpy().view(np.uint64)
@@ -319,11 +316,12 @@ def _lefts(blocks: DataFrame, contexts: DataFrame, ends: int, buckets: int) -> D
             wanted = _read_names(asked.column("names"), row)
             at = np.searchsorted(names[:-1], wanted)
             data.append(_squeezed(np.where(names[at] == wanted, left[at], 1.0)))
-        return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "data": pa.array(data, pa.binary())})
+        columns = {"block": asked.column("block"), "part": pa.array(np.full(len(data), LEFT, np.int32)), "bucket": asked.column("bucket")}
+        return pa.table({**columns, "data": pa.array(data, pa.binary()), "distinct": pa.nulls(len(data), pa.int64())})
 
-    asked = _exploded(blocks.drop("ids").mapInArrow(ask, schema))
+    asked = _exploded(_by_block(blocks.drop("ids", "trained", "tokens"), replies, ask, schema))
     kept = contexts.select(_bucket("context", buckets).alias("of"), "context", "left")
-    return asked.groupBy("bucket").cogroup(kept.groupBy("of")).applyInArrow(reply, "block long, bucket long, data binary")
+    return asked.groupBy("bucket").cogroup(kept.groupBy("of")).applyInArrow(reply, REPLY)
 
 
 def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -337,48 +335,43 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
     ends = size["trained"] or 0
     scratch = Scratch(spark)
-    blocks = scratch.write(_blocks(named), "blocks")
+    files = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    blocks = scratch.bucketed(_blocks(named), "block", files, "blocks")
     tokens = blocks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
+    replies = None
     for size in range(DEPTH + 1):
-        replies = scratch.write(_counted(_asked(blocks, size, buckets)), "counts")
-        before, blocks = blocks, scratch.write(_with_counts(blocks, replies, size), "blocks")
-        scratch.drop(before, replies)
+        replies = scratch.bucketed(_counted(_asked(blocks, replies, size, buckets), size), "block", files, "replies", onto=replies)
         if size == 0:
-            distinct = blocks.agg(F.sum("distinct").alias("v")).first()["v"] or 0
+            distinct = replies.agg(F.sum("distinct").alias("v")).first()["v"] or 0
     unit = float(tokens + distinct + 1)
-    pairs = scratch.write(_pairs(blocks, ends), "pairs")
+    pairs = scratch.write(_pairs(blocks, replies, ends), "pairs")
     contexts = _grown(pairs, unit, scratch)
     scratch.drop(pairs)
-    lefts = scratch.write(_lefts(blocks, contexts, ends, buckets), "lefts")
+    replies = scratch.bucketed(_lefts(blocks, replies, contexts, ends, buckets), "block", files, "replies", onto=replies)
     result = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("trained", T.BooleanType())])
     for column, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         result.add(column, kind)
 
     def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
-        parts = []
-        for row in range(block.num_rows):
-            _, contexts, out, counts = _of_block(block, row)
-            counts = np.abs(counts)
-            root = (counts[0] + 1) / unit
-            names = _asked_contexts(contexts, counts, out, ends)
-            left = _joined(replies, np.float64)
-            p = root.copy()
-            for level in range(DEPTH):
-                total = _context_counts(level, counts, out, ends)
-                some = np.flatnonzero((total >= LEAST) & (contexts[level] != 0))
-                leaves = left[np.searchsorted(names, contexts[level, some])]
-                n = counts[level + 1, some]
-                # A retained context leaves less than 1.
-                p[some] = p[some] * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total[some] + SMOOTHING), 0.0)
-            hits = np.concatenate([[0], np.cumsum(counts[0] > 0)])
-            sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
-            ids = pa.array(block.column("ids")[row].values)
-            trained = _read(block.column("trained"), row, bool)
-            columns = [ids, pa.array(trained), pa.array(np.diff(out)), pa.array(hits[out[1:]] - hits[out[:-1]])]
-            parts.append(pa.Table.from_arrays([*columns, *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)], names=result.names))
-        return pa.concat_tables(parts)
-
-    asked = lefts.select(F.col("block").alias("of"), "bucket", "data")
-    rows = scratch.write(blocks.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(scored, result), "scored")
+        _, contexts, out, counts = _of_block(block, replies)
+        counts = np.abs(counts)
+        root = (counts[0] + 1) / unit
+        names = _asked_contexts(contexts, counts, out, ends)
+        left = _joined(replies, LEFT, np.float64)
+        p = root.copy()
+        for level in range(DEPTH):
+            total = _context_counts(level, counts, out, ends)
+            some = np.flatnonzero((total >= LEAST) & (contexts[level] != 0))
+            leaves = left[np.searchsorted(names, contexts[level, some])]
+            n = counts[level + 1, some]
+            # A retained context leaves less than 1.
+            p[some] = p[some] * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total[some] + SMOOTHING), 0.0)
+        hits = np.concatenate([[0], np.cumsum(counts[0] > 0)])
+        sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
+        columns = [pa.array(block.column("ids")[0].values), pa.array(_read(block.column("trained"), 0, bool)), pa.array(np.diff(out))]
+        columns += [pa.array(hits[out[1:]] - hits[out[:-1]]), *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)]
+        return pa.Table.from_arrays(columns, names=result.names)
+
+    rows = scratch.write(_by_block(blocks, replies, scored, result), "scored")
     scratch.drop_all(but=rows)
     return rows.select(F.col("id").alias(id), "trained", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

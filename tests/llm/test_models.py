@@ -53,6 +53,34 @@ def test_suffix_tree_is_that_of_plain_counting(spark, documents, sf_dir, monkeyp
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_blocks_of_the_tree_are_written_once_and_not_moved(spark, sf_dir, monkeypatch):
+    """Rounds of counting add replies in buckets of the blocks; no round shuffles or rewrites the blocks."""
+    from flowgraph.session import Scratch
+
+    written, plans, by_block = [], [], suffix_tree._by_block
+    for kind in ("write", "bucketed"):
+        plain = getattr(Scratch, kind, Scratch.write)
+
+        def noted(self, df, *args, plain=plain, **kwargs):
+            written.append(next(a for a in reversed(args) if isinstance(a, str)))
+            return plain(self, df, *args, **kwargs)
+
+        monkeypatch.setattr(Scratch, kind, noted)
+
+    def explained(*args):
+        found = by_block(*args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(suffix_tree, "_by_block", explained)
+    monkeypatch.setattr(suffix_tree, "BUCKET_BYTES", 100_000)
+    tables = {t.name for t in spark.catalog.listTables()}
+    queries.op2_suffix_tree(spark, sf_dir).count()
+    assert written.count("blocks") == 1
+    assert len(plans) == suffix_tree.DEPTH + 3 and not any("Exchange" in plan for plan in plans)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 def test_suffix_tree_without_training(spark, awkward, nothing):
     from pyspark.sql import functions as F
 
