@@ -5,14 +5,15 @@ tokens being one symbol.  A context is the last 1 to ``DEPTH`` tokens (a text's
 it is retained if its next-token distribution diverges from that of its suffix by more than its description costs.  A context
 names the next tokens that follow it ``LEAST`` times, and leaves the rest of its mass to its suffix, in proportion.  A token is
 scored by the longest retained context before it.  ``LEAST`` is the same for every corpus, so the tree grows with the corpus;
-it is held in tables, never on the driver.
+it is held in the table of replies, never on the driver.
 
-Texts become blocks, once.  A block asks for the counts of its sequences of 1, then 2, up to ``DEPTH`` + 1 tokens, if their
-context and suffix occur ``LEAST`` times, as those of any sequence that does; what is asked is dealt into buckets by hash, shuffled as one row of packed arrays for each block and bucket, and summed in one task a bucket.
-The counts go to a table of replies, in buckets of the block as the blocks themselves, so neither is moved or written again; one of
-the blocks also hands each sequence to the tree's tables.  The tree is grown there level by level, and the blocks ask in the same
-way what the retained contexts leave to their suffixes.  Words and sequences are named
-by 64-bit hashes.
+Texts become blocks, written once in buckets.  In each turn a block asks for the counts of its sequences of 1, then 2, up to
+``DEPTH`` + 1 tokens, if their context and suffix occur ``LEAST`` times, as those of any sequence that does.  From the third turn on
+it also asks what its contexts of 1, then 2, up to ``DEPTH`` tokens leave to their suffixes; for that, one of the blocks that hold
+a pair of context and next token hands on the pair's count and its probability after the suffix, which the turns before have
+settled.  What is asked is dealt into buckets by hash, shuffled as one row of packed arrays for each block and bucket, and
+answered in one task a bucket.  The replies are added to a table in the same buckets of blocks, so that neither is moved or
+written again.  Words and sequences are named by 64-bit hashes.
 
 A null or empty text is the end alone.  Without training texts every probability of the root is 1.  Repeated rows are
 counted and scored each; an empty table gives an empty table.
@@ -20,8 +21,9 @@ counted and scored each; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -64,37 +66,37 @@ def _read_names(column, row: int) -> np.ndarray:
     return np.cumsum(_read(column, row, np.uint64), dtype=np.uint64)
 
 
-#: Counts of sequences, by their tokens less 1, or, in turn ``LEFT``, what contexts leave.
-REPLY = "block long, part int, bucket long, data binary, distinct long"
-LEFT = DEPTH + 1
-PACK = T.ArrayType(T.StructType().add("bucket", "long").add("names", "binary").add("n", "binary"))
-
-
-def _packed(names: np.ndarray, n: np.ndarray, buckets: int) -> pa.Array:
-    """One (bucket, its names, their n) for each bucket, as a list of a single row; ``names`` ascend, and so do their buckets."""
-    bucket = (names >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    found, first = np.unique(bucket, return_index=True)
-    cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(names)]))
-    steps = pa.array([_squeezed(np.diff(names[a:b], prepend=np.uint64(0))) for a, b in cuts], pa.binary())
-    numbers = pa.array([_squeezed(n[a:b]) for a, b in cuts], pa.binary())
-    structs = pa.StructArray.from_arrays([pa.array(found.astype(np.int64)), steps, numbers], ["bucket", "names", "n"])
+#: What a block asks of a bucket: ascending names of sequences with their counts in it; ascending names of contexts with their
+#: counts, the number of pairs it hands on of each, and those pairs' counts and probabilities after the context's suffix.
+ASKED = ["names", "n", "contexts", "totals", "entries", "pair_n", "pair_p"]
+PACK = T.StructType().add("bucket", "long")
+for _column in ASKED:
+    PACK = PACK.add(_column, "binary")
+REPLY = "block long, turn int, bucket long, data binary, left binary, distinct long"
+
+
+def _packed(names, n, contexts, totals, entries, pair_n, pair_p, buckets: int) -> pa.Array:
+    """What each bucket is asked, as a list of a single row; names ascend, and so do their buckets."""
+    of = [(x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) for x in (names, contexts)]
+    found = np.unique(np.concatenate(of))
+    ranges = [[np.searchsorted(x, found, side) for side in ("left", "right")] for x in of]
+    pairs = np.concatenate([[0], np.cumsum(entries)])
+    columns = [[] for _ in ASKED]
+    for a, b, c, d in zip(*(x.tolist() for r in ranges for x in r)):
+        steps = [np.diff(x, prepend=np.uint64(0)) for x in (names[a:b], contexts[c:d])]
+        paired = slice(int(pairs[c]), int(pairs[d]))
+        for column, x in zip(columns, (steps[0], n[a:b], steps[1], totals[c:d], entries[c:d], pair_n[paired], pair_p[paired])):
+            column.append(_squeezed(x))
+    arrays = [pa.array(found.astype(np.int64)), *(pa.array(x, pa.binary()) for x in columns)]
+    structs = pa.StructArray.from_arrays(arrays, PACK.names)
     return pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), structs)
 
 
-def _bucket(name: str, buckets: int) -> Column:
-    """The bucket of a name that is written as a signed number."""
-    return F.shiftright(F.shiftrightunsigned(name, 32) * F.lit(buckets).cast("long"), 32)
-
-
-def _joined(replies: pa.Table, part: int, kind) -> np.ndarray:
-    """Replies of all buckets to what one block asked in turn ``part``, in the order of the names it asked for."""
-    rows = np.flatnonzero(replies.column("part").to_numpy() == part)
+def _joined(replies: pa.Table, turn: int, column: str, kind) -> np.ndarray:
+    """Replies of all buckets to what one block asked in a turn, in the order of the names it asked for."""
+    rows = np.flatnonzero(replies.column("turn").to_numpy() == turn)
     rows = rows[np.argsort(replies.column("bucket").to_numpy()[rows])]
-    return np.concatenate([np.zeros(0, kind), *(_read(replies.column("data"), int(row), kind) for row in rows)])
-
-
-def _exploded(packs: DataFrame) -> DataFrame:
-    return packs.select("block", F.explode("packs").alias("p")).select("block", "p.bucket", "p.names", "p.n")
+    return np.concatenate([np.zeros(0, kind), *(_read(replies.column(column), int(row), kind) for row in rows)])
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,51 +107,107 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _sequences(ends: np.ndarray, codes: np.ndarray, words: np.ndarray):
-    """(names of the last 1, 2, ... tokens up to each token, names of the contexts before it, ends of texts with their ends).
+def _sequences(ends: np.ndarray, codes: np.ndarray, words: np.ndarray, sizes: int):
+    """(names of the last 1, 2, ... ``sizes`` tokens up to each token, the places of the tokens in ``words``, ends of texts with their ends).
 
-    The first dimension is the length less 1; 0 stands where a text has no such sequence.
+    The first dimension of the names is the length less 1; 0 stands where a text has no such sequence.  An end has the place after all words.
     """
     out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
+    tokens = np.full(out[-1], len(words))
     inner = np.ones(out[-1], bool)
     inner[out[1:] - 1] = False
-    grams, contexts = np.zeros((DEPTH + 1, out[-1]), np.uint64), np.zeros((DEPTH, out[-1]), np.uint64)
-    grams[0] = END
-    grams[0, inner] = words[codes]
-    for level in range(DEPTH):
-        contexts[level, 1:] = grams[level, :-1]
-        contexts[level, out[:-1]] = START if level == 0 else 0
-        grams[level + 1] = np.where(contexts[level] != 0, _mixed(contexts[level], grams[0]), 0)
-    return grams, contexts, out
+    tokens[inner] = codes
+    grams = np.zeros((sizes, out[-1]), np.uint64)
+    grams[0] = np.append(words, END)[tokens]
+    for level in range(sizes - 1):
+        context = np.concatenate([np.zeros(1, np.uint64), grams[level, :-1]])
+        context[out[:-1]] = START if level == 0 else 0
+        grams[level + 1] = np.where(context != 0, _mixed(context, grams[0]), 0)
+    return grams, tokens, out
 
 
-def _asked_for(grams: np.ndarray, counts: np.ndarray, out: np.ndarray, size: int):
-    """(which tokens end a sequence of ``size`` + 1 tokens that may occur often enough, the sequences' names, their places).
+@dataclass
+class _Asked:
+    """Sequences of one length: which tokens end one that was asked for, their names, the tokens' places among them, the counts.
 
-    Both the context and the suffix of such a sequence occur as often; single tokens are all asked for.
+    ``own`` is true where the block hands the sequence on.
     """
-    some = grams[size] != 0
-    if size:
-        often = np.abs(counts[size - 1]) >= LEAST
-        before = np.concatenate([[False], often[:-1]])
-        before[out[:-1]] = size == 1
-        some &= often & before
-    names, where = np.unique(grams[size][some], return_inverse=True)
-    return some, names, where
-
 
-def _of_block(block: pa.Table, replies: pa.Table | None, sizes: int = DEPTH + 1):
-    """(sequences' names, contexts' names, ends, sequences' counts), of the first ``sizes`` lengths, of a block.
+    some: np.ndarray
+    names: np.ndarray
+    where: np.ndarray
+    counts: np.ndarray | None = None
+    own: np.ndarray | None = None
+
+    def by_token(self) -> np.ndarray:
+        """Counts of the sequences that end with each token; 0 where it was not asked for."""
+        out = np.zeros(len(self.some), np.int64)
+        out[self.some] = self.counts[self.where]
+        return out
+
+
+class _Known:
+    """What a block knows before a turn: counts of its sequences of up to ``turn`` tokens, and what contexts of ``turn`` - 2 leave."""
+
+    def __init__(self, block: pa.Table, replies: pa.Table | None, turn: int, unit: float, texts: int):
+        ends, codes = _read(block.column("ends"), 0, np.int64), _read(block.column("codes"), 0, np.int32)
+        self.words, self.texts = _read(block.column("words"), 0, np.uint64), texts
+        self.grams, self.tokens, self.out = _sequences(ends, codes, self.words, min(turn, DEPTH) + 1)
+        self.asked, self.counts = [], []
+        for size in range(min(turn, DEPTH + 1)):
+            asked = self.asks(size)
+            data = _joined(replies, size, "data", np.int64)
+            asked.counts, asked.own = data >> 1, data & 1 == 1
+            self.asked.append(asked)
+            self.counts.append(asked.by_token())
+        # The probability of each token, by the contexts known so far.
+        self.p = (self.counts[0] + 1) / unit if turn else None
+        for level in range(turn - 2):
+            _, totals, context = self.contexts(level)
+            leaves = np.append(_joined(replies, level + 2, "left", np.float64), 1.0)[context]
+            n, total = self.counts[level + 1], np.append(totals, 0)[context]
+            # A retained context leaves less than 1.
+            self.p = self.p * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total + SMOOTHING), 0.0)
 
-    A count is negative where the block hands the sequence on, and 0 where it was not asked for.
-    """
-    ends, codes = _read(block.column("ends"), 0, np.int64), _read(block.column("codes"), 0, np.int32)
-    grams, contexts, out = _sequences(ends, codes, _read(block.column("words"), 0, np.uint64))
-    counts = np.zeros(grams.shape, np.int64)
-    for size in range(sizes):
-        some, _, where = _asked_for(grams, counts, out, size)
-        counts[size, some] = _joined(replies, size, np.int64)[where]
-    return grams, contexts, out, counts
+    def asks(self, size: int) -> _Asked:
+        """The sequences of ``size`` + 1 tokens that may occur often enough, as their context and suffix do; all single tokens."""
+        if size == 0:
+            names, place = np.unique(np.append(self.words, END), return_inverse=True)
+            return _Asked(np.ones(len(self.tokens), bool), names, place[self.tokens])
+        often = self.counts[size - 1] >= LEAST
+        before = np.concatenate([[False], often[:-1]])
+        before[self.out[:-1]] = size == 1
+        some = (self.grams[size] != 0) & often & before
+        return _Asked(some, *np.unique(self.grams[size][some], return_inverse=True))
+
+    def contexts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(names of the contexts of ``level`` + 1 tokens that occur often enough, their counts, each token's place among them or -1)."""
+        asked = self.asked[level]
+        often = asked.counts >= LEAST
+        names, totals = asked.names[often], asked.counts[often]
+        place, start = np.where(often, np.cumsum(often) - 1, -1), -1
+        if level == 0 and self.texts >= LEAST:
+            start = int(np.searchsorted(names, START))
+            names, totals = np.insert(names, start, START), np.insert(totals, start, self.texts)
+            place[place >= start] += 1
+        up_to = np.full(len(asked.some), -1)
+        up_to[asked.some] = place[asked.where]
+        before = np.concatenate([[-1], up_to[:-1]])
+        before[self.out[:-1]] = start
+        return names, totals, before
+
+    def pairs(self, level: int):
+        """(contexts' names, their counts, the number of pairs the block hands on of each, those pairs' counts and probabilities)."""
+        names, totals, before = self.contexts(level)
+        asked = self.asked[level + 1]
+        # One of the places where a sequence ends serves for all: what is read there depends on the sequence alone.
+        at = np.zeros(len(asked.names), np.int64)
+        at[asked.where] = np.flatnonzero(asked.some)
+        at = at[asked.own]
+        context = before[at]
+        order = np.argsort(context, kind="stable")
+        n = self.counts[level + 1][at][order].astype(np.uint64)
+        return names, totals.astype(np.uint64), np.bincount(context, minlength=len(names)).astype(np.uint32), n, self.p[at][order]
 
 
 def _by_block(blocks: DataFrame, replies: DataFrame, run, schema) -> DataFrame:
@@ -157,17 +215,17 @@ def _by_block(blocks: DataFrame, replies: DataFrame, run, schema) -> DataFrame:
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
 
 
-def _context_counts(level: int, counts: np.ndarray, out: np.ndarray, ends: int) -> np.ndarray:
-    """Counts of the contexts of a level (from 0) before each token, from those of the sequences up to each token."""
-    c = np.concatenate([[0], counts[level, :-1]])
-    c[out[:-1]] = ends if level == 0 else 0
-    return c
-
-
-def _asked_contexts(contexts: np.ndarray, counts: np.ndarray, out: np.ndarray, ends: int) -> np.ndarray:
-    """Names of the contexts that occur often enough to be in the tree."""
-    known = [contexts[level][_context_counts(level, counts, out, ends) >= LEAST] for level in range(DEPTH)]
-    return np.unique(np.concatenate(known))
+def _named(words: pa.Array) -> np.ndarray:
+    """Names of words: the sum over their bytes of a hash of each byte and its place, hashed with their length."""
+    words = words.cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    text = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    place = np.arange(len(text)) - np.repeat(ends[:-1] - ends[0], np.diff(ends))
+    hashed = _mixed(place.astype(np.uint64), text.astype(np.uint64) + np.uint64(1))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed, dtype=np.uint64)])[ends - ends[0]]
+    return _mixed(np.diff(sums), np.diff(ends).astype(np.uint64))
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -185,9 +243,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             for start, stop in slices(texts, BLOCK_BYTES):
                 ends, codes, distinct = split_words(texts.slice(start, stop - start))
                 trained = batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
-                words = np.zeros(0, np.uint64)
-                if len(distinct):
-                    words = pd.util.hash_array(np.array(distinct.to_pylist(), object), categorize=False)
+                words = _named(distinct)
                 ids = batch.column(0).slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -204,16 +260,19 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", "trained").mapInArrow(run, schema)
 
 
-def _asked(blocks: DataFrame, replies: DataFrame | None, size: int, buckets: int) -> DataFrame:
-    """(block, bucket, names, n): the sequences of ``size`` + 1 tokens of a block, with how often its training texts have them."""
-    schema = T.StructType().add("block", "long").add("packs", PACK)
+def _asked(blocks: DataFrame, replies: DataFrame | None, turn: int, buckets: int, unit: float, texts: int) -> DataFrame:
+    """(block, bucket, ...): what a block asks in a turn, its sequences of ``turn`` + 1 tokens and its contexts of ``turn`` - 1."""
+    schema = T.StructType().add("block", "long").add("packs", T.ArrayType(PACK))
 
     def ask(block: pa.Table, replies: pa.Table | None) -> pa.Table:
-        grams, _, out, counts = _of_block(block, replies, size)
-        some, names, where = _asked_for(grams, counts, out, size)
-        use = np.repeat(_read(block.column("trained"), 0, bool), np.diff(out))
-        n = np.bincount(where[use[some]], minlength=len(names)).astype(np.uint32)
-        return pa.table([block.column("block"), _packed(names, n, buckets)], schema.names)
+        known = _Known(block, replies, turn, unit, texts)
+        names, n = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        if turn <= DEPTH:
+            asked = known.asks(turn)
+            use = np.repeat(_read(block.column("trained"), 0, bool), np.diff(known.out))
+            names, n = asked.names, np.bincount(asked.where[use[asked.some]], minlength=len(asked.names)).astype(np.uint32)
+        pairs = known.pairs(turn - 2) if turn >= 2 else (np.zeros(0, k) for k in (np.uint64, np.uint64, np.uint32, np.uint64, np.float64))
+        return pa.table([block.column("block"), _packed(names, n, *pairs, buckets)], schema.names)
 
     def run(batches):
         for batch in batches:
@@ -221,109 +280,56 @@ def _asked(blocks: DataFrame, replies: DataFrame | None, size: int, buckets: int
                 yield from ask(pa.Table.from_batches([batch.slice(row, 1)]), None).to_batches()
 
     kept = blocks.drop("ids", "tokens")
-    return _exploded(kept.mapInArrow(run, schema) if replies is None else _by_block(kept, replies, ask, schema))
+    packs = kept.mapInArrow(run, schema) if replies is None else _by_block(kept, replies, ask, schema)
+    return packs.select("block", F.explode("packs").alias("p")).select("block", "p.*")
 
 
-def _counted(asked: DataFrame, size: int) -> DataFrame:
-    """(block, part, bucket, data, distinct): counts of what a block asked of one bucket; on one row of a bucket, its distinct trained sequences.
+def _counted(table: pa.Table):
+    """(for each block twice the counts of the sequences it asked of a bucket, the number of distinct trained sequences).
 
-    The count is negative in the reply to one of the blocks that train on the sequence.
+    One is added in the reply to one of the blocks that train on a sequence, if it occurs ``LEAST`` times.
     """
+    parts = [_read_names(table.column("names"), row) for row in range(table.num_rows)]
+    names, where = np.unique(np.concatenate(parts), return_inverse=True)
+    n = np.concatenate([_read(table.column("n"), row, np.uint32) for row in range(table.num_rows)])
+    c = np.bincount(where, n, len(names)).astype(np.int64)
+    asked = np.flatnonzero(n)
+    _, first = np.unique(where[asked], return_index=True)
+    replies = 2 * c[where]
+    replies[asked[first]] += c[where[asked[first]]] >= LEAST
+    return np.split(replies, np.cumsum([len(p) for p in parts])[:-1]), int((c > 0).sum())
+
+
+def _left(table: pa.Table) -> list[np.ndarray]:
+    """For each block what the contexts it named to a bucket leave to their suffixes, 1 for those not retained."""
+    parts = [_read_names(table.column("contexts"), row) for row in range(table.num_rows)]
+    totals, entries, n, p = (
+        np.concatenate([_read(table.column(c), row, kind) for row in range(table.num_rows)])
+        for c, kind in (("totals", np.uint64), ("entries", np.uint32), ("pair_n", np.uint64), ("pair_p", np.float64))
+    )
+    names, where = np.unique(np.concatenate(parts), return_inverse=True)
+    total, context = np.zeros(len(names)), np.repeat(where, entries)
+    total[where] = totals
+    named, entries = np.bincount(context, n, len(names)), np.bincount(context, minlength=len(names))
+    left = (total - named + SMOOTHING) / (total + SMOOTHING)
+    adds = n / (total[context] + SMOOTHING)
+    gain = np.bincount(context, n * np.log((adds + left[context] * p) / p), len(names)) + (total - named) * np.log(left)
+    keep = gain > 0.5 * entries * np.log(np.maximum(total, 2))
+    return np.split(np.where(keep, left, 1.0)[where], np.cumsum([len(p) for p in parts])[:-1])
+
+
+def _answered(asked: DataFrame, turn: int) -> DataFrame:
+    """(block, turn, bucket, data, left, distinct): the replies of one bucket; ``distinct`` is on one row of a bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [_read_names(table.column("names"), row) for row in range(table.num_rows)]
-        names, where = np.unique(np.concatenate(parts), return_inverse=True)
-        n = np.concatenate([_read(table.column("n"), row, np.uint32) for row in range(table.num_rows)])
-        c = np.bincount(where, n, len(names)).astype(np.int64)
-        asked = np.flatnonzero(n)
-        _, first = np.unique(where[asked], return_index=True)
-        replies = c[where]
-        replies[asked[first]] *= -1
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
-        data = pa.array([_squeezed(x) for x in np.split(replies, cuts)], pa.binary())
-        distinct = pa.array([int((c > 0).sum()), *[None] * (len(parts) - 1)], pa.int64())
-        part = pa.array(np.full(len(parts), size, np.int32))
-        return pa.table({"block": table.column("block"), "part": part, "bucket": table.column("bucket"), "data": data, "distinct": distinct})
+        counts, distinct = _counted(table)
+        data, left = (pa.array([_squeezed(x) for x in replies], pa.binary()) for replies in (counts, _left(table)))
+        of, distinct = pa.array(np.full(len(data), turn, np.int32)), pa.array([distinct, *[None] * (len(data) - 1)], pa.int64())
+        return pa.table([table.column("block"), of, table.column("bucket"), data, left, distinct], ["block", "turn", "bucket", "data", "left", "distinct"])
 
     return asked.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def _pairs(blocks: DataFrame, replies: DataFrame, ends: int) -> DataFrame:
-    """(level, pair, context, n, total, suffix, following) of every context and next token of the tree, once.
-
-    ``total`` is the context's count, ``suffix`` names the pair with its first token left out, ``following`` is the next token's count.
-    """
-    schema = "level int, pair long, context long, n long, total long, suffix long, following long"
-
-    def run(block: pa.Table, replies: pa.Table) -> pa.Table:
-        grams, contexts, out, counts = _of_block(block, replies)
-        own, counts = counts <= -LEAST, np.abs(counts)
-        parts = []
-        for level in range(DEPTH):
-            some = np.flatnonzero(own[level + 1])
-            pair, first = np.unique(grams[level + 1, some], return_index=True)
-            at = some[first]
-            columns = (pair, contexts[level, at], counts[level + 1, at], _context_counts(level, counts, out, ends)[at], grams[level, at], counts[0, at])
-            arrays = [pa.array(np.full(len(at), level, np.int32)), *(pa.array(x.view(np.int64)) for x in columns)]
-            parts.append(pa.table(arrays, ["level", "pair", "context", "n", "total", "suffix", "following"]))
-        return pa.concat_tables(parts)
-
-    return _by_block(blocks.drop("ids", "trained", "tokens"), replies, run, schema)
-
-
-def _grown(pairs: DataFrame, unit: float, scratch: Scratch) -> DataFrame:
-    """(context, left) of the retained contexts, with what each leaves to its suffix."""
-    contexts, suffixes, levels = None, None, []
-    adds = F.col("n") / (F.col("total") + SMOOTHING)
-    for level in range(DEPTH):
-        # p is the probability of the next token after the context's suffix.
-        rows = pairs.where(F.col("level") == level)
-        rows = rows.join(suffixes, "suffix") if level else rows.withColumn("p", (F.col("following") + 1) / F.lit(unit))
-        rows = scratch.write(rows.select("pair", "context", "n", "total", "p"), "level")
-        scratch.drop(*levels)
-        levels.append(rows)
-        named = rows.groupBy("context").agg(F.sum("n").alias("named"), F.count("*").alias("entries"))
-        left = (F.col("total") - F.col("named") + SMOOTHING) / (F.col("total") + SMOOTHING)
-        gains = rows.join(named, "context").withColumn("left", left).groupBy("context").agg(
-            F.sum(F.col("n") * F.log((adds + F.col("left") * F.col("p")) / F.col("p"))).alias("gain"),
-            *(F.max(c).alias(c) for c in ("total", "named", "entries", "left")),
-        )
-        gain = F.col("gain") + (F.col("total") - F.col("named")) * F.log("left")
-        keep = gain > 0.5 * F.col("entries") * F.log(F.greatest(F.col("total"), F.lit(2)).cast("double"))
-        kept = scratch.write(gains.where(keep).select("context", "left"), "contexts")
-        contexts = kept if contexts is None else contexts.unionByName(kept)
-        after = F.coalesce(F.col("left") * F.col("p") + adds, F.col("p"))
-        suffixes = rows.join(kept, "context", "left").select(F.col("pair").alias("suffix"), after.alias("p"))
-    scratch.drop(*levels)
-    return contexts
-
-
-def _lefts(blocks: DataFrame, replies: DataFrame, contexts: DataFrame, ends: int, buckets: int) -> DataFrame:
-    """Further replies: what the contexts that a block has leave to their suffixes, 1 for those not retained."""
-    schema = T.StructType().add("block", "long").add("packs", PACK)
-
-    def ask(block: pa.Table, replies: pa.Table) -> pa.Table:
-        _, contexts, out, counts = _of_block(block, replies)
-        names = _asked_contexts(contexts, np.abs(counts), out, ends)
-        return pa.table([block.column("block"), _packed(names, names[:0], buckets)], schema.names)
-
-    def reply(asked: pa.Table, kept: pa.Table) -> pa.Table:
-        names = kept.column("context").to_numpy().view(np.uint64)
-        order = np.argsort(names)
-        names, left = np.append(names[order], np.uint64(0)), np.append(kept.column("left").to_numpy()[order], 1.0)
-        data = []
-        for row in range(asked.num_rows):
-            wanted = _read_names(asked.column("names"), row)
-            at = np.searchsorted(names[:-1], wanted)
-            data.append(_squeezed(np.where(names[at] == wanted, left[at], 1.0)))
-        columns = {"block": asked.column("block"), "part": pa.array(np.full(len(data), LEFT, np.int32)), "bucket": asked.column("bucket")}
-        return pa.table({**columns, "data": pa.array(data, pa.binary()), "distinct": pa.nulls(len(data), pa.int64())})
-
-    asked = _exploded(_by_block(blocks.drop("ids", "trained", "tokens"), replies, ask, schema))
-    kept = contexts.select(_bucket("context", buckets).alias("of"), "context", "left")
-    return asked.groupBy("bucket").cogroup(kept.groupBy("of")).applyInArrow(reply, REPLY)
-
-
 def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, trained, n_tokens, n_known, train_tokens, base_score, score) of every row; ``training`` says which to learn from.
 
@@ -333,41 +339,28 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     named = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.coalesce(training, F.lit(False)).alias("trained"))
     size = named.agg(F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.col("trained").cast("long")).alias("trained")).first()
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
-    ends = size["trained"] or 0
+    trained = size["trained"] or 0
     scratch = Scratch(spark)
     files = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     blocks = scratch.bucketed(_blocks(named), "block", files, "blocks")
     tokens = blocks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
-    replies = None
-    for size in range(DEPTH + 1):
-        replies = scratch.bucketed(_counted(_asked(blocks, replies, size, buckets), size), "block", files, "replies", onto=replies)
-        if size == 0:
-            distinct = replies.agg(F.sum("distinct").alias("v")).first()["v"] or 0
-    unit = float(tokens + distinct + 1)
-    pairs = scratch.write(_pairs(blocks, replies, ends), "pairs")
-    contexts = _grown(pairs, unit, scratch)
-    scratch.drop(pairs)
-    replies = scratch.bucketed(_lefts(blocks, replies, contexts, ends, buckets), "block", files, "replies", onto=replies)
+    replies, unit = None, 0.0
+    for turn in range(DEPTH + 2):
+        # Written first, so that what was asked is dropped before the replies are moved to their blocks.
+        answers = scratch.write(_answered(_asked(blocks, replies, turn, buckets, unit, trained), turn), "answers")
+        replies = scratch.bucketed(answers, "block", files, "replies", onto=replies)
+        scratch.drop(answers)
+        if turn == 0:
+            unit = float(tokens + (replies.agg(F.sum("distinct").alias("v")).first()["v"] or 0) + 1)
     result = T.StructType([T.StructField("id", named.schema["id"].dataType), T.StructField("trained", T.BooleanType())])
     for column, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         result.add(column, kind)
 
     def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
-        _, contexts, out, counts = _of_block(block, replies)
-        counts = np.abs(counts)
-        root = (counts[0] + 1) / unit
-        names = _asked_contexts(contexts, counts, out, ends)
-        left = _joined(replies, LEFT, np.float64)
-        p = root.copy()
-        for level in range(DEPTH):
-            total = _context_counts(level, counts, out, ends)
-            some = np.flatnonzero((total >= LEAST) & (contexts[level] != 0))
-            leaves = left[np.searchsorted(names, contexts[level, some])]
-            n = counts[level + 1, some]
-            # A retained context leaves less than 1.
-            p[some] = p[some] * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total[some] + SMOOTHING), 0.0)
-        hits = np.concatenate([[0], np.cumsum(counts[0] > 0)])
-        sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in (root, p)]
+        known = _Known(block, replies, DEPTH + 2, unit, trained)
+        counts, out = known.counts[0], known.out
+        hits = np.concatenate([[0], np.cumsum(counts > 0)])
+        sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in ((counts + 1) / unit, known.p)]
         columns = [pa.array(block.column("ids")[0].values), pa.array(_read(block.column("trained"), 0, bool)), pa.array(np.diff(out))]
         columns += [pa.array(hits[out[1:]] - hits[out[:-1]]), *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)]
         return pa.Table.from_arrays(columns, names=result.names)

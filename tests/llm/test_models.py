@@ -77,7 +77,7 @@ def test_blocks_of_the_tree_are_written_once_and_not_moved(spark, sf_dir, monkey
     tables = {t.name for t in spark.catalog.listTables()}
     queries.op2_suffix_tree(spark, sf_dir).count()
     assert written.count("blocks") == 1
-    assert len(plans) == suffix_tree.DEPTH + 3 and not any("Exchange" in plan for plan in plans)
+    assert len(plans) == suffix_tree.DEPTH + 2 and not any("Exchange" in plan for plan in plans)
     assert {t.name for t in spark.catalog.listTables()} == tables
 
 
