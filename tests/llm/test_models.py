@@ -53,6 +53,22 @@ def test_suffix_tree_is_that_of_plain_counting(spark, documents, sf_dir, monkeyp
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_distinct_names_are_those_of_numpy():
+    """Also names that differ in their last bits alone, and none."""
+    rng = np.random.default_rng(3)
+    wide, near = rng.integers(0, 1 << 64, 400, np.uint64), np.uint64(1 << 63) + rng.integers(0, 40, 400, np.uint64)
+    for names in (rng.choice(wide, 2000), rng.choice(near, 2000), np.concatenate([wide, near]), wide[:1], wide[:0]):
+        found, where = suffix_tree._distinct(names)
+        assert found.tolist() == sorted(set(names.tolist())) and found[where].tolist() == names.tolist()
+
+
+def test_words_have_names_of_their_own():
+    words = ["", "a", "b", "ab", "ba", "aa", "é", "x" * 50_000, *map(str, range(100_000))]
+    names = suffix_tree._named(pa.array(["left out", *words]).slice(1))
+    assert len(set(names.tolist())) == len(words)
+    assert names.tolist() == suffix_tree._named(pa.array(words)).tolist()
+
+
 def test_blocks_of_the_tree_are_written_once_and_not_moved(spark, sf_dir, monkeypatch):
     """Rounds of counting add replies in buckets of the blocks; no round shuffles or rewrites the blocks."""
     from flowgraph.session import Scratch
