@@ -38,23 +38,35 @@ DEPTH = 3
 LEAST = 2
 #: Weight, in counts, of the suffix's distribution in a context's.
 SMOOTHING = 1.0
-#: Text in one block, and text for each bucket of what is asked.
+#: Text in one block, and text for each bucket of what is asked: every block asks every bucket, so both are as large as a task can hold.
 BLOCK_BYTES = 6 << 20
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
 #: Names of a text's end and start; 0 names nothing.
 END, START = np.uint64(0xD1B54A32D192ED03), np.uint64(0x8CB92BA72F3D8DD7)
 
 
 def _squeezed(x: np.ndarray) -> bytes:
-    """The array compressed, first bytes of all numbers together, then the second ones, and so on."""
-    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+    """The array compressed, first bytes of all numbers together, then the second ones, and so on; without the last bytes that are 0 in all."""
+    if not len(x):
+        return b""
+    width = x.dtype.itemsize if x.dtype.kind == "f" else max(1, -(-int(x.max()).bit_length() // 8))
+    rows = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1)
+    planes = np.empty((width, len(x)), np.uint8)
+    for at in range(width):
+        planes[at] = rows[:, at]
+    return planes.size.to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
 
 
 def _unsqueezed(data: bytes, kind) -> np.ndarray:
-    size, kind = int.from_bytes(data[:8], "little"), np.dtype(kind)
-    raw = np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b"", np.uint8)
-    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    kind = np.dtype(kind)
+    if not data:
+        return np.zeros(0, kind)
+    size, width = int.from_bytes(data[:8], "little"), data[8]
+    planes = np.frombuffer(pa.decompress(memoryview(data)[9:], size, "zstd"), np.uint8).reshape(width, -1)
+    rows = np.zeros((planes.shape[1], kind.itemsize), np.uint8)
+    for at in range(width):
+        rows[:, at] = planes[at]
+    return rows.view(kind).ravel()
 
 
 def _read(column, row: int, kind) -> np.ndarray:
@@ -81,11 +93,15 @@ def _packed(names, n, contexts, totals, entries, pair_n, pair_p, buckets: int) -
     found = np.unique(np.concatenate(of))
     ranges = [[np.searchsorted(x, found, side) for side in ("left", "right")] for x in of]
     pairs = np.concatenate([[0], np.cumsum(entries)])
+    steps = []
+    for x, (first, stop) in zip((names, contexts), ranges):
+        step, first = np.diff(x, prepend=np.uint64(0)), first[first < stop]
+        step[first] = x[first]
+        steps.append(step)
     columns = [[] for _ in ASKED]
     for a, b, c, d in zip(*(x.tolist() for r in ranges for x in r)):
-        steps = [np.diff(x, prepend=np.uint64(0)) for x in (names[a:b], contexts[c:d])]
         paired = slice(int(pairs[c]), int(pairs[d]))
-        for column, x in zip(columns, (steps[0], n[a:b], steps[1], totals[c:d], entries[c:d], pair_n[paired], pair_p[paired])):
+        for column, x in zip(columns, (steps[0][a:b], n[a:b], steps[1][c:d], totals[c:d], entries[c:d], pair_n[paired], pair_p[paired])):
             column.append(_squeezed(x))
     arrays = [pa.array(found.astype(np.int64)), *(pa.array(x, pa.binary()) for x in columns)]
     structs = pa.StructArray.from_arrays(arrays, PACK.names)
@@ -107,123 +123,144 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As ``np.unique`` with the inverse, mostly by one plain sort: of names whose last bits are their places."""
-    places = np.uint64((1 << max(1, len(names).bit_length())) - 1)
-    keys = names & ~places | np.arange(len(names), dtype=np.uint64)
+def _sorted(numbers: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers, which are less than 2 ** ``spread``, ascending, their places), mostly by one plain sort of number and place."""
+    bits = max(1, len(numbers).bit_length())
+    places = np.uint64((1 << bits) - 1)
+    keys = numbers.astype(np.uint64) << np.uint64(64 - spread) & ~places | np.arange(len(numbers), dtype=np.uint64)
     keys.sort()
-    order = (keys & places).astype(np.int64)
-    found = names[order]
-    if (found[1:] < found[:-1]).any():
-        return np.unique(names, return_inverse=True)
+    order = (keys & places).view(np.int64)
+    found = numbers[order]
+    if spread + bits > 64 and (found[1:] < found[:-1]).any():
+        # Numbers that differ in the bits that gave way to places are next to each other.
+        order = order[np.argsort(found, kind="stable")]
+        found = numbers[order]
+    return found, order
+
+
+def _distinct(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the inverse."""
+    if not len(names):
+        return names, np.zeros(0, np.int64)
+    least = names.min()
+    found, order = _sorted(names - least, max(1, int(names.max() - least).bit_length()))
     new = np.ones(len(found), bool)
     np.not_equal(found[1:], found[:-1], out=new[1:])
     where = np.empty(len(found), np.int64)
     where[order] = np.cumsum(new) - 1
-    return found[new], where
-
-
-def _sequences(ends: np.ndarray, codes: np.ndarray, words: np.ndarray, sizes: int):
-    """(names of the last 1, 2, ... ``sizes`` tokens up to each token, the places of the tokens in ``words``, ends of texts with their ends).
-
-    The first dimension of the names is the length less 1; 0 stands where a text has no such sequence.  An end has the place after all words.
-    """
-    out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
-    tokens = np.full(out[-1], len(words))
-    inner = np.ones(out[-1], bool)
-    inner[out[1:] - 1] = False
-    tokens[inner] = codes
-    grams = np.zeros((sizes, out[-1]), np.uint64)
-    grams[0] = np.append(words, END)[tokens]
-    for level in range(sizes - 1):
-        context = np.concatenate([np.zeros(1, np.uint64), grams[level, :-1]])
-        context[out[:-1]] = START if level == 0 else 0
-        grams[level + 1] = np.where(context != 0, _mixed(context, grams[0]), 0)
-    return grams, tokens, out
+    return found[new] + least, where
 
 
 @dataclass
 class _Asked:
-    """Sequences of one length: which tokens end one that was asked for, their names, the tokens' places among them, the counts.
+    """Sequences of one length that were asked for: the tokens that end one, their names, the tokens' places among them, the replies.
 
-    ``own`` is true where the block hands the sequence on.
+    ``of`` are the tokens' places among those that come after the context.
     """
 
-    some: np.ndarray
+    at: np.ndarray
+    of: np.ndarray | None
     names: np.ndarray
     where: np.ndarray
     counts: np.ndarray | None = None
     own: np.ndarray | None = None
 
-    def by_token(self) -> np.ndarray:
-        """Counts of the sequences that end with each token; 0 where it was not asked for."""
-        out = np.zeros(len(self.some), np.int64)
-        out[self.some] = self.counts[self.where]
-        return out
+
+@dataclass
+class _Contexts:
+    """Sequences that occur often enough: the tokens that end one, the tokens after one in a text, the latter's places among ``names``.
+
+    ``names`` and ``totals`` are those of all sequences asked for and, for single tokens, of the start behind them.
+    """
+
+    ended: np.ndarray
+    at: np.ndarray
+    where: np.ndarray
+    names: np.ndarray
+    totals: np.ndarray
+
+    def chosen(self) -> np.ndarray:
+        """Places of those that occur often enough, by ascending names."""
+        often = np.flatnonzero(self.totals >= LEAST)
+        if len(often) > 1 and self.names[often[-1]] < self.names[often[-2]]:
+            often = np.insert(often[:-1], np.searchsorted(self.names[often[:-1]], self.names[often[-1]]), often[-1])
+        return often
 
 
 class _Known:
-    """What a block knows before a turn: counts of its sequences of up to ``turn`` tokens, and what contexts of ``turn`` - 2 leave."""
+    """What a block knows before a turn: counts of its sequences of up to ``turn`` tokens, and what contexts of ``turn`` - 2 leave.
+
+    Its tokens are places in ``words``; a text's tokens end before its ``out``, the last being its end.  Of longer sequences only
+    those are kept that may occur often enough, by the token that ends them.
+    """
 
     def __init__(self, block: pa.Table, replies: pa.Table | None, turn: int, unit: float, texts: int):
         ends, codes = _read(block.column("ends"), 0, np.int64), _read(block.column("codes"), 0, np.int32)
-        self.words, self.texts = _read(block.column("words"), 0, np.uint64), texts
-        self.grams, self.tokens, self.out = _sequences(ends, codes, self.words, min(turn, DEPTH) + 1)
-        self.asked, self.counts = [], []
+        self.words, self.texts = _read_names(block.column("words"), 0), texts
+        self.out = np.concatenate([[0], np.cumsum(np.diff(ends) + 1)])
+        self.tokens = np.full(self.out[-1], np.searchsorted(self.words, END))
+        self.inner = np.ones(self.out[-1], bool)
+        self.inner[self.out[1:] - 1] = False
+        self.tokens[self.inner] = codes
+        self.asked, self.contexts = [], []
         for size in range(min(turn, DEPTH + 1)):
             asked = self.asks(size)
             data = _joined(replies, size, "data", np.int64)
             asked.counts, asked.own = data >> 1, data & 1 == 1
             self.asked.append(asked)
-            self.counts.append(asked.by_token())
+            self.contexts.append(self.follows(size))
         # The probability of each token, by the contexts known so far.
-        self.p = (self.counts[0] + 1) / unit if turn else None
+        self.p = ((self.asked[0].counts + 1) / unit)[self.tokens] if turn else None
         for level in range(turn - 2):
-            _, totals, context = self.contexts(level)
-            leaves = np.append(_joined(replies, level + 2, "left", np.float64), 1.0)[context]
-            n, total = self.counts[level + 1], np.append(totals, 0)[context]
+            context, asked = self.contexts[level], self.asked[level + 1]
+            left = np.ones(len(context.names))
+            left[context.chosen()] = _joined(replies, level + 2, "left", np.float64)
+            n = np.zeros(len(context.at))
+            n[asked.of] = asked.counts[asked.where]
             # A retained context leaves less than 1.
-            self.p = self.p * leaves + np.where((leaves < 1) & (n >= LEAST), n / (total + SMOOTHING), 0.0)
+            leaves = left[context.where]
+            kept = np.flatnonzero(leaves < 1)
+            at, n = context.at[kept], n[kept]
+            self.p[at] = self.p[at] * leaves[kept] + np.where(n >= LEAST, n / (context.totals + SMOOTHING)[context.where[kept]], 0.0)
+
+    def follows(self, size: int) -> _Contexts:
+        asked = self.asked[size]
+        names, totals = asked.names, asked.counts
+        often = np.flatnonzero((totals >= LEAST)[asked.where])
+        ended, where = asked.at[often] if size else often, asked.where[often]
+        inner = np.flatnonzero(self.inner[ended])
+        at, where = ended[inner] + 1, where[inner]
+        if size == 0:
+            starts = self.out[:-1]
+            at, where = np.concatenate([starts, at]), np.concatenate([np.full(len(starts), len(names)), where])
+            names, totals = np.append(names, START), np.append(totals, self.texts)
+        return _Contexts(ended, at, where, names, totals)
 
     def asks(self, size: int) -> _Asked:
         """The sequences of ``size`` + 1 tokens that may occur often enough, as their context and suffix do; all single tokens."""
         if size == 0:
-            names, place = np.unique(np.append(self.words, END), return_inverse=True)
-            return _Asked(np.ones(len(self.tokens), bool), names, place[self.tokens])
-        often = self.counts[size - 1] >= LEAST
-        before = np.concatenate([[False], often[:-1]])
-        before[self.out[:-1]] = size == 1
-        some = (self.grams[size] != 0) & often & before
-        return _Asked(some, *_distinct(self.grams[size][some]))
-
-    def contexts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(names of the contexts of ``level`` + 1 tokens that occur often enough, their counts, each token's place among them or -1)."""
-        asked = self.asked[level]
-        often = asked.counts >= LEAST
-        names, totals = asked.names[often], asked.counts[often]
-        place, start = np.where(often, np.cumsum(often) - 1, -1), -1
-        if level == 0 and self.texts >= LEAST:
-            start = int(np.searchsorted(names, START))
-            names, totals = np.insert(names, start, START), np.insert(totals, start, self.texts)
-            place[place >= start] += 1
-        up_to = np.full(len(asked.some), -1)
-        up_to[asked.some] = place[asked.where]
-        before = np.concatenate([[-1], up_to[:-1]])
-        before[self.out[:-1]] = start
-        return names, totals, before
+            return _Asked(np.arange(len(self.tokens)), None, self.words, self.tokens)
+        context = self.contexts[size - 1]
+        often = np.zeros(len(self.tokens), bool)
+        often[context.ended] = True
+        some = np.flatnonzero(often[context.at])
+        at = context.at[some]
+        return _Asked(at, some, *_distinct(_mixed(context.names[context.where[some]], self.words[self.tokens[at]])))
 
     def pairs(self, level: int):
         """(contexts' names, their counts, the number of pairs the block hands on of each, those pairs' counts and probabilities)."""
-        names, totals, before = self.contexts(level)
-        asked = self.asked[level + 1]
+        context, asked = self.contexts[level], self.asked[level + 1]
+        chosen = context.chosen()
+        place = np.full(len(context.names), -1)
+        place[chosen] = np.arange(len(chosen))
         # One of the places where a sequence ends serves for all: what is read there depends on the sequence alone.
-        at = np.zeros(len(asked.names), np.int64)
-        at[asked.where] = np.flatnonzero(asked.some)
-        at = at[asked.own]
-        context = before[at]
-        order = np.argsort(context, kind="stable")
-        n = self.counts[level + 1][at][order].astype(np.uint64)
-        return names, totals.astype(np.uint64), np.bincount(context, minlength=len(names)).astype(np.uint32), n, self.p[at][order]
+        of = np.zeros(len(asked.names), np.int64)
+        of[asked.where] = asked.of
+        of = of[asked.own]
+        before, order = _sorted(place[context.where[of]], max(1, len(chosen).bit_length()))
+        entries = np.bincount(before, minlength=len(chosen)).astype(np.uint32)
+        n, p = asked.counts[asked.own][order].astype(np.uint64), self.p[context.at[of][order]]
+        return context.names[chosen], context.totals[chosen].astype(np.uint64), entries, n, p
 
 
 def _by_block(blocks: DataFrame, replies: DataFrame, run, schema) -> DataFrame:
@@ -259,12 +296,14 @@ def _blocks(docs: DataFrame) -> DataFrame:
             for start, stop in slices(texts, BLOCK_BYTES):
                 ends, codes, distinct = split_words(texts.slice(start, stop - start))
                 trained = batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
-                words = _named(distinct)
+                # With the name of an end, ascending.
+                words, place = _distinct(np.append(_named(distinct), END))
+                codes = place[codes]
                 ids = batch.column(0).slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                        *(pa.array([_squeezed(x)], pa.binary()) for x in (trained, ends, codes.astype(np.int32), words)),
+                        *(pa.array([_squeezed(x)], pa.binary()) for x in (trained, ends, codes.astype(np.int32), np.diff(words, prepend=np.uint64(0)))),
                         pa.array([int((np.diff(ends) + 1)[trained].sum())]),
                     ],
                     schema.names,
@@ -286,7 +325,7 @@ def _asked(blocks: DataFrame, replies: DataFrame | None, turn: int, buckets: int
         if turn <= DEPTH:
             asked = known.asks(turn)
             use = np.repeat(_read(block.column("trained"), 0, bool), np.diff(known.out))
-            names, n = asked.names, np.bincount(asked.where[use[asked.some]], minlength=len(asked.names)).astype(np.uint32)
+            names, n = asked.names, np.bincount(asked.where[use[asked.at]], minlength=len(asked.names)).astype(np.uint32)
         pairs = known.pairs(turn - 2) if turn >= 2 else (np.zeros(0, k) for k in (np.uint64, np.uint64, np.uint32, np.uint64, np.float64))
         return pa.table([block.column("block"), _packed(names, n, *pairs, buckets)], schema.names)
 
@@ -306,13 +345,14 @@ def _counted(table: pa.Table):
     One is added in the reply to one of the blocks that train on a sequence, if it occurs ``LEAST`` times.
     """
     parts = [_read_names(table.column("names"), row) for row in range(table.num_rows)]
-    names, where = np.unique(np.concatenate(parts), return_inverse=True)
+    names, where = _distinct(np.concatenate(parts))
     n = np.concatenate([_read(table.column("n"), row, np.uint32) for row in range(table.num_rows)])
     c = np.bincount(where, n, len(names)).astype(np.int64)
-    asked = np.flatnonzero(n)
-    _, first = np.unique(where[asked], return_index=True)
+    asked = np.flatnonzero(n)[::-1]
+    first = np.full(len(names), -1)
+    first[where[asked]] = asked  # the last one set, which is the first of them
     replies = 2 * c[where]
-    replies[asked[first]] += c[where[asked[first]]] >= LEAST
+    replies[first[c >= LEAST]] += 1
     return np.split(replies, np.cumsum([len(p) for p in parts])[:-1]), int((c > 0).sum())
 
 
@@ -323,7 +363,7 @@ def _left(table: pa.Table) -> list[np.ndarray]:
         np.concatenate([_read(table.column(c), row, kind) for row in range(table.num_rows)])
         for c, kind in (("totals", np.uint64), ("entries", np.uint32), ("pair_n", np.uint64), ("pair_p", np.float64))
     )
-    names, where = np.unique(np.concatenate(parts), return_inverse=True)
+    names, where = _distinct(np.concatenate(parts))
     total, context = np.zeros(len(names)), np.repeat(where, entries)
     total[where] = totals
     named, entries = np.bincount(context, n, len(names)), np.bincount(context, minlength=len(names))
@@ -357,7 +397,7 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
     buckets = max(1, -(-(size["bytes"] or 0) // BUCKET_BYTES))
     trained = size["trained"] or 0
     scratch = Scratch(spark)
-    files = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    files = min(max(1, -(-(size["bytes"] or 0) // BLOCK_BYTES)), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     blocks = scratch.bucketed(_blocks(named), "block", files, "blocks")
     tokens = blocks.agg(F.sum("tokens").alias("n")).first()["n"] or 0
     replies, unit = None, 0.0
@@ -374,9 +414,9 @@ def score(docs: DataFrame, training: Column, id: str = "doc_id", text: str = "te
 
     def scored(block: pa.Table, replies: pa.Table) -> pa.Table:
         known = _Known(block, replies, DEPTH + 2, unit, trained)
-        counts, out = known.counts[0], known.out
-        hits = np.concatenate([[0], np.cumsum(counts > 0)])
-        sums = [np.concatenate([[0.0], np.cumsum(np.log10(x))]) for x in ((counts + 1) / unit, known.p)]
+        counts, out = known.asked[0].counts, known.out
+        hits = np.concatenate([[0], np.cumsum((counts > 0)[known.tokens])])
+        sums = [np.concatenate([[0.0], np.cumsum(x)]) for x in (np.log10((counts + 1) / unit)[known.tokens], np.log10(known.p))]
         columns = [pa.array(block.column("ids")[0].values), pa.array(_read(block.column("trained"), 0, bool)), pa.array(np.diff(out))]
         columns += [pa.array(hits[out[1:]] - hits[out[:-1]]), *(pa.array(s[out[1:]] - s[out[:-1]]) for s in sums)]
         return pa.Table.from_arrays(columns, names=result.names)

@@ -62,6 +62,23 @@ def test_distinct_names_are_those_of_numpy():
         assert found.tolist() == sorted(set(names.tolist())) and found[where].tolist() == names.tolist()
 
 
+def test_names_of_one_bucket_need_one_plain_sort(monkeypatch):
+    """They begin alike, so that the bits they differ in are not those that give way to places."""
+    names = np.uint64(0xABC << 52) + np.random.default_rng(4).integers(0, 1 << 20, 5000, np.uint64)
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda *_, **__: pytest.fail("sorted by numpy's slower way"))
+    found, where = suffix_tree._distinct(names)
+    assert found.tolist() == unique(names).tolist() and found[where].tolist() == names.tolist()
+
+
+def test_numbers_survive_the_shuffle_without_their_empty_bytes():
+    rng = np.random.default_rng(5)
+    for x in (rng.integers(0, 1 << 64, 50, np.uint64), np.arange(300, dtype=np.uint32), np.zeros(9, np.int64), rng.random(7), np.array([True, False]), np.zeros(0)):
+        back = suffix_tree._unsqueezed(suffix_tree._squeezed(x), x.dtype)
+        assert back.dtype == x.dtype and back.tolist() == x.tolist()
+    assert len(suffix_tree._squeezed(np.zeros(0, np.uint64))) == 0 and suffix_tree._squeezed(np.ones(5, np.uint64))[8] == 1
+
+
 def test_words_have_names_of_their_own():
     words = ["", "a", "b", "ab", "ba", "aa", "é", "x" * 50_000, *map(str, range(100_000))]
     names = suffix_tree._named(pa.array(["left out", *words]).slice(1))
