@@ -115,3 +115,29 @@ def test_vectors_of_40_mb_are_not_broadcast(spark):
     """Four workers of an executor hold a broadcast each, in two precisions."""
     c = spark.range(10_000).selectExpr("id", "array_repeat(1.0D, 512) AS values")
     assert module._if_small(c, "id", "values", None) is None
+
+
+def test_texts_that_all_share_words_are_neither_copied_nor_kept(spark, monkeypatch):
+    """Queries take turns over the corpus where it lies, and no table of vectors is left when the hits are known."""
+    import os
+
+    from flowgraph.operators import sparse
+    from flowgraph.session import shared_dir
+
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, 12) % 60)) for i in range(300)]
+    c = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    terms = sparse.SparseTextEncoder().fit(c)(c, "id")
+    monkeypatch.setattr(sparse, "BLOCK_ENTRIES", 500)
+    before, plans, scanned = set(os.listdir(shared_dir(spark))), [], getattr(sparse, "_scanned", None)
+
+    def explained(*args):
+        plans.append(scanned(*args)._jdf.queryExecution().executedPlan().toString())
+        return scanned(*args)
+
+    monkeypatch.setattr(sparse, "_scanned", explained, raising=False)
+    found = sparse.search(terms.withColumnRenamed("id", "query_id"), terms, 4, 0.2)
+    left = {name.split("-")[0] for name in set(os.listdir(shared_dir(spark))) - before}
+    assert left <= {"names", "turn"}
+    assert len(plans) > 1 and not any("Exchange" in plan for plan in plans)
+    assert found.count() > 300
