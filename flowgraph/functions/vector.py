@@ -44,9 +44,3 @@ def batch_norm(x: Column, mean: Column, var: Column, weight: Column, bias: Colum
 
 #: Everything that is neither letter nor digit separates words.
 WORD_GAP = r"[^\p{L}\p{N}]+"
-
-
-def word_slots(text: Column, slots: int) -> Column:
-    """Slot of every word of a text in order, in small letters: the first 32 bits of the word's md5, modulo ``slots``."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
-    return F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % F.lit(slots))

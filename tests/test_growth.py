@@ -141,3 +141,26 @@ def test_texts_that_all_share_words_are_neither_copied_nor_kept(spark, monkeypat
     assert left <= {"names", "turn"}
     assert len(plans) > 1 and not any("Exchange" in plan for plan in plans)
     assert found.count() > 300
+
+
+def test_dense_words_are_hashed_in_the_task(spark):
+    """Once for each distinct word of a few texts, not by an expression for every word; the vectors are those of plain counting."""
+    import hashlib
+    import math
+
+    from flowgraph.operators.embedding import HashedTextEncoder
+
+    rows = [(i, f"One two, w{i % 7} w{i % 7} x{i}") for i in range(1100)] + [(1100, None), (1101, " .")]
+    c = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    encoder = HashedTextEncoder(32)
+    for vectors in (encoder.fit_encode(c), encoder(c)):
+        assert "md5" not in vectors._jdf.queryExecution().executedPlan().toString()
+        got = {r["id"]: r["values"] for r in vectors.collect()}
+        assert len(got) == 1102
+    slots = {i: [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 32 for w in (t or "").lower().replace(",", " ").replace(".", " ").split()] for i, t in rows}
+    idf = [math.log(1103 / (sum(s in v for v in slots.values()) + 1)) for s in range(32)]
+    for i in (0, 6, 511, 512, 1099, 1100, 1101):
+        plain = np.array([slots[i].count(s) * idf[s] for s in range(32)])
+        assert np.allclose(got[i], plain / (np.linalg.norm(plain) or 1), atol=1e-6)
+    again = HashedTextEncoder(32).fit(c)
+    assert again._idf == encoder._idf == idf
